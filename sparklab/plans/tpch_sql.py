@@ -271,9 +271,13 @@ def with_duckdb_ctes(body: str, extra: dict | None = None) -> str:
     """Prefix the DuckDB derivations a body refers to (plus ``extra`` CTEs)."""
     ctes = {**DUCKDB_CTES, **(extra or {})}
     names = [n for n in ctes if re.search(rf"\b{n}\b", body)]
+    body = body.strip()
     if not names:
-        return body.strip()
-    return "with " + ",\n".join(ctes[n] for n in names) + "\n" + body.strip()
+        return body
+    head = "with " + ",\n".join(ctes[n] for n in names)
+    if re.match(r"(?is)^with\s", body):
+        return head + ",\n" + body[4:].lstrip()
+    return head + "\n" + body
 
 
 def duckdb_sql(q: str) -> str:
