@@ -270,7 +270,14 @@ def needed_ctes(body: str) -> list[str]:
 def with_duckdb_ctes(body: str, extra: dict | None = None) -> str:
     """Prefix the DuckDB derivations a body refers to (plus ``extra`` CTEs)."""
     ctes = {**DUCKDB_CTES, **(extra or {})}
-    names = [n for n in ctes if re.search(rf"\b{n}\b", body)]
+    wanted = {n for n in ctes if re.search(rf"\b{n}\b", body)}
+    while True:  # CTEs used by other CTEs
+        more = {m for n in wanted for m in ctes if m not in wanted
+                and re.search(rf"\b{m}\b", ctes[n].split(" as (", 1)[1])}
+        if not more:
+            break
+        wanted |= more
+    names = [n for n in ctes if n in wanted]
     body = body.strip()
     if not names:
         return body
