@@ -48,7 +48,7 @@ def register(reg) -> None:
     from sparklab.tables import Tables
 
     def run(s, d):
-        t = Tables(s, d)
+        t = Tables.of(s, d)
         return diff_tables(tpch.q01(t), tpch.q01(t, ship_cutoff="1998-12-01"), ["l_returnflag", "l_linestatus"])
 
     body_a = tpch_sql.BODIES["q01"].replace("order by l_returnflag, l_linestatus", "")

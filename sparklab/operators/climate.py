@@ -254,7 +254,7 @@ def register(reg) -> None:
     from sparklab.tables import Tables
 
     def sg(s, d):
-        return ship_grid(Tables(s, d).raw("lineitem"))
+        return ship_grid(Tables.of(s, d).raw("lineitem"))
 
     def sql(body, **extra):
         return with_duckdb_ctes(body, {"sg": SHIP_GRID_SQL, "eg4": EVENTS_GRID_SQL, **extra})
@@ -306,7 +306,7 @@ select hour, dayofyear, latitude, longitude,
 from contrib group by hour, dayofyear, latitude, longitude"""))
 
     def eg(s, d):
-        return events_grid(Tables(s, d).events)
+        return events_grid(Tables.of(s, d).events)
 
     from sparklab.operators.grid import fixed_sum_sql as fs
 
@@ -337,7 +337,7 @@ select latitude, longitude, round(sum(s - n * (s / n)) / sum(n), 6) + 0.0 as ano
 group by 1, 2"""))
 
     def scenes(s, d):
-        li = Tables(s, d).raw("lineitem")
+        li = Tables.of(s, d).raw("lineitem")
         t = col("l_shipdate") + F.make_dt_interval(F.lit(0), (col("l_linenumber") % 2).cast("int"))
         return li.groupBy(t.alias("time"), (col("l_partkey") % 4).cast("int").alias("y"),
                           (col("l_suppkey") % 4).cast("int").alias("x")).agg(
@@ -357,7 +357,7 @@ select month(day) as month, round(avg(case when b8 + b11h = 0 then null else (b8
 from h group by 1"""))
 
     def zonal(s, d):
-        t = Tables(s, d)
+        t = Tables.of(s, d)
         grid = t.orders.groupBy(F.date_trunc("month", "o_orderdate").alias("time"),
                                 (col("o_custkey") % 5).cast("int").alias("y"),
                                 F.expr("cast((o_custkey div 5) % 5 as int)").alias("x")).agg(
@@ -374,7 +374,7 @@ r as (select n_nationkey % 5 as y, n_nationkey // 5 as x, n_regionkey as region
 select time, region, round(avg(value), 4) as value from grid join r using (y, x) group by 1, 2"""))
 
     def regridded(s, d):
-        li = Tables(s, d).raw("lineitem")
+        li = Tables.of(s, d).raw("lineitem")
         src = li.groupBy(F.year("l_shipdate").alias("time"), (col("l_partkey") % 12).cast("int").alias("src_i"),
                          (col("l_suppkey") % 24).cast("int").alias("src_j")).agg(F.avg("l_quantity").alias("value"))
         wts = bilinear_weights(s, -82.5, 15.0, 12, 24, -75.0, 30.0, 6, 12)

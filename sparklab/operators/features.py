@@ -189,7 +189,7 @@ def register(reg) -> None:
     ctes = {"trips": TRIPS_SQL, "zones": ZONES_SQL, "tf": FEATURES_SQL}
 
     def feats(s, d):
-        t = Tables(s, d)
+        t = Tables.of(s, d)
         return trip_features(_trips(t), _zones(t), exact_quantile=True)
 
     cols = ["hvfhs_license_num", "PULocationID", "DOLocationID", "trip_miles", "trip_time", "tolls",
@@ -204,10 +204,10 @@ def register(reg) -> None:
 
     def gbt(s, d):
         from sparklab.operators.relational import hash_split
-        e = Tables(s, d).embeddings
+        e = Tables.of(s, d).embeddings
         tr, te = hash_split(e, "vec_id", [0.8, 0.2], seed=42)
         _, pred, rmse = train_gbt(tr, "embedding", "label", te)
         return pred.select(F.round("prediction", 6).alias("prediction"), "label")
 
     reg.add("gbt_predictions", gbt, None)
-    reg.add("search_scores", lambda s, d: search(Tables(s, d).embeddings, "embedding", "label"), None)
+    reg.add("search_scores", lambda s, d: search(Tables.of(s, d).embeddings, "embedding", "label"), None)

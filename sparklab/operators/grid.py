@@ -239,7 +239,7 @@ def register(reg) -> None:
     from sparklab.tables import Tables
 
     def g(s, d):
-        return embedding_grid(Tables(s, d).embeddings)
+        return embedding_grid(Tables.of(s, d).embeddings)
 
     E = """eg as (select vec_id as i, cast(generate_subscripts(embedding, 1) - 1 as bigint) as j,
                   cast(unnest(embedding) as double) as value from embeddings)"""
@@ -297,7 +297,7 @@ def register(reg) -> None:
             sql(f"select round(sum(c * c), 6) as gram_sum from (select j, {fixed_sum_sql('value')} as c from eg group by j)"))
 
     def ols_fit(s, d):
-        t = Tables(s, d)
+        t = Tables.of(s, d)
         _, fitted = ols(g(s, d), y=t.embeddings.select(col("vec_id").alias("i"), col("label").alias("y")))
         return fitted.select("i", F.round("y_hat", 4).alias("y_hat"))
 

@@ -129,7 +129,7 @@ def register(reg) -> None:
     from sparklab.plans.tpch_sql import with_duckdb_ctes
 
     def frame(spark, sf_dir):
-        return h2o_frame(Tables(spark, sf_dir).raw("lineitem"))
+        return h2o_frame(Tables.of(spark, sf_dir).raw("lineitem"))
 
     runs = {
         "h2o_q1": lambda s, d: h2o_q1(frame(s, d)),

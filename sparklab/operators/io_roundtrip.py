@@ -72,7 +72,7 @@ def _scratch(spark, tag):
 # ------------------------------------------------------------------ queries
 def parquet_roundtrip(spark: SparkSession, sf_dir: str, codec: str = "zstd") -> DataFrame:
     path = _scratch(spark, "parquet")
-    sinks.write_table(Tables(spark, sf_dir).raw("lineitem"), path, codec=codec)
+    sinks.write_table(Tables.of(spark, sf_dir).raw("lineitem"), path, codec=codec)
     li = sources.read_table(spark, path, columns=["l_returnflag", "l_quantity", "l_orderkey"])
     return li.groupBy("l_returnflag").agg(F.sum("l_quantity").alias("sum_qty"), F.count(F.lit(1)).alias("n"),
                                           F.sum("l_orderkey").alias("sum_orderkey"))
@@ -80,13 +80,13 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str, codec: str = "zstd") ->
 
 def sized_roundtrip(spark, sf_dir):
     path = _scratch(spark, "sized")
-    sinks.write_sized(Tables(spark, sf_dir).raw("lineitem"), path, target_bytes=256 * 1024)
+    sinks.write_sized(Tables.of(spark, sf_dir).raw("lineitem"), path, target_bytes=256 * 1024)
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty"))
 
 
 def hive_first(spark, sf_dir):
     path = _scratch(spark, "hive")
-    o = Tables(spark, sf_dir).raw("orders").withColumns(
+    o = Tables.of(spark, sf_dir).raw("orders").withColumns(
         {"year": F.year("o_orderdate"), "quarter": F.quarter("o_orderdate")})
     sinks.write_table(o, path, partition_by=["year", "quarter"])
     h = sources.read_hive(spark, path).filter(col("year") >= 1997)  # prunes folders
@@ -96,7 +96,7 @@ def hive_first(spark, sf_dir):
 
 def csv_mean_tip(spark, sf_dir):
     path = _scratch(spark, "csv")
-    ev = Tables(spark, sf_dir).events.select((col("user_id") % 6).cast("int").alias("passenger_count"),
+    ev = Tables.of(spark, sf_dir).events.select((col("user_id") % 6).cast("int").alias("passenger_count"),
                                               col("value").alias("tip_amount"), "event_type")
     ev.write.option("header", True).csv(path)
     df = sources.read_csv(spark, path, "passenger_count INT, tip_amount DOUBLE, event_type STRING")
@@ -110,7 +110,7 @@ def dirty_tsv(spark, sf_dir):
     """Events written as headerless TSV where every 13th value carries a '#'
     and every 29th line has an extra field; read back with S6."""
     path = _scratch(spark, "tsv")
-    e = Tables(spark, sf_dir).events
+    e = Tables.of(spark, sf_dir).events
     val = F.when(col("event_id") % 13 == 0, F.concat(col("value").cast("string"), F.lit("#"))).otherwise(
         col("value").cast("string"))
     fields = [col("event_id").cast("string"), col("user_id").cast("string"), col("event_type"), val, col("props")]
@@ -124,7 +124,7 @@ def dirty_tsv(spark, sf_dir):
 def zip_trips(spark, sf_dir):
     """Events as zipped CSV trips (S7) cleaned by X4."""
     folder = _scratch(spark, "zip")
-    e = Tables(spark, sf_dir).events
+    e = Tables.of(spark, sf_dir).events
     sid = F.when(col("event_id") % 23 == 0, F.lit("bad")).otherwise(
         F.concat((col("user_id") % 40).cast("string"), F.lit(".0")))
     eid = F.concat((col("event_id") % 57).cast("string"), F.lit(".0"))
@@ -147,7 +147,7 @@ def zip_trips(spark, sf_dir):
 def archive_share(spark, sf_dir):
     """Documents packed into tar archives, scanned for 'license' (S8, X1)."""
     folder = _scratch(spark, "tar")
-    m = documents_as_members(Tables(spark, sf_dir).documents)
+    m = documents_as_members(Tables.of(spark, sf_dir).documents)
     pack_partitions(m, folder, "tar", "member", "text", files=4)
     found = sources.scan_archives(spark, folder + "/*.tar", ".pdf", b"license")
     return pattern_share_over_time(found)
@@ -155,7 +155,7 @@ def archive_share(spark, sf_dir):
 
 def file_bytes_total(spark, sf_dir):
     path = _scratch(spark, "bytes")
-    Tables(spark, sf_dir).pages.select("html").write.text(path)
+    Tables.of(spark, sf_dir).pages.select("html").write.text(path)
     return sources.file_bytes(spark, path + "/*.txt").agg(F.sum("length").alias("total_bytes"))
 
 
@@ -163,7 +163,7 @@ def grid_roundtrip(spark, sf_dir):
     from sparklab.operators.climate import ship_grid
 
     path = _scratch(spark, "grid")
-    g = ship_grid(Tables(spark, sf_dir).raw("lineitem")).withColumn("year", F.year("time"))
+    g = ship_grid(Tables.of(spark, sf_dir).raw("lineitem")).withColumn("year", F.year("time"))
     sinks.write_grid(g, path, {"latitude": 1, "longitude": 2}, sort_by="time", partition_dim="year")
     r = sources.read_grid(spark, path, variables=["value"], time=("1996-01-01", "1997-12-31"),
                           dims=["latitude", "longitude"])
@@ -173,7 +173,7 @@ def grid_roundtrip(spark, sf_dir):
 def grid_files(spark, sf_dir):
     from sparklab.operators.climate import ship_grid
 
-    g = ship_grid(Tables(spark, sf_dir).raw("lineitem"))
+    g = ship_grid(Tables.of(spark, sf_dir).raw("lineitem"))
     p1, p2 = _scratch(spark, "gf1"), _scratch(spark, "gf2")
     sinks.write_table(g.filter(F.year("time") < 1998), p1)
     sinks.write_table(g.filter(F.year("time") >= 1998).withColumn("extra", col("value") * 2), p2)
@@ -183,7 +183,7 @@ def grid_files(spark, sf_dir):
 
 def warehouse_roundtrip(spark, sf_dir):
     table = f"runs_{uuid.uuid4().hex[:12]}"
-    e = Tables(spark, sf_dir).events.select("event_id", "event_type", "value")
+    e = Tables.of(spark, sf_dir).events.select("event_id", "event_type", "value")
     sinks.write_warehouse(e, table, target_bytes=1 << 20)
     q = f"select event_type, count(*) as n, avg(cast(value > 100 as int)) as share from {table} group by event_type"
     return sources.read_query(spark, q)
@@ -191,7 +191,7 @@ def warehouse_roundtrip(spark, sf_dir):
 
 def lookup_single_file(spark, sf_dir):
     path = _scratch(spark, "lookup")
-    sinks.write_table(Tables(spark, sf_dir).nation, path, single_file=True)
+    sinks.write_table(Tables.of(spark, sf_dir).nation, path, single_file=True)
     return spark.read.parquet(path)
 
 

@@ -300,17 +300,17 @@ def register(reg) -> None:
     from sparklab.tables import Tables
 
     def ev(s, d):
-        return Tables(s, d).events
+        return Tables.of(s, d).events
 
     def li(s, d):
-        return Tables(s, d).raw("lineitem")
+        return Tables.of(s, d).raw("lineitem")
 
     reg.add("first_per_group",
             lambda s, d: first_per_group(ev(s, d), "event_type", ["ts", "event_id"], ["ts", "event_id", "user_id", "value"]),
             """select event_type, ts, event_id, user_id, value from (
                  select *, row_number() over (partition by event_type order by ts, event_id) as rn from events) where rn = 1""")
     reg.add("filter_first",
-            lambda s, d: filter_first(Tables(s, d).documents, "text", "doc_id").select("doc_id", "source", "n_chars"),
+            lambda s, d: filter_first(Tables.of(s, d).documents, "text", "doc_id").select("doc_id", "source", "n_chars"),
             """select doc_id, source, n_chars from documents
                where text = (select text from documents order by doc_id limit 1)""")
     reg.add("series_extremes",
@@ -356,7 +356,7 @@ def register(reg) -> None:
                from k a join k b on a.key = b.key""")
 
     def small_join(s, d):
-        t = Tables(s, d)
+        t = Tables.of(s, d)
         j = join_small(price_key(t.raw("lineitem"), "l_extendedprice"),
                        price_key(t.raw("part"), "p_retailprice"), "key")
         return j.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(j.columns)).alias("cols"))
@@ -407,7 +407,7 @@ def register(reg) -> None:
             """select user_id, event_id, value from (select *, row_number() over
                  (partition by user_id order by value desc, event_id) as rn from events) where rn <= 3""")
     reg.add("dedup_documents",
-            lambda s, d: dedup(Tables(s, d).documents, "text", "doc_id").select("doc_id", "lang", "source", "n_chars"),
+            lambda s, d: dedup(Tables.of(s, d).documents, "text", "doc_id").select("doc_id", "lang", "source", "n_chars"),
             """select doc_id, lang, source, n_chars from (select *, row_number() over
                  (partition by text order by doc_id) as rn from documents) where rn = 1""")
     reg.add("repartition_to_size",

@@ -72,7 +72,7 @@ def register(reg) -> None:
     ctes = {"members": MEMBERS_SQL, "shares": SHARE_SQL}
 
     def shares(s, d):
-        return pattern_share_over_time(documents_as_members(Tables(s, d).documents))
+        return pattern_share_over_time(documents_as_members(Tables.of(s, d).documents))
 
     reg.add("pattern_share", shares, with_duckdb_ctes("select date, n, share from shares", ctes))
     reg.add("pattern_share_extremes", lambda s, d: pattern_share_extremes(shares(s, d)), with_duckdb_ctes("""
@@ -80,6 +80,6 @@ select (select date from shares order by share, date limit 1) as argmin_key,
        (select date from shares order by share desc, date limit 1) as argmax_key,
        (select min(date) from shares where share <> 0) as first_nonzero_key""", ctes))
     reg.add("clean_events",
-            lambda s, d: clean_events(Tables(s, d).pages, "url", "page_id", "blog|spam").select("page_id", "url"),
+            lambda s, d: clean_events(Tables.of(s, d).pages, "url", "page_id", "blog|spam").select("page_id", "url"),
             """select page_id, url from (select *, row_number() over (partition by url order by page_id) as rn from pages)
                where rn = 1 and regexp_matches(url, 'blog|spam')""")

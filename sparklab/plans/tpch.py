@@ -17,14 +17,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparklab.functions.dates import add_months_str, ts_lit
-from sparklab.functions.exact import money, qty, rate
+from sparklab.functions.exact import money_sum, round_units, units, units_sum, units_to_double
 from sparklab.tables import Tables
 
 col = F.col
 
 
 def _revenue():
-    return money("l_extendedprice") * (1 - rate("l_discount"))
+    """extendedprice * (1 - discount) in units of 1e-4 (cents x percent)."""
+    return units("l_extendedprice") * (F.lit(100) - units("l_discount"))
+
+
+def _rev_sum():
+    return money_sum(_revenue(), 4)
+
+
+def sort_small(df: DataFrame, *cols) -> DataFrame:
+    """Order a result whose row count is bounded by the schema (flags,
+    nations, years, ship modes...): one tiny shuffle to a single partition and
+    a local sort, instead of a range-partitioned sort with its sampling job.
+    The aggregation before it stays parallel."""
+    return df.repartition(1).sortWithinPartitions(*cols)
 
 
 def _nations(t: Tables, names=None, region=None) -> DataFrame:
@@ -41,19 +54,20 @@ def _nations(t: Tables, names=None, region=None) -> DataFrame:
 def q01(t: Tables, ship_cutoff: str = "1998-09-02") -> DataFrame:
     li = t.lineitem.filter(col("l_shipdate") <= ts_lit(ship_cutoff))
     disc_price = _revenue()
+    price = money_sum(units("l_extendedprice"), 2)
     return (
         li.groupBy("l_returnflag", "l_linestatus")
         .agg(
             F.sum("l_quantity").alias("sum_qty"),
-            F.sum(money("l_extendedprice")).cast("double").alias("sum_base_price"),
-            F.sum(disc_price).cast("double").alias("sum_disc_price"),
-            F.sum(disc_price * (1 + rate("l_tax"))).cast("double").alias("sum_charge"),
+            price.alias("sum_base_price"),
+            money_sum(disc_price, 4).alias("sum_disc_price"),
+            money_sum(disc_price * (F.lit(100) + units("l_tax")), 6).alias("sum_charge"),
             (F.sum("l_quantity") / F.count("l_quantity")).alias("avg_qty"),
-            (F.sum(money("l_extendedprice")).cast("double") / F.count("l_extendedprice")).alias("avg_price"),
-            (F.sum(rate("l_discount")).cast("double") / F.count("l_discount")).alias("avg_disc"),
+            (price / F.count("l_extendedprice")).alias("avg_price"),
+            (money_sum(units("l_discount"), 2) / F.count("l_discount")).alias("avg_disc"),
             F.count(F.lit(1)).alias("count_order"),
         )
-        .orderBy("l_returnflag", "l_linestatus")
+        .transform(lambda d: sort_small(d, "l_returnflag", "l_linestatus"))
     )
 
 
@@ -83,7 +97,7 @@ def q03(t: Tables, segment: str = "BUILDING", date: str = "1995-03-15") -> DataF
     j = li.join(o, col("l_orderkey") == col("o_orderkey"))
     return (
         j.groupBy("l_orderkey", "o_orderdate", "o_shippriority")
-        .agg(F.sum(_revenue()).cast("double").alias("revenue"))
+        .agg(_rev_sum().alias("revenue"))
         .select("l_orderkey", "revenue", "o_orderdate", "o_shippriority")
         .orderBy(col("revenue").desc(), "o_orderdate", "l_orderkey")
         .limit(10)
@@ -97,7 +111,7 @@ def q04(t: Tables, date: str = "1993-07-01", months: int = 3) -> DataFrame:
         o.join(late, col("o_orderkey") == col("l_orderkey"), "left_semi")
         .groupBy("o_orderpriority")
         .agg(F.count(F.lit(1)).alias("order_count"))
-        .orderBy("o_orderpriority")
+        .transform(lambda d: sort_small(d, "o_orderpriority"))
     )
 
 
@@ -112,8 +126,8 @@ def q05(t: Tables, region: str = "ASIA", date: str = "1994-01-01", end: str | No
         .join(supp, (col("l_suppkey") == col("s_suppkey")) & (col("c_nationkey") == col("s_nationkey")))
     )
     return (
-        j.groupBy("n_name").agg(F.sum(_revenue()).cast("double").alias("revenue"))
-        .orderBy(col("revenue").desc(), "n_name")
+        j.groupBy("n_name").agg(_rev_sum().alias("revenue"))
+        .transform(lambda d: sort_small(d, col("revenue").desc(), "n_name"))
     )
 
 
@@ -123,7 +137,7 @@ def q06(t: Tables, date: str = "1994-01-01", discount: float = 0.06, quantity: f
         (col("l_shipdate") >= ts_lit(date)) & (col("l_shipdate") < ts_lit(add_months_str(date, 12)))
         & col("l_discount").between(lo, hi) & (col("l_quantity") < quantity)
     )
-    return li.agg(F.sum(money("l_extendedprice") * rate("l_discount")).cast("double").alias("revenue"))
+    return li.agg(money_sum(units("l_extendedprice") * units("l_discount"), 4).alias("revenue"))
 
 
 def q07(t: Tables, nation1: str = "FRANCE", nation2: str = "GERMANY",
@@ -142,8 +156,8 @@ def q07(t: Tables, nation1: str = "FRANCE", nation2: str = "GERMANY",
     )
     return (
         j.groupBy("supp_nation", "cust_nation", F.year("l_shipdate").alias("l_year"))
-        .agg(F.sum(_revenue()).cast("double").alias("revenue"))
-        .orderBy("supp_nation", "cust_nation", "l_year")
+        .agg(_rev_sum().alias("revenue"))
+        .transform(lambda d: sort_small(d, "supp_nation", "cust_nation", "l_year"))
     )
 
 
@@ -164,10 +178,10 @@ def q08(t: Tables, nation: str = "BRAZIL", region: str = "AMERICA", part_type: s
     vol = _revenue()
     return (
         j.groupBy(F.year("o_orderdate").alias("o_year"))
-        .agg(F.sum(F.when(col("nation") == nation, vol).otherwise(F.lit(0))).cast("double").alias("_n"),
-             F.sum(vol).cast("double").alias("_all"))
+        .agg(money_sum(F.when(col("nation") == nation, vol).otherwise(F.lit(0).cast("bigint")), 4).alias("_n"),
+             money_sum(vol, 4).alias("_all"))
         .select("o_year", F.round(col("_n") / col("_all"), 2).alias("mkt_share"))
-        .orderBy("o_year")
+        .transform(lambda d: sort_small(d, "o_year"))
     )
 
 
@@ -181,11 +195,11 @@ def q09(t: Tables, name_pattern: str = "%green%") -> DataFrame:
         .join(supp, col("l_suppkey") == col("s_suppkey"))
         .join(t.orders.select("o_orderkey", "o_orderdate"), col("l_orderkey") == col("o_orderkey"))
     )
-    amount = _revenue() - money("ps_supplycost") * qty("l_quantity")
+    amount = _revenue() - units("ps_supplycost") * units("l_quantity")
     return (
         j.groupBy(col("n_name").alias("nation"), F.year("o_orderdate").alias("o_year"))
-        .agg(F.round(F.sum(amount), 2).cast("double").alias("sum_profit"))
-        .orderBy("nation", col("o_year").desc())
+        .agg(round_units(units_sum(amount), 4, 2).alias("sum_profit"))
+        .transform(lambda d: sort_small(d, "nation", col("o_year").desc()))
     )
 
 
@@ -195,7 +209,7 @@ def q10(t: Tables, date: str = "1993-10-01", months: int = 3, flag: str = "R") -
     # aggregate per customer before attaching the wide customer columns
     per_cust = (
         li.join(o.select("o_orderkey", "o_custkey"), col("l_orderkey") == col("o_orderkey"))
-        .groupBy("o_custkey").agg(F.round(F.sum(_revenue()), 2).cast("double").alias("revenue"))
+        .groupBy("o_custkey").agg(round_units(units_sum(_revenue()), 4, 2).alias("revenue"))
     )
     c = t.customer.join(_nations(t), col("c_nationkey") == col("n_nationkey"))
     return (
@@ -210,14 +224,16 @@ def q10(t: Tables, date: str = "1993-10-01", months: int = 3, flag: str = "R") -
 def q11(t: Tables, nation: str = "GERMANY", fraction: float = 0.0001) -> DataFrame:
     supp = t.supplier.join(_nations(t, names=[nation]), col("s_nationkey") == col("n_nationkey"), "left_semi")
     ps = t.partsupp.join(supp.select("s_suppkey"), col("ps_suppkey") == col("s_suppkey"), "left_semi")
-    stock = money("ps_supplycost") * col("ps_availqty")
-    per_part = ps.groupBy("ps_partkey").agg(F.sum(stock).alias("_v"))
-    # scalar threshold: a one-row aggregate, broadcast by construction
-    total = per_part.agg((F.sum("_v") * F.lit(Decimal(str(fraction)))).alias("_threshold"))
+    stock = units("ps_supplycost") * col("ps_availqty").cast("bigint")  # cents
+    per_part = ps.groupBy("ps_partkey").agg(units_sum(stock).alias("_v"))
+    num, den = Decimal(str(fraction)).as_integer_ratio()
+    # scalar threshold: a one-row aggregate, broadcast by construction;
+    # v > total * num / den compared exactly as v * den > total * num
+    total = per_part.agg(F.sum("_v").alias("_total"))
     return (
         per_part.crossJoin(F.broadcast(total))
-        .filter(col("_v") > col("_threshold"))
-        .select("ps_partkey", F.round("_v", 2).cast("double").alias("value"))
+        .filter(col("_v") * F.lit(den).cast("decimal(38,0)") > col("_total") * F.lit(num).cast("decimal(38,0)"))
+        .select("ps_partkey", units_to_double(col("_v"), 2).alias("value"))
         .orderBy(col("value").desc(), "ps_partkey")
     )
 
@@ -234,7 +250,7 @@ def q12(t: Tables, modes=("MAIL", "SHIP"), date: str = "1994-01-01") -> DataFram
         .groupBy("l_shipmode")
         .agg(F.sum(F.when(high, 1).otherwise(0)).cast("bigint").alias("high_line_count"),
              F.sum(F.when(~high, 1).otherwise(0)).cast("bigint").alias("low_line_count"))
-        .orderBy("l_shipmode")
+        .transform(lambda d: sort_small(d, "l_shipmode"))
     )
 
 
@@ -247,7 +263,7 @@ def q13(t: Tables, word1: str = "special", word2: str = "requests") -> DataFrame
     return (
         c.groupBy(F.coalesce(col("_n"), F.lit(0)).cast("bigint").alias("c_count"))
         .agg(F.count(F.lit(1)).alias("custdist"))
-        .orderBy(col("custdist").desc(), col("c_count").desc())
+        .transform(lambda d: sort_small(d, col("custdist").desc(), col("c_count").desc()))
     )
 
 
@@ -257,19 +273,19 @@ def q14(t: Tables, date: str = "1995-09-01") -> DataFrame:
     rev = _revenue()
     return j.agg(
         F.round(
-            F.lit(100.0) * F.sum(F.when(col("p_type").like("PROMO%"), rev).otherwise(F.lit(0))).cast("double")
-            / F.sum(rev).cast("double"), 2).alias("promo_revenue")
+            F.lit(100.0) * money_sum(F.when(col("p_type").like("PROMO%"), rev).otherwise(F.lit(0).cast("bigint")), 4)
+            / money_sum(rev, 4), 2).alias("promo_revenue")
     )
 
 
 def q15(t: Tables, date: str = "1996-01-01", months: int = 3) -> DataFrame:
     li = t.lineitem.filter((col("l_shipdate") >= ts_lit(date)) & (col("l_shipdate") < ts_lit(add_months_str(date, months))))
-    revenue = li.groupBy(col("l_suppkey").alias("supplier_no")).agg(F.sum(_revenue()).alias("total_revenue"))
+    revenue = li.groupBy(col("l_suppkey").alias("supplier_no")).agg(units_sum(_revenue()).alias("total_revenue"))
     top = revenue.agg(F.max("total_revenue").alias("_max"))
     best = revenue.join(F.broadcast(top), col("total_revenue") == col("_max"))  # exact: DECIMAL equality
     return (
         t.supplier.join(best, col("s_suppkey") == col("supplier_no"))
-        .select("s_suppkey", "s_name", "s_address", "s_phone", col("total_revenue").cast("double").alias("total_revenue"))
+        .select("s_suppkey", "s_name", "s_address", "s_phone", units_to_double(col("total_revenue"), 4).alias("total_revenue"))
         .orderBy("s_suppkey")
     )
 
@@ -296,7 +312,7 @@ def q17(t: Tables, brand: str = "Brand#23", container: str = "MED BOX", factor:
     # over the part equals the correlated subquery's average over all its lines
     w = Window.partitionBy("l_partkey")
     small = li.withColumn("_avg", F.avg("l_quantity").over(w)).filter(col("l_quantity") < F.lit(factor) * col("_avg"))
-    return small.agg(F.round(F.sum(money("l_extendedprice")).cast("double") / F.lit(7.0), 2).alias("avg_yearly"))
+    return small.agg(F.round(money_sum(units("l_extendedprice"), 2) / F.lit(7.0), 2).alias("avg_yearly"))
 
 
 def q18(t: Tables, quantity: float = 300) -> DataFrame:
@@ -333,7 +349,7 @@ def q19(t: Tables, branches=None, modes=("AIR", "AIR REG"), instruct: str = "DEL
         c = ((col("p_brand") == b["brand"]) & col("p_container").isin(list(b["containers"]))
              & col("l_quantity").between(*b["qty"]) & col("p_size").between(*b["size"]))
         cond = c if cond is None else (cond | c)
-    return j.filter(cond).agg(F.round(F.sum(_revenue()), 2).cast("double").alias("revenue"))
+    return j.filter(cond).agg(round_units(units_sum(_revenue()), 4, 2).alias("revenue"))
 
 
 def q20(t: Tables, name_prefix: str = "forest", date: str = "1994-01-01", nation: str = "CANADA",
@@ -388,7 +404,7 @@ def q22(t: Tables, codes=("13", "31", "23", "29", "30", "18", "17"), since: str
     c = t.customer.select("c_custkey", "c_acctbal", F.substring("c_phone", 1, 2).alias("cntrycode")).filter(
         col("cntrycode").isin(codes))
     avg_bal = c.filter(col("c_acctbal") > 0.0).agg(
-        (F.sum(money("c_acctbal")).cast("double") / F.count("c_acctbal")).alias("_avg"))
+        (money_sum(units("c_acctbal"), 2) / F.count("c_acctbal")).alias("_avg"))
     o = t.orders
     if since is not None:
         o = o.filter(col("o_orderdate") >= ts_lit(since))
@@ -396,8 +412,8 @@ def q22(t: Tables, codes=("13", "31", "23", "29", "30", "18", "17"), since: str
     idle = rich.join(o.select("o_custkey"), col("c_custkey") == col("o_custkey"), "left_anti")
     return (
         idle.groupBy("cntrycode")
-        .agg(F.count(F.lit(1)).alias("numcust"), F.sum(money("c_acctbal")).cast("double").alias("totacctbal"))
-        .orderBy("cntrycode")
+        .agg(F.count(F.lit(1)).alias("numcust"), money_sum(units("c_acctbal"), 2).alias("totacctbal"))
+        .transform(lambda d: sort_small(d, "cntrycode"))
     )
 
 

@@ -11,7 +11,7 @@ def _runner(name):
     params = tpch.FIXTURE_PARAMS[name]
 
     def run(spark, sf_dir):
-        return fn(Tables(spark, sf_dir), **params)
+        return fn(Tables.of(spark, sf_dir), **params)
 
     run.__name__ = name
     return run
