@@ -202,12 +202,18 @@ def register(reg) -> None:
         f"select {', '.join(cats)}, " + ", ".join(
             f"cast(dense_rank() over (order by {c}) - 1 as integer) as {c}_code" for c in cats) + " from tf", ctes))
 
+    model_cols = ["l_quantity", "l_discount", "l_tax", "l_partkey", "l_linenumber"]
+
+    def model_table(s, d):
+        # the fixtures' prices are random; the target is derived from the table
+        li = Tables.of(s, d).raw("lineitem")
+        return li.select("l_orderkey", *model_cols, (col("l_quantity") * (1 - col("l_discount"))).alias("net_qty"))
+
     def gbt(s, d):
         from sparklab.operators.relational import hash_split
-        e = Tables.of(s, d).embeddings
-        tr, te = hash_split(e, "vec_id", [0.8, 0.2], seed=42)
-        _, pred, rmse = train_gbt(tr, "embedding", "label", te)
+        tr, te = hash_split(model_table(s, d), ["l_orderkey", "l_linenumber", "l_partkey"], [0.8, 0.2], seed=42)
+        _, pred, rmse = train_gbt(tr, model_cols, "net_qty", te)
         return pred.select(F.round("prediction", 6).alias("prediction"), "label")
 
     reg.add("gbt_predictions", gbt, None)
-    reg.add("search_scores", lambda s, d: search(Tables.of(s, d).embeddings, "embedding", "label"), None)
+    reg.add("search_scores", lambda s, d: search(model_table(s, d), model_cols, "net_qty"), None)
