@@ -367,14 +367,17 @@ def register(reg) -> None:
 
     def nat(s, d):
         e = ev(s, d)
-        a = e.select("event_id", "user_id", col("value").alias("x"))
-        b = e.filter(col("event_type") != "error").select("event_id", "user_id", (col("value") * 2).alias("y"))
-        return mean_row_sum(natural_join(a, b), "x", "y").withColumn("mean_xy", F.round("mean_xy", 6))
+        a = e.select("event_id", "user_id", col("value").alias("x"), (col("user_id") / 4.0).alias("y"))
+        b = e.filter(col("event_type") != "error").select("event_id", "user_id", (col("value") * 2).alias("z"))
+        before = mean_row_sum(a, "x", "y", name="mean_before")
+        after = mean_row_sum(natural_join(a, b), "x", "y", name="mean_after")
+        return before.crossJoin(after).select(F.round("mean_before", 6).alias("mean_before"),
+                                              F.round("mean_after", 6).alias("mean_after"))
 
     reg.add("natural_join", nat,
-            """select round(avg(x + y), 6) as mean_xy from
-               (select event_id, user_id, value as x from events) a
-               natural join (select event_id, user_id, value * 2 as y from events where event_type <> 'error') b""")
+            """with a as (select event_id, user_id, value as x, user_id / 4.0 as y from events)
+               select round((select avg(x + y) from a), 6) as mean_before, round(avg(x + y), 6) as mean_after from a
+               natural join (select event_id, user_id, value * 2 as z from events where event_type <> 'error') b""")
 
     def align(lo_a, hi_a, lo_b, hi_b):
         def run(s, d):
@@ -436,3 +439,116 @@ def register(reg) -> None:
             """select l_orderkey, cast(cast(l_extendedprice as decimal(12,2)) as double) as price,
                  cast(cast(l_shipdate as date) as timestamp) as ship from lineitem""")
     _ = with_duckdb_ctes
+    register_more(reg)
+
+
+# ------------------------------------------------------------- area filter
+def _edges(rings):
+    out = []
+    for ring in rings:
+        pts = [tuple(map(float, p)) for p in ring]
+        if pts[0] != pts[-1]:
+            pts.append(pts[0])
+        out.extend((x1, y1, x2, y2) for (x1, y1), (x2, y2) in zip(pts[:-1], pts[1:]) if y1 != y2)
+    return out
+
+
+def point_in_polygon(lon: Column, lat: Column, rings) -> Column:
+    """Even-odd rule over all rings (outer rings and holes alike), as one
+    higher-order ``aggregate`` over the polygon's edges (an array literal
+    whose size is the polygon's, independent of the data)."""
+    edges = F.array(*[F.struct(F.lit(x1).alias("x1"), F.lit(y1).alias("y1"), F.lit(x2).alias("x2"), F.lit(y2).alias("y2"))
+                      for x1, y1, x2, y2 in _edges(rings)])
+
+    def step(acc, e):
+        crosses = ((e["y1"] > lat) != (e["y2"] > lat)) & (
+            lon < (e["x2"] - e["x1"]) * (lat - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
+        return acc + F.when(crosses, 1).otherwise(0)
+
+    return F.aggregate(edges, F.lit(0), step) % 2 == 1
+
+
+def filter_area(items: DataFrame, rings, lon: str = "lon", lat: str = "lat", time: str | None = None,
+                period: tuple | None = None) -> DataFrame:
+    """Items inside an area of interest and a period (P10). A bounding-box
+    and period predicate comes first (pushed into the scan), then the exact
+    point-in-polygon test on the survivors."""
+    from sparklab.functions.dates import ts_lit
+
+    xs = [float(p[0]) for r in rings for p in r]
+    ys = [float(p[1]) for r in rings for p in r]
+    cond = col(lon).between(min(xs), max(xs)) & col(lat).between(min(ys), max(ys))
+    if period is not None:
+        cond = cond & col(time).between(ts_lit(period[0]), ts_lit(period[1]))
+    return items.filter(cond).filter(point_in_polygon(col(lon), col(lat), rings))
+
+
+def point_in_polygon_sql(lon: str, lat: str, rings) -> str:
+    def d(v):
+        return f"cast('{v!r}' as double)"
+    terms = [f"(case when (({d(y1)} > {lat}) <> ({d(y2)} > {lat})) and {lon} < ({d(x2)} - {d(x1)}) * ({lat} - {d(y1)}) "
+             f"/ ({d(y2)} - {d(y1)}) + {d(x1)} then 1 else 0 end)" for x1, y1, x2, y2 in _edges(rings)]
+    return "((" + " + ".join(terms) + ") % 2 = 1)"
+
+
+# ------------------------------------------------------ library comparison
+def compare_libraries(df: DataFrame, reference: str, on, library: str = "library", value: str = "duration",
+                      scale: int | None = 2) -> DataFrame:
+    """Mean ``value`` per (library, keys), and for every other library its
+    ratio to the reference library on the same keys minus one (J12, R4): a
+    full outer join, so keys the reference lacks (or a library lacks) stay,
+    with NULL ratios. Rows: ``(library, keys..., value, relative_diff)``."""
+    on = [on] if isinstance(on, str) else list(on)
+    v = col(value) if scale is None else col(value).cast(f"decimal(18,{scale})")
+    means = df.groupBy(library, *on).agg((F.sum(v).cast("double") / F.count(v)).alias(value))
+    ref = means.filter(col(library) == reference).select(*on, col(value).alias("_ref"))
+    others = means.filter(col(library) != reference).withColumnRenamed(library, "_lib")
+    merged = others.join(ref, on, "full_outer")
+    libs = means.select(col(library).alias("_l")).distinct().filter(col("_l") != reference)
+    # keys only the reference has: one row per other library, like a per-library outer merge
+    missing = (merged.filter(col("_lib").isNull()).drop("_lib").crossJoin(F.broadcast(libs))  # library names: bounded
+               .withColumnRenamed("_l", "_lib"))
+    merged = merged.filter(col("_lib").isNotNull()).unionByName(missing)
+    out = merged.select(col("_lib").alias(library), *on, col(value),
+                        (F.try_divide(col(value), col("_ref")) - 1).alias("relative_diff"))
+    base = means.filter(col(library) == reference).withColumn("relative_diff", F.lit(None).cast("double"))
+    return base.unionByName(out)
+
+
+def register_more(reg) -> None:
+    from sparklab.operators.runs import RUNS_CTE, derive_runs
+    from sparklab.plans.tpch_sql import with_duckdb_ctes
+    from sparklab.tables import Tables
+
+    aoi = [[(5.9, 47.3), (10.5, 47.5), (13.8, 48.8), (14.9, 51.0), (14.2, 53.9), (8.6, 54.9), (6.0, 53.5),
+            (5.9, 50.8), (5.9, 47.3)]]
+
+    def items(s, d):
+        o = Tables.of(s, d).orders
+        return o.select("o_orderkey", col("o_orderdate").alias("time"),
+                        ((col("o_custkey") % 200) / 10.0).alias("lon"), (40 + (col("o_orderkey") % 200) / 10.0).alias("lat"))
+
+    reg.add("filter_area", lambda s, d: filter_area(items(s, d), aoi, time="time", period=("1996-01-01", "1998-12-31")),
+            f"""select * from (select o_orderkey, o_orderdate as time, cast(o_custkey % 200 as double) / 10.0 as lon,
+                   40 + cast(o_orderkey % 200 as double) / 10.0 as lat from orders)
+                where lon between 5.9 and 14.9 and lat between 47.3 and 54.9
+                  and time between timestamp '1996-01-01' and timestamp '1998-12-31'
+                  and {point_in_polygon_sql('lon', 'lat', aoi)}""")
+    reg.add("compare_libraries",
+            lambda s, d: compare_libraries(derive_runs(Tables.of(s, d).events).filter(col("call_outcome") == "passed")
+                                           .filter(~((col("library") == "dask") & (col("query") == 3))),
+                                           "dask", "query"),
+            with_duckdb_ctes("""
+with m as (select library, query, cast(sum(cast(duration as decimal(18,2))) as double) / count(duration) as duration
+           from runs where call_outcome = 'passed' and not (library = 'dask' and query = 3) group by 1, 2),
+ref as (select query, duration as ref from m where library = 'dask'),
+libs as (select distinct library from m where library <> 'dask')
+select library, query, duration, cast(null as double) as relative_diff from m where library = 'dask'
+union all
+select l.library, coalesce(o.query, r.query) as query, o.duration, o.duration / r.ref - 1 as relative_diff
+from libs l join (select * from m where library <> 'dask') o on o.library = l.library
+full outer join ref r on o.query = r.query and l.library = o.library
+where l.library is not null
+union all
+select l.library, r.query, cast(null as double), cast(null as double) from ref r cross join libs l
+where not exists (select 1 from m o where o.library = l.library and o.query = r.query)""", {"runs": RUNS_CTE}))

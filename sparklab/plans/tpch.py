@@ -308,10 +308,10 @@ def q16(t: Tables, brand: str = "Brand#45", type_prefix: str = "MEDIUM POLISHED"
 def q17(t: Tables, brand: str = "Brand#23", container: str = "MED BOX", factor: float = 0.2) -> DataFrame:
     parts = t.part.filter((col("p_brand") == brand) & (col("p_container") == container)).select("p_partkey")
     li = t.lineitem.join(parts, col("l_partkey") == col("p_partkey"), "left_semi")
-    # every line of a chosen part survives the semi join, so a window average
-    # over the part equals the correlated subquery's average over all its lines
-    w = Window.partitionBy("l_partkey")
-    small = li.withColumn("_avg", F.avg("l_quantity").over(w)).filter(col("l_quantity") < F.lit(factor) * col("_avg"))
+    # average per chosen part as a partial aggregate (one row per part), joined
+    # back: no window, so a hot part is neither sorted nor held by one task
+    avg_q = li.groupBy(col("l_partkey").alias("_pk")).agg(F.avg("l_quantity").alias("_avg"))
+    small = li.join(avg_q, col("l_partkey") == col("_pk")).filter(col("l_quantity") < F.lit(factor) * col("_avg"))
     return small.agg(F.round(money_sum(units("l_extendedprice"), 2) / F.lit(7.0), 2).alias("avg_yearly"))
 
 

@@ -138,3 +138,20 @@ def test_window_group_limit_in_plan(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("id6"), F.col("id").cast("double").alias("v3"))
     plan = h2o.h2o_q8(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+
+
+def test_point_in_polygon_with_hole(spark):
+    outer = [(0, 0), (10, 0), (10, 10), (0, 10)]
+    hole = [(3, 3), (7, 3), (7, 7), (3, 7)]
+    pts = [(1.0, 1.0), (5.0, 5.0), (9.0, 5.0), (11.0, 5.0), (5.0, -1.0), (2.0, 8.0)]
+    df = spark.createDataFrame(pts, "lon double, lat double")
+    got = sorted((r.lon, r.lat) for r in R.filter_area(df, [outer, hole]).collect())
+    assert got == [(1.0, 1.0), (2.0, 8.0), (9.0, 5.0)]
+
+
+def test_compare_libraries_outer(spark):
+    df = spark.createDataFrame([("dask", 1, 2.0), ("dask", 2, 4.0), ("polars", 1, 1.0), ("polars", 3, 5.0)],
+                               "library string, query int, duration double")
+    out = {(r.library, r.query): r.relative_diff for r in R.compare_libraries(df, "dask", "query").collect()}
+    assert out[("polars", 1)] == -0.5 and out[("polars", 2)] is None and out[("polars", 3)] is None
+    assert out[("dask", 1)] is None and len(out) == 5
