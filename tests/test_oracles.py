@@ -34,4 +34,4 @@ def test_every_query_has_callable_and_most_have_oracles():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     missing = sorted(set(qs) - set(sql))
-    assert set(missing) <= {"ab_confidence", "ols", "gbt_predictions", "search_scores"} - {"ab_confidence"}, missing
+    assert set(missing) <= {"ols", "gbt_predictions", "search_scores"}, missing
