@@ -184,7 +184,7 @@ def grid_files(spark, sf_dir):
 def warehouse_roundtrip(spark, sf_dir):
     table = f"runs_{uuid.uuid4().hex[:12]}"
     e = Tables.of(spark, sf_dir).events.select("event_id", "event_type", "value")
-    sinks.write_warehouse(e, table, target_bytes=1 << 20)
+    sinks.write_warehouse(e, table, target_bytes=64 << 20)
     q = f"select event_type, count(*) as n, avg(cast(value > 100 as int)) as share from {table} group by event_type"
     return sources.read_query(spark, q)
 

@@ -414,7 +414,7 @@ def register(reg) -> None:
             """select doc_id, lang, source, n_chars from (select *, row_number() over
                  (partition by text order by doc_id) as rn from documents) where rn = 1""")
     reg.add("repartition_to_size",
-            lambda s, d: repartition_to_size(ev(s, d), 1 << 20).select("event_id", "user_id", "event_type"),
+            lambda s, d: repartition_to_size(ev(s, d), 64 << 20).select("event_id", "user_id", "event_type"),
             "select event_id, user_id, event_type from events")
     reg.add("hash_split",
             lambda s, d: split_label(ev(s, d), "event_id", [0.8, 0.2], seed=42).groupBy("split").agg(
