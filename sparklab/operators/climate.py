@@ -280,7 +280,7 @@ w(k, w) as (values {wrows}),
 contrib as (select f.latitude, f.longitude, f.hour, ((f.doy - 1 - w.k) % (select L from L) + (select L from L)) % (select L from L) + 1 as dayofyear,
                    w.w * f.v as wv, case when f.v is null then 0 else w.w end as ww
             from filled f cross join w)
-select hour, dayofyear, latitude, longitude,
+select cast(hour as integer) as hour, cast(dayofyear as integer) as dayofyear, latitude, longitude,
        round(case when sum(ww) > 1e-9 then sum(wv) / sum(ww) end, 6) as value
 from contrib group by hour, dayofyear, latitude, longitude"""))
 
@@ -301,7 +301,7 @@ w(k, w) as (values {wrows}),
 contrib as (select f.latitude, f.longitude, f.hour, ((f.doy - 1 - w.k) % (select L from L) + (select L from L)) % (select L from L) + 1 as dayofyear,
                    w.w * f.fv as wv, case when f.fv is null then 0 else w.w end as ww
             from filled f cross join w)
-select hour, dayofyear, latitude, longitude,
+select cast(hour as integer) as hour, cast(dayofyear as integer) as dayofyear, latitude, longitude,
        round(case when sum(ww) > 1e-9 then sum(wv) / sum(ww) end, 6) as value
 from contrib group by hour, dayofyear, latitude, longitude"""))
 
@@ -330,7 +330,7 @@ select date_trunc('day', time) as time, level, latitude, {fm('U')} as U, {fm('V'
        {fm('uv')} as uv, {fm('vt')} as vt, {fm('uw')} as uw from h group by 1, 2, 3"""))
     reg.add("group_mean_month", lambda s, d: group_mean(sg(s, d), "month", ["latitude", "longitude"]).withColumn(
         "value", F.round("value", 6)), sql("""
-select month(time) as month, latitude, longitude, round(avg(value), 6) as value from sg group by 1, 2, 3"""))
+select cast(month(time) as integer) as month, latitude, longitude, round(avg(value), 6) as value from sg group by 1, 2, 3"""))
     reg.add("anomaly_mean", lambda s, d: anomaly_mean(sg(s, d), "dayofmonth", ["latitude", "longitude"]), sql("""
 select latitude, longitude, round(sum(s - n * (s / n)) / sum(n), 6) + 0.0 as anomaly_mean from
   (select latitude, longitude, dayofmonth(time) as g, sum(value) as s, count(value) as n from sg group by 1, 2, 3)
@@ -353,7 +353,7 @@ m as (select date_trunc('day', time) as day, y, x, arg_min(B08, time) as b08, ar
       from sc group by 1, 2, 3),
 h as (select day, case when day > timestamp '1998-06-15' then greatest(b08, 1000.0) - 1000 else b08 end as b8,
              case when day > timestamp '1998-06-15' then greatest(b11, 1000.0) - 1000 else b11 end as b11h from m)
-select month(day) as month, round(avg(case when b8 + b11h = 0 then null else (b8 - b11h) / (b8 + b11h) end), 6) as moisture
+select cast(month(day) as integer) as month, round(avg(case when b8 + b11h = 0 then null else (b8 - b11h) / (b8 + b11h) end), 6) as moisture
 from h group by 1"""))
 
     def zonal(s, d):
@@ -381,9 +381,9 @@ select time, region, round(avg(value), 4) as value from grid join r using (y, x)
         return regrid(src, wts).withColumn("value", F.round("value", 6))
 
     reg.add("regrid", regridded, sql("""
-with src as (select year(l_shipdate) as time, cast(l_partkey % 12 as integer) as src_i,
+with src as (select cast(year(l_shipdate) as integer) as time, cast(l_partkey % 12 as integer) as src_i,
                     cast(l_suppkey % 24 as integer) as src_j, avg(l_quantity) as value from lineitem group by 1, 2, 3),
-d as (select i as dst_i, j as dst_j, -75.0 + i * 30.0 as lat, j * 30.0 as lon from range(6) t(i), range(12) u(j)),
+d as (select cast(i as integer) as dst_i, cast(j as integer) as dst_j, -75.0 + i * 30.0 as lat, j * 30.0 as lon from range(6) t(i), range(12) u(j)),
 d2 as (select *, (lat - (-82.5)) / 15.0 as fi, lon / 15.0 as fj from d),
 d3 as (select *, cast(floor(fi) as integer) as i0, cast(floor(fj) as integer) as j0 from d2),
 d4 as (select *, fi - i0 as ty, fj - j0 as tx from d3),

@@ -160,8 +160,8 @@ def _zones(t):
 
 
 TRIPS_SQL = """trips as (select event_type as hvfhs_license_num, cast(user_id % 25 as integer) as PULocationID,
-    cast(event_id % 25 as integer) as DOLocationID, value / 10 as trip_miles, value as trip_time, 0.0 as tolls,
-    case when event_id % 37 = 0 then null else 2.75 end as congestion_surcharge,
+    cast(event_id % 25 as integer) as DOLocationID, value / 10 as trip_miles, value as trip_time, cast(0.0 as double) as tolls,
+    case when event_id % 37 = 0 then null else cast(2.75 as double) end as congestion_surcharge,
     case when event_id % 3 = 0 then 'None' else cast(event_id % 5 as varchar) end as airport_fee,
     case when event_id % 2 = 0 then 'Y' else 'N' end as wav_request_flag,
     case when event_id % 4 = 0 then null else ts end as on_scene_datetime, ts as pickup_datetime from events)"""

@@ -259,7 +259,7 @@ def register(reg) -> None:
     ths = [0.05, 0.1, 0.2, 0.3]
     reg.add("filtered_mean", lambda s, d: filtered_mean(g(s, d), ths, fixed=True),
             sql(" union all ".join(
-                f"select {t} as threshold, {fixed_sum_sql('case when value > ' + str(t) + ' then value end')} / "
+                f"select cast({t} as double) as threshold, {fixed_sum_sql('case when value > ' + str(t) + ' then value end')} / "
                 f"count(case when value > {t} then value end) as mean, count(case when value > {t} then value end) as n from eg"
                 for t in ths)))
     reg.add("grid_slice", lambda s, d: grid_slice(g(s, d), {"i": (0, 75), "j": (0, 75)}),

@@ -12,22 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparklab.functions.exact import money_sum, units
 from sparklab.tables import Tables
 
 col = F.col
 
 
 def _mean(c: str, scale: int | None):
-    """Mean; with ``scale`` the values are summed exactly as decimal(18,scale)."""
+    """Mean; with ``scale`` the values (which have ``scale`` decimals) are
+    summed exactly in integer units (see ``functions.exact``)."""
     if scale is None:
         return F.avg(c)
-    return F.sum(col(c).cast(f"decimal(18,{scale})")).cast("double") / F.count(c)
+    return money_sum(units(c, scale), scale) / F.count(c)
 
 
 def _sum(c: str, scale: int | None):
     if scale is None:
         return F.sum(c)
-    return F.sum(col(c).cast(f"decimal(18,{scale})")).cast("double")
+    return money_sum(units(c, scale), scale)
 
 
 def h2o_q1(df: DataFrame) -> DataFrame:

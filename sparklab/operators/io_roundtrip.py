@@ -199,7 +199,7 @@ def register(reg) -> None:
     from sparklab.plans.tpch_sql import with_duckdb_ctes
 
     reg.add("parquet_roundtrip", parquet_roundtrip, """
-select l_returnflag, sum(l_quantity) as sum_qty, count(*) as n, sum(l_orderkey) as sum_orderkey
+select l_returnflag, sum(l_quantity) as sum_qty, count(*) as n, cast(sum(l_orderkey) as bigint) as sum_orderkey
 from lineitem group by l_returnflag""")
     reg.add("sized_write", sized_roundtrip, "select count(*) as n, sum(l_quantity) as sum_qty from lineitem")
     reg.add("hive_first", hive_first, """
@@ -214,11 +214,12 @@ select cast(user_id % 6 as integer) as passenger_count,
 select event_type, count(*) as n, cast(sum(cast(value as decimal(18,2))) as double) as sum_value
 from events where event_id % 29 <> 0 group by event_type""")
     reg.add("zip_trips", zip_trips, """
-select value > 100 as is_member, count(*) as n, sum(user_id % 40) as sum_start, sum(event_id % 57) as sum_end
+select value > 100 as is_member, count(*) as n, cast(sum(user_id % 40) as bigint) as sum_start,
+       cast(sum(event_id % 57) as bigint) as sum_end
 from events where event_id % 23 <> 0 group by 1""")
     reg.add("archive_share", archive_share,
             with_duckdb_ctes("select date, n, share from shares", {"members": MEMBERS_SQL, "shares": SHARE_SQL}))
-    reg.add("file_bytes", file_bytes_total, "select sum(strlen(html) + 1) as total_bytes from pages")
+    reg.add("file_bytes", file_bytes_total, "select cast(sum(strlen(html) + 1) as bigint) as total_bytes from pages")
     reg.add("grid_roundtrip", grid_roundtrip, with_duckdb_ctes("""
 select latitude, longitude, count(*) as n, sum(value) as total from sg
 where time between timestamp '1996-01-01' and timestamp '1997-12-31' group by 1, 2""", {"sg": _ship_sql()}))

@@ -333,7 +333,7 @@ def register(reg) -> None:
             "select event_type, value > 100 as tipped, count(*) as n from events group by 1, 2")
     reg.add("mean_by",
             lambda s, d: mean_by(ev(s, d).withColumn("hour", F.hour("ts")), "hour", "value", scale=2),
-            """select hour(ts) as hour, cast(sum(cast(value as decimal(18,2))) as double) / count(value) as mean_value
+            """select cast(hour(ts) as integer) as hour, cast(sum(cast(value as decimal(18,2))) as double) / count(value) as mean_value
                from events group by 1""")
     reg.add("tip_analysis",
             lambda s, d: tip_analysis(ev(s, d), "event_type", "value",
