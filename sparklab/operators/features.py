@@ -62,13 +62,15 @@ def trip_features(trips: DataFrame, zones: DataFrame, exact_quantile: bool = Fal
 def categorize(df: DataFrame, cols, suffix: str = "_code") -> DataFrame:
     """Global dictionary codes per column (F4): code = rank of the value
     among the column's sorted distinct values (numbers numerically, strings
-    alphabetically), 0-based. The dictionary is the distinct set (bounded by
-    the category count) and is joined back after a size check."""
+    alphabetically), 0-based. The distinct values are numbered by a
+    range-partitioned sort (:func:`relational.number_rows`) and the
+    dictionary is joined back, broadcast after a size check."""
+    from sparklab.operators.relational import number_rows
+
     out = df
     for c in cols:
         dist = df.select(c).distinct().filter(col(c).isNotNull())
-        codes = dist.select(c, (F.dense_rank().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(c)) - 1)
-                            .cast("int").alias(c + suffix))
+        codes = number_rows(dist, c, name=c + suffix, start=0).withColumn(c + suffix, col(c + suffix).cast("int"))
         out = join_small(out, codes, c, how="left")
     return out
 

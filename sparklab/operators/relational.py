@@ -170,6 +170,33 @@ def top_n_per_group(df: DataFrame, keys, order: list[Column], n: int) -> DataFra
     return df.withColumn("_rn", F.row_number().over(w)).filter(col("_rn") <= n).drop("_rn")
 
 
+def number_rows(df: DataFrame, order, name: str = "row_id", start: int = 1, partitions: int | None = None) -> DataFrame:
+    """Consecutive numbers ``start, start+1, ...`` in ``order`` without
+    moving the rows to one partition: a range-partitioned sort, the position
+    inside each partition from ``monotonically_increasing_id`` (partition id
+    in the upper bits, position in the lower 33), and each partition's offset
+    from the row counts per partition (one row per partition, joined by
+    broadcast). The sorted rows are checkpointed once so both see the same
+    partitions. ``order`` should be a total order for repeatable numbers."""
+    order = [order] if isinstance(order, str) else list(order)
+    spark = df.sparkSession
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    from sparklab.session import cut_lineage
+
+    # materialised once (reliable checkpoint in spark.checkpoint.dir): the
+    # counts and the numbering must see the same partitions, and range bounds
+    # from sampling are not guaranteed equal across two executions
+    ordered = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns(
+        {"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
+    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))  # one row per partition
+    pos = col("_mid") - F.shiftleft(col("_pid").cast("long"), 33)
+    return (ordered.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, col("_off") + pos + F.lit(start))
+            .drop("_pid", "_mid", "_off"))
+
+
 def dedup(df: DataFrame, keys, order) -> DataFrame:
     """Keep the first row per key under ``order`` (O5), globally (not per
     input partition); a partial aggregate, like :func:`first_per_group`."""

@@ -257,19 +257,17 @@ def retain(runs: DataFrame, now: str, days: int = 90) -> DataFrame:
 
 def merge_runs(*dfs: DataFrame, order=("start", "id")) -> DataFrame:
     """Union run tables and give them fresh consecutive ids (R8), in the
-    order (source, start, id). A range-partitioned sort and ``zipWithIndex``
+    order (source, start, id); see :func:`relational.number_rows`.
     number rows without moving them to one partition."""
     tagged = None
     for i, df in enumerate(dfs):
         t = df.withColumn("_src", F.lit(i))
         tagged = t if tagged is None else tagged.unionByName(t, allowMissingColumns=True)
-    ordered = tagged.orderBy("_src", *order)
-    schema = ordered.drop("id", "_src").schema
-    cols = [f.name for f in schema.fields]
-    spark = ordered.sparkSession
-    rdd = ordered.select(*cols).rdd.zipWithIndex().map(lambda ri: (ri[1] + 1, *ri[0]))
-    from pyspark.sql.types import LongType, StructField, StructType
-    return spark.createDataFrame(rdd, StructType([StructField("id", LongType(), False), *schema.fields]))
+    from sparklab.operators.relational import number_rows
+
+    cols = [c for c in tagged.columns if c not in ("id", "_src")]
+    numbered = number_rows(tagged, ["_src", *order], name="id")
+    return numbered.select(col("id").cast("long").alias("id"), *cols)
 
 
 def apply_rules(df: DataFrame, rules: list[dict]) -> DataFrame:

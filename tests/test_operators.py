@@ -155,3 +155,11 @@ def test_compare_libraries_outer(spark):
     out = {(r.library, r.query): r.relative_diff for r in R.compare_libraries(df, "dask", "query").collect()}
     assert out[("polars", 1)] == -0.5 and out[("polars", 2)] is None and out[("polars", 3)] is None
     assert out[("dask", 1)] is None and len(out) == 5
+
+
+def test_number_rows_consecutive_over_union(spark):
+    a = spark.range(0, 3000, 3).withColumn("src", F.lit(0))
+    b = spark.range(1, 3000, 2).withColumn("src", F.lit(1))
+    out = R.number_rows(a.unionByName(b), ["src", "id"], name="n", partitions=7).toPandas()
+    out = out.sort_values(["src", "id"]).reset_index(drop=True)
+    assert list(out.n) == list(range(1, len(out) + 1))
