@@ -257,8 +257,8 @@ def retain(runs: DataFrame, now: str, days: int = 90) -> DataFrame:
 
 def merge_runs(*dfs: DataFrame, order=("start", "id")) -> DataFrame:
     """Union run tables and give them fresh consecutive ids (R8), in the
-    order (source, start, id); see :func:`relational.number_rows`.
-    number rows without moving them to one partition."""
+    order (source, start, id), numbered by :func:`relational.number_rows`
+    without moving the rows to one partition."""
     tagged = None
     for i, df in enumerate(dfs):
         t = df.withColumn("_src", F.lit(i))
