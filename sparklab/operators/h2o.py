@@ -55,14 +55,20 @@ def h2o_q5(df: DataFrame, scale: int | None = None) -> DataFrame:
 
 
 def h2o_q6(df: DataFrame, approx: bool = False, digits: int | None = None) -> DataFrame:
-    """Median and sample std of v3 per (id4, id5). Exact median keeps a group's
-    values in the aggregation buffer; ``approx=True`` switches to the bounded
-    percentile sketch for very large groups."""
-    med = F.percentile_approx("v3", 0.5, 10000) if approx else F.median("v3")
+    """Median and sample std of v3 per (id4, id5). The exact median is a
+    rank selection over a range-partitioned sort (a hot group spans many
+    tasks); ``approx=True`` uses the ``percentile_approx`` sketch instead.
+    The std is a partial aggregate."""
+    from sparklab.operators.relational import _null_safe_join, exact_quantile
+
     std = F.stddev_samp("v3")
     if digits is not None:
         std = F.round(std, digits)
-    return df.groupBy("id4", "id5").agg(med.alias("median_v3"), std.alias("sd_v3"))
+    if approx:
+        return df.groupBy("id4", "id5").agg(F.percentile_approx("v3", 0.5, 10000).alias("median_v3"), std.alias("sd_v3"))
+    sd = df.groupBy("id4", "id5").agg(std.alias("sd_v3"))
+    med = exact_quantile(df, ["id4", "id5"], "v3", 0.5, name="median_v3")
+    return _null_safe_join(sd, med, ["id4", "id5"], "left").select("id4", "id5", "median_v3", "sd_v3")
 
 
 def h2o_q7(df: DataFrame) -> DataFrame:

@@ -197,6 +197,65 @@ def number_rows(df: DataFrame, order, name: str = "row_id", start: int = 1, part
             .drop("_pid", "_mid", "_off"))
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    r = right.select(*[col(k).alias("_r_" + k) for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r["_r_" + k])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*["_r_" + k for k in keys])
+
+
+def rank_within_groups(df: DataFrame, keys, order, name: str = "_pos", partitions: int | None = None) -> DataFrame:
+    """0-based position of every row inside its group under ``order`` (a
+    ``row_number() - 1``) without holding any group in one task.
+
+    Rows are range-partitioned on (keys, order), so a hot group spans many
+    partitions; inside a partition a group's rows are contiguous and their
+    position comes from ``monotonically_increasing_id``. Offsets come from the
+    row counts per (group, partition) - one row per partition a group
+    touches - with a running sum per group. The sorted rows are checkpointed
+    once so counts and positions see the same partitions.
+    """
+    from sparklab.session import cut_lineage
+
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [order] if isinstance(order, str) else list(order)
+    spark = df.sparkSession
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    sort_cols = keys + order
+    ordered = cut_lineage(df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols).withColumns(
+        {"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
+    counts = ordered.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_first"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_pid", "_first", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    j = _null_safe_join(ordered, offsets, keys + ["_pid"])
+    return j.withColumn(name, col("_off") + col("_mid") - col("_first")).drop("_pid", "_mid", "_first", "_off")
+
+
+def exact_quantile(df: DataFrame, keys, value: str, q: float = 0.5, name: str | None = None) -> DataFrame:
+    """Exact, interpolated quantile of ``value`` per group (``percentile`` /
+    ``quantile_cont``), computed by rank selection over
+    :func:`rank_within_groups`: no group's values are held by one task.
+    Position (n - 1) * q; between ranks lo and hi the value is
+    (hi - pos) * v_lo + (pos - lo) * v_hi."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    name = name or f"q_{value}"
+    d = df.filter(col(value).isNotNull()).select(*keys, col(value).cast("double").alias("_v"))
+    sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else d.agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.withColumn("_p", (col("_n") - 1).cast("double") * F.lit(float(q)))
+    sizes = sizes.withColumns({"_lo": F.floor("_p"), "_hi": F.ceil("_p")})
+    ranked = rank_within_groups(d, keys, ["_v"]) if keys else number_rows(d, ["_v"], name="_pos", start=0)
+    picked = (_null_safe_join(ranked, sizes, keys) if keys else ranked.crossJoin(F.broadcast(sizes)))  # one-row sizes
+    picked = picked.filter((col("_pos") == col("_lo")) | (col("_pos") == col("_hi")))
+    g = picked.groupBy(*keys, "_p", "_lo", "_hi").agg(
+        F.max(F.when(col("_pos") == col("_lo"), col("_v"))).alias("_vl"),
+        F.max(F.when(col("_pos") == col("_hi"), col("_v"))).alias("_vh"))
+    val = F.when((col("_hi") == col("_lo")) | (col("_vl") == col("_vh")), col("_vl")).otherwise(
+        (col("_hi") - col("_p")) * col("_vl") + (col("_p") - col("_lo")) * col("_vh"))
+    return g.select(*keys, val.alias(name))
+
+
 def dedup(df: DataFrame, keys, order) -> DataFrame:
     """Keep the first row per key under ``order`` (O5), globally (not per
     input partition); a partial aggregate, like :func:`first_per_group`."""
@@ -259,13 +318,15 @@ def remove_outliers(df: DataFrame, column: str, lower: float = 0.0, q: float = 0
                     exact: bool = False, accuracy: int = 100000) -> DataFrame:
     """Keep ``lower <= x <= Q3 + factor * (Q3 - lower)``.
 
-    The quantile is one global aggregate joined back as a one-row scalar.
-    ``exact=True`` uses ``percentile`` (a value->count map merged in one task:
-    fine for bounded distinct values such as whole seconds); the default is the
-    bounded-memory ``percentile_approx`` sketch.
+    The quantile is one global value joined back as a one-row scalar.
+    ``exact=True`` selects it by rank (:func:`exact_quantile`, a distributed
+    sort; no task holds the column); the default is the bounded-memory
+    ``percentile_approx`` sketch.
     """
-    quant = F.percentile(col(column), q) if exact else F.percentile_approx(col(column), q, accuracy)
-    bound = df.agg(quant.cast("double").alias("_q"))
+    if exact:
+        bound = exact_quantile(df, [], column, q, name="_q")
+    else:
+        bound = df.agg(F.percentile_approx(col(column), q, accuracy).cast("double").alias("_q"))
     upper = col("_q") + F.lit(factor) * (col("_q") - F.lit(lower))
     return (df.crossJoin(F.broadcast(bound))
             .filter((col(column) >= F.lit(lower)) & (col(column) <= upper)).drop("_q"))

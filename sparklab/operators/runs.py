@@ -153,12 +153,14 @@ def ab_confidence(runs: DataFrame, metric: str, a: str, b: str, reps: int = 1000
     by = list(by)
     g = by + [runtime_col]
     d = runs.filter(col(runtime_col).isin(a, b) & col(metric).isNotNull())
-    w = Window.partitionBy(*g).orderBy("start", "id")
     # groups are keyed by a 64-bit hash in the fan-out stages (cheap to shuffle
-    # and hash-aggregate); names are joined back once per group at the end
-    numbered = (d.select(*g, "id", "start", col(metric).alias("_v"))
-                .withColumn("_pos", F.row_number().over(w) - 1)
-                .withColumn("_gid", F.xxhash64(*g)))
+    # and hash-aggregate); names are joined back once per group at the end.
+    # Runs are numbered per group by a range-partitioned sort, so a test with
+    # a third of all runs is not numbered by one task.
+    from sparklab.operators.relational import rank_within_groups
+
+    numbered = rank_within_groups(d.select(*g, "id", "start", col(metric).alias("_v")), g, ["start", "id"])
+    numbered = numbered.withColumn("_gid", F.xxhash64(*g))
     sizes = numbered.groupBy("_gid").agg(F.count(F.lit(1)).alias("_n"))
     names = numbered.select("_gid", *g).distinct()
     spark = numbered.sparkSession
@@ -238,9 +240,8 @@ def axis_bounds(runs: DataFrame, by, metric: str = "duration", days: int = 30) -
     """y-range per test: max(mean + 3 std, 1.05 max), min(mean - 3 std, 0.95 min)
     over runs started within ``days`` of the test's newest start (R7)."""
     by = [by] if isinstance(by, str) else list(by)
-    w = Window.partitionBy(*by)
-    recent = runs.withColumn("_newest", F.max("start").over(w)).filter(
-        col("start") > col("_newest") - F.expr(f"INTERVAL {days} DAYS"))
+    newest = runs.groupBy(*by).agg(F.max("start").alias("_newest"))  # partial aggregate, joined back
+    recent = runs.join(newest, by).filter(col("start") > col("_newest") - F.expr(f"INTERVAL {days} DAYS"))
     g = recent.groupBy(*by).agg(F.avg(metric).alias("_m"), F.stddev_samp(metric).alias("_s"),
                                 F.max(metric).alias("_max"), F.min(metric).alias("_min"))
     return g.select(*by,

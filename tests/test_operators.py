@@ -163,3 +163,22 @@ def test_number_rows_consecutive_over_union(spark):
     out = R.number_rows(a.unionByName(b), ["src", "id"], name="n", partitions=7).toPandas()
     out = out.sort_values(["src", "id"]).reset_index(drop=True)
     assert list(out.n) == list(range(1, len(out) + 1))
+
+
+def test_exact_quantile_hot_group_matches_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    hot = rng.normal(size=3000)            # one group holds most rows
+    rows = [("hot", float(v)) for v in hot] + [("a", 1.0), ("a", 2.0), ("b", 7.0)] + \\
+        [(f"g{k}", float(v)) for k, v in enumerate(rng.normal(size=200) )] + [("n", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for q in (0.5, 0.75, 0.1):
+        got = {r.k: r.q_v for r in R.exact_quantile(df, "k", "v", q).collect()}
+        assert abs(got["hot"] - np.quantile(hot, q)) < 1e-12
+        assert got["a"] == np.quantile([1.0, 2.0], q) and got["b"] == 7.0
+        assert "n" not in got
+    ranked = R.rank_within_groups(df.filter("k = 'hot'"), "k", "v", partitions=6)
+    assert sorted(r._pos for r in ranked.collect()) == list(range(3000))
+    glob = R.exact_quantile(df, [], "v", 0.5).first().q_v
+    assert abs(glob - np.quantile([v for _, v in rows if v is not None], 0.5)) < 1e-12
