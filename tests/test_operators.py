@@ -170,8 +170,8 @@ def test_exact_quantile_hot_group_matches_numpy(spark):
 
     rng = np.random.default_rng(5)
     hot = rng.normal(size=3000)            # one group holds most rows
-    rows = [("hot", float(v)) for v in hot] + [("a", 1.0), ("a", 2.0), ("b", 7.0)] + \\
-        [(f"g{k}", float(v)) for k, v in enumerate(rng.normal(size=200) )] + [("n", None)]
+    rows = ([("hot", float(v)) for v in hot] + [("a", 1.0), ("a", 2.0), ("b", 7.0)]
+            + [(f"g{k}", float(v)) for k, v in enumerate(rng.normal(size=200))] + [("n", None)])
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
     for q in (0.5, 0.75, 0.1):
         got = {r.k: r.q_v for r in R.exact_quantile(df, "k", "v", q).collect()}
