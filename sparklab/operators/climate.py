@@ -77,7 +77,7 @@ def hourly_climatology(grid: DataFrame, cells=("latitude", "longitude"), value:
         F.dayofyear("time").alias("doy"), col(value).cast("double").alias("v"))
     if fill == "day365":
         g = g.filter(col("hour").isin(list(hours)))
-    ndays = g.agg(F.max("doy").alias("L"))  # 366 when any leap day is present; one-row scalar
+    L = g.agg(F.max("doy")).scalar()  # 366 when any leap day is present (scalar subquery)
     key = cells + ["hour"]
     if fill == "day365":
         f365 = g.filter(col("doy") == 365).select(*key, "year", col("v").alias("_f"))
@@ -91,21 +91,20 @@ def hourly_climatology(grid: DataFrame, cells=("latitude", "longitude"), value:
         years = g.select("year").distinct()
         # previous-day fill, one step: a missing (year, d) takes (year, d-1)
         shifted = g.select(*key, "year", (col("doy") + 1).alias("doy"), "v")
-        shifted = shifted.crossJoin(F.broadcast(ndays)).filter(col("doy") <= col("L")).drop("L")
+        shifted = shifted.filter(col("doy") <= L)
         filled = shifted.join(g.select(*key, "year", "doy"), key + ["year", "doy"], "left_anti")
         rows = g.unionByName(filled)
         pre = rows.groupBy(*key, "doy").agg(F.sum("v").alias("_sv"), F.count(F.lit(1)).alias("_c"))
         _ = years
     offs = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(wk).alias("w"))
                                for k, wk in zip(range(-h, h + 1), w) if wk != 0.0])).alias("_o")
-    fan = pre.crossJoin(F.broadcast(ndays)).select("*", offs)
-    tgt = (F.pmod(col("doy") - 1 - col("_o.k"), col("L")) + 1).alias("dayofyear")
+    fan = pre.select("*", offs)
+    tgt = (F.pmod(col("doy") - 1 - col("_o.k"), L) + 1).alias("dayofyear")
     sums = [F.sum(col("_o.w") * col("_sv")).alias("_A"), F.sum(col("_o.w") * col("_c")).alias("_B")]
     if fill == "day365":
         sums += [F.sum(col("_o.w") * col("_sf")).alias("_C"), F.sum(col("_o.w") * col("_sn")).alias("_D")]
     agg = fan.groupBy(*key, tgt).agg(*sums)
-    targets = (g.select(*key).distinct().crossJoin(F.broadcast(ndays))
-               .select(*key, F.explode(F.sequence(F.lit(1), col("L"))).alias("dayofyear")))
+    targets = g.select(*key).distinct().select(*key, F.explode(F.sequence(F.lit(1), L)).alias("dayofyear"))
     out = targets.join(agg, key + ["dayofyear"], "left")
     z = F.lit(0.0)
     if fill == "day365":

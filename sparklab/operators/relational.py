@@ -31,9 +31,8 @@ def first_per_group(df: DataFrame, keys, order, cols=None) -> DataFrame:
 def filter_first(df: DataFrame, column: str, order) -> DataFrame:
     """Rows whose ``column`` equals its value on the first row by ``order``."""
     order = [order] if isinstance(order, str) else list(order)
-    first = df.agg(F.min_by(col(column), F.struct(*[col(c) for c in order])).alias("_v"))
-    # one-row scalar: broadcast is bounded by construction
-    return df.join(F.broadcast(first), col(column) == col("_v"), "left_semi")
+    first = df.agg(F.min_by(col(column), F.struct(*[col(c) for c in order]))).scalar()  # scalar subquery
+    return df.filter(col(column) == first)
 
 
 def series_extremes(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -88,8 +87,7 @@ def tip_analysis(df: DataFrame, license_col: str, tips_col: str, companies: dict
         F.count(F.lit(1)).alias("rides"),
         F.sum(col("tipped").cast("int")).cast("bigint").alias("tipped_rides"),
     ).withColumn("tipped_share", col("tipped_rides").cast("double") / col("rides"))
-    overall = bool_share(d, "tipped", name="overall_share")
-    return per.crossJoin(F.broadcast(overall))  # one-row scalar
+    return per.withColumn("overall_share", bool_share(d, "tipped").scalar())  # scalar subquery
 
 
 # ------------------------------------------------------------------- joins
@@ -242,11 +240,15 @@ def exact_quantile(df: DataFrame, keys, value: str, q: float = 0.5, name: str |
     keys = [keys] if isinstance(keys, str) else list(keys)
     name = name or f"q_{value}"
     d = df.filter(col(value).isNotNull()).select(*keys, col(value).cast("double").alias("_v"))
-    sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else d.agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_p", (col("_n") - 1).cast("double") * F.lit(float(q)))
-    sizes = sizes.withColumns({"_lo": F.floor("_p"), "_hi": F.ceil("_p")})
-    ranked = rank_within_groups(d, keys, ["_v"]) if keys else number_rows(d, ["_v"], name="_pos", start=0)
-    picked = (_null_safe_join(ranked, sizes, keys) if keys else ranked.crossJoin(F.broadcast(sizes)))  # one-row sizes
+    def positions(x):
+        x = x.withColumn("_p", (col("_n") - 1).cast("double") * F.lit(float(q)))
+        return x.withColumns({"_lo": F.floor("_p"), "_hi": F.ceil("_p")})
+
+    if keys:
+        sizes = positions(d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+        picked = _null_safe_join(rank_within_groups(d, keys, ["_v"]), sizes, keys)
+    else:  # one group: its size is a scalar subquery
+        picked = positions(number_rows(d, ["_v"], name="_pos", start=0).withColumn("_n", d.agg(F.count(F.lit(1))).scalar()))
     picked = picked.filter((col("_pos") == col("_lo")) | (col("_pos") == col("_hi")))
     g = picked.groupBy(*keys, "_p", "_lo", "_hi").agg(
         F.max(F.when(col("_pos") == col("_lo"), col("_v"))).alias("_vl"),
@@ -324,12 +326,11 @@ def remove_outliers(df: DataFrame, column: str, lower: float = 0.0, q: float = 0
     ``percentile_approx`` sketch.
     """
     if exact:
-        bound = exact_quantile(df, [], column, q, name="_q")
+        qv = exact_quantile(df, [], column, q, name="_q").scalar()
     else:
-        bound = df.agg(F.percentile_approx(col(column), q, accuracy).cast("double").alias("_q"))
-    upper = col("_q") + F.lit(factor) * (col("_q") - F.lit(lower))
-    return (df.crossJoin(F.broadcast(bound))
-            .filter((col(column) >= F.lit(lower)) & (col(column) <= upper)).drop("_q"))
+        qv = df.agg(F.percentile_approx(col(column), q, accuracy).cast("double")).scalar()
+    upper = qv + F.lit(factor) * (qv - F.lit(lower))  # scalar subquery, evaluated once
+    return df.filter((col(column) >= F.lit(lower)) & (col(column) <= upper))
 
 
 # ------------------------------------------------------------ column shape
@@ -458,9 +459,8 @@ def register(reg) -> None:
         a = e.select("event_id", "user_id", col("value").alias("x"), (col("user_id") / 4.0).alias("y"))
         b = e.filter(col("event_type") != "error").select("event_id", "user_id", (col("value") * 2).alias("z"))
         before = mean_row_sum(a, "x", "y", name="mean_before")
-        after = mean_row_sum(natural_join(a, b), "x", "y", name="mean_after")
-        return before.crossJoin(after).select(F.round("mean_before", 6).alias("mean_before"),
-                                              F.round("mean_after", 6).alias("mean_after"))
+        return mean_row_sum(natural_join(a, b), "x", "y", name="mean_after").select(
+            F.round(before.scalar(), 6).alias("mean_before"), F.round("mean_after", 6).alias("mean_after"))
 
     reg.add("natural_join", nat,
             """with a as (select event_id, user_id, value as x, user_id / 4.0 as y from events)
@@ -592,10 +592,13 @@ def compare_libraries(df: DataFrame, reference: str, on, library: str = "library
     ref = means.filter(col(library) == reference).select(*on, col(value).alias("_ref"))
     others = means.filter(col(library) != reference).withColumnRenamed(library, "_lib")
     merged = others.join(ref, on, "full_outer")
-    libs = means.select(col(library).alias("_l")).distinct().filter(col("_l") != reference)
-    # keys only the reference has: one row per other library, like a per-library outer merge
-    missing = (merged.filter(col("_lib").isNull()).drop("_lib").crossJoin(F.broadcast(libs))  # library names: bounded
-               .withColumnRenamed("_l", "_lib"))
+    # keys only the reference has get one row per other library, like a
+    # per-library outer merge. The library names are a handful of values:
+    # they are read once and expanded from an array literal.
+    libs = sorted(r[0] for r in means.select(library).distinct().collect() if r[0] != reference)
+    only_ref = merged.filter(col("_lib").isNull()).drop("_lib")
+    missing = only_ref.select("*", F.explode(F.array(*[F.lit(x) for x in libs]) if libs else
+                                             F.array().cast("array<string>")).alias("_lib"))
     merged = merged.filter(col("_lib").isNotNull()).unionByName(missing)
     out = merged.select(col("_lib").alias(library), *on, col(value),
                         (F.try_divide(col(value), col("_ref")) - 1).alias("relative_diff"))

@@ -226,9 +226,8 @@ def summarise(runs: DataFrame, by, metric: str = "duration", days: int = 7, scal
     """count/min/median/mean/max/std of ``metric`` per ``by`` over passed runs
     that ended within ``days`` of the newest end (R5, A21)."""
     by = [by] if isinstance(by, str) else list(by)
-    cutoff = runs.agg(F.max("end").alias("_max_end"))
-    recent = (runs.crossJoin(F.broadcast(cutoff))
-              .filter((col("end") > col("_max_end") - F.expr(f"INTERVAL {days} DAYS")) & (col("call_outcome") == "passed")))
+    cutoff = runs.agg(F.max("end")).scalar()  # scalar subquery
+    recent = runs.filter((col("end") > cutoff - F.expr(f"INTERVAL {days} DAYS")) & (col("call_outcome") == "passed"))
     v = col(metric)
     mean = F.avg(v) if scale is None else F.sum(v.cast(f"decimal(18,{scale})")).cast("double") / F.count(v)
     return recent.groupBy(*by).agg(
@@ -330,9 +329,8 @@ from j where nn > 11 and latest >= timestamp '{NOW}' - interval 7 days and last_
 
     def ab(s, d):
         r = label_runs(runs(s, d))
-        cutoff = r.agg(F.max("end").alias("_e"))
-        recent = r.crossJoin(F.broadcast(cutoff)).filter(
-            (col("end") > col("_e") - F.expr("INTERVAL 7 DAYS")) & (col("call_outcome") == "passed")).drop("_e")
+        cutoff = r.agg(F.max("end")).scalar()
+        recent = r.filter((col("end") > cutoff - F.expr("INTERVAL 7 DAYS")) & (col("call_outcome") == "passed"))
         return ab_confidence(recent, "duration", "py0", "py1", reps=10000, seed=0)
 
     add("ab_confidence", ab, """

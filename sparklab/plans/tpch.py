@@ -227,12 +227,12 @@ def q11(t: Tables, nation: str = "GERMANY", fraction: float = 0.0001) -> DataFra
     stock = units("ps_supplycost") * col("ps_availqty").cast("bigint")  # cents
     per_part = ps.groupBy("ps_partkey").agg(units_sum(stock).alias("_v"))
     num, den = Decimal(str(fraction)).as_integer_ratio()
-    # scalar threshold: a one-row aggregate, broadcast by construction;
+    # scalar threshold (a scalar subquery over the per-part sums);
     # v > total * num / den compared exactly as v * den > total * num
-    total = per_part.agg(F.sum("_v").alias("_total"))
+    total = per_part.agg(F.sum("_v")).scalar()
     return (
-        per_part.crossJoin(F.broadcast(total))
-        .filter(col("_v") * F.lit(den).cast("decimal(38,0)") > col("_total") * F.lit(num).cast("decimal(38,0)"))
+        per_part
+        .filter(col("_v") * F.lit(den).cast("decimal(38,0)") > total * F.lit(num).cast("decimal(38,0)"))
         .select("ps_partkey", units_to_double(col("_v"), 2).alias("value"))
         .orderBy(col("value").desc(), "ps_partkey")
     )
@@ -281,8 +281,7 @@ def q14(t: Tables, date: str = "1995-09-01") -> DataFrame:
 def q15(t: Tables, date: str = "1996-01-01", months: int = 3) -> DataFrame:
     li = t.lineitem.filter((col("l_shipdate") >= ts_lit(date)) & (col("l_shipdate") < ts_lit(add_months_str(date, months))))
     revenue = li.groupBy(col("l_suppkey").alias("supplier_no")).agg(units_sum(_revenue()).alias("total_revenue"))
-    top = revenue.agg(F.max("total_revenue").alias("_max"))
-    best = revenue.join(F.broadcast(top), col("total_revenue") == col("_max"))  # exact: DECIMAL equality
+    best = revenue.filter(col("total_revenue") == revenue.agg(F.max("total_revenue")).scalar())  # exact equality
     return (
         t.supplier.join(best, col("s_suppkey") == col("supplier_no"))
         .select("s_suppkey", "s_name", "s_address", "s_phone", units_to_double(col("total_revenue"), 4).alias("total_revenue"))
@@ -403,12 +402,11 @@ def q22(t: Tables, codes=("13", "31", "23", "29", "30", "18", "17"), since: str
     codes = [str(c) for c in codes]
     c = t.customer.select("c_custkey", "c_acctbal", F.substring("c_phone", 1, 2).alias("cntrycode")).filter(
         col("cntrycode").isin(codes))
-    avg_bal = c.filter(col("c_acctbal") > 0.0).agg(
-        (money_sum(units("c_acctbal"), 2) / F.count("c_acctbal")).alias("_avg"))
+    avg_bal = c.filter(col("c_acctbal") > 0.0).agg(money_sum(units("c_acctbal"), 2) / F.count("c_acctbal")).scalar()
     o = t.orders
     if since is not None:
         o = o.filter(col("o_orderdate") >= ts_lit(since))
-    rich = c.crossJoin(F.broadcast(avg_bal)).filter(col("c_acctbal") > col("_avg"))
+    rich = c.filter(col("c_acctbal") > avg_bal)
     idle = rich.join(o.select("o_custkey"), col("c_custkey") == col("o_custkey"), "left_anti")
     return (
         idle.groupBy("cntrycode")
