@@ -627,17 +627,17 @@ def register_more(reg) -> None:
                   and {point_in_polygon_sql('lon', 'lat', aoi)}""")
     reg.add("compare_libraries",
             lambda s, d: compare_libraries(derive_runs(Tables.of(s, d).events).filter(col("call_outcome") == "passed")
-                                           .filter(~((col("library") == "dask") & (col("query") == 3))),
-                                           "dask", "query"),
+                                           .filter(~((col("library") == "dataframe") & (col("query") == 3))),
+                                           "dataframe", "query"),
             with_duckdb_ctes("""
 with m as (select library, query, cast(sum(cast(duration as decimal(18,2))) as double) / count(duration) as duration
-           from runs where call_outcome = 'passed' and not (library = 'dask' and query = 3) group by 1, 2),
-ref as (select query, duration as ref from m where library = 'dask'),
-libs as (select distinct library from m where library <> 'dask')
-select library, query, duration, cast(null as double) as relative_diff from m where library = 'dask'
+           from runs where call_outcome = 'passed' and not (library = 'dataframe' and query = 3) group by 1, 2),
+ref as (select query, duration as ref from m where library = 'dataframe'),
+libs as (select distinct library from m where library <> 'dataframe')
+select library, query, duration, cast(null as double) as relative_diff from m where library = 'dataframe'
 union all
 select l.library, coalesce(o.query, r.query) as query, o.duration, o.duration / r.ref - 1 as relative_diff
-from libs l join (select * from m where library <> 'dask') o on o.library = l.library
+from libs l join (select * from m where library <> 'dataframe') o on o.library = l.library
 full outer join ref r on o.query = r.query and l.library = o.library
 where l.library is not null
 union all

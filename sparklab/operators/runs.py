@@ -19,13 +19,13 @@ col = F.col
 GIB = 1024 ** 3
 METRICS = ("duration", "average_memory", "peak_memory")
 # Library picked by user_id % 4 in the fixture runs table.
-LIBRARIES = ["dask", "duckdb", "polars", "pyspark"]
+LIBRARIES = ["dataframe", "duckdb", "polars", "pyspark"]
 
 
 def derive_runs(events: DataFrame) -> DataFrame:
     """A ``test_run``-shaped table from ``events`` (FIXTURES.md §5)."""
     u = col("user_id")
-    lib = F.when(u % 4 == 0, "dask").when(u % 4 == 1, "duckdb").when(u % 4 == 2, "polars").otherwise("pyspark")
+    lib = F.when(u % 4 == 0, "dataframe").when(u % 4 == 1, "duckdb").when(u % 4 == 2, "polars").otherwise("pyspark")
     return events.select(
         col("event_id").alias("id"),
         F.expr("event_id div 10").alias("session_id"),
@@ -35,7 +35,7 @@ def derive_runs(events: DataFrame) -> DataFrame:
         F.concat(F.lit("py"), (u % 2).cast("string")).alias("runtime"),
         F.concat(F.lit("3."), (10 + u % 3).cast("string"), F.lit("."), (u % 7).cast("string")).alias("python_version"),
         F.when(u % 6 == 0, "AB_baseline").when(u % 6 == 1, "AB_candidate")
-         .otherwise(F.concat(F.lit("0."), (u % 4).cast("string"), F.lit(".0"))).alias("coiled_runtime_version"),
+         .otherwise(F.concat(F.lit("0."), (u % 4).cast("string"), F.lit(".0"))).alias("runtime_version"),
         F.lit("linux").alias("platform"),
         col("ts").alias("start"),
         (col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), col("value").cast("decimal(18,6)"))).alias("end"),
@@ -53,11 +53,11 @@ RUNS_CTE = """runs as (select event_id as id, event_id // 10 as session_id,
     'benchmarks/test_' || event_type || '.py' as path, 'py' || cast(user_id % 2 as varchar) as runtime,
     '3.' || cast(10 + user_id % 3 as varchar) || '.' || cast(user_id % 7 as varchar) as python_version,
     case when user_id % 6 = 0 then 'AB_baseline' when user_id % 6 = 1 then 'AB_candidate'
-         else '0.' || cast(user_id % 4 as varchar) || '.0' end as coiled_runtime_version,
+         else '0.' || cast(user_id % 4 as varchar) || '.0' end as runtime_version,
     'linux' as platform, ts as start, ts + to_microseconds(cast(round(value * 1000000) as bigint)) as "end",
     value as duration, value * 4000000.0 as average_memory, value * 10000000.0 as peak_memory,
     case when event_id % 17 = 0 then 'failed' else 'passed' end as call_outcome,
-    case user_id % 4 when 0 then 'dask' when 1 then 'duckdb' when 2 then 'polars' else 'pyspark' end as library,
+    case user_id % 4 when 0 then 'dataframe' when 1 then 'duckdb' when 2 then 'polars' else 'pyspark' end as library,
     cast(event_id % 22 + 1 as integer) as query from events)"""
 
 
@@ -75,7 +75,7 @@ def load_runs(runs: DataFrame, platform: str | None = "linux", outcomes=("passed
 # ------------------------------------------------------------------ R3
 def label_runs(runs: DataFrame) -> DataFrame:
     """Derived labels (R3): runtime label, category, source and full names."""
-    crv, pyv, path = col("coiled_runtime_version"), col("python_version"), col("path")
+    crv, pyv, path = col("runtime_version"), col("python_version"), col("path")
     major_minor = F.concat_ws(".", F.split_part(pyv, F.lit("."), F.lit(1)), F.split_part(pyv, F.lit("."), F.lit(2)))
     return runs.withColumns({
         "runtime_label": F.when(crv.startswith("AB_"), F.substring(crv, 4, 1 << 20))
@@ -212,7 +212,7 @@ def latest_runs(runs: DataFrame, keys=("library", "query"), n: int = 1) -> DataF
     return top_n_per_group(runs, list(keys), [col("start").desc(), col("id").desc()], n)
 
 
-def relative_duration(runs: DataFrame, reference: str = "dask", metric: str = "duration") -> DataFrame:
+def relative_duration(runs: DataFrame, reference: str = "dataframe", metric: str = "duration") -> DataFrame:
     """Duration relative to the reference library's latest run of the same
     query (R4, W6); queries the reference lacks get NULL."""
     last = latest_runs(load_runs(runs)).select("library", "query", metric)
@@ -361,7 +361,7 @@ from diffs cross join xs group by fullname, x, xlabel, side""")
     add("label_runs", lambda s, d: label_runs(runs(s, d)).select(
         "id", "runtime_label", "category", "sourcename", "fullname", "fullname_no_category", "name_short"), """
 select id,
-  case when coiled_runtime_version like 'AB\\_%' escape '\\' then substr(coiled_runtime_version, 4)
+  case when runtime_version like 'AB\\_%' escape '\\' then substr(runtime_version, 4)
        else 'Python ' || split_part(python_version, '.', 1) || '.' || split_part(python_version, '.', 2) end as runtime_label,
   split_part(path, '/', 1) as category, path || '::' || originalname as sourcename, path || '::' || name as fullname,
   case when strpos(path, '/') > 0 then substr(path, strpos(path, '/') + 1) else '' end || '::' || name as fullname_no_category,
@@ -371,7 +371,7 @@ from runs""")
 with last as (select library, query, duration from (select *, row_number() over
    (partition by library, query order by start desc, id desc) as rn from runs
    where platform = 'linux' and call_outcome = 'passed') where rn = 1)
-select library, query, duration, duration / nullif(max(case when library = 'dask' then duration end)
+select library, query, duration, duration / nullif(max(case when library = 'dataframe' then duration end)
   over (partition by query), 0) as relative_duration from last""")
     add("latest_runs", lambda s, d: latest_runs(runs(s, d), n=2).select("library", "query", "id", "start", "duration"), """
 select library, query, id, start, duration from (select *, row_number() over
@@ -405,9 +405,9 @@ select row_number() over (order by src, start, id) as id, name, start, duration
     rules = [
         {"rename": "originalname", "from": "click", "to": "tap"},
         {"prefix": "path", "from": "benchmarks/test_v", "to": "workflows/test_v"},
-        {"delete": "coiled_runtime_version LIKE 'AB_%'"},
+        {"delete": "runtime_version LIKE 'AB_%'"},
     ]
     add("apply_rules", lambda s, d: apply_rules(runs(s, d), rules).select("id", "originalname", "path"), """
 select id, case when originalname = 'click' then 'tap' else originalname end as originalname,
   case when starts_with(path, 'benchmarks/test_v') then 'workflows/test_v' || substr(path, 18) else path end as path
-from runs where not coalesce(coiled_runtime_version like 'AB_%', false)""")
+from runs where not coalesce(runtime_version like 'AB_%', false)""")

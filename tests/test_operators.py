@@ -150,11 +150,11 @@ def test_point_in_polygon_with_hole(spark):
 
 
 def test_compare_libraries_outer(spark):
-    df = spark.createDataFrame([("dask", 1, 2.0), ("dask", 2, 4.0), ("polars", 1, 1.0), ("polars", 3, 5.0)],
+    df = spark.createDataFrame([("dataframe", 1, 2.0), ("dataframe", 2, 4.0), ("polars", 1, 1.0), ("polars", 3, 5.0)],
                                "library string, query int, duration double")
-    out = {(r.library, r.query): r.relative_diff for r in R.compare_libraries(df, "dask", "query").collect()}
+    out = {(r.library, r.query): r.relative_diff for r in R.compare_libraries(df, "dataframe", "query").collect()}
     assert out[("polars", 1)] == -0.5 and out[("polars", 2)] is None and out[("polars", 3)] is None
-    assert out[("dask", 1)] is None and len(out) == 5
+    assert out[("dataframe", 1)] is None and len(out) == 5
 
 
 def test_number_rows_consecutive_over_union(spark):
