@@ -273,9 +273,15 @@ def repartition_to_size(df: DataFrame, target_bytes: int) -> DataFrame:
     return df.hint("rebalance")
 
 
-def hash_bucket(key_cols, seed: int = 0, buckets: int = 10000) -> Column:
-    """Portable hash bucket in [0, buckets): first 8 hex digits of
-    md5(key || '-' || seed) as an integer, mod ``buckets``."""
+def hash_bucket(key_cols, seed: int = 0, buckets: int = 10000, portable: bool = False) -> Column:
+    """Hash bucket in [0, buckets) of the key columns and a seed.
+
+    Default: ``xxhash64`` (JVM-side, no strings; the same in every Spark run).
+    ``portable=True``: the first 8 hex digits of md5(key || '-' || seed) as an
+    integer, which other engines can compute too (used to check results
+    against DuckDB)."""
+    if not portable:
+        return F.pmod(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)), F.lit(buckets))
     parts = []
     for i, c in enumerate(key_cols):
         if i:
@@ -285,12 +291,12 @@ def hash_bucket(key_cols, seed: int = 0, buckets: int = 10000) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
 
 
-def hash_split(df: DataFrame, key, weights, seed: int = 0) -> list[DataFrame]:
+def hash_split(df: DataFrame, key, weights, seed: int = 0, portable: bool = False) -> list[DataFrame]:
     """Seeded split by weights (O9). A row's side depends only on its key, so
     the split is stable when a task is re-run (unlike ``randomSplit``)."""
     keys = [key] if isinstance(key, str) else list(key)
     total = float(sum(weights))
-    b = hash_bucket(keys, seed)
+    b = hash_bucket(keys, seed, portable=portable)
     out, lo = [], 0.0
     for i, w in enumerate(weights):
         hi = lo + w / total
@@ -301,11 +307,11 @@ def hash_split(df: DataFrame, key, weights, seed: int = 0) -> list[DataFrame]:
     return out
 
 
-def split_label(df: DataFrame, key, weights, seed: int = 0, name: str = "split") -> DataFrame:
+def split_label(df: DataFrame, key, weights, seed: int = 0, name: str = "split", portable: bool = False) -> DataFrame:
     """The split index of each row as a column (same rule as :func:`hash_split`)."""
     keys = [key] if isinstance(key, str) else list(key)
     total = float(sum(weights))
-    b = hash_bucket(keys, seed)
+    b = hash_bucket(keys, seed, portable=portable)
     expr, lo = None, 0.0
     for i, w in enumerate(weights[:-1]):
         lo += w / total
@@ -505,7 +511,7 @@ def register(reg) -> None:
             lambda s, d: repartition_to_size(ev(s, d), 64 << 20).select("event_id", "user_id", "event_type"),
             "select event_id, user_id, event_type from events")
     reg.add("hash_split",
-            lambda s, d: split_label(ev(s, d), "event_id", [0.8, 0.2], seed=42).groupBy("split").agg(
+            lambda s, d: split_label(ev(s, d), "event_id", [0.8, 0.2], seed=42, portable=True).groupBy("split").agg(
                 F.count(F.lit(1)).alias("n")),
             """select case when (cast(('0x' || substr(md5(cast(event_id as varchar) || '-42'), 1, 8)) as bigint) % 10000)
                     < 8000 then 0 else 1 end as split, count(*) as n from events group by 1""")
