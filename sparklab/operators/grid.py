@@ -155,7 +155,9 @@ def vorticity(u: DataFrame, v: DataFrame, dx: DataFrame, dy: DataFrame, n0: int,
 
 # --------------------------------------------------------- linear algebra
 def matmul(a: DataFrame, b: DataFrame, value: str = "value") -> DataFrame:
-    """C = A B for grids a(i, k), b(k, j): join on the inner index, sum by (i, j)."""
+    """C = A B for grids a(i, k), b(k, j): join on the inner index, sum by (i, j).
+    The product has n x m cells by definition; for the workload's reduction
+    (the sum of A A^T) use :func:`gram_sum`, which never forms it."""
     l = a.select(col("i"), col("j").alias("_k"), col(value).alias("_a"))
     r = b.select(col("i").alias("_k"), col("j"), col(value).alias("_b"))
     return l.join(r, "_k").groupBy("i", "j").agg(F.sum(col("_a") * col("_b")).alias(value))
@@ -177,17 +179,22 @@ def ols(df: DataFrame, row: str = "i", feature: str = "j", value: str = "value",
     """Least squares by the normal equations (G5b) on a long design matrix
     ``(row, feature, value)`` and targets ``y(row, y)``.
 
-    X'X and X'y are distributed aggregates (a self join on ``row``); the p x p
+    Each row's p values are gathered once (bounded by p); X'X and X'y are
+    formed inside the row (p^2 + p products) and reduced by a partial
+    aggregate, so only p^2 partial sums per task are shuffled. The p x p
     system is solved on the driver (bounded by p, not by rows); fitted values
-    are a join of X with the p coefficients. Returns ``(beta_df, fitted_df)``.
-    """
+    use the p coefficients as a map literal - no join, no shuffle.
+    Returns ``(beta_df, fitted_df)``."""
     import numpy as np
 
-    x = df.select(col(row).alias("_r"), col(feature).alias("_f"), col(value).alias("_x"))
-    xtx = (x.join(x.select(col("_r"), col("_f").alias("_g"), col("_x").alias("_x2")), "_r")
-           .groupBy("_f", "_g").agg(F.sum(col("_x") * col("_x2")).alias("_s")))
     yy = y.select(col(row).alias("_r"), col(y_col).cast("double").alias("_y"))
-    xty = x.join(yy, "_r").groupBy("_f").agg(F.sum(col("_x") * col("_y")).alias("_s"))
+    rows = (df.groupBy(col(row).alias("_r"))
+            .agg(F.map_from_entries(F.collect_list(F.struct(col(feature), col(value).cast("double")))).alias("_x"))
+            .join(yy, "_r"))
+    e1 = F.explode(col("_x")).alias("_f", "_xf")
+    pairs = rows.select("_x", "_y", e1).select("_f", "_xf", "_y", F.explode(col("_x")).alias("_g", "_xg"))
+    xtx = pairs.groupBy("_f", "_g").agg(F.sum(col("_xf") * col("_xg")).alias("_s"))
+    xty = rows.select("_y", e1).groupBy("_f").agg(F.sum(col("_xf") * col("_y")).alias("_s"))
     feats = sorted(r["_f"] for r in xty.select("_f").collect())  # p values
     pos = {f: n for n, f in enumerate(feats)}
     p = len(feats)
@@ -199,10 +206,12 @@ def ols(df: DataFrame, row: str = "i", feature: str = "j", value: str = "value",
         bvec[pos[r["_f"]]] = r["_s"]
     beta = np.linalg.solve(A, bvec)
     spark = df.sparkSession
-    beta_df = spark.createDataFrame([(int(f) if isinstance(f, int) else f, float(b)) for f, b in zip(feats, beta)],
-                                    f"{feature} {df.schema[feature].dataType.simpleString()}, beta double")
-    fitted = (x.join(F.broadcast(beta_df.select(col(feature).alias("_f"), "beta")), "_f")  # p rows
-              .groupBy("_r").agg(F.sum(col("_x") * col("beta")).alias("y_hat")).withColumnRenamed("_r", row))
+    ftype = df.schema[feature].dataType.simpleString()
+    beta_df = spark.createDataFrame([(f, float(b)) for f, b in zip(feats, beta)], f"{feature} {ftype}, beta double")
+    coef = F.create_map(*[x for f, b in zip(feats, beta) for x in (F.lit(f).cast(ftype), F.lit(float(b)))])
+    fitted = rows.select(col("_r").alias(row), F.aggregate(
+        F.map_entries("_x"), F.lit(0.0), lambda acc, e: acc + e["value"] * F.coalesce(F.element_at(coef, e["key"]), F.lit(0.0))
+    ).alias("y_hat"))
     return beta_df, fitted
 
 
