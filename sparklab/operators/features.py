@@ -199,6 +199,10 @@ def register(reg) -> None:
             "pickup_dow", "pickup_hour", "PUBorough", "DOBorough", "PUSuperborough_DOSuperborough"]
     reg.add("trip_features", lambda s, d: feats(s, d).select(*cols),
             with_duckdb_ctes(f"select {', '.join(cols)} from tf", ctes))
+    nums = ["trip_miles", "trip_time", "tolls", "congestion_surcharge", "airport_fee"]
+    reg.add("float32_features", lambda s, d: float32_columns(feats(s, d).select("PULocationID", *nums)),
+            with_duckdb_ctes("select PULocationID, " + ", ".join(f"cast({c} as float) as {c}" for c in nums) + " from tf",
+                             ctes))
     cats = ["hvfhs_license_num", "pickup_dow", "PUSuperborough_DOSuperborough"]
     reg.add("categorize", lambda s, d: categorize(feats(s, d).select(*cats), cats), with_duckdb_ctes(
         f"select {', '.join(cats)}, " + ", ".join(
