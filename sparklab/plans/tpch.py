@@ -300,7 +300,8 @@ def q16(t: Tables, brand: str = "Brand#45", type_prefix: str = "MEDIUM POLISHED"
     return (
         ps.groupBy("p_brand", "p_type", "p_size")
         .agg(F.countDistinct("ps_suppkey").alias("supplier_cnt"))
-        .orderBy(col("supplier_cnt").desc(), "p_brand", "p_type", "p_size")
+        # at most brands x types x sizes rows (a schema bound, not a data one)
+        .transform(lambda d: sort_small(d, col("supplier_cnt").desc(), "p_brand", "p_type", "p_size"))
     )
 
 
