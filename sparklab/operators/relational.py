@@ -173,8 +173,8 @@ def number_rows(df: DataFrame, order, name: str = "row_id", start: int = 1, part
     moving the rows to one partition: a range-partitioned sort, the position
     inside each partition from ``monotonically_increasing_id`` (partition id
     in the upper bits, position in the lower 33), and each partition's offset
-    from the row counts per partition (one row per partition, joined by
-    broadcast). The sorted rows are checkpointed once so both see the same
+    from the row counts per partition (one value per partition, read once and
+    applied as a map literal). The sorted rows are checkpointed once so both see the same
     partitions. ``order`` should be a total order for repeatable numbers."""
     order = [order] if isinstance(order, str) else list(order)
     spark = df.sparkSession
@@ -186,13 +186,15 @@ def number_rows(df: DataFrame, order, name: str = "row_id", start: int = 1, part
     # from sampling are not guaranteed equal across two executions
     ordered = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns(
         {"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))  # one row per partition
+    # one count per partition (bounded by the partition count, not the data)
+    counts = sorted((r["_pid"], r["_c"]) for r in ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c")).collect())
+    offsets, run = [], 0
+    for pid, c in counts:
+        offsets += [F.lit(pid), F.lit(run)]
+        run += c
+    off = F.element_at(F.create_map(*offsets), col("_pid")) if offsets else F.lit(0)
     pos = col("_mid") - F.shiftleft(col("_pid").cast("long"), 33)
-    return (ordered.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, col("_off") + pos + F.lit(start))
-            .drop("_pid", "_mid", "_off"))
+    return ordered.withColumn(name, off.cast("long") + pos + F.lit(start)).drop("_pid", "_mid")
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
