@@ -39,25 +39,26 @@ def pack_partitions(df: DataFrame, folder: str, kind: str, name_col: str, body_c
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        rows = []
-        for pdf in it:
-            rows.extend(zip(pdf[name_col], pdf[body_col]))
-        if not rows:
-            return
-        os.makedirs(folder.replace("file:", ""), exist_ok=True)
-        path = f"{folder.replace('file:', '')}/part-{pid:05d}.{kind}"
+        base = folder.replace("file:", "")
+        os.makedirs(base, exist_ok=True)
+        path = f"{base}/part-{pid:05d}.{kind}"
         tmp = path + f".{uuid.uuid4().hex}.tmp"
-        if kind == "zip":
-            with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
-                for name, body in rows:
-                    zf.writestr(name, body)
-        else:
-            with tarfile.open(tmp, "w") as tf:
-                for name, body in rows:
+        archive, n = None, 0
+        for pdf in it:  # members are streamed into the archive batch by batch
+            for name, body in zip(pdf[name_col], pdf[body_col]):
+                if archive is None:
+                    archive = zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) if kind == "zip" else tarfile.open(tmp, "w")
+                if kind == "zip":
+                    archive.writestr(name, body)
+                else:
                     data = body.encode("utf-8") if isinstance(body, str) else body
                     info = tarfile.TarInfo(name)
                     info.size = len(data)
-                    tf.addfile(info, io.BytesIO(data))
+                    archive.addfile(info, io.BytesIO(data))
+                n += 1
+        if archive is None:
+            return
+        archive.close()
         os.replace(tmp, path)  # atomic: a retried task overwrites with the same content
         yield pd.DataFrame({"path": [path]})
 

@@ -118,20 +118,18 @@ def scan_archives(spark: SparkSession, glob: str, member_suffix: str = ".pdf", n
         import pandas as pd
 
         for pdf in batches:
-            rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
+                found = []
                 try:
                     with tarfile.open(fileobj=io.BytesIO(content)) as tf:
-                        found = []
-                        for m in tf.getmembers():
+                        for m in tf:  # one member in memory at a time
                             if m.isfile() and m.name.endswith(member_suffix):
                                 data = tf.extractfile(m).read()
                                 found.append((path, m.name, needle in (data.lower() if lower else data)))
-                        rows.extend(found)
                 except (tarfile.TarError, OSError, EOFError):
-                    continue
-            if rows:
-                yield pd.DataFrame(rows, columns=["archive", "member", "contains"])
+                    continue  # an unreadable archive yields no rows
+                if found:  # one small frame per archive
+                    yield pd.DataFrame(found, columns=["archive", "member", "contains"])
 
     return spark.read.format("binaryFile").load(glob).select("path", "content").mapInPandas(scan, out)
 
