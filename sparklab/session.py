@@ -72,3 +72,38 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executor loss) and return a DataFrame reading from it."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def sizing_conf(input_bytes: int, total_cores: int, shuffle_ratio: float = 1.0,
+                target_partition_bytes: int = 256 << 20, max_split_bytes: int = 512 << 20) -> dict:
+    """Partition sizing for a job reading ``input_bytes`` on ``total_cores``.
+
+    * scan splits of at most ``max_split_bytes`` (``maxPartitionBytes``);
+    * initial shuffle partitions so that ``shuffle_ratio * input_bytes`` gives
+      about ``target_partition_bytes`` per partition, at least two waves of
+      tasks; AQE coalesces small ones and splits skewed ones at run time;
+    * the advisory size AQE coalesces and splits towards.
+
+    E.g. 100 TB on 1000 executors x 8 cores -> ~400k initial shuffle
+    partitions of ~256 MB, coalesced by AQE when a stage's data shrinks.
+    """
+    import math
+
+    shuffle_bytes = max(1.0, input_bytes * shuffle_ratio)
+    parts = max(2 * total_cores, math.ceil(shuffle_bytes / target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
+def apply_sizing(spark: SparkSession, input_bytes: int, total_cores: int | None = None, **kw) -> dict:
+    """Set :func:`sizing_conf` on a running session (all are runtime SQL settings)."""
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    conf = sizing_conf(input_bytes, cores, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

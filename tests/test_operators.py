@@ -182,3 +182,11 @@ def test_exact_quantile_hot_group_matches_numpy(spark):
     assert sorted(r._pos for r in ranked.collect()) == list(range(3000))
     glob = R.exact_quantile(df, [], "v", 0.5).first().q_v
     assert abs(glob - np.quantile([v for _, v in rows if v is not None], 0.5)) < 1e-12
+
+
+def test_sizing_conf():
+    from sparklab.session import sizing_conf
+
+    c = sizing_conf(100 * 10**12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert int(sizing_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
