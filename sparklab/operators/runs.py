@@ -141,12 +141,15 @@ def detect_regressions(runs: DataFrame, now: str, n_last: int = 3, n_std: float
 
 # ------------------------------------------------------------------ R2
 def ab_confidence(runs: DataFrame, metric: str, a: str, b: str, reps: int = 10000, seed: int = 0,
-                  by=("fullname",), runtime_col: str = "runtime", scale: int | None = 2) -> DataFrame:
+                  by=("fullname",), runtime_col: str = "runtime", scale: int | None = 2,
+                  portable: bool = False) -> DataFrame:
     """Bootstrap P(B/A - 1 < x) for x in -80%..0 and P(B/A - 1 > x) for x in
     0..80% (5 % steps) per test, runtimes ``a`` and ``b`` (R2).
 
     Replicate r of a group with n runs draws, for each of its runs j, the run
-    at position md5(id_j || '-' || r) mod n. The draws are joined to the
+    at position hash(id_j, r, seed) mod n: ``xxhash64`` by default, or with
+    ``portable=True`` the first 8 hex digits of md5(id_j || '-' || r) (which
+    other engines can reproduce; the seed is then not used). The draws are joined to the
     numbered runs on (group, position) - a distributed equi-join that AQE
     splits when a group is hot - and averaged per (group, runtime, replicate).
     """
@@ -171,8 +174,10 @@ def ab_confidence(runs: DataFrame, metric: str, a: str, b: str, reps: int = 1000
         numbered.select("_gid", col("id").alias("_src")).join(sizes, "_gid")
         .repartition(parts)
         .select("_gid", "_src", "_n", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_rep"))
-        .select("_gid", "_rep", F.pmod(F.conv(F.substring(F.md5(F.concat(
-            col("_src").cast("string"), F.lit("-"), col("_rep").cast("string"))), 1, 8), 16, 10).cast("bigint"),
+        .select("_gid", "_rep", F.pmod(
+            F.conv(F.substring(F.md5(F.concat(col("_src").cast("string"), F.lit("-"), col("_rep").cast("string"))),
+                               1, 8), 16, 10).cast("bigint") if portable
+            else F.xxhash64(col("_src"), col("_rep"), F.lit(seed)),
             col("_n")).alias("_pos"))
     )
     if scale is None:
@@ -331,7 +336,7 @@ from j where nn > 11 and latest >= timestamp '{NOW}' - interval 7 days and last_
         r = label_runs(runs(s, d))
         cutoff = r.agg(F.max("end")).scalar()
         recent = r.filter((col("end") > cutoff - F.expr("INTERVAL 7 DAYS")) & (col("call_outcome") == "passed"))
-        return ab_confidence(recent, "duration", "py0", "py1", reps=10000, seed=0)
+        return ab_confidence(recent, "duration", "py0", "py1", reps=10000, seed=0, portable=True)
 
     add("ab_confidence", ab, """
 with r as (select *, path || '::' || name as fullname from runs),
