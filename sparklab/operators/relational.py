@@ -151,12 +151,17 @@ def align_subtract(a: DataFrame, b: DataFrame, on, cols, scale: int | None = Non
 
 
 # --------------------------------------------------------------- ordering
-def range_sort(df: DataFrame, column, n: int | None = None) -> DataFrame:
+def range_sort(df: DataFrame, column, n: int | None = None, persist: bool = False) -> DataFrame:
     """Global sort into ``n`` range partitions (O3, ``set_index``): sampled
-    range boundaries, one shuffle, then a local sort per partition."""
+    range boundaries, one shuffle, then a local sort per partition. With
+    ``persist`` the input is kept (memory, spilling to disk) so the sampling
+    pass and the shuffle read it once (O8); ``unpersist`` it when done."""
+    from pyspark import StorageLevel
+
     cols = [column] if isinstance(column, str) else list(column)
     parts = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
+    return src.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
 
 
 def top_n_per_group(df: DataFrame, keys, order: list[Column], n: int) -> DataFrame:

@@ -24,14 +24,34 @@ def _u01(seed_expr, salt: int):
     return (F.pmod(h, F.lit(1 << 52)).cast("double") / float(1 << 52))
 
 
-def timeseries(spark: SparkSession, start: str = "2000-01-01", end: str = "2000-01-31", freq_seconds: float = 1.0,
-               dtypes: dict | None = None, seed: int = 0, partitions: int | None = None) -> DataFrame:
+_UNITS = {"ms": 0.001, "s": 1.0, "min": 60.0, "h": 3600.0, "d": 86400.0}
+
+
+def parse_freq(freq) -> float:
+    """'600ms', '1s', '10min', '1h', '12h', '1d' (or a number of seconds) -> seconds."""
+    if isinstance(freq, (int, float)):
+        return float(freq)
+    import re
+
+    m = re.fullmatch(r"\s*(\d*\.?\d*)\s*(ms|s|min|h|d)\s*", freq)
+    if not m:
+        raise ValueError(f"bad frequency {freq!r}")
+    return float(m.group(1) or 1) * _UNITS[m.group(2)]
+
+
+def timeseries(spark: SparkSession, start: str = "2000-01-01", end: str = "2000-01-31", freq_seconds=1.0,
+               dtypes: dict | None = None, seed: int = 0, partitions: int | None = None,
+               partition_freq=None) -> DataFrame:
     """Regular time series: ``timestamp`` plus columns by type.
     Default columns: name (str), id (int, ~Poisson(1000)-like), x, y (float
-    in [-1, 1))."""
+    in [-1, 1)). ``freq_seconds`` may be a string ('600ms', '1s', ...);
+    ``partition_freq`` ('1d', '12h', ...) sets one input partition per span."""
+    freq_seconds = parse_freq(freq_seconds)
     t0 = _dt.datetime.fromisoformat(start)
     t1 = _dt.datetime.fromisoformat(end)
     n = int((t1 - t0).total_seconds() / freq_seconds)
+    if partition_freq is not None and partitions is None:
+        partitions = max(1, math.ceil((t1 - t0).total_seconds() / parse_freq(partition_freq)))
     dtypes = dtypes or {"name": "str", "id": "int", "x": "float", "y": "float"}
     base = spark.range(0, n, 1, partitions) if partitions else spark.range(n)
     cols = [(F.lit(t0).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),

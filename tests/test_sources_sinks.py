@@ -121,3 +121,11 @@ def test_synthetic_generators(spark):
 def test_read_query_and_warehouse(spark):
     sinks.write_warehouse(spark.range(10), "wh_test_tbl")
     assert sources.read_query(spark, "select sum(id) as s from wh_test_tbl").first().s == 45
+
+
+def test_timeseries_freq_strings(spark):
+    from sparklab.sources.synthetic import parse_freq, timeseries
+
+    assert parse_freq("600ms") == 0.6 and parse_freq("12h") == 43200 and parse_freq("1d") == 86400
+    ts = timeseries(spark, "2000-01-01", "2000-01-03", "1min", partition_freq="12h")
+    assert ts.count() == 2 * 24 * 60 and ts.rdd.getNumPartitions() == 4
