@@ -174,11 +174,14 @@ def ab_confidence(runs: DataFrame, metric: str, a: str, b: str, reps: int = 1000
         numbered.select("_gid", col("id").alias("_src")).join(sizes, "_gid")
         .repartition(parts)
         .select("_gid", "_src", "_n", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_rep"))
-        .select("_gid", "_rep", F.pmod(
+        # coalesce(..., 0): the hash is never NULL, and a non-nullable key lets
+        # the optimizer drop the join's inferred isnotnull filter, which would
+        # otherwise evaluate the hash a second time per draw
+        .select("_gid", "_rep", F.coalesce(F.pmod(
             F.conv(F.substring(F.md5(F.concat(col("_src").cast("string"), F.lit("-"), col("_rep").cast("string"))),
                                1, 8), 16, 10).cast("bigint") if portable
             else F.xxhash64(col("_src"), col("_rep"), F.lit(seed)),
-            col("_n")).alias("_pos"))
+            col("_n")), F.lit(0).cast("bigint")).alias("_pos"))
     )
     if scale is None:
         mean = F.avg("_v")
