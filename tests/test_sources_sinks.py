@@ -129,3 +129,19 @@ def test_timeseries_freq_strings(spark):
     assert parse_freq("600ms") == 0.6 and parse_freq("12h") == 43200 and parse_freq("1d") == 86400
     ts = timeseries(spark, "2000-01-01", "2000-01-03", "1min", partition_freq="12h")
     assert ts.count() == 2 * 24 * 60 and ts.rdd.getNumPartitions() == 4
+
+
+def test_tables_prefer_real_columns_and_partsupp(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from sparklab.tables import Tables
+    from tests.conftest import SF0001
+
+    li = spark.read.parquet(f"{SF0001}/lineitem.parquet").withColumn("l_shipmode", F.lit("RAIL"))
+    li.write.parquet(tmpdir_path + "/lineitem.parquet")
+    spark.createDataFrame([(1, 2, 5, 1.5)], "ps_partkey long, ps_suppkey long, ps_availqty int, ps_supplycost double") \
+        .write.parquet(tmpdir_path + "/partsupp.parquet")
+    t = Tables(spark, tmpdir_path)
+    assert {r.l_shipmode for r in t.lineitem.select("l_shipmode").distinct().collect()} == {"RAIL"}
+    assert "l_commitdate" in t.lineitem.columns
+    assert t.partsupp.count() == 1
