@@ -254,8 +254,26 @@ def exact_quantile(df: DataFrame, keys, value: str, q: float = 0.5, name: str |
     if keys:
         sizes = positions(d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
         picked = _null_safe_join(rank_within_groups(d, keys, ["_v"]), sizes, keys)
-    else:  # one group: its size is a scalar subquery
-        picked = positions(number_rows(d, ["_v"], name="_pos", start=0).withColumn("_n", d.agg(F.count(F.lit(1))).scalar()))
+    else:
+        # One group. Its size is counted first (one aggregate). Small inputs
+        # are numbered whole. Otherwise the ``percentile_approx`` sketch (rank
+        # error <= n / accuracy) at q -/+ eps, eps = 4 / accuracy + 2 / n (the
+        # 2 / n covers the sketch's ceil(p n) rank convention), brackets the
+        # exact ranks: only rows in [lo, hi] (about 8 n / accuracy) are sorted
+        # and numbered, offset by the count of rows below lo.
+        n = d.count()
+        if n <= 200_000:
+            picked = positions(number_rows(d, ["_v"], name="_pos", start=0).withColumn("_n", F.lit(n)))
+        else:
+            acc = 10000
+            eps = 4.0 / acc + 2.0 / n
+            bounds = d.agg(F.percentile_approx("_v", [max(0.0, q - eps), min(1.0, q + eps)], acc).alias("_b"))
+            lo_b = bounds.select(F.element_at("_b", 1)).scalar()
+            hi_b = bounds.select(F.element_at("_b", 2)).scalar()
+            below = d.agg(F.sum((col("_v") < lo_b).cast("long"))).scalar()
+            cand = d.filter((col("_v") >= lo_b) & (col("_v") <= hi_b))
+            picked = positions(number_rows(cand, ["_v"], name="_pos", start=0)
+                               .withColumns({"_pos": col("_pos") + F.coalesce(below, F.lit(0)), "_n": F.lit(n)}))
     picked = picked.filter((col("_pos") == col("_lo")) | (col("_pos") == col("_hi")))
     g = picked.groupBy(*keys, "_p", "_lo", "_hi").agg(
         F.max(F.when(col("_pos") == col("_lo"), col("_v"))).alias("_vl"),

@@ -190,3 +190,14 @@ def test_sizing_conf():
     c = sizing_conf(100 * 10**12, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert int(sizing_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_exact_global_quantile_bracketed_path(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    vals = np.concatenate([rng.integers(0, 50, 150_000).astype(float), rng.normal(size=100_000)])  # heavy ties
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(6)
+    for q in (0.5, 0.75, 0.999):
+        got = R.exact_quantile(df, [], "v", q).first().q_v
+        assert abs(got - np.quantile(vals, q)) < 1e-12, (q, got, np.quantile(vals, q))
