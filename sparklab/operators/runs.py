@@ -312,6 +312,10 @@ def register(reg) -> None:
     def add(name, fn, sql):
         reg.add(name, fn, None if sql is None else with_duckdb_ctes(sql, {"runs": RUNS_CTE}))
 
+    add("load_runs", lambda s, d: load_runs(runs(s, d), "linux", ("passed", "failed"), since="2024-01-15").select(
+        "id", "name", "start", "call_outcome"), """
+select id, name, start, call_outcome from runs
+where platform = 'linux' and call_outcome in ('passed', 'failed') and start >= timestamp '2024-01-15'""")
     add("regressions", lambda s, d: detect_regressions(runs(s, d), NOW, n_last=1), f"""
 with passed as (select * from runs where platform = 'linux' and call_outcome = 'passed'),
 long as (select runtime, name, path, start, id, 'duration' as metric, cast(duration as double) as v from passed
