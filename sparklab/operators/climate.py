@@ -253,7 +253,7 @@ def register(reg) -> None:
     from sparklab.tables import Tables
 
     def sg(s, d):
-        return ship_grid(Tables.of(s, d).raw("lineitem"))
+        return Tables.of(s, d).memo("ship_grid", lambda t: ship_grid(t.raw("lineitem")))
 
     def sql(body, **extra):
         return with_duckdb_ctes(body, {"sg": SHIP_GRID_SQL, "eg4": EVENTS_GRID_SQL, **extra})
@@ -305,7 +305,7 @@ select cast(hour as integer) as hour, cast(dayofyear as integer) as dayofyear, l
 from contrib group by hour, dayofyear, latitude, longitude"""))
 
     def eg(s, d):
-        return events_grid(Tables.of(s, d).events)
+        return Tables.of(s, d).memo("events_grid", lambda t: events_grid(t.events))
 
     from sparklab.operators.grid import fixed_sum_sql as fs
 

@@ -248,7 +248,7 @@ def register(reg) -> None:
     from sparklab.tables import Tables
 
     def g(s, d):
-        return embedding_grid(Tables.of(s, d).embeddings)
+        return Tables.of(s, d).memo("embedding_grid", lambda t: embedding_grid(t.embeddings))
 
     E = """eg as (select vec_id as i, cast(generate_subscripts(embedding, 1) - 1 as bigint) as j,
                   cast(unnest(embedding) as double) as value from embeddings)"""

@@ -137,7 +137,7 @@ def register(reg) -> None:
     from sparklab.plans.tpch_sql import with_duckdb_ctes
 
     def frame(spark, sf_dir):
-        return h2o_frame(Tables.of(spark, sf_dir).raw("lineitem"))
+        return Tables.of(spark, sf_dir).memo("h2o", lambda t: h2o_frame(t.raw("lineitem")))
 
     runs = {
         "h2o_q1": lambda s, d: h2o_q1(frame(s, d)),

@@ -307,7 +307,7 @@ def register(reg) -> None:
     from sparklab.tables import Tables
 
     def runs(s, d):
-        return derive_runs(Tables.of(s, d).events)
+        return Tables.of(s, d).memo("runs", lambda t: derive_runs(t.events))
 
     def add(name, fn, sql):
         reg.add(name, fn, None if sql is None else with_duckdb_ctes(sql, {"runs": RUNS_CTE}))

@@ -141,6 +141,13 @@ class Tables:
             t = cls._bound[key] = cls(spark, root)
         return t
 
+    def memo(self, key: str, build) -> DataFrame:
+        """A DataFrame derived from this binding, built (and analysed) once."""
+        k = "memo:" + key
+        if k not in self._cache:
+            self._cache[k] = build(self)
+        return self._cache[k]
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
