@@ -167,3 +167,18 @@ def test_moisture_harmonisation(spark):
     got = climate.moisture_by_month(df, "2022-01-25").first()
     # 24th: first scene, (3000-1000)/(4000); 26th harmonised: (2000-0)/(2000)
     assert abs(got.moisture - (0.5 + 1.0) / 2) < 1e-12
+
+
+def test_stencil_halo_blocks_match_unblocked(spark):
+    a = np.random.default_rng(8).random((11, 9))
+    g = _grid(spark, a)
+    ref = np.array([[a[max(i - 1, 0):i + 2, max(j - 1, 0):j + 2].mean() for j in range(9)] for i in range(11)])
+    for block in (2, 3, 4, None):
+        out = _to_np(grid.stencil(g, ["i", "j"], 1, "mean", block=block), (11, 9), "mean_value")
+        assert np.allclose(out, ref), block
+        per = _to_np(grid.stencil(g, ["i", "j"], 1, "sum", boundary="periodic", shape={"i": 11, "j": 9}, block=block),
+                     (11, 9), "sum_value")
+        ref2 = sum(np.roll(np.roll(a, di, 0), dj, 1) for di in (-1, 0, 1) for dj in (-1, 0, 1))
+        assert np.allclose(per, ref2), block
+    plan = grid.stencil(g, ["i", "j"], 1, "max", block=4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 1
