@@ -109,10 +109,11 @@ def train_gbt(train: DataFrame, features, label: str, test: DataFrame | None = N
 
 
 def search(train: DataFrame, features, label: str, n_trials: int = 4, folds: int = 3, seed: int = 2,
-           parallelism: int = 2) -> DataFrame:
+           parallelism: int = 4) -> DataFrame:
     """Hyper-parameter search (F6): ``n_trials`` seeded random settings of
     depth / step / iterations, scored by k-fold cross-validated RMSE.
-    Returns ``(trial, max_depth, step_size, max_iter, rmse)``."""
+    ``parallelism`` candidate models are fitted concurrently (each fit is a
+    distributed job). Returns ``(trial, max_depth, step_size, max_iter, rmse)``."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.regression import GBTRegressor
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
