@@ -88,14 +88,12 @@ def hourly_climatology(grid: DataFrame, cells=("latitude", "longitude"), value:
             F.sum(col("_f").isNotNull().cast("int")).alias("_sn"))
         fills = f365.groupBy(*key).agg(F.sum("_f").alias("_F"), F.count("_f").alias("_NF"))
     else:
-        years = g.select("year").distinct()
         # previous-day fill, one step: a missing (year, d) takes (year, d-1)
         shifted = g.select(*key, "year", (col("doy") + 1).alias("doy"), "v")
         shifted = shifted.filter(col("doy") <= L)
         filled = shifted.join(g.select(*key, "year", "doy"), key + ["year", "doy"], "left_anti")
         rows = g.unionByName(filled)
         pre = rows.groupBy(*key, "doy").agg(F.sum("v").alias("_sv"), F.count(F.lit(1)).alias("_c"))
-        _ = years
     offs = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(wk).alias("w"))
                                for k, wk in zip(range(-h, h + 1), w) if wk != 0.0])).alias("_o")
     fan = pre.select("*", offs)

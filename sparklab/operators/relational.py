@@ -416,7 +416,6 @@ def clean_wide(df: DataFrame, rename: dict | None = None, replace: dict | None =
 
 # ============================================================ registration
 def register(reg) -> None:
-    from sparklab.plans.tpch_sql import with_duckdb_ctes
     from sparklab.tables import Tables
 
     def ev(s, d):
@@ -557,7 +556,6 @@ def register(reg) -> None:
                 F.to_date("l_shipdate").alias("ship"))),
             """select l_orderkey, cast(cast(l_extendedprice as decimal(12,2)) as double) as price,
                  cast(cast(l_shipdate as date) as timestamp) as ship from lineitem""")
-    _ = with_duckdb_ctes
     register_more(reg)
 
 

@@ -112,8 +112,6 @@ def _daily(spark, start, end, hours=(0,), skip=()):
 
 def _brute_climatology(pdf, fill, window=61):
     """Dense numpy version of the reference algorithm for one cell."""
-    import pandas as pd
-
     w = np.array(climate.window_weights(window))
     h = window // 2
     out = {}
@@ -136,7 +134,6 @@ def _brute_climatology(pdf, fill, window=61):
             den = (w[None, :] * m).sum()
             out[(hour, t + 1)] = (np.nansum(win * w[None, :]) / den) if den > 0 else None
     return out
-    _ = pd
 
 
 def test_climatology_leap_and_gaps(spark):
