@@ -118,7 +118,9 @@ def stencil(df: DataFrame, dims, depth: int = 1, fn: str = "mean", value: str =
     """
     dims = list(dims)
     offsets = list(itertools.product(range(-depth, depth + 1), repeat=len(dims)))
-    off = F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in offsets])).alias("_o")
+    # each offset carries a literal flag: 1 for the cell itself (all zeros)
+    off = F.explode(F.array(*[F.struct(F.array(*[F.lit(o) for o in t]).alias("d"),
+                                       F.lit(int(all(o == 0 for o in t))).alias("z")) for t in offsets])).alias("_o")
 
     def wrap(t, d):
         return F.pmod(t, F.lit(shape[d])) if boundary == "periodic" else t
@@ -126,10 +128,10 @@ def stencil(df: DataFrame, dims, depth: int = 1, fn: str = "mean", value: str =
     agg = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min}[fn](value).alias(f"{fn}_{value}")
     # a target is a grid cell iff some row arrives at offset 0 (the cell itself):
     # no join back to the grid is needed
-    is_self = F.max(F.when(F.aggregate(col("_o"), F.lit(0), lambda a, x: a + F.abs(x)) == 0, 1).otherwise(0))
+    is_self = F.max(col("_o.z"))
     if block is None:
         sent = df.select(*dims, value, off)
-        moved = sent.select(*[wrap(col(d) + col("_o")[k], d).alias(d) for k, d in enumerate(dims)], col(value), "_o")
+        moved = sent.select(*[wrap(col(d) + col("_o.d")[k], d).alias(d) for k, d in enumerate(dims)], col(value), "_o")
         out = moved.groupBy(*dims).agg(agg, is_self.alias("_self"))
         return out.filter(col("_self") == 1).drop("_self")
 
@@ -146,7 +148,7 @@ def stencil(df: DataFrame, dims, depth: int = 1, fn: str = "mean", value: str =
     bcols = ["_blk_" + d for d in dims]
     h = h.repartition(*bcols)
     sent = h.select(*bcols, *dims, value, off)
-    moved = sent.select(*bcols, *[wrap(col(d) + col("_o")[k], d).alias(d) for k, d in enumerate(dims)], col(value),
+    moved = sent.select(*bcols, *[wrap(col(d) + col("_o.d")[k], d).alias(d) for k, d in enumerate(dims)], col(value),
                         "_o")
     # keep only targets owned by the block (each target is reduced in its home block)
     own = None
