@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import line_dedup, mixing, pii
+from sparklab.llm import decontaminate, line_dedup, mixing, pii
 from sparklab.llm.common import read
 
 
@@ -22,5 +22,9 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op4_mixing, op5_pii)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op4_mixing, op5_pii, op9_decontamination)}
 SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL}

@@ -48,7 +48,8 @@ class Words:
         lo, hi = int(offsets[0]), int(offsets[-1])
         self.bytes = np.zeros(hi - lo + 8, dtype=np.uint8)
         self.bytes[:-8] = LOWER[buf[lo:hi]] if lower else buf[lo:hi]
-        bounds = offsets - lo
+        #: byte where each text starts, and the end
+        self.text_start = bounds = offsets - lo
         inside = table[self.bytes[:-8]]
         prev = np.zeros(len(inside) + 1, dtype=bool)
         prev[1:] = inside
