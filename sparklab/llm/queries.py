@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import decontaminate, line_dedup, mixing, pii
+from sparklab.llm import decontaminate, line_dedup, mixing, pii, quality, toxicity
 from sparklab.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.labelled_mix(spark, read(spark, sf_dir, "documents"), sf_dir)
 
@@ -22,9 +26,13 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(read(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op4_mixing, op5_pii, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op4_mixing, op5_pii, op7_toxicity, op9_decontamination)}
 SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL}
