@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklab.llm.common import read
+from sparklab.llm.common import keep, read
 
 #: Weights by rank of the source, repeating; a target stops at this multiple of its source
 WEIGHTS = (1, 2, 3)
@@ -40,10 +40,19 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> Dat
     return s.select("source", "source_size", F.least(F.lit(float(most)) * F.col("source_size"), F.col("_w") * F.max("_level").over(every)).alias("target"))
 
 
+def words_of(column: str) -> Column:
+    return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source and the number of words, without the text."""
+    return docs.select("doc_id", "source", words_of("text").alias("size"))
+
+
 def mix_sources(docs: DataFrame, quality: Column | None = None, seed: str = "mix") -> DataFrame:
     """Words taken of every document: doc_id, source, size, source_size, target, taken.
 
-    ``quality`` is the positive sampling weight of a row (default 1; null 1).
+    ``docs`` has texts, or ``sized`` rows. ``quality`` is the positive sampling weight of a row (default 1; null 1).
     ``taken`` is epochs * size, plus for the fractional part the documents
     with the smallest keys until the remainder is used up; the document at the
     edge gives only its first words, so each source's sum is its target
@@ -54,11 +63,13 @@ def mix_sources(docs: DataFrame, quality: Column | None = None, seed: str = "mix
     documents; equal keys are ordered by doc_id and size, rows equal in those
     too are interchangeable. An empty table gives an empty result.
     """
+    if "text" in docs.columns:
+        docs = docs.withColumn("size", words_of("text"))
     u = (F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13), 16, 10)
          .cast("double") + 0.5) / float(1 << 52)
     weight = F.coalesce(quality, F.lit(1.0)) if quality is not None else F.lit(1.0)
-    d = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                    (-F.log(u) / weight).alias("_key"))
+    # narrow rows, read again for targets, ranges and selection
+    d = keep(docs.select("doc_id", "source", "size", (-F.log(u) / weight).alias("_key")))
     t = targets(d)
     # where a key lies: the keys' own distribution makes the ranges even
     d = d.withColumn("_range", F.least(F.lit(RANGES - 1), F.floor(F.lit(float(RANGES)) * (1 - F.exp(-F.col("_key"))))).cast("int"))
@@ -85,8 +96,7 @@ def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def labelled_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``mix_sources`` with the quality weights of ``labels``; texts are counted before the join."""
-    docs = docs.select("doc_id", "source", "text")
-    return mix_sources(with_labels(docs, read(spark, sf_dir, "labels")), F.col("_quality"))
+    return mix_sources(with_labels(sized(docs), read(spark, sf_dir, "labels")), F.col("_quality"))
 
 
 SQL = r"""
