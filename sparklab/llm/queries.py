@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import decontaminate, line_dedup, mixing, pii, quality, toxicity
+from sparklab.llm import decontaminate, line_dedup, mixing, pii, quality, substring, toxicity
 from sparklab.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.cut_repeats(read(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.labelled_mix(spark, read(spark, sf_dir, "documents"), sf_dir)
 
@@ -34,5 +38,5 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op4_mixing, op5_pii, op7_toxicity, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_substring_dedup, op4_mixing, op5_pii, op7_toxicity, op9_decontamination)}
 SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL}

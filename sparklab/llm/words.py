@@ -74,7 +74,7 @@ class Words:
     def hashes(self, seed: int = 0) -> np.ndarray:
         length = self.end - self.start
         v = np.ndarray((len(self.bytes) - 7,), "<u8", self.bytes, strides=(1,))
-        h = mix(length.astype(np.uint64) + np.uint64(seed * 2 + 1) * _M1)
+        h = mix(length.astype(np.uint64) + np.uint64((seed * 2 + 1) * int(_M1) % (1 << 64)))
         h = mix(h ^ (v[self.start] & _MASKS[np.minimum(length, 8)])) if self.n else h
         rest, at = np.flatnonzero(length > 8), 8
         while rest.size:
