@@ -31,7 +31,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def components(nodes: DataFrame, links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest id reachable over ``links(a, b)`` for each end of a link: (id, component).
 
     Alternating large-star and small-star steps, both grouped aggregates and
@@ -53,5 +53,7 @@ def components(nodes: DataFrame, links: DataFrame, rounds: int = 60) -> DataFram
         if now["n"] == now["d"] and now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components not found in {rounds} rounds")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

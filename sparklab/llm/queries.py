@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import decontaminate, line_dedup, mixing, pii, quality, substring, toxicity
+from sparklab.llm import decontaminate, embeddings, line_dedup, lm, mixing, pii, quality, substring, toxicity
 from sparklab.llm.common import read
 
 
@@ -34,9 +34,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_substring_dedup, op4_mixing, op5_pii, op7_toxicity, op9_decontamination)}
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.dedup(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_substring_dedup, op4_mixing, op5_pii, op7_toxicity, op8_lm_score,
+                                 op9_decontamination, op10_embedding_dedup)}
 SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL}
