@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import decontaminate, embeddings, line_dedup, lm, mixing, pii, quality, substring, toxicity
+from sparklab.llm import decontaminate, embeddings, line_dedup, lm, minhash, mixing, pii, quality, substring, toxicity
 from sparklab.llm.common import read
 
 
@@ -30,6 +30,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(read(spark, sf_dir, "documents"))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = minhash.near_duplicates(read(spark, sf_dir, "documents"), k=2)
+    return d.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -46,6 +51,6 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.dedup(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_substring_dedup, op4_mixing, op5_pii, op7_toxicity, op8_lm_score,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_substring_dedup, op4_mixing, op5_pii, op6_minhash_near_dedup, op7_toxicity, op8_lm_score,
                                  op9_decontamination, op10_embedding_dedup)}
 SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL}
