@@ -15,49 +15,74 @@ def diff_tables(a: DataFrame, b: DataFrame, keys, atol: float = 1e-2, strip: boo
     """Cells that differ between ``a`` and ``b`` (V1): rows are matched on
     ``keys`` plus their rank among equal keys; strings are compared stripped,
     numbers within ``atol`` regardless of type (decimal/date relaxed first).
-    Output ``(keys..., _row, column, a_num, b_num, a_str, b_str)``; rows
-    present on one side only show NULL on the other."""
+    Output ``(keys..., _row, column, a_num, b_num, a_str, b_str, side)``. A row
+    present on one side only is reported once, with column ``<row>`` and the
+    side it is on, whatever its cells hold; a column of one side only is
+    reported for every row of that side. ``side`` is ``both`` for cells."""
     keys = list(keys)
     a, b = relax_schema(a), relax_schema(b)
-    cols = [c for c in a.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*cols)
-    la = a.withColumn("_row", F.row_number().over(w)).select(*keys, "_row", *[col(c).alias("_a_" + c) for c in cols])
-    rb = b.withColumn("_row", F.row_number().over(w)).select(*keys, "_row", *[col(c).alias("_b_" + c) for c in cols])
-    j = la.join(rb, keys + ["_row"], "full_outer")
-    cells = []
-    for c in cols:
-        t = a.schema[c].dataType.typeName()
+    shared = [c for c in a.columns if c not in keys and c in b.columns]
+    lone = [(c, "a", a) for c in a.columns if c not in b.columns] + [(c, "b", b) for c in b.columns if c not in a.columns]
+
+    def ranked(df, side):
+        w = Window.partitionBy(*keys).orderBy(*shared)
+        return df.select(*[col(k).alias(f"_{side}k_{k}") for k in keys], F.row_number().over(w).alias(f"_{side}_row"),
+                         *[col(c).alias(f"_{side}_{c}") for c in df.columns if c not in keys])
+
+    # null-safe match, so a NULL key is a key like any other
+    on = col("_a_row") == col("_b_row")
+    for k in keys:
+        on = on & col(f"_ak_{k}").eqNullSafe(col(f"_bk_{k}"))
+    j = ranked(a, "a").join(ranked(b, "b"), on, "full_outer")
+    side = F.when(col("_b_row").isNull(), "a").when(col("_a_row").isNull(), "b").otherwise("both")
+    none = {"a_num": "double", "b_num": "double", "a_str": "string", "b_str": "string"}
+
+    def cell(name, differs, **values):
+        return F.struct(F.lit(name).alias("column"), *[values.get(n, F.lit(None).cast(t)).cast(t).alias(n) for n, t in none.items()],
+                        differs.alias("_differs"))
+
+    cells = [cell("<row>", col("_side") != "both")]
+    for c in shared:
         x, y = col("_a_" + c), col("_b_" + c)
-        if t in NUMERIC:
+        if a.schema[c].dataType.typeName() in NUMERIC and b.schema[c].dataType.typeName() in NUMERIC:
             same = (x.isNull() & y.isNull()) | (F.abs(x.cast("double") - y.cast("double")) <= atol)
-            cells.append(F.struct(F.lit(c).alias("column"), x.cast("double").alias("a_num"), y.cast("double").alias("b_num"),
-                                  F.lit(None).cast("string").alias("a_str"), F.lit(None).cast("string").alias("b_str"),
-                                  F.coalesce(same, F.lit(False)).alias("_same")))
+            cells.append(cell(c, (col("_side") == "both") & ~F.coalesce(same, F.lit(False)), a_num=x, b_num=y))
         else:
             xs, ys = (F.trim(x.cast("string")), F.trim(y.cast("string"))) if strip else (x.cast("string"), y.cast("string"))
-            same = xs.eqNullSafe(ys)
-            cells.append(F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("a_num"),
-                                  F.lit(None).cast("double").alias("b_num"), xs.alias("a_str"), ys.alias("b_str"),
-                                  same.alias("_same")))
-    exploded = j.select(*keys, "_row", F.explode(F.array(*cells)).alias("_c"))
-    return exploded.filter(~col("_c._same")).select(*keys, "_row", "_c.column", "_c.a_num", "_c.b_num", "_c.a_str", "_c.b_str")
+            cells.append(cell(c, (col("_side") == "both") & ~xs.eqNullSafe(ys), a_str=xs, b_str=ys))
+    for c, s, _ in lone:
+        cells.append(cell(c, col(f"_{s}_row").isNotNull(), **{f"{s}_str": col(f"_{s}_{c}").cast("string")}))
+    out = j.withColumn("_side", side).select(
+        *[F.coalesce(f"_ak_{k}", f"_bk_{k}").alias(k) for k in keys], F.coalesce("_a_row", "_b_row").alias("_row"), "_side",
+        F.explode(F.array(*cells)).alias("_c"))
+    return out.filter(col("_c._differs")).select(*keys, "_row", *[f"_c.{c}" for c in ("column", *none)], col("_side").alias("side"))
 
 
 def register(reg) -> None:
-    from sparklab.plans import tpch, tpch_sql
     from sparklab.tables import Tables
 
     def run(s, d):
-        t = Tables.of(s, d)
-        return diff_tables(tpch.q01(t), tpch.q01(t, ship_cutoff="1998-12-01"), ["l_returnflag", "l_linestatus"])
-
-    body_a = tpch_sql.BODIES["q01"].replace("order by l_returnflag, l_linestatus", "")
-    body_b = body_a.replace("timestamp '1998-09-02'", "timestamp '1998-12-01'")
-    metrics = ["sum_qty", "sum_base_price", "sum_disc_price", "sum_charge", "avg_qty", "avg_price", "avg_disc",
-               "count_order"]
-    unions = " union all ".join(
-        f"select l_returnflag, l_linestatus, 1 as _row, '{m}' as column, cast(a.{m} as double) as a_num, "
-        f"cast(b.{m} as double) as b_num, cast(null as varchar) as a_str, cast(null as varchar) as b_str "
-        f"from a full outer join b using (l_returnflag, l_linestatus) "
-        f"where not coalesce(abs(cast(a.{m} as double) - cast(b.{m} as double)) <= 0.01, false)" for m in metrics)
-    reg.add("diff_tables", run, f"with a as ({body_a}), b as ({body_b}) {unions}")
+        """All orders against an edited copy: some prices moved, some statuses NULL, some rows missing, one column more."""
+        o = Tables.of(s, d).raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+        gone = o.filter(col("o_orderkey") % 97 != 3)
+        b = gone.select("o_orderkey", "o_custkey", F.when(col("o_orderkey") % 89 != 5, col("o_orderstatus")).alias("o_orderstatus"),
+                        (col("o_totalprice") + F.when(col("o_orderkey") % 83 == 7, 1.0).otherwise(0.001)).alias("o_totalprice"),
+                        F.when(col("o_orderkey") % 10 < 9, 1).alias("extra"))
+        a = o.filter(col("o_orderkey") % 101 != 11)
+        r = diff_tables(a, b, ["o_orderkey"])
+        return r.groupBy("column", "side").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"),
+                                               F.count("a_num").alias("a_nums"), F.count("b_str").alias("b_strs"))
+
+    reg.add("diff_tables", run, """
+with a as (select * from orders where o_orderkey % 101 <> 11),
+b as (select o_orderkey, o_custkey, case when o_orderkey % 89 <> 5 then o_orderstatus end as o_orderstatus,
+        o_totalprice + case when o_orderkey % 83 = 7 then 1.0 else 0.001 end as o_totalprice,
+        case when o_orderkey % 10 < 9 then 1 end as extra from orders where o_orderkey % 97 <> 3),
+j as (select coalesce(a.o_orderkey, b.o_orderkey) as k, a.o_orderkey is not null as ina, b.o_orderkey is not null as inb,
+        a.o_orderstatus as sa, b.o_orderstatus as sb, a.o_totalprice as pa, b.o_totalprice as pb, b.extra
+      from a full outer join b on a.o_orderkey = b.o_orderkey),
+c as (select '<row>' as "column", k, case when ina then 'a' else 'b' end as side, null::double as a_num, null::varchar as b_str from j where not (ina and inb)
+  union all select 'o_orderstatus', k, 'both', null, sb from j where ina and inb and sa is distinct from sb
+  union all select 'o_totalprice', k, 'both', pa, null from j where ina and inb and not coalesce(abs(pa - pb) <= 0.01, false)
+  union all select 'extra', k, case when ina then 'both' else 'b' end, null, extra::varchar from j where inb)
+select "column", side, count(*) as n, cast(sum(k) as bigint) as keys, count(a_num) as a_nums, count(b_str) as b_strs from c group by 1, 2""")

@@ -21,16 +21,16 @@ FIXED_BITS = 40
 
 def fixed_sum(c, bits: int = FIXED_BITS) -> Column:
     """Order-independent sum: each value is rounded to a multiple of 2**-bits,
-    summed exactly as decimal and returned as double. Same result in any
-    engine and any row order (floating sums are not)."""
+    summed exactly as decimal(38,0) and returned as double: values up to about
+    1e25 fit. Same result in any engine and any row order (floating sums are not)."""
     c = col(c) if isinstance(c, str) else c
     scale = float(2 ** bits)
-    return F.sum(F.round(c.cast("double") * scale).cast("decimal(20,0)")).cast("double") / scale
+    return F.sum(F.round(c.cast("double") * scale).cast("decimal(38,0)")).cast("double") / scale
 
 
 def fixed_sum_sql(expr: str, bits: int = FIXED_BITS) -> str:
     scale = float(2 ** bits)
-    return f"(cast(sum(cast(round(cast({expr} as double) * {scale}) as decimal(20,0))) as double) / {scale})"
+    return f"(cast(sum(cast(round(cast({expr} as double) * {scale}) as decimal(38,0))) as double) / {scale})"
 
 
 def _agg(fn: str, c: str, fixed: bool) -> Column:
@@ -61,13 +61,19 @@ def grid_reduce(df: DataFrame, keep, aggs: dict, fixed: bool = False) -> DataFra
     return df.groupBy(*keep).agg(*exprs) if keep else df.agg(*exprs)
 
 
-def sum_residuals(df: DataFrame, axis: str, dims, value: str = "value") -> DataFrame:
-    """(a - a.mean(axis)).sum() (G1b). Since the sum of residuals of a line is
-    S - n * mean, it is formed from one aggregate per line; the mean is
-    never joined back to the cells."""
+def residuals(df: DataFrame, axis: str, dims, value: str = "value") -> DataFrame:
+    """``a - a.mean(axis)`` as a grid (G1b): one partial aggregate per line, joined
+    back on the line's dimensions; AQE splits a long line's partition."""
     others = [d for d in dims if d != axis]
-    lines = df.groupBy(*others).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    return lines.agg((F.round(F.sum(col("_s") - col("_n") * (col("_s") / col("_n"))), 6) + F.lit(0.0)).alias("residual_sum"))
+    lines = df.groupBy(*others).agg((fixed_sum(value) / F.count(value)).alias("_mean"))
+    return df.join(lines, others).select(*dims, (col(value) - col("_mean")).alias("residual"))
+
+
+def sum_residuals(df: DataFrame, axis: str, dims, value: str = "value") -> DataFrame:
+    """Sum of the residuals (G1b; zero up to rounding), of their sizes and of their squares."""
+    r = residuals(df, axis, dims, value)
+    return r.agg((F.round(fixed_sum("residual"), 6) + F.lit(0.0)).alias("residual_sum"),
+                 fixed_sum(F.abs("residual")).alias("abs_sum"), fixed_sum(col("residual") * col("residual")).alias("square_sum"))
 
 
 def filtered_mean(df: DataFrame, thresholds, value: str = "value", fixed: bool = False) -> DataFrame:
@@ -105,58 +111,45 @@ def stencil(df: DataFrame, dims, depth: int = 1, fn: str = "mean", value: str =
             boundary: str = "none", shape: dict | None = None, block: int | None = 256) -> DataFrame:
     """Neighbourhood reduction over a (2*depth+1)^d box (G2, ``map_overlap``).
 
-    With ``block`` (default) the grid is laid out in blocks of ``block`` cells
-    per dimension with a halo: every cell goes to its own block, and cells
-    within ``depth`` of a block border are copied to the neighbouring blocks,
-    so about (1 + 2d * depth / block) x the rows are shuffled once, by block.
-    Inside a block each cell sends its value to the targets whose box contains
-    it and one aggregate per (block, target) reduces them; the hash
-    partitioning on the block id already clusters (block, target), so there is
-    no second shuffle. ``block=None`` skips the halo layout (one shuffle of
-    (2*depth+1)^d x the rows). ``boundary="none"`` uses the neighbours that
-    exist; ``"periodic"`` wraps indices modulo ``shape``.
+    The box is separable: one pass per axis reduces 2*depth+1 neighbours, so a
+    cell is sent d * (2*depth+1) times, not (2*depth+1)^d. With ``block``
+    (default) the grid is laid out in blocks of ``block`` cells per dimension:
+    every cell goes to all blocks that its box reaches, also when ``depth`` is
+    larger than a block, and the passes run inside the blocks, so the only
+    shuffle is the one by block. ``block=None`` shuffles once per axis.
+    ``boundary="none"`` uses the neighbours that exist; ``"periodic"`` wraps
+    indices modulo ``shape``.
     """
     dims = list(dims)
-    offsets = list(itertools.product(range(-depth, depth + 1), repeat=len(dims)))
-    # each offset carries a literal flag: 1 for the cell itself (all zeros)
-    off = F.explode(F.array(*[F.struct(F.array(*[F.lit(o) for o in t]).alias("d"),
-                                       F.lit(int(all(o == 0 for o in t))).alias("z")) for t in offsets])).alias("_o")
+    periodic = boundary == "periodic"
 
     def wrap(t, d):
-        return F.pmod(t, F.lit(shape[d])) if boundary == "periodic" else t
-
-    agg = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min}[fn](value).alias(f"{fn}_{value}")
-    # a target is a grid cell iff some row arrives at offset 0 (the cell itself):
-    # no join back to the grid is needed
-    is_self = F.max(col("_o.z"))
-    if block is None:
-        sent = df.select(*dims, value, off)
-        moved = sent.select(*[wrap(col(d) + col("_o.d")[k], d).alias(d) for k, d in enumerate(dims)], col(value), "_o")
-        out = moved.groupBy(*dims).agg(agg, is_self.alias("_self"))
-        return out.filter(col("_self") == 1).drop("_self")
-
-    # halo layout: home block of the cell plus the blocks its box reaches
-    def blocks_of(d):
-        lo = F.floor((wrap(col(d) - depth, d)) / block)
-        home = F.floor(col(d) / block)
-        hi = F.floor((wrap(col(d) + depth, d)) / block)
-        return F.array_distinct(F.array(home, lo, hi)).alias("_b_" + d)
-
-    h = df.select(*dims, value, *[blocks_of(d) for d in dims])
+        return F.pmod(t, F.lit(shape[d])) if periodic else t
+
+    # sums and counts, or extremes, combine over the axes; a target is a cell
+    # of the grid iff a row arrives there over offset 0 in every pass
+    d0 = df.select(*dims, col(value).alias("_v"), F.when(col(value).isNotNull(), 1).otherwise(0).cast("long").alias("_n"),
+                   F.lit(1).alias("_self"))
+    fold = {"mean": F.sum, "sum": F.sum, "max": F.max, "min": F.min}[fn]
+
+    bcols: list[str] = []
+    if block is not None:
+        for d in dims:
+            if periodic:
+                reach = F.array_distinct(F.transform(F.sequence(col(d) - depth, col(d) + depth), lambda t, d=d: F.floor(wrap(t, d) / block)))
+            else:
+                reach = F.sequence(F.floor((col(d) - depth) / block), F.floor((col(d) + depth) / block))
+            d0 = d0.withColumn("_blk_" + d, F.explode(reach))
+        bcols = ["_blk_" + d for d in dims]
+        d0 = d0.repartition(*bcols)
     for d in dims:
-        h = h.withColumn("_blk_" + d, F.explode("_b_" + d)).drop("_b_" + d)
-    bcols = ["_blk_" + d for d in dims]
-    h = h.repartition(*bcols)
-    sent = h.select(*bcols, *dims, value, off)
-    moved = sent.select(*bcols, *[wrap(col(d) + col("_o.d")[k], d).alias(d) for k, d in enumerate(dims)], col(value),
-                        "_o")
-    # keep only targets owned by the block (each target is reduced in its home block)
-    own = None
-    for d in dims:
-        c = F.floor(col(d) / block) == col("_blk_" + d)
-        own = c if own is None else own & c
-    out = moved.filter(own).groupBy(*bcols, *dims).agg(agg, is_self.alias("_self"))
-    return out.filter(col("_self") == 1).drop("_self", *bcols)
+        sent = d0.withColumn("_o", F.explode(F.sequence(F.lit(-depth), F.lit(depth))))
+        sent = sent.withColumn(d, wrap(col(d) + col("_o"), d)).withColumn("_self", F.when(col("_o") == 0, col("_self")).otherwise(0))
+        if block is not None:  # only targets that the block owns on this axis
+            sent = sent.filter(F.floor(col(d) / block) == col("_blk_" + d))
+        d0 = sent.groupBy(*bcols, *dims).agg(fold("_v").alias("_v"), F.sum("_n").alias("_n"), F.max("_self").alias("_self"))
+    result = col("_v") / col("_n") if fn == "mean" else col("_v")
+    return d0.filter(col("_self") == 1).select(*dims, result.alias(f"{fn}_{value}"))
 
 
 def double_diff(a: DataFrame, b: DataFrame, dims=("i", "j"), value: str = "value") -> DataFrame:
@@ -187,13 +180,20 @@ def vorticity(u: DataFrame, v: DataFrame, dx: DataFrame, dy: DataFrame, n0: int,
 
 
 # --------------------------------------------------------- linear algebra
-def matmul(a: DataFrame, b: DataFrame, value: str = "value") -> DataFrame:
-    """C = A B for grids a(i, k), b(k, j): join on the inner index, sum by (i, j).
-    The product has n x m cells by definition; for the workload's reduction
-    (the sum of A A^T) use :func:`gram_sum`, which never forms it."""
-    l = a.select(col("i"), col("j").alias("_k"), col(value).alias("_a"))
-    r = b.select(col("i").alias("_k"), col("j"), col(value).alias("_b"))
-    return l.join(r, "_k").groupBy("i", "j").agg(F.sum(col("_a") * col("_b")).alias(value))
+def matmul(a: DataFrame, b: DataFrame, value: str = "value", block: int = 1024) -> DataFrame:
+    """C = A B for grids a(i, k), b(k, j) (G5), in blocks of the result.
+
+    Cells of A are copied to every column block and cells of B to every row
+    block of C, so the join key (k, row block, column block) meets at most
+    ``block`` x ``block`` pairs however large n and m are. For the workload's
+    reduction (the sum of A A^T) use :func:`gram_sum`, which never forms it."""
+    last = lambda df, c: F.coalesce(F.floor(df.agg(F.max(c)).scalar() / block), F.lit(0)).cast("long")
+    zero = F.lit(0).cast("long")
+    l = a.select("i", col("j").alias("_k"), col(value).alias("_a"), F.floor(col("i") / block).cast("long").alias("_bi"),
+                 F.explode(F.sequence(zero, last(b, "j"))).alias("_bj"))
+    r = b.select(col("i").alias("_k"), "j", col(value).alias("_b"), F.floor(col("j") / block).cast("long").alias("_bj"),
+                 F.explode(F.sequence(zero, last(a, "i"))).alias("_bi"))
+    return l.join(r, ["_k", "_bi", "_bj"]).groupBy("i", "j").agg(fixed_sum(col("_a") * col("_b")).alias(value))
 
 
 def transpose(a: DataFrame) -> DataFrame:
@@ -249,15 +249,23 @@ def ols(df: DataFrame, row: str = "i", feature: str = "j", value: str = "value",
 
 
 # -------------------------------------------------------------- re-layout
-def rechunk(df: DataFrame, dims, blocks: dict, value: str = "value") -> DataFrame:
+def rechunk(df: DataFrame, dims, blocks: dict, value: str = "value", max_cells: int = 8192) -> DataFrame:
     """Re-layout into blocks (O7): block id per dimension = index div size;
     one shuffle by block id; each block packed as a sorted array of
-    (index..., value) structs, whose length is bounded by the block size."""
+    (index..., value) structs.
+
+    A size of ``None`` asks for the whole axis. A block never holds more than
+    ``max_cells`` cells, so arrays stay the same size as data grow: a whole
+    axis longer than that is split into numbered pieces, and the other axes
+    are narrowed to what is left of the budget."""
     dims = list(dims)
-    bcols = [(F.floor(col(d) / F.lit(blocks[d])) if d in blocks else F.lit(0)).cast("long").alias(f"block_{d}")
-             for d in dims]
-    keyed = df.select(*bcols, *dims, value)
+    left, size = F.lit(max_cells).cast("long"), {}
+    for d in sorted(dims, key=lambda d: blocks.get(d) is not None):  # whole axes first
+        want = F.lit(blocks[d]).cast("long") if blocks.get(d) is not None else df.agg((F.max(d) + 1).cast("long")).scalar()
+        size[d] = F.greatest(F.lit(1).cast("long"), F.least(want, left))
+        left = F.greatest(F.lit(1).cast("long"), F.floor(left / size[d]).cast("long"))
     bnames = [f"block_{d}" for d in dims]
+    keyed = df.select(*[F.floor(col(d) / size[d]).cast("long").alias(n) for d, n in zip(dims, bnames, strict=True)], *dims, value)
     return (keyed.repartition(*bnames)
             .groupBy(*bnames)
             .agg(F.sort_array(F.collect_list(F.struct(*dims, value))).alias("cells")))
@@ -269,9 +277,9 @@ def unpack(blocks_df: DataFrame) -> DataFrame:
 
 # ============================================================ registration
 LAYOUTS = {
-    # name: block sizes over (i, j) of the embedding grid
-    "tiles_to_rows": {"i": 1 << 30, "j": 8},
-    "swap_axes": {"i": 16, "j": 1 << 30},
+    # name: block sizes over (i, j) of the embedding grid, None for the whole axis
+    "tiles_to_rows": {"i": None, "j": 8},
+    "swap_axes": {"i": 16, "j": None},
     "adjacent_groups": {"i": 50, "j": 5},
     "heal_oversplit": {"i": 128, "j": 64},
 }
@@ -296,8 +304,10 @@ def register(reg) -> None:
     reg.add("grid_total", lambda s, d: grid_reduce(g(s, d), [], {"value": ["sum", "count"]}, fixed=True),
             sql(f"select {fixed_sum_sql('value')} as sum_value, count(value) as count_value from eg"))
     reg.add("sum_residuals", lambda s, d: sum_residuals(g(s, d), "i", ["i", "j"]),
-            sql("""select round(sum(s - n * (s / n)), 6) + 0.0 as residual_sum from
-                   (select j, sum(value) as s, count(value) as n from eg group by j)"""))
+            sql(f"""select round({fixed_sum_sql('r')}, 6) + 0.0 as residual_sum, {fixed_sum_sql('abs(r)')} as abs_sum,
+                   {fixed_sum_sql('r * r')} as square_sum
+                   from (select eg.value - m.mean as r from eg join
+                     (select j, {fixed_sum_sql('value')} / count(value) as mean from eg group by j) m on eg.j = m.j)"""))
     ths = [0.05, 0.1, 0.2, 0.3]
     reg.add("filtered_mean", lambda s, d: filtered_mean(g(s, d), ths, fixed=True),
             sql(" union all ".join(
@@ -340,10 +350,15 @@ def register(reg) -> None:
 
     def ols_fit(s, d):
         t = Tables.of(s, d)
-        _, fitted = ols(g(s, d), y=t.embeddings.select(col("vec_id").alias("i"), col("label").alias("y")))
-        return fitted.select("i", F.round("y_hat", 4).alias("y_hat"))
+        y = t.embeddings.select(col("vec_id").alias("i"), col("label").cast("double").alias("y"))
+        _, fitted = ols(g(s, d), y=y)
+        # the normal equations hold: X'(y - y_hat) = 0 for every feature
+        e = g(s, d).join(y, "i").join(fitted, "i")
+        return e.groupBy("j").agg(fixed_sum(col("value") * col("y")).alias("xty"),
+                                  (F.round(fixed_sum(col("value") * (col("y") - col("y_hat"))), 4) + F.lit(0.0)).alias("gradient"))
 
-    reg.add("ols", ols_fit, None)
+    reg.add("ols", ols_fit, sql(f"""select eg.j, {fixed_sum_sql('eg.value * e.label')} as xty, cast(0.0 as double) as gradient
+                   from eg join embeddings e on eg.i = e.vec_id group by eg.j"""))
 
     def relayout(s, d):
         e = g(s, d)
@@ -352,12 +367,24 @@ def register(reg) -> None:
             r = rechunk(e, ["i", "j"], b)
             outs.append(r.select(F.lit(name).alias("layout"), F.size("cells").alias("_n"),
                                  F.aggregate("cells", F.lit(0).cast("decimal(38,0)"),
-                                             lambda acc, c: acc + F.round(c["value"] * float(2 ** FIXED_BITS)).cast("decimal(20,0)")
+                                             lambda acc, c: acc + F.round(c["value"] * float(2 ** FIXED_BITS)).cast("decimal(38,0)")
                                              ).alias("_s"))
                         .groupBy("layout").agg(F.count(F.lit(1)).alias("n_blocks"), F.sum("_n").cast("bigint").alias("n_cells"),
                                                (F.sum("_s").cast("double") / float(2 ** FIXED_BITS)).alias("total")))
         return reduce(DataFrame.unionByName, outs)
 
+    def sized(b, d, other):
+        """Size of axis d in SQL, by the same rule."""
+        full = f"(select max({d}) + 1 from eg)"
+        if b[d] is None:
+            return f"least({full}, 8192)"
+        if b[other] is None:
+            return f"greatest(1, least({b[d]}, 8192 // least((select max({other}) + 1 from eg), 8192)))"
+        return str(b[d])
+
     reg.add("rechunk", relayout, sql(" union all ".join(
-        f"""select '{name}' as layout, count(distinct (i // {b['i']}, j // {b['j']})) as n_blocks, count(*) as n_cells,
-                   {fixed_sum_sql('value')} as total from eg""" for name, b in LAYOUTS.items())))
+        f"""select '{name}' as layout, count(distinct (i // {sized(b, 'i', 'j')}, j // {sized(b, 'j', 'i')})) as n_blocks,
+                   count(*) as n_cells, {fixed_sum_sql('value')} as total from eg""" for name, b in LAYOUTS.items())))
+    reg.add("matmul", lambda s, d: matmul(transpose(g(s, d)), g(s, d), block=16),
+            sql(f"""select a.j as i, b.j as j, {fixed_sum_sql('a.value * b.value')} as value
+                    from eg a join eg b on a.i = b.i group by 1, 2"""))
