@@ -8,7 +8,7 @@ nation), so their work grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparklab.functions.dates import ts_lit
@@ -18,13 +18,14 @@ col = F.col
 
 # ------------------------------------------------------------- fixtures
 def ship_grid(lineitem: DataFrame) -> DataFrame:
-    """Daily grid over 2 x 3 cells: shipped quantity per (day, cell)."""
-    return (lineitem.groupBy(col("l_shipdate").alias("time"), (col("l_linenumber") % 2).cast("int").alias("latitude"),
+    """Six-hourly grid over 2 x 3 cells: shipped quantity per (time, cell); the hour is 6 * (order key % 4)."""
+    time = col("l_shipdate") + F.make_dt_interval(F.lit(0), (col("l_orderkey") % 4 * 6).cast("int"))
+    return (lineitem.groupBy(time.alias("time"), (col("l_linenumber") % 2).cast("int").alias("latitude"),
                              (col("l_suppkey") % 3).cast("int").alias("longitude"))
             .agg(F.sum("l_quantity").alias("value")))
 
 
-SHIP_GRID_SQL = """sg as (select l_shipdate as time, cast(l_linenumber % 2 as integer) as latitude,
+SHIP_GRID_SQL = """sg as (select l_shipdate + to_hours(cast(l_orderkey % 4 * 6 as integer)) as time, cast(l_linenumber % 2 as integer) as latitude,
     cast(l_suppkey % 3 as integer) as longitude, sum(l_quantity) as value from lineitem group by 1, 2, 3)"""
 
 
@@ -134,28 +135,21 @@ def eddy_fluxes_daily(df: DataFrame, variables=("U", "V", "T", "W"), zonal: str
                       keys=("time", "level", "latitude"), fixed: bool = False) -> DataFrame:
     """Zonal means and eddy fluxes uv, vt, uw, then daily means.
 
-    Anomalies against the zonal mean use a window over (time, level,
-    latitude) - one shuffle - then two aggregates: per hour, then per day.
+    The mean product of two anomalies against the zonal mean is
+    ``mean(xy) - mean(x) * mean(y)``, so one partial aggregate per (time,
+    level, latitude) gives means and fluxes; cells are never joined back or
+    sorted. With ``fixed`` the sums are exact, so the difference is not
+    blurred by rounding of the sums. A second aggregate gives daily means.
     """
     keys = list(keys)
     U, V, T, Wv = variables
-    wz = Window.partitionBy(*keys)
-    def wmean(x):
-        if not fixed:
-            return F.avg(x).over(wz)
-        scale = float(2 ** 40)
-        s_ = F.sum(F.round(col(x).cast("double") * scale).cast("decimal(20,0)")).over(wz).cast("double") / scale
-        return s_ / F.count(x).over(wz)
-
-    anom = df.select(*keys, *[(col(x) - wmean(x)).alias("_" + x) for x in variables],
-                     *[col(x) for x in variables])
-    hourly = anom.groupBy(*keys).agg(
-        *[_mean(x, fixed).alias(x) for x in variables],
-        _mean(col("_" + U) * col("_" + V), fixed).alias("uv"), _mean(col("_" + V) * col("_" + T), fixed).alias("vt"),
-        _mean(col("_" + U) * col("_" + Wv), fixed).alias("uw"))
+    pairs = {"uv": (U, V), "vt": (V, T), "uw": (U, Wv)}
+    sums = df.groupBy(*keys).agg(*[_mean(x, fixed).alias(x) for x in variables],
+                                 *[_mean(col(x) * col(y), fixed).alias("_" + n) for n, (x, y) in pairs.items()])
+    hourly = sums.select(*keys, *variables, *[(col("_" + n) - col(x) * col(y)).alias(n) for n, (x, y) in pairs.items()])
     rest = [k for k in keys if k != "time"]
     return hourly.groupBy(F.date_trunc("day", "time").alias("time"), *rest).agg(
-        *[_mean(x, fixed).alias(x) for x in list(variables) + ["uv", "vt", "uw"]])
+        *[_mean(x, fixed).alias(x) for x in list(variables) + list(pairs)])
 
 
 def group_mean(df: DataFrame, by: str, cells, value: str = "value", time: str = "time") -> DataFrame:
@@ -165,15 +159,20 @@ def group_mean(df: DataFrame, by: str, cells, value: str = "value", time: str =
     return df.groupBy(fn(time).alias(by), *cells).agg(F.avg(value).alias(value))
 
 
-def anomaly_mean(df: DataFrame, by: str, cells, value: str = "value", time: str = "time") -> DataFrame:
-    """Mean over time of (value - mean of its group) per cell (G12). Per
-    group the anomalies sum to S - n * (S / n), so one aggregate per
-    (cell, group) suffices; no join back to the cells."""
+def anomalies(df: DataFrame, by: str, cells, value: str = "value", time: str = "time") -> DataFrame:
+    """``value - mean of its calendar group`` as a grid (G12): one partial aggregate
+    per (cell, group), joined back; AQE splits a hot group's partition."""
     cells = list(cells)
     fn = {"month": F.month, "dayofyear": F.dayofyear, "dayofmonth": F.dayofmonth, "hour": F.hour}[by]
-    grp = df.groupBy(*cells, fn(time).alias("_g")).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    return grp.groupBy(*cells).agg(
-        (F.round(F.sum(col("_s") - col("_n") * (col("_s") / col("_n"))) / F.sum("_n"), 6) + F.lit(0.0)).alias("anomaly_mean"))
+    means = group_mean(df, by, cells, value, time).withColumnRenamed(value, "_mean")
+    return df.withColumn(by, fn(time)).join(means, [by, *cells]).select(time, *cells, (col(value) - col("_mean")).alias("anomaly"))
+
+
+def anomaly_mean(df: DataFrame, by: str, cells, value: str = "value", time: str = "time") -> DataFrame:
+    """Mean over time of the anomalies per cell (G12; zero up to rounding), and of their sizes."""
+    a = anomalies(df, by, cells, value, time)
+    return a.groupBy(*cells).agg((F.round(F.avg("anomaly"), 6) + F.lit(0.0)).alias("anomaly_mean"),
+                                 F.round(F.avg(F.abs("anomaly")), 6).alias("anomaly_size"))
 
 
 # ----------------------------------------------------------------- G8
@@ -237,12 +236,17 @@ def bilinear_weights(spark, src_lat0: float, src_dlat: float, src_nlat: int, src
 
 
 def regrid(df: DataFrame, weights: DataFrame, value: str = "value", keys=("time",)) -> DataFrame:
-    """Apply a sparse weight matrix: join on the source cell and normalise by
-    the weights of the sources that have a value (G14)."""
+    """Apply a sparse weight matrix (G14). A target with a missing source -
+    a NULL value or no row for that time - is NULL, as missing values
+    propagate by default in the workload's regridder; a target of which all
+    source rows are absent has no row. The full number of sources per target
+    comes from the weights."""
     keys = list(keys)
-    j = (df.filter(col(value).isNotNull()).select(*keys, col("src_i"), col("src_j"), col(value).alias("_v"))
-         .join(weights, ["src_i", "src_j"]))
-    return j.groupBy(*keys, "dst_i", "dst_j").agg((F.sum(col("w") * col("_v")) / F.sum("w")).alias(value))
+    need = weights.groupBy("dst_i", "dst_j").agg(F.count(F.lit(1)).alias("_need"))
+    j = df.select(*keys, "src_i", "src_j", col(value).alias("_v")).join(weights, ["src_i", "src_j"])
+    g = j.groupBy(*keys, "dst_i", "dst_j").agg(F.count("_v").alias("_n"), F.sum(col("w") * col("_v")).alias("_s"), F.sum("w").alias("_w"))
+    return g.join(need, ["dst_i", "dst_j"]).select(
+        *keys, "dst_i", "dst_j", F.when(col("_n") == col("_need"), col("_s") / col("_w")).alias(value))
 
 
 # ============================================================ registration
@@ -313,24 +317,18 @@ from contrib group by hour, dayofyear, latitude, longitude"""))
     reg.add("quadratic_mean", lambda s, d: quadratic_mean(eg(s, d), "U", "V", ["level", "latitude", "longitude"], fixed=True),
             sql(f"""select level, latitude, longitude, {fm('U * U')} as U2, {fm('V * V')} as V2, {fm('U * V')} as UV
                     from eg4 group by 1, 2, 3"""))
-    win = "over (partition by time, level, latitude)"
-
-    def fmw(e):
-        return (f"(cast(sum(cast(round(cast({e} as double) * {float(2 ** 40)}) as decimal(20,0))) {win} as double)"
-                f" / {float(2 ** 40)}) / count({e}) {win}")
-
     reg.add("eddy_fluxes", lambda s, d: eddy_fluxes_daily(eg(s, d), fixed=True), sql(f"""
-with a as (select *, U - {fmw('U')} as au, V - {fmw('V')} as av, T - {fmw('T')} as at_, W - {fmw('W')} as aw from eg4),
-h as (select time, level, latitude, {fm('U')} as U, {fm('V')} as V, {fm('T')} as T, {fm('W')} as W,
-             {fm('au * av')} as uv, {fm('av * at_')} as vt, {fm('au * aw')} as uw from a group by 1, 2, 3)
+with h as (select time, level, latitude, {fm('U')} as U, {fm('V')} as V, {fm('T')} as T, {fm('W')} as W,
+             {fm('U * V')} - {fm('U')} * ({fm('V')}) as uv, {fm('V * T')} - {fm('V')} * ({fm('T')}) as vt,
+             {fm('U * W')} - {fm('U')} * ({fm('W')}) as uw from eg4 group by 1, 2, 3)
 select date_trunc('day', time) as time, level, latitude, {fm('U')} as U, {fm('V')} as V, {fm('T')} as T, {fm('W')} as W,
        {fm('uv')} as uv, {fm('vt')} as vt, {fm('uw')} as uw from h group by 1, 2, 3"""))
     reg.add("group_mean_month", lambda s, d: group_mean(sg(s, d), "month", ["latitude", "longitude"]).withColumn(
         "value", F.round("value", 6)), sql("""
 select cast(month(time) as integer) as month, latitude, longitude, round(avg(value), 6) as value from sg group by 1, 2, 3"""))
     reg.add("anomaly_mean", lambda s, d: anomaly_mean(sg(s, d), "dayofmonth", ["latitude", "longitude"]), sql("""
-select latitude, longitude, round(sum(s - n * (s / n)) / sum(n), 6) + 0.0 as anomaly_mean from
-  (select latitude, longitude, dayofmonth(time) as g, sum(value) as s, count(value) as n from sg group by 1, 2, 3)
+select latitude, longitude, round(avg(a), 6) + 0.0 as anomaly_mean, round(avg(abs(a)), 6) as anomaly_size from
+  (select latitude, longitude, value - avg(value) over (partition by latitude, longitude, dayofmonth(time)) as a from sg)
 group by 1, 2"""))
 
     def scenes(s, d):
@@ -374,12 +372,16 @@ select time, region, round(avg(value), 4) as value from grid join r using (y, x)
         li = Tables.of(s, d).raw("lineitem")
         src = li.groupBy(F.year("l_shipdate").alias("time"), (col("l_partkey") % 12).cast("int").alias("src_i"),
                          (col("l_suppkey") % 24).cast("int").alias("src_j")).agg(F.avg("l_quantity").alias("value"))
+        # land: cells without a value
+        src = src.withColumn("value", F.when((col("src_i") * 5 + col("src_j") * 3 + col("time")) % 11 != 0, col("value")))
         wts = bilinear_weights(s, -82.5, 15.0, 12, 24, -75.0, 30.0, 6, 12)
         return regrid(src, wts).withColumn("value", F.round("value", 6))
 
     reg.add("regrid", regridded, sql("""
 with src as (select cast(year(l_shipdate) as integer) as time, cast(l_partkey % 12 as integer) as src_i,
-                    cast(l_suppkey % 24 as integer) as src_j, avg(l_quantity) as value from lineitem group by 1, 2, 3),
+                    cast(l_suppkey % 24 as integer) as src_j,
+                    case when (cast(l_partkey % 12 as integer) * 5 + cast(l_suppkey % 24 as integer) * 3 + cast(year(l_shipdate) as integer)) % 11 <> 0
+                      then avg(l_quantity) end as value from lineitem group by 1, 2, 3),
 d as (select cast(i as integer) as dst_i, cast(j as integer) as dst_j, -75.0 + i * 30.0 as lat, j * 30.0 as lon from range(6) t(i), range(12) u(j)),
 d2 as (select *, (lat - (-82.5)) / 15.0 as fi, lon / 15.0 as fj from d),
 d3 as (select *, cast(floor(fi) as integer) as i0, cast(floor(fj) as integer) as j0 from d2),
@@ -388,6 +390,7 @@ c as (select dst_i, dst_j, i0 + di as src_i, ((j0 + dj) % 24 + 24) % 24 as src_j
              (case when di = 1 then ty else 1 - ty end) * (case when dj = 1 then tx else 1 - tx end) as w
       from d4, (values (0, 0), (0, 1), (1, 0), (1, 1)) t(di, dj)),
 inside as (select dst_i, dst_j from c where w > 0 group by 1, 2 having min(src_i) >= 0 and max(src_i) < 12),
-wts as (select c.* from c join inside using (dst_i, dst_j) where w > 0)
-select time, dst_i, dst_j, round(sum(w * value) / sum(w), 6) as value
-from src join wts using (src_i, src_j) group by 1, 2, 3"""))
+wts as (select c.* from c join inside using (dst_i, dst_j) where w > 0),
+need as (select dst_i, dst_j, count(*) as n from wts group by 1, 2)
+select time, dst_i, dst_j, round(case when count(value) = any_value(n) then sum(w * value) / sum(w) end, 6) as value
+from src join wts using (src_i, src_j) join need using (dst_i, dst_j) group by 1, 2, 3"""))

@@ -23,6 +23,7 @@ BOROUGH_MAPPING = {
     "Unknown": "Unknown",
 }
 
+# The categorical columns of the trip table.
 TRIP_CATEGORIES = ["hvfhs_license_num", "PULocationID", "DOLocationID", "wav_request_flag", "accessible_vehicle",
                    "pickup_month", "pickup_dow", "pickup_hour", "PUBorough", "DOBorough",
                    "PUSuperborough_DOSuperborough"]
@@ -64,7 +65,7 @@ def categorize(df: DataFrame, cols, suffix: str = "_code") -> DataFrame:
     among the column's sorted distinct values (numbers numerically, strings
     alphabetically), 0-based. The distinct values are numbered by a
     range-partitioned sort (:func:`relational.number_rows`) and the
-    dictionary is joined back, broadcast after a size check."""
+    dictionary is joined back without a hint."""
     from sparklab.operators.relational import number_rows
 
     out = df

@@ -106,6 +106,11 @@ def grid_slice(df: DataFrame, sel: dict) -> DataFrame:
     return df.filter(cond)
 
 
+def _unary(f):
+    """``f`` with one visible argument, as higher-order functions ask for."""
+    return lambda x: f(x)
+
+
 # ------------------------------------------------------- neighbourhoods
 def stencil(df: DataFrame, dims, depth: int = 1, fn: str = "mean", value: str = "value",
             boundary: str = "none", shape: dict | None = None, block: int | None = 256) -> DataFrame:
@@ -136,7 +141,8 @@ def stencil(df: DataFrame, dims, depth: int = 1, fn: str = "mean", value: str =
     if block is not None:
         for d in dims:
             if periodic:
-                reach = F.array_distinct(F.transform(F.sequence(col(d) - depth, col(d) + depth), lambda t, d=d: F.floor(wrap(t, d) / block)))
+                block_of = lambda t, n=shape[d]: F.floor(F.pmod(t, F.lit(n)) / block)
+                reach = F.array_distinct(F.transform(F.sequence(col(d) - depth, col(d) + depth), _unary(block_of)))
             else:
                 reach = F.sequence(F.floor((col(d) - depth) / block), F.floor((col(d) + depth) / block))
             d0 = d0.withColumn("_blk_" + d, F.explode(reach))

@@ -13,13 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparklab.functions.dates import ts_lit
-from sparklab.operators.relational import top_n_per_group
+from sparklab.operators.relational import exact_quantile, top_n_per_group
 
 col = F.col
 GIB = 1024 ** 3
 METRICS = ("duration", "average_memory", "peak_memory")
-# Library picked by user_id % 4 in the fixture runs table.
-LIBRARIES = ["dataframe", "duckdb", "polars", "pyspark"]
 
 
 def derive_runs(events: DataFrame) -> DataFrame:
@@ -31,7 +29,7 @@ def derive_runs(events: DataFrame) -> DataFrame:
         F.expr("event_id div 10").alias("session_id"),
         F.concat(col("event_type"), F.lit("["), (u % 5).cast("string"), F.lit("]")).alias("name"),
         col("event_type").alias("originalname"),
-        F.concat(F.lit("benchmarks/test_"), col("event_type"), F.lit(".py")).alias("path"),
+        F.concat(F.lit("suite/test_"), col("event_type"), F.lit(".py")).alias("path"),
         F.concat(F.lit("py"), (u % 2).cast("string")).alias("runtime"),
         F.concat(F.lit("3."), (10 + u % 3).cast("string"), F.lit("."), (u % 7).cast("string")).alias("python_version"),
         F.when(u % 6 == 0, "AB_baseline").when(u % 6 == 1, "AB_candidate")
@@ -50,7 +48,7 @@ def derive_runs(events: DataFrame) -> DataFrame:
 
 RUNS_CTE = """runs as (select event_id as id, event_id // 10 as session_id,
     event_type || '[' || cast(user_id % 5 as varchar) || ']' as name, event_type as originalname,
-    'benchmarks/test_' || event_type || '.py' as path, 'py' || cast(user_id % 2 as varchar) as runtime,
+    'suite/test_' || event_type || '.py' as path, 'py' || cast(user_id % 2 as varchar) as runtime,
     '3.' || cast(10 + user_id % 3 as varchar) || '.' || cast(user_id % 7 as varchar) as python_version,
     case when user_id % 6 = 0 then 'AB_baseline' when user_id % 6 = 1 then 'AB_candidate'
          else '0.' || cast(user_id % 4 as varchar) || '.0' end as runtime_version,
@@ -101,33 +99,32 @@ def detect_regressions(runs: DataFrame, now: str, n_last: int = 3, n_std: float
     limit); counts and the latest start come from a partial aggregate.
     """
     keys = list(keys)
-    passed = load_runs(runs)
-    # unpivot metrics so every statistic is one grouped aggregate
-    long = passed.select(
-        *keys, "path", "start", "id",
-        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), col(m).cast("double").alias("v")) for m in METRICS])
-                  ).alias("_m"),
-    ).select(*keys, "path", "start", "id", col("_m.metric").alias("metric"), col("_m.v").alias("v"))
-    gk = keys + ["metric"]
-    totals = long.groupBy(*gk).agg(
-        F.count("v").alias("_nonnull"), F.max("start").alias("_latest"),
+    passed = load_runs(runs).select(*keys, "path", "start", "id", *[col(m).cast("double").alias(m) for m in METRICS])
+    # the order (start, id) is the same for all metrics: rank once, then unpivot
+    # the 10 + n rows that are left of each test
+    totals = passed.groupBy(*keys).agg(
+        *[F.count(m).alias(f"_nn_{m}") for m in METRICS], F.max("start").alias("_latest"),
         F.min(F.split_part(col("path"), F.lit("/"), F.lit(1))).alias("category"))
-    recent = top_n_per_group(long, gk, [col("start").desc(), col("id").desc()], 10 + n_last)
-    w = Window.partitionBy(*gk).orderBy(col("start").desc(), col("id").desc())
-    ranked = recent.withColumn("_rn", F.row_number().over(w))
-    base = F.when((col("_rn") > n_last) & (col("_rn") <= n_last + 10), col("v"))
-    last = F.when(col("_rn") <= n_last, col("v"))
-    stats = ranked.groupBy(*gk).agg(
+    w = Window.partitionBy(*keys).orderBy(col("start").desc(), col("id").desc())
+    recent = passed.withColumn("_rn", F.row_number().over(w)).filter(col("_rn") <= 10 + n_last)
+    long = recent.select(*keys, "_rn", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), col(m).alias("v")) for m in METRICS])).alias("_m"))
+    base = F.when(col("_rn") > n_last, col("_m.v"))
+    last = F.when(col("_rn") <= n_last, col("_m.v"))
+    stats = long.groupBy(*keys, col("_m.metric").alias("metric")).agg(
         F.avg(base).alias("mean"), F.stddev_samp(base).alias("_std"),
         F.min(last).alias("_last_min"), F.count(last).alias("_last_n"),
-        *[F.max(F.when(col("_rn") == i + 1, col("v"))).alias(f"_last{i}") for i in range(max(n_last, 3))],
+        *[F.max(F.when(col("_rn") == i + 1, col("_m.v"))).alias(f"_last{i}") for i in range(max(n_last, 3))],
     )
+    nonnull = None
+    for m in METRICS:
+        hit = col("metric") == m
+        nonnull = F.when(hit, col(f"_nn_{m}")) if nonnull is None else nonnull.when(hit, col(f"_nn_{m}"))
     unit = F.when(col("metric") == "duration", F.lit(1.0)).otherwise(F.lit(float(GIB)))
     norm = F.when(col("metric") == "duration", F.lit(1.0)).otherwise(F.lit(1.0 / GIB))
     threshold = col("mean") + F.greatest(F.lit(n_std) * col("_std"), unit)
     out = (
-        stats.join(totals, gk)
-        .filter((col("_nonnull") > 10 + n_last) & (col("_latest") >= ts_lit(now) - F.expr(f"INTERVAL {idle_days} DAYS")))
+        stats.join(totals, keys)
+        .filter((nonnull > 10 + n_last) & (col("_latest") >= ts_lit(now) - F.expr(f"INTERVAL {idle_days} DAYS")))
         .withColumn("threshold", threshold)
         .filter((col("_last_n") == n_last) & (col("_last_min") >= col("threshold")))
     )
@@ -156,14 +153,15 @@ def ab_confidence(runs: DataFrame, metric: str, a: str, b: str, reps: int = 1000
     by = list(by)
     g = by + [runtime_col]
     d = runs.filter(col(runtime_col).isin(a, b) & col(metric).isNotNull())
-    # groups are keyed by a 64-bit hash in the fan-out stages (cheap to shuffle
+    # groups are keyed by a 128-bit hash in the fan-out stages (cheap to shuffle
     # and hash-aggregate); names are joined back once per group at the end.
     # Runs are numbered per group by a range-partitioned sort, so a test with
     # a third of all runs is not numbered by one task.
     from sparklab.operators.relational import rank_within_groups
 
     numbered = rank_within_groups(d.select(*g, "id", "start", col(metric).alias("_v")), g, ["start", "id"])
-    numbered = numbered.withColumn("_gid", F.xxhash64(*g))
+    # two hashes of the keys: 128 bits tell tests apart
+    numbered = numbered.withColumn("_gid", F.struct(F.xxhash64(*g).alias("x"), F.xxhash64(F.lit(1), *g).alias("y")))
     sizes = numbered.groupBy("_gid").agg(F.count(F.lit(1)).alias("_n"))
     names = numbered.select("_gid", *g).distinct()
     spark = numbered.sparkSession
@@ -238,9 +236,16 @@ def summarise(runs: DataFrame, by, metric: str = "duration", days: int = 7, scal
     recent = runs.filter((col("end") > cutoff - F.expr(f"INTERVAL {days} DAYS")) & (col("call_outcome") == "passed"))
     v = col(metric)
     mean = F.avg(v) if scale is None else F.sum(v.cast(f"decimal(18,{scale})")).cast("double") / F.count(v)
-    return recent.groupBy(*by).agg(
-        F.count(v).alias("count"), F.min(v).alias("min"), F.median(v).alias("median"), mean.alias("mean"),
-        F.max(v).alias("max"), F.round(F.stddev_samp(v), 6).alias("std"))
+    rest = recent.groupBy(*by).agg(
+        F.count(v).alias("count"), F.min(v).alias("min"), mean.alias("mean"), F.max(v).alias("max"),
+        F.round(F.stddev_samp(v), 6).alias("std"))
+    # by rank selection: no task holds the values of a test
+    middle = exact_quantile(recent, by, metric, 0.5, name="median").select(*[col(k).alias(f"_k_{k}") for k in by], "median")
+    on = None
+    for k in by:
+        c = rest[k].eqNullSafe(middle[f"_k_{k}"])
+        on = c if on is None else on & c
+    return rest.join(middle, on, "left").select(*by, "count", "min", "median", "mean", "max", "std")
 
 
 def axis_bounds(runs: DataFrame, by, metric: str = "duration", days: int = 30) -> DataFrame:
@@ -316,7 +321,8 @@ def register(reg) -> None:
         "id", "name", "start", "call_outcome"), """
 select id, name, start, call_outcome from runs
 where platform = 'linux' and call_outcome in ('passed', 'failed') and start >= timestamp '2024-01-15'""")
-    add("regressions", lambda s, d: detect_regressions(runs(s, d), NOW, n_last=1), f"""
+    def regressions_sql(n):
+        return f"""
 with passed as (select * from runs where platform = 'linux' and call_outcome = 'passed'),
 long as (select runtime, name, path, start, id, 'duration' as metric, cast(duration as double) as v from passed
    union all select runtime, name, path, start, id, 'average_memory', cast(average_memory as double) from passed
@@ -325,19 +331,22 @@ ranked as (select *, row_number() over (partition by runtime, name, metric order
 totals as (select runtime, name, metric, count(v) as nn, max(start) as latest,
            min(split_part(path, '/', 1)) as category from long group by 1, 2, 3),
 stats as (select runtime, name, metric,
-    avg(case when rn > 1 and rn <= 11 then v end) as mean,
-    stddev_samp(case when rn > 1 and rn <= 11 then v end) as sd,
-    min(case when rn <= 1 then v end) as last_min, count(case when rn <= 1 then v end) as last_n,
+    avg(case when rn > {n} and rn <= {n + 10} then v end) as mean,
+    stddev_samp(case when rn > {n} and rn <= {n + 10} then v end) as sd,
+    min(case when rn <= {n} then v end) as last_min, count(case when rn <= {n} then v end) as last_n,
     max(case when rn = 1 then v end) as l0, max(case when rn = 2 then v end) as l1,
     max(case when rn = 3 then v end) as l2
-  from ranked where rn <= 11 group by 1, 2, 3),
+  from ranked where rn <= {n + 10} group by 1, 2, 3),
 j as (select s.*, t.category, t.nn, t.latest,
     s.mean + greatest(3.0 * s.sd, case when s.metric = 'duration' then 1.0 else {float(GIB)} end) as threshold,
     case when s.metric = 'duration' then 1.0 else {1.0 / GIB!r} end as norm
   from stats s join totals t using (runtime, name, metric))
 select runtime, name, category, metric as type, round(mean * norm, 6) as mean, round(l0 * norm, 6) as last,
   round(l1 * norm, 6) as last_1, round(l2 * norm, 6) as last_2, round(threshold * norm, 6) as threshold
-from j where nn > 11 and latest >= timestamp '{NOW}' - interval 7 days and last_n = 1 and last_min >= threshold""")
+from j where nn > {n + 10} and latest >= timestamp '{NOW}' - interval 7 days and last_n = {n} and last_min >= threshold"""
+
+    add("regressions", lambda s, d: detect_regressions(runs(s, d), NOW, n_last=1), regressions_sql(1))
+    add("regressions_last3", lambda s, d: detect_regressions(runs(s, d), NOW, n_std=0.0), regressions_sql(3).replace("3.0 * s.sd", "0.0 * s.sd"))
 
     def ab(s, d):
         r = label_runs(runs(s, d))
@@ -416,10 +425,10 @@ select row_number() over (order by src, start, id) as id, name, start, duration
   union all select 1 as src, * from (select id, name, start, duration from runs where runtime = 'py1'))""")
     rules = [
         {"rename": "originalname", "from": "click", "to": "tap"},
-        {"prefix": "path", "from": "benchmarks/test_v", "to": "workflows/test_v"},
+        {"prefix": "path", "from": "suite/test_v", "to": "workflows/test_v"},
         {"delete": "runtime_version LIKE 'AB_%'"},
     ]
     add("apply_rules", lambda s, d: apply_rules(runs(s, d), rules).select("id", "originalname", "path"), """
 select id, case when originalname = 'click' then 'tap' else originalname end as originalname,
-  case when starts_with(path, 'benchmarks/test_v') then 'workflows/test_v' || substr(path, 18) else path end as path
+  case when starts_with(path, 'suite/test_v') then 'workflows/test_v' || substr(path, 13) else path end as path
 from runs where not coalesce(runtime_version like 'AB_%', false)""")

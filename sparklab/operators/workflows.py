@@ -16,6 +16,7 @@ def pattern_share_over_time(members: DataFrame, member: str = "member", flag: st
     """Share of archive members containing a pattern, per month taken from the
     member's ``yymm/`` prefix (X1): ``(date, n, share)``."""
     yymm = F.substring_index(col(member), "/", 1)
+    members = members.filter(col(member).isNotNull())  # archives that could not be read have no member
     d = members.select(date_from_yymm(yymm).cast("timestamp_ntz").alias("date"), col(flag).cast("int").alias("_f"))
     return d.groupBy("date").agg(F.count(F.lit(1)).alias("n"), (F.sum("_f").cast("double") / F.count("_f")).alias("share"))
 

@@ -256,7 +256,7 @@ from (
     and c_acctbal > (
       select cast(sum(cast(c_acctbal as decimal(12,2))) as double) / count(c_acctbal) from customer_x
       where c_acctbal > 0.00 and substring(c_phone, 1, 2) in ('13', '31', '23', '29', '30', '18', '17'))
-    and not exists (select * from orders where o_custkey = c_custkey and o_orderdate >= timestamp '2000-01-01')
+    and not exists (select * from orders where case when o_custkey % 3 = 0 then o_custkey - 1 else o_custkey end = c_custkey)
 ) custsale
 group by cntrycode
 order by cntrycode""",

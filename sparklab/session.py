@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,10 +58,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh folder is made.
+    Only when the setting is absent and the master is local (tests) a fresh
+    folder is made; on a cluster a machine-local folder would lose data, so a
+    missing setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master is {master})")
         path = tempfile.mkdtemp(prefix="sparklab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -60,10 +60,11 @@ def write_warehouse(df: DataFrame, table: str, mode: str = "overwrite", url: str
                     properties: dict | None = None, target_bytes: int | None = None) -> None:
     """Write to a warehouse table (K10): JDBC when ``url`` is given, else a
     catalog table. With ``target_bytes`` the rows are re-balanced first so
-    write tasks are even (AQE REBALANCE)."""
+    write tasks are even."""
     if target_bytes:
-        df.sparkSession.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
-        df = df.hint("rebalance")
+        from sparklab.operators.relational import repartition_to_size
+
+        df = repartition_to_size(df, target_bytes)
     if url is None:
         df.write.mode(mode).saveAsTable(table)
     else:
@@ -85,7 +86,9 @@ def write_grid(df: DataFrame, path: str, block: dict, sort_by=None, partition_di
     blocks, sorted inside by ``sort_by`` (e.g. time for a pencil layout).
     ``partition_dim`` (a block column) becomes the folder level."""
     bcols = {f"block_{d}": F.floor(col(d) / F.lit(n)).cast("long") for d, n in block.items()}
-    out = df.withColumns(bcols).repartitionByRange(*bcols.keys())
-    order = list(bcols.keys()) + ([sort_by] if isinstance(sort_by, str) else list(sort_by or []))
+    # the folder column leads the range key, so a task writes few folders
+    folder = [partition_dim] if partition_dim else []
+    out = df.withColumns(bcols).repartitionByRange(*folder, *bcols.keys())
+    order = folder + list(bcols.keys()) + ([sort_by] if isinstance(sort_by, str) else list(sort_by or []))
     out = out.sortWithinPartitions(*order)
     return write_table(out, path, codec=codec, partition_by=partition_dim)

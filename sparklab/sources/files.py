@@ -64,13 +64,21 @@ def _schema_ddl(schema) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
-def read_zip_csv(spark: SparkSession, glob: str, schema, converters: dict | None = None,
+def _archives(spark: SparkSession, source) -> DataFrame:
+    """``source`` is a glob of files, or a DataFrame of (path, content)."""
+    files = source if isinstance(source, DataFrame) else spark.read.format("binaryFile").load(source)
+    return files.select("path", "content")
+
+
+def read_zip_csv(spark: SparkSession, glob, schema, converters: dict | None = None,
                  batch_rows: int = 65536) -> DataFrame:
     """CSV members of zip archives (S7). Spark has no zip codec: the archives
     are listed with the ``binaryFile`` source and each is opened by one task
     in ``mapInPandas``, which streams every member in ``batch_rows`` chunks.
     All fields come out as strings and are cast afterwards with ``try_cast``
-    (``converters`` maps a column to a Column expression over the string)."""
+    (``converters`` maps a column to a Column expression over the string).
+    An unreadable archive fails the job and names the file. ``glob`` may also
+    be a DataFrame of (path, content)."""
     target = _schema_ddl(schema)
     names = [f.name for f in target.fields]
     str_schema = StructType([StructField(n, StringType(), True) for n in names])
@@ -82,11 +90,11 @@ def read_zip_csv(spark: SparkSession, glob: str, schema, converters: dict | None
         import pandas as pd
 
         for pdf in batches:
-            for content in pdf["content"]:
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
                 try:
                     zf = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
-                    continue
+                except zipfile.BadZipFile as e:
+                    raise ValueError(f"unreadable zip archive {path}: {e}") from e
                 for member in zf.namelist():
                     if member.endswith("/"):
                         continue
@@ -96,20 +104,21 @@ def read_zip_csv(spark: SparkSession, glob: str, schema, converters: dict | None
                             chunk = chunk.reindex(columns=names)
                             yield chunk.astype(object).where(chunk.notna(), None)
 
-    raw = spark.read.format("binaryFile").load(glob).select("content").mapInPandas(unzip, str_schema)
+    raw = _archives(spark, glob).mapInPandas(unzip, str_schema)
     conv = converters or {}
     return raw.select(*[
         (conv[f.name](col(f.name)) if f.name in conv else col(f.name).try_cast(f.dataType)).alias(f.name)
         for f in target.fields])
 
 
-def scan_archives(spark: SparkSession, glob: str, member_suffix: str = ".pdf", needle: bytes = b"matplotlib",
+def scan_archives(spark: SparkSession, glob, member_suffix: str = ".pdf", needle: bytes = b"matplotlib",
                   lower: bool = True) -> DataFrame:
-    """Tar archives -> ``(archive, member, contains)`` for members ending in
-    ``member_suffix`` (S8, U6). One archive per task; an unreadable archive
-    yields no rows instead of failing the job."""
+    """Tar archives -> ``(archive, member, contains, error)`` for members ending in
+    ``member_suffix`` (S8, U6). An archive that cannot be read, or breaks
+    half way, yields one more row with the error and no member, after the
+    members read so far. ``glob`` may also be a DataFrame of (path, content)."""
     out = StructType([StructField("archive", StringType()), StructField("member", StringType()),
-                      StructField("contains", BooleanType())])
+                      StructField("contains", BooleanType()), StructField("error", StringType())])
 
     def scan(batches):
         import io
@@ -125,13 +134,13 @@ def scan_archives(spark: SparkSession, glob: str, member_suffix: str = ".pdf", n
                         for m in tf:  # one member in memory at a time
                             if m.isfile() and m.name.endswith(member_suffix):
                                 data = tf.extractfile(m).read()
-                                found.append((path, m.name, needle in (data.lower() if lower else data)))
-                except (tarfile.TarError, OSError, EOFError):
-                    continue  # an unreadable archive yields no rows
+                                found.append((path, m.name, needle in (data.lower() if lower else data), None))
+                except (tarfile.TarError, OSError, EOFError) as e:
+                    found.append((path, None, None, f"{type(e).__name__}: {e}"))
                 if found:  # one small frame per archive
-                    yield pd.DataFrame(found, columns=["archive", "member", "contains"])
+                    yield pd.DataFrame(found, columns=["archive", "member", "contains", "error"])
 
-    return spark.read.format("binaryFile").load(glob).select("path", "content").mapInPandas(scan, out)
+    return _archives(spark, glob).mapInPandas(scan, out)
 
 
 def file_bytes(spark: SparkSession, glob: str) -> DataFrame:

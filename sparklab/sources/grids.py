@@ -12,11 +12,14 @@ from sparklab.functions.dates import ts_lit
 
 
 def read_grid(spark: SparkSession, path: str, variables=None, time=None, dims=None, time_col: str = "time") -> DataFrame:
-    """Grid scan with variable selection and an inclusive time range."""
+    """Grid scan with variable selection and an inclusive time range (S11). A
+    ``year`` folder level is pruned by the years of the range."""
     df = spark.read.option("basePath", path).parquet(path)
     if time is not None:
         lo, hi = time
         df = df.filter(F.col(time_col).between(ts_lit(lo), ts_lit(hi)))
+        if "year" in df.columns and time_col != "year":
+            df = df.filter(F.col("year").between(int(str(lo)[:4]), int(str(hi)[:4])))
     if variables is not None:
         keep = [c for c in df.columns if c not in set(_all_vars(df, dims, time_col))] if dims is None else \
             [time_col, *dims]

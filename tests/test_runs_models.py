@@ -11,7 +11,7 @@ from sparklab.operators import features, runs
 def _history(spark, values, name="t[1]", runtime="py0", start=dt.datetime(2024, 1, 1)):
     rows = []
     for k, v in enumerate(values):
-        rows.append((k, k // 3, name, "t", "benchmarks/test_t.py", runtime, "3.11.2", "0.1.0", "linux",
+        rows.append((k, k // 3, name, "t", "suite/test_t.py", runtime, "3.11.2", "0.1.0", "linux",
                      start + dt.timedelta(hours=k), start + dt.timedelta(hours=k, seconds=5), v, v * 1e6, v * 2e6,
                      "passed", "dataframe", 1))
     return spark.createDataFrame(rows, """id long, session_id long, name string, originalname string, path string,
@@ -63,7 +63,7 @@ def test_merge_runs_fresh_consecutive_ids(spark):
 def test_apply_rules(spark):
     h = _history(spark, [1.0, 2.0]).withColumn("runtime_version", F.when(F.col("id") == 0, "AB_x").otherwise("0.1"))
     out = runs.apply_rules(h, [{"rename": "originalname", "from": "t", "to": "u"},
-                               {"prefix": "path", "from": "benchmarks/", "to": "bench/"},
+                               {"prefix": "path", "from": "suite/", "to": "bench/"},
                                {"delete": "runtime_version LIKE 'AB_%'"}])
     r = out.collect()
     assert len(r) == 1 and r[0].originalname == "u" and r[0].path == "bench/test_t.py"

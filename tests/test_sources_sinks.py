@@ -5,6 +5,7 @@ import os
 import tarfile
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparklab import sinks, sources
@@ -15,15 +16,17 @@ def test_zip_csv_with_bad_archive(spark, tmpdir_path):
     with zipfile.ZipFile(os.path.join(tmpdir_path, "a.csv.zip"), "w") as zf:
         zf.writestr("a.csv", "ride_id,start_station_id,end_station_id,member_casual\n1,12.0,3,member\n2,abc,4,casual\n")
         zf.writestr("b.csv", "ride_id,start_station_id,end_station_id,member_casual\n3,7,8.0,casual\n")
-    with open(os.path.join(tmpdir_path, "broken.csv.zip"), "wb") as fh:
-        fh.write(b"not a zip")
     df = sources.read_zip_csv(spark, tmpdir_path + "/*.zip",
                               "ride_id BIGINT, start_station_id STRING, end_station_id STRING, member_casual STRING")
     out = sorted(tuple(r) for r in clean_trips(df).collect())
     assert out == [(1, 12, 3, True), (3, 7, 8, False)]
+    with open(os.path.join(tmpdir_path, "broken.csv.zip"), "wb") as fh:
+        fh.write(b"not a zip")
+    with pytest.raises(Exception, match="broken.csv.zip"):  # named, not dropped unseen
+        sources.read_zip_csv(spark, tmpdir_path + "/*.zip", "ride_id BIGINT").count()
 
 
-def test_scan_archives_skips_broken(spark, tmpdir_path):
+def test_scan_archives_reports_broken(spark, tmpdir_path):
     def tar(path, members):
         with tarfile.open(path, "w") as tf:
             for name, body in members:
@@ -36,7 +39,9 @@ def test_scan_archives_skips_broken(spark, tmpdir_path):
     with open(os.path.join(tmpdir_path, "3.tar"), "wb") as fh:
         fh.write(b"garbage")
     found = sources.scan_archives(spark, tmpdir_path + "/*.tar", ".pdf", b"matplotlib")
-    assert found.count() == 4
+    assert found.filter("error IS NULL").count() == 4
+    broken = found.filter("error IS NOT NULL").collect()
+    assert [r.archive.rsplit("/", 1)[1] for r in broken] == ["3.tar"] and broken[0].member is None
     shares = {r.date.strftime("%Y-%m"): r.share for r in pattern_share_over_time(found).collect()}
     assert shares == {"1991-07": 1.0, "1991-08": 0.0, "2005-06": 0.5}
     ex = pattern_share_extremes(pattern_share_over_time(found)).first()
@@ -132,7 +137,8 @@ def test_timeseries_freq_strings(spark):
 
 
 def test_tables_prefer_real_columns_and_partsupp(spark, tmpdir_path):
-    from pyspark.sql import functions as F
+    import pytest
+from pyspark.sql import functions as F
 
     from sparklab.tables import Tables
     from tests.conftest import SF0001
