@@ -21,18 +21,18 @@ from pyspark.sql import functions as F
 
 from sparklab.llm.common import keep
 from sparklab.llm.toxicity import held_out
-from sparklab.llm.words import PLAIN, join_hash, pieces, signed
+from sparklab.llm.words import PLAIN, join_hash, mix, pieces, signed
 
 CLASSES = MEMBERS = 32
 #: hashed feature rows for the class factor and for the member factor
 CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 14
 ROUNDS = 2
 RATE = 0.15
-BATCH = 4096
+BATCH = 8192
 #: rows of a block: what one task scores together
 BLOCK_BITS = 11
 END, BOS = np.uint64(0x6A09E667F3BCC908), np.uint64(0xBB67AE8584CAA73B)
-FEATURES = 4  # word before, the one before that (skip), both (n-gram), none (bias)
+FEATURES = 3  # word before, the one before that (skip), both (n-gram); row 0 of either factor is the bias
 
 
 def tokens(w) -> tuple[np.ndarray, np.ndarray]:
@@ -42,13 +42,12 @@ def tokens(w) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(t: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Hashed context features of every token, one column each."""
+    """Hashed context features of every token, one row each."""
     one = np.concatenate([[BOS], t[:-1]])
     one[first[:-1]] = BOS
     two = np.concatenate([[BOS], one[:-1]])
     two[first[:-1]] = BOS
-    return np.column_stack([join_hash(one, np.full(len(t), BOS)), join_hash(two, np.full(len(t), END)), join_hash(two, one),
-                            np.zeros(len(t), np.uint64)])
+    return np.stack([mix(one ^ BOS), mix(two ^ END), join_hash(two, one)])
 
 
 def slots(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,32 +55,62 @@ def slots(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rows(ctx, cls):
-    """Weight rows of the class factor, and of the member factor given the class."""
-    top = (ctx % np.uint64(CLASS_ROWS)).astype(np.int64)
-    under = (join_hash(ctx, np.repeat(cls[:, None].astype(np.uint64), FEATURES, 1)) % np.uint64(MEMBER_ROWS)).astype(np.int64)
+    """Weight rows of the class factor, and of the member factor given the class.
+
+    16-bit row numbers, so that sorting them is a radix sort."""
+    top = (ctx % np.uint64(CLASS_ROWS - 1)).astype(np.uint16) + np.uint16(1)
+    under = (mix(ctx + cls.astype(np.uint64) * END) % np.uint64(MEMBER_ROWS - 1)).astype(np.uint16) + np.uint16(1)
     return top, under
 
 
+def _logits(weights, rows):
+    z = np.take(weights, rows[0], axis=0)
+    for r in rows[1:]:
+        z += np.take(weights, r, axis=0)
+    z += weights[0]
+    z -= z.max(axis=1, keepdims=True)
+    return z
+
+
 def _log_softmax(weights, rows):
-    z = weights[rows[:, 0]]
-    for k in range(1, FEATURES):
-        z = z + weights[rows[:, k]]
-    z = z - z.max(axis=1, keepdims=True)
+    z = _logits(weights, rows)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
 def _step(weights, square, rows, target, rate):
     """One Adagrad update from a batch; gradients of equal rows are summed first."""
-    g = np.exp(_log_softmax(weights, rows))
+    g = _logits(weights, rows)
+    np.exp(g, out=g)
+    g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(target)), target] -= 1.0
-    for k in range(FEATURES):
-        order = np.argsort(rows[:, k], kind="stable")
-        r = rows[order, k]
+
+    def update(at, s):
+        q = square[at] + s * s
+        square[at] = q
+        weights[at] -= rate * s / np.sqrt(q)
+
+    for row in rows:
+        order = np.argsort(row, kind="stable")
+        r = row[order]
         new = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        s = np.add.reduceat(g[order], new, axis=0)
-        u = r[new]
-        square[u] += s * s
-        weights[u] -= rate * s / np.sqrt(square[u])
+        s = np.take(g, order[new], axis=0)
+        size = np.diff(new, append=len(r))
+        more = np.flatnonzero(size > 1)  # most rows come once in a batch
+        if more.size:
+            inside = order[np.repeat(size > 1, size)]
+            starts = np.cumsum(size[more]) - size[more]
+            s[more] = np.add.reduceat(np.take(g, inside, axis=0), starts, axis=0)
+        update(r[new], s)
+    update(0, g.sum(axis=0))
+
+
+def _learn(model, square, t, first):
+    ctx, (cls, member) = contexts(t, first), slots(t)
+    for i in range(0, len(t), BATCH):
+        part = slice(i, i + BATCH)
+        top, under = _rows(ctx[:, part], cls[part])
+        _step(model[0], square[0], top, cls[part], RATE)
+        _step(model[1], square[1], under, member[part], RATE)
 
 
 def _log_probs(model, t, first):
@@ -90,8 +119,8 @@ def _log_probs(model, t, first):
     ctx, (cls, member) = contexts(t, first), slots(t)
     for i in range(0, len(t), BATCH):
         part = slice(i, i + BATCH)
-        top, under = _rows(ctx[part], cls[part])
-        n = np.arange(len(top))
+        top, under = _rows(ctx[:, part], cls[part])
+        n = np.arange(top.shape[1])
         out[part] = _log_softmax(model[0], top)[n, cls[part]] + _log_softmax(model[1], under)[n, member[part]]
     return out
 
@@ -109,12 +138,7 @@ def _train(start):
         for batch in batches:
             for _, _, w in pieces(batch["_text"], PLAIN, lower=True, limit=1 << 20):
                 t, first = tokens(w)
-                ctx, (cls, member) = contexts(t, first), slots(t)
-                for i in range(0, len(t), BATCH):
-                    part = slice(i, i + BATCH)
-                    top, under = _rows(ctx[part], cls[part])
-                    _step(model[0], square[0], top, cls[part], RATE)
-                    _step(model[1], square[1], under, member[part], RATE)
+                _learn(model, square, t, first)
                 seen += len(t)
         if seen:
             at = 0
