@@ -17,8 +17,8 @@ from sparklab.llm.words import _M2 as K2
 ORDERS = (3, 4, 5, 6)
 BITS = 20
 #: bounds of the fit: labelled rows of either class, and features kept by the weight of their ratio
-PER_CLASS = 8_000
-FEATURES = 30_000
+PER_CLASS = 5_000
+FEATURES = 4_000
 #: an n-gram is a feature if its log-count ratio is this many standard errors from zero
 MIN_Z = 4.0
 
@@ -90,21 +90,18 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, per_class: int = PER_CLA
     ids, weights = labelled(labels, "toxic", where, per_class)
     sample = keep(docs.select(F.col("doc_id").alias("_d"), F.col("text").alias("_text"))
                   .join(F.broadcast(ids), F.col("_d") == F.col("_id")).select("_y", "_text").repartition(8))  # a bounded sample
-    counts = sample.mapInArrow(_count, "id int, n0 long, n1 long").groupBy("id").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    counts = sample.mapInArrow(_count, "id int, n0 long, n1 long").groupBy("id").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     classes = {r["_y"]: r["n"] for r in sample.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
         rate = 0.5 if not classes else float(next(iter(classes)))
         return Model(float(np.log((0.001 + rate * 0.998) / (0.999 - rate * 0.998))), np.zeros(1 << BITS, np.float32))
-    id_, n0, n1 = counts["id"].to_numpy(), counts["n0"].to_numpy(float), counts["n1"].to_numpy(float)
-    p, q = (n1 + 1) / (classes[1] + 2), (n0 + 1) / (classes[0] + 2)
-    ratio = np.log(p / q)
+    p, q = (F.col("n1") + 1) / (classes[1] + 2), (F.col("n0") + 1) / (classes[0] + 2)
     # how far the ratio is from what chance gives: its size against its standard error
-    power = np.abs(ratio) / np.sqrt(1 / (n1 + 1) + 1 / (n0 + 1))
-    best = np.lexsort((id_, -power))[:features]
-    best = best[power[best] >= MIN_Z]
+    best = counts.select("id", F.log(p / q).alias("ratio"), (F.abs(F.log(p / q)) / F.sqrt(1 / (F.col("n1") + 1) + 1 / (F.col("n0") + 1))).alias("z"))
+    best = best.where(F.col("z") >= MIN_Z).orderBy(F.col("z").desc(), "id").limit(features).toPandas()
     r = np.zeros(1 << BITS)
-    r[id_[best]] = ratio[best]
-    got = sample.mapInArrow(_select(np.sort(id_[best])), "_y int, ids binary").toPandas()
+    r[best["id"]] = best["ratio"]
+    got = sample.mapInArrow(_select(np.sort(best["id"].to_numpy())), "_y int, ids binary").toPandas()
     cols = [np.frombuffer(x, np.int32) for x in got["ids"]]
     rows = np.repeat(np.arange(len(cols)), [len(x) for x in cols])
     y = got["_y"].to_numpy(float)
