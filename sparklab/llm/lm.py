@@ -27,12 +27,12 @@ CLASSES = MEMBERS = 32
 #: hashed feature rows for the class factor and for the member factor
 CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 14
 ROUNDS = 2
-RATE = 0.15
+RATE, FIRST_SQUARE = 0.3, 1.0
 BATCH = 8192
 #: rows of a block: what one task scores together
 BLOCK_BITS = 11
 END, BOS = np.uint64(0x6A09E667F3BCC908), np.uint64(0xBB67AE8584CAA73B)
-FEATURES = 3  # word before, the one before that (skip), both (n-gram); row 0 of either factor is the bias
+FEATURES = 4  # none (bias), word before, the one before that (skip), both (n-gram)
 
 
 def tokens(w) -> tuple[np.ndarray, np.ndarray]:
@@ -58,8 +58,10 @@ def _rows(ctx, cls):
     """Weight rows of the class factor, and of the member factor given the class.
 
     16-bit row numbers, so that sorting them is a radix sort."""
-    top = (ctx % np.uint64(CLASS_ROWS - 1)).astype(np.uint16) + np.uint16(1)
-    under = (mix(ctx + cls.astype(np.uint64) * END) % np.uint64(MEMBER_ROWS - 1)).astype(np.uint16) + np.uint16(1)
+    hashed = (ctx % np.uint64(CLASS_ROWS - 1)).astype(np.uint16) + np.uint16(1)
+    top = np.concatenate([np.zeros((1, len(cls)), np.uint16), hashed])
+    hashed = (mix(ctx + cls.astype(np.uint64) * END) % np.uint64(MEMBER_ROWS - CLASSES)).astype(np.uint16) + np.uint16(CLASSES)
+    under = np.concatenate([cls.astype(np.uint16)[None], hashed])
     return top, under
 
 
@@ -67,7 +69,6 @@ def _logits(weights, rows):
     z = np.take(weights, rows[0], axis=0)
     for r in rows[1:]:
         z += np.take(weights, r, axis=0)
-    z += weights[0]
     z -= z.max(axis=1, keepdims=True)
     return z
 
@@ -84,11 +85,6 @@ def _step(weights, square, rows, target, rate):
     g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(target)), target] -= 1.0
 
-    def update(at, s):
-        q = square[at] + s * s
-        square[at] = q
-        weights[at] -= rate * s / np.sqrt(q)
-
     for row in rows:
         order = np.argsort(row, kind="stable")
         r = row[order]
@@ -100,8 +96,10 @@ def _step(weights, square, rows, target, rate):
             inside = order[np.repeat(size > 1, size)]
             starts = np.cumsum(size[more]) - size[more]
             s[more] = np.add.reduceat(np.take(g, inside, axis=0), starts, axis=0)
-        update(r[new], s)
-    update(0, g.sum(axis=0))
+        at = r[new]
+        q = square[at] + s * s
+        square[at] = q
+        weights[at] -= rate * s / np.sqrt(q)
 
 
 def _learn(model, square, t, first):
@@ -125,15 +123,20 @@ def _log_probs(model, t, first):
     return out
 
 
-def _empty():
-    return (np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((MEMBER_ROWS, MEMBERS), np.float32))
+def _start(slot_n: np.ndarray):
+    """Weights that give every slot its frequency in the training texts: the bias rows hold log shares."""
+    n = slot_n.reshape(CLASSES, MEMBERS)
+    top, under = np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((MEMBER_ROWS, MEMBERS), np.float32)
+    top[0] = np.log((n.sum(axis=1) + 1) / (n.sum() + CLASSES))
+    under[:CLASSES] = np.log((n + 1) / (n.sum(axis=1, keepdims=True) + MEMBERS))
+    return top, under
 
 
 def _train(start):
     """Walks over the texts of a task from the common weights; yields its weighted update row by row."""
     def run(batches):
         model = tuple(x.copy() for x in start.value)
-        square = tuple(np.full_like(x, 1e-2) for x in model)
+        square = tuple(np.full_like(x, FIRST_SQUARE) for x in model)
         seen = 0
         for batch in batches:
             for _, _, w in pieces(batch["_text"], PLAIN, lower=True, limit=1 << 20):
@@ -164,9 +167,9 @@ def _sum(batches):
                                       "n": pa.array([x[1] for x in total.values()], pa.int64())})
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS):
-    """Weights after one walk over all of ``docs(_row, _text)``, a part of them in each round."""
-    spark, model = docs.sparkSession, _empty()
+def train(docs: DataFrame, slot_n: np.ndarray, rounds: int = ROUNDS):
+    """Weights, from the slots' frequencies on, after one walk over all of ``docs(_row, _text)``, a part of them in each round."""
+    spark, model = docs.sparkSession, _start(slot_n)
     for k in range(rounds):
         part = docs.where(F.pmod(F.xxhash64("_row"), F.lit(rounds)) == k).select("_text")
         start = spark.sparkContext.broadcast(model)
@@ -242,7 +245,7 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
         cls, member = r["s"] % CLASSES, r["s"] // CLASSES
         slot_n[cls * MEMBERS + member], slot_v[cls * MEMBERS + member] = r["n"], r["v"]
     stats = int(slot_n.sum()), int(slot_v.sum()), slot_n, slot_v
-    model = docs.sparkSession.sparkContext.broadcast(train(d.where(~F.col("held_out")).select("_row", "_text")))
+    model = docs.sparkSession.sparkContext.broadcast(train(d.where(~F.col("held_out")).select("_row", "_text"), slot_n))
     own = words.select("_block", "h").join(counts, "h").select("_block", "h", "n")
     texts = d.select("_block", "doc_id", "held_out", "_text")
     return own.groupBy("_block").cogroup(texts.groupBy("_block")).applyInArrow(
