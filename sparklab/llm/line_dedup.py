@@ -77,18 +77,20 @@ def dedup_lines(docs: DataFrame, min_lines: int = 3) -> DataFrame:
         n_lines, n_removed = n_lines + "_", n_removed + "_"
     runs = line_runs(docs.select("doc_id", "text"), min_lines)
     runs = runs.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_runs"))
-    d = docs.withColumn("__row", F.monotonically_increasing_id())
-    d = d.join(runs.hint("shuffle_hash"), F.col("__row") == F.col("_row"), "left").drop("__row", "_row")
-    d = d.withColumn("_lines", F.when(F.col("_runs").isNotNull(), F.split("text", "\n", -1)))
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # own names can't clash with the input's
+    text = F.col(names[docs.columns.index("text")])
+    d = docs.toDF(*names).withColumn("_id", F.monotonically_increasing_id())
+    d = d.join(runs.hint("shuffle_hash"), F.col("_id") == F.col("_row"), "left")
+    d = d.withColumn("_lines", F.when(F.col("_runs").isNotNull(), F.split(text, "\n", -1)))
     # what stands between the runs: from the end of one to the start of the next
     gaps = F.arrays_zip(F.concat(F.array(F.lit(0)), F.transform("_runs", lambda r: r["end"])).alias("a"),
                         F.concat(F.transform("_runs", lambda r: r["start"]), F.array(F.size("_lines"))).alias("b"))
     kept = F.flatten(F.transform(gaps, lambda g: F.slice("_lines", g["a"] + 1, g["b"] - g["a"])))
     removed = F.coalesce(F.aggregate("_runs", F.lit(0), lambda acc, r: acc + r["end"] - r["start"]), F.lit(0))
-    count = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
+    count = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     return d.select(
-        *[F.when(F.col("_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(f"`{c}`")
-          for c in docs.columns],
+        *[F.when(F.col("_runs").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(n).alias(c)
+          for n, c in zip(names, docs.columns, strict=True)],
         count.cast("long").alias(n_lines), removed.cast("long").alias(n_removed))
 
 

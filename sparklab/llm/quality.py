@@ -172,6 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
     # at most 2 * per_class + pool ids
     d = _columns(docs).join(F.broadcast(wanted), F.col("_doc_id") == F.col("_id")).drop("_id")
     got = d.mapInArrow(run, "y int, id long, t array<double>, m array<double>").toPandas().sort_values("id", kind="stable")
+    if not len(got):
+        return CoTrained(None, None, 0.0)
     xt = np.array(got["t"].tolist()).reshape(-1, TEXT_FEATURES)
     xm = np.array(got["m"].tolist()).reshape(len(got), -1)
     y = got["y"].to_numpy()
@@ -184,27 +186,32 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
     return co_train(xt[on][order], xm[on][order], yl, w / w.mean(), xt[~on], xm[~on])
 
 
-def score(docs: DataFrame, model: CoTrained) -> DataFrame:
-    """``docs`` with ``_text_score``, ``_meta_score`` and ``_score`` (probability of a good page).
+SCORES = ("_text_score", "_meta_score", "_score")
 
-    All rows stay, null texts count as empty, missing metadata columns as null;
-    null or repeated doc_ids are rows of their own.
-    """
+
+def _scored(docs: DataFrame, model: CoTrained) -> DataFrame:
+    """``docs`` with its columns renamed to _c0, _c1, ... and the scores."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    d = docs.toDF(*names)
     back = {c.lower(): n for c, n in zip(docs.columns, names, strict=True)}
     add = [(F.col(back[c]).cast(k) if c in back else F.lit(None).cast(k)).alias(f"_{c}")
            for c, k in (("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "double"))]
-    scores = [F.lit(0.0).alias(c) for c in ("_text_score", "_meta_score", "_score")]
-    d = d.select(*names, *add, *scores)
+    d = docs.toDF(*names).select(*names, *add, *[F.lit(0.0).alias(c) for c in SCORES])
 
     def run(batches):
         for b in batches:
-            found = dict(zip(("_text_score", "_meta_score", "_score"), model.score(*_both(b)), strict=True))
+            found = dict(zip(SCORES, model.score(*_both(b)), strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(found[c]) if c in found else b[c] for c in b.schema.names], names=b.schema.names)
 
-    return d.mapInArrow(run, d.schema).select(
-        *[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)], "_text_score", "_meta_score", "_score")
+    return d.mapInArrow(run, d.schema).select(*names, *SCORES)
+
+
+def score(docs: DataFrame, model: CoTrained) -> DataFrame:
+    """``docs`` with ``_text_score``, ``_meta_score`` and ``_score`` (probability of a good page).
+
+    All rows stay, null texts count as empty, missing metadata columns as null;
+    null or repeated doc_ids are rows of their own.
+    """
+    return _scored(docs, model).toDF(*docs.columns, *SCORES)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -216,4 +223,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the documents that score below ``threshold``."""
-    return score(docs, fit(docs, labels)).where(F.col("_score") >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _scored(docs, fit(docs, labels)).where(F.col("_score") >= threshold).drop(*SCORES).toDF(*docs.columns)
