@@ -1,11 +1,9 @@
 """Column-expression helpers (all JVM-side built-ins, no Python UDFs)."""
 
-from sparklab.functions.exact import money, rate, qty, as_double, exact_sum, exact_avg
-from sparklab.functions.dates import ts_lit, add_months_str, add_days_str, date_from_yymm
+from sparklab.functions.dates import ts_lit, add_months_str, date_from_yymm
 from sparklab.functions.text import safe_int, strip_to_double
 
 __all__ = [
-    "money", "rate", "qty", "as_double", "exact_sum", "exact_avg",
-    "ts_lit", "add_months_str", "add_days_str", "date_from_yymm",
+    "ts_lit", "add_months_str", "date_from_yymm",
     "safe_int", "strip_to_double",
 ]

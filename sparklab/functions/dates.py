@@ -23,10 +23,6 @@ def add_months_str(s: str, months: int) -> str:
     return _dt.date(y, m, day).isoformat()
 
 
-def add_days_str(s: str, days: int) -> str:
-    return (_parse(s) + _dt.timedelta(days=days)).isoformat()
-
-
 def ts_lit(s: str) -> Column:
     """TIMESTAMP_NTZ literal, the type the fixtures' date columns have, so the
     comparison is pushed into the Parquet scan without casting the column."""

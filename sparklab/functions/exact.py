@@ -15,35 +15,6 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c) -> Column:  # noqa: D401
-    """A price/balance with cents: decimal(12,2)."""
-    return _c(c).cast("decimal(12,2)")
-
-
-def rate(c) -> Column:
-    """A discount/tax rate with two decimals: decimal(4,2)."""
-    return _c(c).cast("decimal(4,2)")
-
-
-def qty(c) -> Column:
-    return _c(c).cast("decimal(12,2)")
-
-
-def as_double(c) -> Column:
-    return _c(c).cast("double")
-
-
-def exact_sum(c) -> Column:
-    """sum() of a decimal expression, returned as double."""
-    return F.sum(_c(c)).cast("double")
-
-
-def exact_avg(c) -> Column:
-    """Mean of a decimal expression: exact sum as double / non-null count."""
-    c = _c(c)
-    return F.sum(c).cast("double") / F.count(c)
-
-
 # ---------------------------------------------------------------- units
 # Money in integer units (cents, or 1e-4 after multiplying by a rate in
 # percent) summed as two 64-bit halves: both partial sums stay compact longs

@@ -128,17 +128,15 @@ class Tables:
         self.derived = derived
         self._cache: dict[str, DataFrame] = {}
 
-    _bound: dict = {}
-
     @classmethod
     def of(cls, spark: SparkSession, root: str) -> "Tables":
         """The binding for ``root`` in this session, created once: file
         listing, footer reads and derived-column analysis are not repeated for
         every query (the data are read-only inputs)."""
-        key = (id(spark), spark.sparkContext.applicationId, root.rstrip("/"))
-        t = cls._bound.get(key)
+        bound = spark.__dict__.setdefault("_sparklab_tables", {})  # lives and dies with the session
+        t = bound.get(root.rstrip("/"))
         if t is None:
-            t = cls._bound[key] = cls(spark, root)
+            t = bound[root.rstrip("/")] = cls(spark, root)
         return t
 
     def memo(self, key: str, build) -> DataFrame:

@@ -5,17 +5,18 @@ import pytest
 
 import __spark_entry__ as E
 from sparklab.plans.compare import compare
+from sparklab.plans.registry import registry
 
 SLOW = {"ab_confidence", "search_scores", "gbt_predictions"}
-NAMES = sorted(E.queries())
+NAMES = sorted(registry().queries)
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n not in SLOW])
 def test_query_matches_oracle(spark, duck, name):
     from tests.conftest import SF001
 
-    pdf = E.queries()[name](spark, SF001).toPandas()
-    sql = E.oracle_sql().get(name)
+    pdf = registry().queries[name](spark, SF001).toPandas()
+    sql = registry().sql.get(name)
     if sql is None:
         assert len(pdf) > 0
         return
@@ -31,7 +32,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_callable_and_most_have_oracles():
-    qs, sql = E.queries(), E.oracle_sql()
-    assert set(sql) <= set(qs)
-    missing = sorted(set(qs) - set(sql))
-    assert set(missing) <= {"ols", "gbt_predictions", "search_scores"}, missing
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(registry().queries) == set(registry().sql) <= set(E.queries())

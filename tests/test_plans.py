@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from sparklab.plans import tpch
+from sparklab.plans.registry import registry
 from sparklab.tables import Tables
 
 SF = "/root/testdata/sf0.01"
@@ -41,7 +42,7 @@ def test_topn_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in p
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if n not in SKIP))
+@pytest.mark.parametrize("name", sorted(n for n in registry().queries if n not in SKIP))
 def test_no_cartesian_or_unpartitioned_window(spark, name):
     p = _plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in p
