@@ -41,11 +41,11 @@ def test_join_size_equals_materialised_join(spark):
     assert r.cols == 3 and r.size == 21
 
 
-def test_join_small_falls_back_past_bound(spark):
+def test_join_small_forces_no_broadcast(spark):
     big = spark.range(100).withColumnRenamed("id", "k")
     small = spark.range(50).withColumnRenamed("id", "k")
-    assert R.join_small(big, small, "k", max_rows=10).count() == 50
-    assert R.join_small(big, small, "k", max_rows=1000).count() == 50
+    j = R.join_small(big, small, "k")
+    assert j.count() == 50 and "ResolvedHint" not in j._jdf.queryExecution().analyzed().toString()
 
 
 def test_align_disjoint_gives_nulls(spark):
