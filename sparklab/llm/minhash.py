@@ -120,6 +120,8 @@ def chosen_paths(classes: DataFrame, percent: int):
         full = rows.where(F.col("_n") <= LEAF).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
         found.append(keep(_pairs(full, full, percent, True).distinct()))
         large = rows.where(F.col("_n") > LEAF)
+        if large.isEmpty():  # nothing left to branch
+            break
         if level < LEVELS:
             active = large.select("_id", "tree").join(ids, "_id")
     large = keep(large.join(narrow, "_id").select("node", "_id", "n", "s1", "s2"))
@@ -131,8 +133,8 @@ def chosen_paths(classes: DataFrame, percent: int):
     return keep(pairs.groupBy("a", "b").agg(F.min("bits").alias("bits"))), large
 
 
-def links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between classes that span every component.
+def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, component) of the classes that have a link, by confirmed links that span every component.
 
     The closest smaller partner of each class is confirmed first; of the other
     candidates only those between different components need it then.
@@ -151,19 +153,22 @@ def links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFram
         p = p.join(a, "a", "left").join(b, "b", "left")
         return p.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b")
 
+    def joined(comp, more):
+        """Components after more links between them."""
+        return components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)) if not more.isEmpty() else comp
+
     first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
-    best = confirm(pairs.withColumn("_first", first).where("_first").select("a", "b"))
-    rest = confirm(across(pairs, components(best)))
-    found = best.unionByName(rest)
+    comp = components(confirm(pairs.withColumn("_first", first).where("_first").select("a", "b")))
+    comp = joined(comp, confirm(across(pairs, comp)))
     # the rest of the large nodes: whoever is not in the component of the node's smallest, against all others
-    comp = components(found)
     named = large.join(comp.withColumnRenamed("id", "_id"), "_id", "left").withColumn("_c", F.coalesce("component", "_id")).drop("component")
     pivot = large.groupBy("node").agg(F.min("_id").alias("_id"))
     pivot = pivot.join(named.select("node", "_id", F.col("_c").alias("_pc")), ["node", "_id"]).select("node", "_pc")
     odd = keep(named.join(pivot, "node").where("_c <> _pc").select("node", "_id", "n", "s1", "s2"))
+    if odd.isEmpty():
+        return comp
     more = _pairs(odd, large, percent, False).select("a", "b").distinct()
-    more = more.join(pairs, ["a", "b"], "left_anti")
-    return found.unionByName(confirm(across(more, comp)))
+    return joined(comp, confirm(across(more.join(pairs, ["a", "b"], "left_anti"), comp)))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -183,7 +188,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     name = ["n", "k1", "k2"]
     equal = keep(rows.where("n > 0").groupBy(name).agg(F.min("_row").alias("_id"), F.min("doc_id").alias("_least")))
     classes = rows.join(equal.select(F.col("_id").alias("_row")), "_row", "left_semi").withColumnRenamed("_row", "_id")
-    comp = components(links(d.select("_row", "_text"), keep(classes), k, percent))
+    comp = linked_components(d.select("_row", "_text"), keep(classes), k, percent)
     equal = keep(equal.join(comp.withColumnRenamed("id", "_id"), "_id", "left").withColumn("_comp", F.coalesce("component", "_id")).drop("component"))
     least = equal.groupBy("_comp").agg(F.min("_least").alias("_component"))
     equal = keep(equal.join(least, "_comp").select(*name, "_comp", "_component"))
