@@ -114,11 +114,10 @@ def chosen_paths(classes: DataFrame, percent: int):
     for level in range(FIRST_LEVEL, LEVELS + 1):
         path = F.slice("tokens", F.col("tree") * LEVELS + 1, level)
         rows = active.select("_id", "tree", F.xxhash64("tree", path).alias("node"))
-        rows = keep(rows)
         size = rows.groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1")
         rows = keep(rows.join(size, "node"))
         full = rows.where(F.col("_n") <= LEAF).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
-        found.append(keep(_pairs(full, full, percent, True).distinct()))
+        found.append(_pairs(full, full, percent, True))
         large = rows.where(F.col("_n") > LEAF)
         if large.isEmpty():  # nothing left to branch
             break
