@@ -20,7 +20,16 @@ def keep(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._kept_path = path
+    return kept
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table that ``keep`` wrote, once all that was derived from it is kept too."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._kept_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparklab.llm.common import keep
+from sparklab.llm.common import keep, release
 from sparklab.llm.words import PLAIN, grams, join_hash, pieces, signed
 
 WINDOW = 35
@@ -122,11 +122,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     found = keep(docs.select("_row", "_text").mapInArrow(_seeds(window, seed), "anchor long, span long, _row long, place long"))
     shared = found.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor")
     shared = keep(found.join(shared, "anchor"))
+    release(found)
     # per anchor: do all its spans agree? (map-side aggregates of longs)
     spans = shared.groupBy("anchor").agg(F.min("span").alias("_a"), F.max("span").alias("_b"))
-    shared = shared.join(spans, "anchor").select("_row", "place", (F.col("_a") == F.col("_b")).alias("_same"))
-    per_row = keep(shared.groupBy("_row").agg(F.collect_list(F.when(F.col("_same"), F.col("place"))).alias("_runs"),
+    placed = shared.join(spans, "anchor").select("_row", "place", (F.col("_a") == F.col("_b")).alias("_same"))
+    per_row = keep(placed.groupBy("_row").agg(F.collect_list(F.when(F.col("_same"), F.col("place"))).alias("_runs"),
                                               F.collect_list(F.when(~F.col("_same"), F.col("place"))).alias("_open")))
+    release(shared)
     opened = per_row.where(F.size("_open") > 0).select(F.col("_row").alias("_r"), "_open")
     texts = docs.select("_row", "_text").join(opened.hint("shuffle_hash"), F.col("_row") == F.col("_r")).select("_row", "_text", "_open")
     windows = keep(texts.mapInArrow(_expand(window), "x long, y long, _row long, start long"))
