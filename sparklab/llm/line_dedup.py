@@ -20,8 +20,9 @@ ID = 16
 
 def _shared(suffixes: DataFrame) -> DataFrame:
     """Suffixes whose rank another one has too. The counts combine on the map
-    side, and the join lets AQE split a rank that a third of all lines have."""
-    n = suffixes.groupBy("rank").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    side; written first, they are shuffled on their own in the join, so that
+    AQE can split a rank that a third of all lines have."""
+    n = keep(suffixes.groupBy("rank").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"))
     return suffixes.join(n, "rank")
 
 
@@ -51,10 +52,10 @@ def line_runs(docs: DataFrame, min_lines: int = 3) -> DataFrame:
     lines = lines.select("_row", "doc_id", "pos", F.unhex(F.md5(F.col("_line").cast("binary"))).alias("rank"))
     suffixes = suffix_ranks(lines, min_lines)
     # place as one number, so that the minimum is a hash aggregate: doc_id above row above line
-    low = suffixes.groupBy("rank").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("_d"))
+    low = keep(suffixes.groupBy("rank").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("_d")))
     first = suffixes.join(low, "rank").where(F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("_d"))
     place = F.col("_row").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(12,0)") + F.col("pos")
-    first = first.groupBy("rank").agg(F.min("_d").alias("_d"), F.min(place).alias("_place"))
+    first = keep(first.groupBy("rank").agg(F.min("_d").alias("_d"), F.min(place).alias("_place")))
     later = suffixes.join(first, "rank").where((F.coalesce("doc_id", F.lit(-(1 << 63))) != F.col("_d")) | (place != F.col("_place")))
     by = Window.partitionBy("_row").orderBy("pos")
     new = F.coalesce(F.col("pos") - F.lag("pos").over(by) > min_lines, F.lit(True)).cast("int")
