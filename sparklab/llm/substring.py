@@ -120,11 +120,13 @@ def _cut(window: int, keep_text: bool):
 def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Runs of repeated windows per row of ``docs(_row, doc_id, _text)``: (_row, _runs)."""
     found = keep(docs.select("_row", "_text").mapInArrow(_seeds(window, seed), "anchor long, span long, _row long, place long"))
-    shared = found.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor")
+    # aggregates are written before they are joined: then both sides of the
+    # join are plain shuffles, and AQE splits an anchor or window that is hot
+    shared = keep(found.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor"))
     shared = keep(found.join(shared, "anchor"))
     release(found)
     # per anchor: do all its spans agree? (map-side aggregates of longs)
-    spans = shared.groupBy("anchor").agg(F.min("span").alias("_a"), F.max("span").alias("_b"))
+    spans = keep(shared.groupBy("anchor").agg(F.min("span").alias("_a"), F.max("span").alias("_b")))
     placed = shared.join(spans, "anchor").select("_row", "place", (F.col("_a") == F.col("_b")).alias("_same"))
     per_row = keep(placed.groupBy("_row").agg(F.collect_list(F.when(F.col("_same"), F.col("place"))).alias("_runs"),
                                               F.collect_list(F.when(~F.col("_same"), F.col("place"))).alias("_open")))
@@ -132,7 +134,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     opened = per_row.where(F.size("_open") > 0).select(F.col("_row").alias("_r"), "_open")
     texts = docs.select("_row", "_text").join(opened.hint("shuffle_hash"), F.col("_row") == F.col("_r")).select("_row", "_text", "_open")
     windows = keep(texts.mapInArrow(_expand(window), "x long, y long, _row long, start long"))
-    twice = windows.groupBy("x", "y").agg(F.count("*").alias("_n")).where("_n > 1").select("x", "y")
+    twice = keep(windows.groupBy("x", "y").agg(F.count("*").alias("_n")).where("_n > 1").select("x", "y"))
     more = windows.join(twice, ["x", "y"]).groupBy("_row").agg(F.collect_list(F.col("start") * 64).alias("_runs"))
     return per_row.select("_row", "_runs").unionByName(more).groupBy("_row").agg(F.flatten(F.collect_list("_runs")).alias("_runs"))
 
