@@ -13,6 +13,8 @@ Links are confirmed on the full sets.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -97,26 +99,29 @@ def _close(a: str, b: str, percent: int):
     return ((F.least(c(a, "n"), c(b, "n")) * 100 >= F.greatest(c(a, "n"), c(b, "n")) * percent) & (bits <= MOST_BITS)), bits
 
 
-def _pairs(nodes: DataFrame, other: DataFrame, percent: int, ordered: bool) -> DataFrame:
-    """Pairs of different classes that share a node: (a, b, bits)."""
+def _pairs(nodes: DataFrame, other: DataFrame, percent: int, ordered: bool, across: bool = False) -> DataFrame:
+    """Pairs of different classes that share a node: (a, b, bits); with ``across`` only those of different ``_c``."""
     close, bits = _close("x", "y", percent)
+    if across:
+        close = close & (F.col("x._c") != F.col("y._c"))
     on = (F.col("x.node") == F.col("y.node")) & (F.col("x._id") < F.col("y._id") if ordered else F.col("x._id") != F.col("y._id"))
     p = nodes.alias("x").join(other.alias("y"), on & close)
     return p.select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"), bits.alias("bits"))
 
 
 def chosen_paths(classes: DataFrame, percent: int):
-    """Candidate pairs (a, b, bits) and the nodes that stay large (node, _id, n, s1, s2)."""
+    """Candidate pairs (a, b, bits), the leaves and the nodes that stay large (both node, _id, n, s1, s2)."""
     narrow = classes.select("_id", "n", "s1", "s2")
     ids = classes.select("_id", "tokens")
     active = ids.select("_id", "tokens", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    found, large = [], None
+    found, leaves, large = [], [], None
     for level in range(FIRST_LEVEL, LEVELS + 1):
         path = F.slice("tokens", F.col("tree") * LEVELS + 1, level)
         rows = active.select("_id", "tree", F.xxhash64("tree", path).alias("node"))
         size = rows.groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1")
         rows = keep(rows.join(size, "node"))
         full = rows.where(F.col("_n") <= LEAF).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
+        leaves.append(full)
         found.append(_pairs(full, full, percent, True))
         large = rows.where(F.col("_n") > LEAF)
         if large.isEmpty():  # nothing left to branch
@@ -129,7 +134,7 @@ def chosen_paths(classes: DataFrame, percent: int):
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
-    return keep(pairs.groupBy("a", "b").agg(F.min("bits").alias("bits"))), large
+    return keep(pairs.groupBy("a", "b").agg(F.min("bits").alias("bits"))), reduce(DataFrame.unionByName, leaves), large
 
 
 def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -138,7 +143,7 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
     The closest smaller partner of each class is confirmed first; of the other
     candidates only those between different components need it then.
     """
-    pairs, large = chosen_paths(classes, percent)
+    pairs, leaves, large = chosen_paths(classes, percent)
     ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select("b").toDF("_id")).unionByName(large.select("_id")).distinct()
     texts = keep(docs.join(ids.withColumnRenamed("_id", "_row").hint("shuffle_hash"), "_row", "left_semi").select("_row", "_text"))
 
@@ -147,27 +152,30 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
             texts.select(F.col("_row").alias("b"), F.col("_text").alias("_tb")), "b")
         return keep(p.select("a", "b", "_ta", "_tb").mapInArrow(_confirm(k, percent), "a long, b long"))
 
-    def across(p, comp):
-        a, b = comp.select(F.col("id").alias("a"), F.col("component").alias("_ca")), comp.select(F.col("id").alias("b"), F.col("component").alias("_cb"))
-        p = p.join(a, "a", "left").join(b, "b", "left")
-        return p.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b")
+    def named(nodes, comp):
+        """Members of nodes with their component so far."""
+        return nodes.join(comp.withColumnRenamed("id", "_id"), "_id", "left").withColumn("_c", F.coalesce("component", "_id")).drop("component")
 
     def joined(comp, more):
         """Components after more links between them."""
         return components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)) if not more.isEmpty() else comp
 
     first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
-    comp = components(confirm(pairs.withColumn("_first", first).where("_first").select("a", "b")))
-    comp = joined(comp, confirm(across(pairs, comp)))
+    best = keep(pairs.withColumn("_first", first).where("_first").select("a", "b"))
+    comp = components(confirm(best))
+    # what the leaves hold between different components; pairs inside one are not listed again
+    apart = keep(named(leaves, comp))
+    rest = _pairs(apart, apart, percent, True, across=True).select("a", "b").distinct()
+    comp = joined(comp, confirm(rest.join(best, ["a", "b"], "left_anti")))
     # the rest of the large nodes: whoever is not in the component of the node's smallest, against all others
-    named = large.join(comp.withColumnRenamed("id", "_id"), "_id", "left").withColumn("_c", F.coalesce("component", "_id")).drop("component")
+    apart = keep(named(large, comp))
     pivot = large.groupBy("node").agg(F.min("_id").alias("_id"))
-    pivot = pivot.join(named.select("node", "_id", F.col("_c").alias("_pc")), ["node", "_id"]).select("node", "_pc")
-    odd = keep(named.join(pivot, "node").where("_c <> _pc").select("node", "_id", "n", "s1", "s2"))
+    pivot = pivot.join(apart.select("node", "_id", F.col("_c").alias("_pc")), ["node", "_id"]).select("node", "_pc")
+    odd = keep(apart.join(pivot, "node").where("_c <> _pc").drop("_pc"))
     if odd.isEmpty():
         return comp
-    more = _pairs(odd, large, percent, False).select("a", "b").distinct()
-    return joined(comp, confirm(across(more.join(pairs, ["a", "b"], "left_anti"), comp)))
+    more = _pairs(odd, apart, percent, False, across=True).select("a", "b").distinct()
+    return joined(comp, confirm(more.join(best, ["a", "b"], "left_anti")))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
