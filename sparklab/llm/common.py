@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,41 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def _scan_only(df: DataFrame) -> bool:
+    """``df`` is a scan with nothing but projections and filters over it."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.children().isEmpty() and node.nodeName().startswith("LogicalRelation")
+
+
+def with_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number for every row in the long column ``name``, the same however often it is evaluated.
+
+    Rows of a Parquet scan are numbered by file name and the file's own row
+    positions, so the numbers do not follow the splits, whose size changes with
+    the cluster. Anything else is written to the shared folder once, numbered.
+    """
+    spark, meta = df.sparkSession, None
+    if _scan_only(df):
+        try:
+            meta = df.metadataColumn("_metadata")
+            files = df.select(meta["file_path"].alias("path"), meta["row_index"].alias("row")).groupBy("path").agg((F.max("row") + 1).alias("n")).collect()
+        except AnalysisException:  # no Parquet files
+            meta = None
+    if meta is None:
+        return keep(df.withColumn(name, F.monotonically_increasing_id()))
+    base, start = [], 0
+    for f in sorted(files, key=lambda f: f["path"]):
+        base.append((f["path"], start))
+        start += f["n"]
+    path, first, row = (free_name(df, c) for c in ("_path", "_first", "_row_index"))
+    base = F.broadcast(spark.createDataFrame(base, f"{path} string, {first} long"))
+    own = f"{path}_of"
+    d = df.select("*", meta["file_path"].alias(own), meta["row_index"].alias(row)).join(base, F.col(own) == F.col(path))
+    return d.withColumn(name, F.col(first) + F.col(row)).drop(own, path, first, row)
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest id reachable over ``links(a, b)`` for each end of a link: (id, component).
 

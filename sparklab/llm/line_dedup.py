@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklab.llm.common import keep
+from sparklab.llm.common import keep, with_rows
 
 #: bytes of a line id
 ID = 16
@@ -40,14 +40,13 @@ def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
     return active
 
 
-def line_runs(docs: DataFrame, min_lines: int = 3) -> DataFrame:
-    """Maximal runs of lines that repeat an earlier place: (_row, start, end), end exclusive.
+def line_runs(rows: DataFrame, min_lines: int = 3) -> DataFrame:
+    """Maximal runs of lines of ``rows(_row, doc_id, text)`` that repeat an earlier place: (_row, start, end), end exclusive.
 
     Earlier is by doc_id (null first), then row of the scan, then line. The
     first place of an LCP interval of depth >= ``min_lines`` is kept, all
     others start a copy; copies that touch or overlap in a document are one run.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
     lines = rows.select("_row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "_line"))
     lines = lines.select("_row", "doc_id", "pos", F.unhex(F.md5(F.col("_line").cast("binary"))).alias("rank"))
     suffixes = suffix_ranks(lines, min_lines)
@@ -71,16 +70,17 @@ def dedup_lines(docs: DataFrame, min_lines: int = 3) -> DataFrame:
     stay: null text stays null with 0 lines, a document whose every line was a
     copy gets empty text. Rows with a null or repeated doc_id are documents of
     their own; of two equal rows the later one (in the scan) is the copy.
-    ``docs`` must be a table or scan, whose row numbers are stable.
+    Rows go by the scan's own numbers, see ``with_rows``.
     """
     n_lines, n_removed = "n_lines", "n_removed"
     while {n_lines, n_removed} & {c.lower() for c in docs.columns}:
         n_lines, n_removed = n_lines + "_", n_removed + "_"
-    runs = line_runs(docs.select("doc_id", "text"), min_lines)
-    runs = runs.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_runs"))
     names = [f"_c{i}" for i in range(len(docs.columns))]  # own names can't clash with the input's
-    text = F.col(names[docs.columns.index("text")])
-    d = docs.toDF(*names).withColumn("_id", F.monotonically_increasing_id())
+    d = with_rows(docs.toDF(*names), "_id")
+    c = dict(zip(docs.columns, names, strict=True))
+    runs = line_runs(d.select(F.col("_id").alias("_row"), F.col(c["doc_id"]).alias("doc_id"), F.col(c["text"]).alias("text")), min_lines)
+    runs = runs.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_runs"))
+    text = F.col(c["text"])
     d = d.join(runs.hint("shuffle_hash"), F.col("_id") == F.col("_row"), "left")
     d = d.withColumn("_lines", F.when(F.col("_runs").isNotNull(), F.split(text, "\n", -1)))
     # what stands between the runs: from the end of one to the start of the next
@@ -91,7 +91,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = 3) -> DataFrame:
     count = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     return d.select(
         *[F.when(F.col("_runs").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(n).alias(c)
-          for n, c in zip(names, docs.columns, strict=True)],
+          for c, n in zip(docs.columns, names, strict=True)],
         count.cast("long").alias(n_lines), removed.cast("long").alias(n_removed))
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparklab.llm.common import keep
+from sparklab.llm.common import keep, with_rows
 from sparklab.llm.toxicity import held_out
 from sparklab.llm.words import PLAIN, join_hash, mix, pieces, signed
 
@@ -231,11 +231,10 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     Counts and weights come from the rows that are not held out; a null id is
     never held out. A null or empty text has one token, its end. Rows with
     repeated doc_ids are documents of their own and count as such. Words are
-    told apart by a 64-bit hash. ``docs`` must be a table or scan, whose row
-    numbers are stable.
+    told apart by a 64-bit hash. Rows go by the scan's own numbers, see ``with_rows``.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    d = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", F.coalesce("text", F.lit("")).alias("_text"))
+    d = with_rows(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")), "_row")
     d = d.withColumn("_block", F.shiftright("_row", BLOCK_BITS)).withColumn("held_out", held_out(F.col("doc_id"), folds, fold))
     words = keep(d.select("_block", "_text", (~F.col("held_out")).cast("long").alias("_train")).mapInArrow(_words, "_block long, h long, c long"))
     counts = keep(words.groupBy("h").agg(F.sum("c").alias("n")))

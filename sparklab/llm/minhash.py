@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklab.llm.common import components, keep
+from sparklab.llm.common import components, free_name, keep, with_rows
 from sparklab.llm.words import PLAIN, grams, pieces, signed
 
 TREES, LEVELS, LEAF = 16, 8, 16
@@ -178,7 +178,7 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
     return joined(comp, confirm(more.join(best, ["a", "b"], "left_anti")))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
     """Per row of ``docs``: _row, doc_id, n_shingles, component_id, kept, first.
 
     Texts are linked if ``100 * |A & B| >= percent * |A | B|`` for their sets
@@ -186,11 +186,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     doc_id of the component, ``kept`` whether it is the row's own; ``first``
     marks exactly one row of each component, also where doc_ids repeat.
     Texts that are null, empty or without words have an empty set and link
-    with nothing. Null doc_ids count as larger than any other. ``docs`` must be
-    a table or scan, whose row numbers are stable.
+    with nothing. Null doc_ids count as larger than any other. Rows go
+    by the scan's own numbers, see ``with_rows``, or by those in the column ``row``.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    d = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", F.coalesce("text", F.lit("")).alias("_text"))
+    text = F.coalesce("text", F.lit("")).alias("_text")
+    d = docs.select(F.col(row).alias("_row"), "doc_id", text) if row else with_rows(docs.select("doc_id", text), "_row")
     rows = keep(d.mapInArrow(_describe(k), f"_row long, doc_id {kind}, n long, k1 long, k2 long, s1 long, s2 long, tokens array<int>"))
     name = ["n", "k1", "k2"]
     equal = keep(rows.where("n > 0").groupBy(name).agg(F.min("_row").alias("_id"), F.min("doc_id").alias("_least")))
@@ -210,8 +211,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest doc_id; see ``near_duplicates``."""
-    from sparklab.llm.common import free_name
-
     row = free_name(docs, "_doc_row")
-    first = near_duplicates(docs.select("doc_id", "text"), k, percent).where("first").select(F.col("_row").alias(row))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(first.hint("shuffle_hash"), row, "left_semi").drop(row)
+    d = with_rows(docs, row)
+    first = near_duplicates(d, k, percent, row).where("first").select(F.col("_row").alias(row))
+    return d.join(first.hint("shuffle_hash"), row, "left_semi").drop(row)

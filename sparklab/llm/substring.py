@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparklab.llm.common import keep, release
+from sparklab.llm.common import keep, release, with_rows
 from sparklab.llm.words import PLAIN, grams, join_hash, pieces, signed
 
 WINDOW = 35
@@ -147,11 +147,11 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep_te
     Words are separated as the contract says and otherwise unchanged. Null and
     empty texts have no words; texts shorter than a window lose none; rows with
     null or repeated doc_ids are documents of their own, so two equal rows are
-    copies of each other. Other columns are not read. ``docs`` must be a table
-    or scan, whose row numbers are stable.
+    copies of each other. Other columns are not read. Rows go by the scan's own
+    numbers, see ``with_rows``.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    d = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", F.coalesce("text", F.lit("")).alias("_text"))
+    d = with_rows(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")), "_row")
     runs = repeats(d, window, seed).select(F.col("_row").alias("_r"), "_runs")
     d = d.join(runs.hint("shuffle_hash"), F.col("_row") == F.col("_r"), "left").select("doc_id", "_text", "_runs")
     d = d.mapInArrow(_cut(window, keep_text), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept string")

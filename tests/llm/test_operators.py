@@ -438,3 +438,34 @@ def test_null_and_repeated_ids(spark):
                 toxicity.classify(d, labels), lm.score(d), decontaminate.contamination(d, benchmark)):
         assert out.count() == 6
     assert [r.n_hit for r in decontaminate.contamination(d, benchmark).collect()] == [2, 2, 2, 0, 0, 0]
+
+
+SPLITS = {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+
+
+@pytest.mark.parametrize("module, call", [
+    (line_dedup, lambda d: line_dedup.dedup_lines(d).select("doc_id", "text", "n_lines", "n_removed")),
+    (substring, lambda d: substring.cut_repeats(d).select("doc_id", "n_removed", "kept")),
+    (minhash, lambda d: minhash.near_duplicates(d, 2).drop("_row", "first")),
+    (minhash, lambda d: minhash.drop_near_duplicates(d, 2).select("doc_id", "text")),
+    (lm, lambda d: lm.score(d).select("doc_id", "n_tokens", "n_known", F.round("base_score", 6))),
+], ids=["line_dedup", "substring", "near_duplicates", "drop_near_duplicates", "lm"])
+def test_splits_may_change_during_a_query(spark, docs, monkeypatch, module, call):
+    """The scan falls into other splits after the first table was written, as on a cluster that loses an executor."""
+    def result():
+        return sorted(map(repr, call(docs).collect()))
+
+    want, keep = result(), module.keep
+
+    def other_splits(df):
+        out = keep(df)
+        for k, v in SPLITS.items():
+            spark.conf.set(k, v)
+        return out
+
+    monkeypatch.setattr(module, "keep", other_splits)
+    try:
+        assert result() == want
+    finally:
+        for k in SPLITS:
+            spark.conf.unset(k)
