@@ -3,10 +3,10 @@
 Equal shingle sets are one class. In each of ``TREES`` independent trees the
 classes branch by their minwise token of the level; a node of at most ``LEAF``
 classes is compared exhaustively, a larger one branches again. Two sets of
-similarity s share a node at depth d of a tree with probability s**d, and the
-trees bring the recall to target: at 0.8 and the usual depth of 2 to 3 a pair
-is missed with probability (1 - 0.8**3)**16 < 2e-5. Nodes still large at the
-last level hold nearly equal sets: they are compared with one member each, and
+similarity s share a node at depth d of a tree with probability s**d; the
+deeper a level, the more trees its classes are in (``DEEP``), so that at 0.8 a
+level misses a pair with probability of 4e-5 at most, (1 - 0.8**3)**16 < 2e-5
+at the usual depth of 2 to 3. Nodes still large at the last level hold nearly equal sets: they are compared with one member each, and
 members that do not fall into its component with all others of the node.
 Links are confirmed on the full sets.
 """
@@ -25,12 +25,17 @@ from sparklab.llm.words import PLAIN, grams, pieces, signed
 
 TREES, LEVELS, LEAF = 16, 8, 16
 FIRST_LEVEL = 2
+#: trees at the deeper levels; those beyond TREES take their tokens from all places at random
+DEEP = {4: 24, 5: 40, 6: 64, 7: 80, 8: 144}
 #: sketches of 128 bits differ in (1 - s) / 2 of them; at 0.8 that is 12.8 (sd 3.4), a candidate may differ in up to 30
 MOST_BITS = 30
 
 _RNG = np.random.default_rng(20)
 _A = _RNG.integers(1, 1 << 63, TREES * LEVELS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, TREES * LEVELS, dtype=np.uint64)
+#: places of the tokens of each tree, level by level
+PLACES = np.concatenate([np.arange(TREES * LEVELS).reshape(TREES, LEVELS),
+                         [np.random.default_rng(21 + t).permutation(TREES * LEVELS)[:LEVELS] for t in range(DEEP[LEVELS] - TREES)]])
 
 
 def shingle_sets(column, k: int):
@@ -117,6 +122,8 @@ def chosen_paths(classes: DataFrame, percent: int):
     found, leaves, large = [], [], None
     for level in range(FIRST_LEVEL, LEVELS + 1):
         path = F.slice("tokens", F.col("tree") * LEVELS + 1, level)
+        if level in DEEP:
+            path = F.transform(F.slice(F.lit(PLACES.ravel().tolist()), F.col("tree") * LEVELS + 1, level), lambda p: F.element_at("tokens", p + 1))
         rows = active.select("_id", "tree", F.xxhash64("tree", path).alias("node"))
         size = rows.groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1")
         rows = keep(rows.join(size, "node"))
@@ -127,7 +134,12 @@ def chosen_paths(classes: DataFrame, percent: int):
         if large.isEmpty():  # nothing left to branch
             break
         if level < LEVELS:
-            active = large.select("_id", "tree").join(ids, "_id")
+            # a pair may share large nodes in trees that part further down: its classes enter more trees
+            more = F.explode(F.sequence(F.lit(DEEP.get(level, TREES)), F.lit(DEEP[level + 1] - 1))).alias("tree") if level + 1 in DEEP else None
+            active = large.select("_id", "tree")
+            if more is not None:
+                active = active.unionByName(large.select("_id").distinct().select("_id", more))
+            active = active.join(ids, "_id")
     large = keep(large.join(narrow, "_id").select("node", "_id", "n", "s1", "s2"))
     pivot = large.groupBy("node").agg(F.min("_id").alias("_id")).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
     found.append(_pairs(pivot, large, percent, False))

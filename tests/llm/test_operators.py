@@ -236,6 +236,26 @@ def test_large_nodes_of_near_copies_are_one_component(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_only_link_into_a_large_group_is_found(spark):
+    """300 near copies, and 300 texts each linked, at just over 0.8, to one of them only."""
+    rng = random.Random(11)
+    base, rows = [f"w{n}" for n in range(400)], []
+    for i in range(300):
+        own = base.copy()
+        for p in rng.sample(range(0, 400, 4), 1):
+            own[p] = f"x{i}_{p}"
+        far = own.copy()
+        for p in rng.sample(range(2, 400, 4), 22):
+            far[p] = f"y{i}_{p}"
+        rows += [(i, " ".join(own)), (1000 + i, " ".join(far))]
+    sets = {i: shingles(t, 2) for i, t in rows}
+    alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    links = [(a, b) for n, (a, _) in enumerate(rows) for b, _ in rows[n + 1:] if alike(a, b)]
+    assert all([a for a, b in links if b == 1000 + i] + [b for a, b in links if a == 1000 + i] == [i] for i in range(300))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == union(sorted(sets), links)
+
+
 def test_near_duplicates_keep_one_row_of_repeated_ids(spark):
     d = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (2, ""), (2, ""), (None, None)], "doc_id long, text string").coalesce(1)
     kept = minhash.drop_near_duplicates(d, 2).collect()
