@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import decontaminate, embeddings, line_dedup, lm, minhash, mixing, pii, quality, substring, toxicity
+from sparklab.llm import decontaminate, embeddings, line_dedup, lm, merkle, minhash, mixing, pii, quality, substring, toxicity
 from sparklab.llm.common import read
 
 
@@ -51,6 +51,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.dedup(read(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_substring_dedup, op4_mixing, op5_pii, op6_minhash_near_dedup, op7_toxicity, op8_lm_score,
-                                 op9_decontamination, op10_embedding_dedup)}
-SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL}
+                                 op9_decontamination, op10_embedding_dedup, op11_merkle_manifest)}
+SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL}
