@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklab.llm import chat, decontaminate, embeddings, line_dedup, lm, merkle, minhash, mixing, pii, quality, substring, toxicity
+from sparklab.llm import chat, decontaminate, embeddings, line_dedup, lm, merkle, minhash, mixing, pii, quality, substring, toxicity, trie
 from sparklab.llm.common import read
 
 
@@ -60,6 +60,10 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_substring_dedup, op4_mixing, op5_pii, op6_minhash_near_dedup, op7_toxicity, op8_lm_score,
-                                 op9_decontamination, op10_embedding_dedup, op11_merkle_manifest, op12_chat_format)}
-SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL, "op12_chat_format": chat.SQL}
+                                 op9_decontamination, op10_embedding_dedup, op11_merkle_manifest, op12_chat_format, op13_prefix_trie)}
+SQL = {"op1_line_dedup": line_dedup.SQL, "op4_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL, "op12_chat_format": chat.SQL, "op13_prefix_trie": trie.SQL}
