@@ -23,7 +23,7 @@ def duckdb_connection(sf_dir: str):
 
 
 def _norm(v, digits):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
