@@ -67,6 +67,8 @@ class Coder:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
         self.bpe = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.base = max(ranks.values()) + 1
+        #: ids between stages, as short as they can be
+        self.width = np.dtype("<u2" if self.base + len(MARKS) <= 1 << 16 else "<u4")
 
     def encode(self, text: str) -> list[int]:
         text, ids = escape(text), []
@@ -122,11 +124,10 @@ def format_chats(rows: DataFrame, vocab=None, conv: str = "conv_id", turn: str =
     def encode(batches):
         coder = Coder(vocab.value)
         for b in batches:
-            ids = [coder.turn(r, t) for r, t in zip(b["role"].to_pylist(), b["text"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b["conv"], b["turn"], b["role"], b["tie"], pa.array(ids, pa.list_(pa.int32()))],
-                                             ["conv", "turn", "role", "tie", "ids"])
+            ids = [np.array(coder.turn(r, t), coder.width).tobytes() for r, t in zip(b["role"].to_pylist(), b["text"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b["conv"], b["turn"], b["role"], b["tie"], pa.array(ids, pa.binary())], ["conv", "turn", "role", "tie", "ids"])
 
-    d = d.mapInArrow(encode, T.StructType([key, d.schema["turn"], d.schema["role"], d.schema["tie"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    d = d.mapInArrow(encode, T.StructType([key, d.schema["turn"], d.schema["role"], d.schema["tie"], T.StructField("ids", T.BinaryType())]))
     d = d.repartition("conv").sortWithinPartitions("conv", "turn", "role", "tie").select("conv", "ids")
     schema = T.StructType([key, T.StructField("part", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
                            T.StructField("loss", T.ArrayType(T.BooleanType()))])
@@ -151,21 +152,18 @@ def format_chats(rows: DataFrame, vocab=None, conv: str = "conv_id", turn: str =
 
         for b in batches:
             keys, kind = b["conv"].to_pylist(), b["conv"].type
-            values, offsets = _rows(b, "ids")
-            values = values.to_numpy()
-            for i, k in enumerate(keys):
+            for k, ids in zip(keys, b["ids"].to_pylist(), strict=True):
                 if now is _NONE or k != now:
                     if size:
                         put()
                     now, part, held, size = k, 0, [np.array([coder.base + BOS], np.int32)], 1
-                held.append(values[offsets[i]:offsets[i + 1]])
+                held.append(np.frombuffer(ids, coder.width).astype(np.int32))
                 size += len(held[-1])
                 if size >= PART:
                     put()
                     part += 1
                 if waiting >= PART:
                     yield written()
-            held = [np.concatenate(held)] if held else []  # a copy: the batch may go
         if size:
             put()
         if out:
