@@ -48,6 +48,7 @@ def _optional_modules():
         "sparklab.operators.relational",
         "sparklab.operators.runs",
         "sparklab.operators.grid",
+        "sparklab.operators.userfn",
         "sparklab.operators.climate",
         "sparklab.operators.features",
         "sparklab.operators.workflows",
