@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sparklab.functions.dates import ts_lit
 from sparklab.operators.relational import exact_quantile, top_n_per_group
+from sparklab.operators.userfn import Fold, fold_groups
 
 col = F.col
 GIB = 1024 ** 3
@@ -212,6 +213,97 @@ def ab_confidence(runs: DataFrame, metric: str, a: str, b: str, reps: int = 1000
     return per.select(*by, rows.alias("_r")).select(*by, "_r.x", "_r.xlabel", "_r.p", "_r.color")
 
 
+#: Multipliers of the replicate hash; thresholds of a Poisson(1) draw, as shares of 2^32
+HASH = (2654435761, 2246822519, 3266489917)
+WORD = 1 << 32
+
+
+def poisson_thresholds() -> list[int]:
+    """A 32-bit hash h draws as many as there are thresholds <= h; no draw of 13 or more has a hash of its own."""
+    import math
+
+    share, out = 0.0, []
+    for k in range(13):
+        share += math.exp(-1) / math.factorial(k)
+        out.append(round(share * WORD))
+    return out
+
+
+def replicate_weights(ids, reps: int, seed: int = 0):
+    """How often each replicate draws each run: (ids, reps), a function of (id, replicate, seed) alone."""
+    import numpy as np
+
+    a, b, c = (np.uint64(m) for m in HASH)
+    low = np.uint64(WORD - 1)
+    x = ((ids.astype(np.uint64) & low) * a & low)[:, None] + (np.arange(reps, dtype=np.uint64) * b & low)[None] + np.uint64(seed * HASH[2] % WORD)
+    x &= low
+    x ^= x >> np.uint64(15)
+    x = x * b & low
+    x ^= x >> np.uint64(13)
+    x = x * c & low
+    x ^= x >> np.uint64(16)
+    return np.searchsorted(np.array(poisson_thresholds(), np.uint64), x.ravel(), "right").reshape(x.shape)
+
+
+class Replicates(Fold):
+    """Per side (0, 1) and replicate the weighted sum of the values and the sum of the weights, as integers."""
+
+    def __init__(self, reps: int, seed: int, scale: int):
+        self.reps, self.seed, self.scale = reps, seed, scale
+
+    def start(self):
+        import numpy as np
+
+        return np.zeros((2, 2, self.reps), np.int64)
+
+    def step(self, state, rows):
+        import numpy as np
+
+        side, ids, units = (rows[c].to_numpy() for c in ("_side", "id", "_units"))
+        for i in range(0, len(ids), 64):  # 64 x replicates weights at a time
+            w = replicate_weights(ids[i:i + 64], self.reps, self.seed)
+            for s in (0, 1):
+                own = side[i:i + 64] == s
+                state[s, 0] += units[i:i + 64][own] @ w[own]
+                state[s, 1] += w[own].sum(axis=0, dtype=np.int64)
+        return state
+
+    def merge(self, a, b):
+        return a + b
+
+    def finish(self, state):
+        import numpy as np
+
+        drawn = (state[0, 1] > 0) & (state[1, 1] > 0)
+        if not drawn.any():
+            return {"x": [], "xlabel": [], "p": [], "color": []}
+        a, b = (state[s, 0][drawn] / float(10 ** self.scale) / state[s, 1][drawn] for s in (0, 1))
+        diff = b / np.where(a == 0, np.nan, a) - 1
+        out = {"x": [], "xlabel": [], "p": [], "color": []}
+        for k, less in [(k, True) for k in range(-16, 1)] + [(k, False) for k in range(17)]:
+            x = k / 20.0
+            p = float((diff < x).sum() if less else (diff > x).sum()) / len(diff)
+            for name, v in zip(out, (x, ("<" if less else ">") + f"{k * 5}%", p, (-1.0 if less else 1.0) * p / 2 + 0.5), strict=True):
+                out[name].append(v)
+        return out
+
+
+def ab_confidence_onepass(runs: DataFrame, metric: str, a: str, b: str, reps: int = 10000, seed: int = 0, by=("fullname",),
+                          runtime_col: str = "runtime", scale: int = 2) -> DataFrame:
+    """``ab_confidence`` from one pass over the runs: each replicate weighs each run by a Poisson(1) draw, which is a
+    hash of (id, replicate, seed), so there are no draws to write, join or shuffle; tasks add up arrays of ``reps``
+    sums per test, and only tests that a partition's end cuts meet again.
+
+    A replicate's size varies around n instead of being n; the shares differ from the other form's by sampling noise
+    and, for small n, by that: on tests with 50 runs and more within 0.05. Replicates that draw no run of a side are
+    left out, as is a test without runs of both sides. Values have ``scale`` decimals and are summed as integers.
+    """
+    d = runs.filter(col(runtime_col).isin(a, b) & col(metric).isNotNull())
+    d = d.select(*by, F.when(col(runtime_col) == b, 1).otherwise(0).alias("_side"), col("id").cast("long").alias("id"),
+                 F.round(col(metric) * 10 ** scale).cast("long").alias("_units"))
+    return fold_groups(d, list(by), Replicates(reps, seed, scale), "x double, xlabel string, p double, color double", ["id"])
+
+
 # ------------------------------------------------------------------ R4, R6
 def latest_runs(runs: DataFrame, keys=("library", "query"), n: int = 1) -> DataFrame:
     """Latest ``n`` runs per (library, query)."""
@@ -348,13 +440,24 @@ from j where nn > {n + 10} and latest >= timestamp '{NOW}' - interval 7 days and
     add("regressions", lambda s, d: detect_regressions(runs(s, d), NOW, n_last=1), regressions_sql(1))
     add("regressions_last3", lambda s, d: detect_regressions(runs(s, d), NOW, n_std=0.0), regressions_sql(3).replace("3.0 * s.sd", "0.0 * s.sd"))
 
-    def ab(s, d):
+    def recent(s, d):
         r = label_runs(runs(s, d))
         cutoff = r.agg(F.max("end")).scalar()
-        recent = r.filter((col("end") > cutoff - F.expr("INTERVAL 7 DAYS")) & (col("call_outcome") == "passed"))
-        return ab_confidence(recent, "duration", "py0", "py1", reps=10000, seed=0, portable=True)
+        return r.filter((col("end") > cutoff - F.expr("INTERVAL 7 DAYS")) & (col("call_outcome") == "passed"))
+
+    shares = """
+diffs as (select fullname, b / a - 1 as diff from piv where a is not null and b is not null),
+xs as (select cast(k as double) / 20.0 as x, '<' || cast(k * 5 as varchar) || '%' as xlabel, 0 as side from range(-16, 1) t(k)
+       union all
+       select cast(k as double) / 20.0, '>' || cast(k * 5 as varchar) || '%', 1 from range(0, 17) t(k))
+select fullname, x, xlabel,
+  cast(sum(case when (side = 0 and diff < x) or (side = 1 and diff > x) then 1 else 0 end) as double) / count(*) as p,
+  case when side = 0 then -1.0 else 1.0 end
+    * (cast(sum(case when (side = 0 and diff < x) or (side = 1 and diff > x) then 1 else 0 end) as double) / count(*)) / 2 + 0.5
+    as color
+from diffs cross join xs group by fullname, x, xlabel, side"""
 
-    add("ab_confidence", ab, """
+    add("ab_confidence", lambda s, d: ab_confidence(recent(s, d), "duration", "py0", "py1", reps=10000, seed=0, portable=True), """
 with r as (select *, path || '::' || name as fullname from runs),
 recent as (select * from r where "end" > (select max("end") from r) - interval 7 days and call_outcome = 'passed'),
 d as (select fullname, runtime, id, start, duration from recent where runtime in ('py0', 'py1') and duration is not null),
@@ -368,17 +471,23 @@ means as (select dr.fullname, dr.runtime, dr.rep,
           from draws dr join numbered v on dr.fullname = v.fullname and dr.runtime = v.runtime and dr.pos = v.pos
           group by 1, 2, 3),
 piv as (select fullname, rep, max(case when runtime = 'py0' then m end) as a,
-           max(case when runtime = 'py1' then m end) as b from means group by 1, 2),
-diffs as (select fullname, b / a - 1 as diff from piv where a is not null and b is not null),
-xs as (select cast(k as double) / 20.0 as x, '<' || cast(k * 5 as varchar) || '%' as xlabel, 0 as side from range(-16, 1) t(k)
-       union all
-       select cast(k as double) / 20.0, '>' || cast(k * 5 as varchar) || '%', 1 from range(0, 17) t(k))
-select fullname, x, xlabel,
-  cast(sum(case when (side = 0 and diff < x) or (side = 1 and diff > x) then 1 else 0 end) as double) / count(*) as p,
-  case when side = 0 then -1.0 else 1.0 end
-    * (cast(sum(case when (side = 0 and diff < x) or (side = 1 and diff > x) then 1 else 0 end) as double) / count(*)) / 2 + 0.5
-    as color
-from diffs cross join xs group by fullname, x, xlabel, side""")
+           max(case when runtime = 'py1' then m end) as b from means group by 1, 2),""" + shares)
+
+    u = lambda m: f"{m}::UBIGINT"
+    a, b, c = map(u, HASH)
+    word = u(WORD)
+    steps = " + ".join(f"(h >= {t})::INT" for t in poisson_thresholds())
+    add("ab_confidence_onepass", lambda s, d: ab_confidence_onepass(recent(s, d), "duration", "py0", "py1"), f"""
+with r as (select *, path || '::' || name as fullname from runs),
+d as (select fullname, runtime, (id::UBIGINT % {word}) * {a} % {word} as i, cast(round(duration * 100) as bigint) as units from r
+  where "end" > (select max("end") from r) - interval 7 days and call_outcome = 'passed' and runtime in ('py0', 'py1') and duration is not null),
+h0 as (select fullname, runtime, units, rep.r as rep, (i + rep.r::UBIGINT * {b} % {word}) % {word} as h from d, range(10000) rep(r)),
+h1 as (select * replace (xor(h, h >> 15) * {b} % {word} as h) from h0),
+h2 as (select * replace (xor(h, h >> 13) * {c} % {word} as h) from h1),
+h3 as (select * replace (xor(h, h >> 16) as h) from h2),
+w as (select fullname, runtime, rep, sum(units * w)::BIGINT as s, sum(w)::BIGINT as n from (select *, {steps} as w from h3) group by 1, 2, 3),
+piv as (select fullname, rep, max(case when runtime = 'py0' and n > 0 then s / 100.0::DOUBLE / n end) as a,
+           max(case when runtime = 'py1' and n > 0 then s / 100.0::DOUBLE / n end) as b from w group by 1, 2),""" + shares)
     add("label_runs", lambda s, d: label_runs(runs(s, d)).select(
         "id", "runtime_label", "category", "sourcename", "fullname", "fullname_no_category", "name_short"), """
 select id,
