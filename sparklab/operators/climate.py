@@ -8,7 +8,7 @@ nation), so their work grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparklab.functions.dates import ts_lit
@@ -47,73 +47,81 @@ EVENTS_GRID_SQL = """eg4 as (select date_trunc('hour', ts) as time, cast(user_id
 
 
 # --------------------------------------------------------- climatology
-def window_weights(window: int = 61) -> list[float]:
-    """Triangular weights 0..1..0 normalised to mean 1 (sum = window)."""
+def triangle(window: int) -> list[tuple[int, int]]:
+    """(offset, weight) of a triangular window: h - |k| for |k| < h, h half the window. The weighted mean is the same
+    as with weights normalised to mean 1, and sums stay integers."""
     h = window // 2
-    raw = [1 - abs(k) / h for k in range(-h, h + 1)]
-    m = sum(raw) / window
-    return [r / m for r in raw]
+    return [(k, h - abs(k)) for k in range(1 - h, h)]
+
+
+def _unary(f):
+    """``f`` with one visible argument, as higher-order functions ask for."""
+    return lambda x: f(x)
+
+
+def _running(a):
+    """0 and the running sums of an array of longs."""
+    zero = F.array(F.lit(0).cast("long"))
+    return F.aggregate(a, zero, lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
+
+
+def _circular_triangle(df: DataFrame, names, h: int) -> DataFrame:
+    """The arrays ``names`` of ``df`` as circular triangular sums: element d becomes the sum over |k| < h of
+    (h - |k|) * a[d + k], indices modulo the length. A triangle is a box of h over a box of h, and a box is a
+    difference of running sums. Each running sum is a column of its own: a lambda would compute it per element."""
+    at = lambda x, i: F.get(col(x), i)
+    box = lambda x: F.transform(F.sequence(F.lit(0), F.size(x) - (h + 1)), lambda i: at(x, i + h) - at(x, i))
+    longer = lambda x: F.transform(F.sequence(F.lit(1 - h), F.size(x) + (h - 2)), lambda i: at(x, F.pmod(i, F.size(x))))
+    df = df.withColumns({n: _running(longer(n)) for n in names})
+    df = df.withColumns({n: _running(box(n)) for n in names})
+    return df.withColumns({n: box(n) for n in names})
 
 
 def hourly_climatology(grid: DataFrame, cells=("latitude", "longitude"), value: str = "value", window: int = 61,
-                       hours=(0, 6, 12, 18), fill: str = "day365") -> DataFrame:
+                       hours=(0, 6, 12, 18), fill: str = "day365", bits: int = 20) -> DataFrame:
     """Smoothed day-of-year climatology per (hour, dayofyear, cell).
 
     A circular ``window``-day triangular-weighted mean over days and years.
     ``fill="day365"`` (G6) fills a year's missing day from its day 365;
     ``fill="ffill"`` (G7, all hours kept) fills from the previous day only.
 
-    The weights do not depend on the year, so values (and fill terms) are
-    first summed over years per (cell, hour, day) and only then fanned out to
-    the ``window`` target days: the fan-out is on <= 366 rows per cell-hour.
-    Missing data are handled algebraically (see the fill terms) instead of
-    building the dense year x day frame.
+    The grid is read once, into one sum per (cell, hour, year, day); the rest
+    happens on rows dealt by (cell, hour): a year becomes an array of at most
+    366 days, is filled, years are added up, and the window is two passes of
+    running sums along the array. Values count in units of 2^-``bits`` as
+    longs, so every sum is exact whatever the order (an overflow raises).
     """
     cells = list(cells)
     h = window // 2
-    w = window_weights(window)
-    W = float(sum(w))
+    key = cells + ["hour"]
     g = grid.filter(col(value).isNotNull()).select(
-        *cells, F.hour("time").alias("hour"), F.year("time").alias("year"),
-        F.dayofyear("time").alias("doy"), col(value).cast("double").alias("v"))
+        *cells, F.hour("time").alias("hour"), F.year("time").alias("year"), F.dayofyear("time").alias("doy"),
+        F.floor(col(value).cast("double") * float(2 ** bits) + 0.5).alias("_v"))
     if fill == "day365":
         g = g.filter(col("hour").isin(list(hours)))
-    L = g.agg(F.max("doy")).scalar()  # 366 when any leap day is present (scalar subquery)
-    key = cells + ["hour"]
-    if fill == "day365":
-        f365 = g.filter(col("doy") == 365).select(*key, "year", col("v").alias("_f"))
-        rows = g.join(f365, key + ["year"], "left")
-        pre = rows.groupBy(*key, "doy").agg(
-            F.sum("v").alias("_sv"), F.count(F.lit(1)).alias("_c"),
-            F.sum(F.coalesce(col("_f"), F.lit(0.0))).alias("_sf"),
-            F.sum(col("_f").isNotNull().cast("int")).alias("_sn"))
-        fills = f365.groupBy(*key).agg(F.sum("_f").alias("_F"), F.count("_f").alias("_NF"))
-    else:
-        # previous-day fill, one step: a missing (year, d) takes (year, d-1)
-        shifted = g.select(*key, "year", (col("doy") + 1).alias("doy"), "v")
-        shifted = shifted.filter(col("doy") <= L)
-        filled = shifted.join(g.select(*key, "year", "doy"), key + ["year", "doy"], "left_anti")
-        rows = g.unionByName(filled)
-        pre = rows.groupBy(*key, "doy").agg(F.sum("v").alias("_sv"), F.count(F.lit(1)).alias("_c"))
-    offs = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(wk).alias("w"))
-                               for k, wk in zip(range(-h, h + 1), w) if wk != 0.0])).alias("_o")
-    fan = pre.select("*", offs)
-    tgt = (F.pmod(col("doy") - 1 - col("_o.k"), L) + 1).alias("dayofyear")
-    sums = [F.sum(col("_o.w") * col("_sv")).alias("_A"), F.sum(col("_o.w") * col("_c")).alias("_B")]
-    if fill == "day365":
-        sums += [F.sum(col("_o.w") * col("_sf")).alias("_C"), F.sum(col("_o.w") * col("_sn")).alias("_D")]
-    agg = fan.groupBy(*key, tgt).agg(*sums)
-    targets = g.select(*key).distinct().select(*key, F.explode(F.sequence(F.lit(1), L)).alias("dayofyear"))
-    out = targets.join(agg, key + ["dayofyear"], "left")
-    z = F.lit(0.0)
+    days = g.groupBy(*key, "year", "doy").agg(F.sum("_v").alias("s"), F.count(F.lit(1)).alias("c"))
+    years = days.repartition(*key).groupBy(*key, "year").agg(F.collect_list(F.struct("doy", "s", "c")).alias("days"))
+    last = years.agg(F.max(F.array_max(F.transform("days", lambda d: d["doy"])))).scalar()  # 366 when any leap day is present
+    years = years.withColumns({"last": last, "known": F.transform("days", lambda d: d["doy"])})
+    zero = F.lit(0).cast("long")
+    day = lambda d, s, c: F.struct(d.alias("doy"), s.alias("s"), c.alias("c"))
+    missing = F.array_except(F.sequence(F.lit(1), col("last")), col("known"))
     if fill == "day365":
-        out = out.join(fills, key, "left")
-        num = F.coalesce(col("_A"), z) + W * F.coalesce(col("_F"), z) - F.coalesce(col("_C"), z)
-        den = F.coalesce(col("_B"), z) + W * F.coalesce(col("_NF"), z) - F.coalesce(col("_D"), z)
+        years = years.withColumn("f", F.get(F.filter("days", lambda d: d["doy"] == 365), F.lit(0)))
+        more = F.transform(missing, lambda d: day(d, F.coalesce(col("f")["s"], zero), F.coalesce(col("f")["c"], zero)))
     else:
-        num, den = F.coalesce(col("_A"), z), F.coalesce(col("_B"), z)
-    return out.select("hour", "dayofyear", *cells,
-                      F.when(den > 1e-9, num / den).alias(value))
+        years = years.withColumn("gaps", F.array_intersect(F.transform("days", lambda d: d["doy"] + 1), missing))
+        moved = F.transform(F.filter("days", lambda d: F.array_contains("gaps", d["doy"] + 1)), lambda d: day(d["doy"] + 1, d["s"], d["c"]))
+        more = F.concat(moved, F.transform(F.array_except(missing, col("gaps")), lambda d: day(d, zero, zero)))
+    # every year now has every day, so the days of a cell are dense
+    full = years.select(*key, F.explode(F.concat("days", more)).alias("d"))
+    full = full.groupBy(*key, "d.doy").agg(F.sum("d.s").alias("s"), F.sum("d.c").alias("c"))
+    series = full.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("doy", "s", "c"))).alias("a"))
+    series = series.select(*key, *[F.transform("a", _unary(lambda d, n=n: d[n])).alias(n) for n in "sc"])
+    series = _circular_triangle(series, "sc", h).select(*key, F.posexplode(F.arrays_zip("s", "c")))
+    num, den = col("col.s"), col("col.c")
+    return series.select("hour", (col("pos") + 1).alias("dayofyear"), *cells,
+                         F.when(den > 0, num.cast("double") / den.cast("double") / float(2 ** bits)).alias(value))
 
 
 # ------------------------------------------------------------ G3, G10-G12
@@ -152,59 +160,60 @@ def eddy_fluxes_daily(df: DataFrame, variables=("U", "V", "T", "W"), zonal: str
         *[_mean(x, fixed).alias(x) for x in list(variables) + list(pairs)])
 
 
-def group_mean(df: DataFrame, by: str, cells, value: str = "value", time: str = "time") -> DataFrame:
+def group_mean(df: DataFrame, by: str, cells, value: str = "value", time: str = "time", fixed: bool = False) -> DataFrame:
     """Mean per calendar group (month, dayofyear, ...) and cell (G11, G13):
-    one partially aggregated group-by; no re-chunking needed."""
+    one partially aggregated group-by; no re-chunking needed. ``fixed``: sums
+    that don't depend on the order of rows."""
     fn = {"month": F.month, "dayofyear": F.dayofyear, "dayofmonth": F.dayofmonth, "hour": F.hour, "year": F.year}[by]
-    return df.groupBy(fn(time).alias(by), *cells).agg(F.avg(value).alias(value))
+    return df.groupBy(fn(time).alias(by), *cells).agg(_mean(value, fixed).alias(value))
 
 
-def anomalies(df: DataFrame, by: str, cells, value: str = "value", time: str = "time") -> DataFrame:
+def anomalies(df: DataFrame, by: str, cells, value: str = "value", time: str = "time", fixed: bool = False) -> DataFrame:
     """``value - mean of its calendar group`` as a grid (G12): one partial aggregate
     per (cell, group), joined back; AQE splits a hot group's partition."""
     cells = list(cells)
     fn = {"month": F.month, "dayofyear": F.dayofyear, "dayofmonth": F.dayofmonth, "hour": F.hour}[by]
-    means = group_mean(df, by, cells, value, time).withColumnRenamed(value, "_mean")
+    means = group_mean(df, by, cells, value, time, fixed).withColumnRenamed(value, "_mean")
     return df.withColumn(by, fn(time)).join(means, [by, *cells]).select(time, *cells, (col(value) - col("_mean")).alias("anomaly"))
 
 
-def anomaly_mean(df: DataFrame, by: str, cells, value: str = "value", time: str = "time") -> DataFrame:
+def anomaly_mean(df: DataFrame, by: str, cells, value: str = "value", time: str = "time", fixed: bool = False) -> DataFrame:
     """Mean over time of the anomalies per cell (G12; zero up to rounding), and of their sizes."""
-    a = anomalies(df, by, cells, value, time)
-    return a.groupBy(*cells).agg((F.round(F.avg("anomaly"), 6) + F.lit(0.0)).alias("anomaly_mean"),
-                                 F.round(F.avg(F.abs("anomaly")), 6).alias("anomaly_size"))
+    a = anomalies(df, by, cells, value, time, fixed)
+    return a.groupBy(*cells).agg(_mean("anomaly", fixed).alias("anomaly_mean"), _mean(F.abs("anomaly"), fixed).alias("anomaly_size"))
 
 
 # ----------------------------------------------------------------- G8
 def moisture_by_month(scenes: DataFrame, cutoff: str, b08: str = "B08", b11: str = "B11", offset: int = 1000,
-                      cells=("y", "x")) -> DataFrame:
+                      cells=("y", "x"), fixed: bool = False) -> DataFrame:
     """Moisture index (B08 - B11) / (B08 + B11) per calendar month.
 
-    Mosaic per solar day: the first scene of the day per pixel (``min_by``).
+    Mosaic per solar day: the first scene of the day per pixel (``row_number``
+    with a limit on the map side; scenes of the same time by their bands).
     Days after ``cutoff`` are harmonised: max(band, offset) - offset.
     """
     cells = list(cells)
-    day = F.date_trunc("day", "time").alias("day")
-    mosaic = scenes.groupBy(day, *cells).agg(
-        F.min_by(F.struct(col(b08).alias("b08"), col(b11).alias("b11")), col("time")).alias("_s"))
+    s = scenes.select(F.date_trunc("day", "time").alias("day"), *cells, "time", col(b08).cast("double").alias("_8"), col(b11).cast("double").alias("_11"))
+    first = Window.partitionBy("day", *cells).orderBy("time", "_8", "_11")
+    mosaic = s.withColumn("_n", F.row_number().over(first)).filter(col("_n") == 1)
     new = col("day") > ts_lit(cutoff)
 
     def harm(c):
-        return F.when(new, F.greatest(c.cast("double"), F.lit(float(offset))) - offset).otherwise(c.cast("double"))
+        return F.when(new, F.greatest(col(c), F.lit(float(offset))) - offset).otherwise(col(c))
 
-    idx = mosaic.select("day", *cells, harm(col("_s.b08")).alias("_8"), harm(col("_s.b11")).alias("_11"))
+    idx = mosaic.select("day", harm("_8").alias("_8"), harm("_11").alias("_11"))
     idx = idx.select("day", F.try_divide(col("_8") - col("_11"), col("_8") + col("_11")).alias("moisture"))
-    return idx.groupBy(F.month("day").alias("month")).agg(F.avg("moisture").alias("moisture"))
+    return idx.groupBy(F.month("day").alias("month")).agg(_mean("moisture", fixed).alias("moisture"))
 
 
 # ----------------------------------------------------------------- G9
 def zonal_mean(grid: DataFrame, regions: DataFrame, cells=("y", "x"), value: str = "value",
-               region: str = "region") -> DataFrame:
+               region: str = "region", fixed: bool = False) -> DataFrame:
     """Mean per (time, region id) over the cells of each region, id 0 = outside
     (G9). The raster is joined on integer cell positions (``join="override"``)."""
     cells = list(cells)
     r = regions.filter(col(region) != 0).select(*cells, region)
-    return grid.join(r, cells).groupBy("time", region).agg(F.avg(value).alias(value))
+    return grid.join(r, cells).groupBy("time", region).agg(_mean(value, fixed).alias(value))
 
 
 # ----------------------------------------------------------------- G14
@@ -235,16 +244,18 @@ def bilinear_weights(spark, src_lat0: float, src_dlat: float, src_nlat: int, src
     return out.filter(col("w") > 0).join(inside, ["dst_i", "dst_j"], "left_semi")
 
 
-def regrid(df: DataFrame, weights: DataFrame, value: str = "value", keys=("time",)) -> DataFrame:
+def regrid(df: DataFrame, weights: DataFrame, value: str = "value", keys=("time",), fixed: bool = False) -> DataFrame:
     """Apply a sparse weight matrix (G14). A target with a missing source -
     a NULL value or no row for that time - is NULL, as missing values
     propagate by default in the workload's regridder; a target of which all
     source rows are absent has no row. The full number of sources per target
     comes from the weights."""
-    keys = list(keys)
+    from sparklab.operators.grid import fixed_sum
+
+    keys, total = list(keys), fixed_sum if fixed else F.sum
     need = weights.groupBy("dst_i", "dst_j").agg(F.count(F.lit(1)).alias("_need"))
     j = df.select(*keys, "src_i", "src_j", col(value).alias("_v")).join(weights, ["src_i", "src_j"])
-    g = j.groupBy(*keys, "dst_i", "dst_j").agg(F.count("_v").alias("_n"), F.sum(col("w") * col("_v")).alias("_s"), F.sum("w").alias("_w"))
+    g = j.groupBy(*keys, "dst_i", "dst_j").agg(F.count("_v").alias("_n"), total(col("w") * col("_v")).alias("_s"), total(col("w")).alias("_w"))
     return g.join(need, ["dst_i", "dst_j"]).select(
         *keys, "dst_i", "dst_j", F.when(col("_n") == col("_need"), col("_s") / col("_w")).alias(value))
 
@@ -260,11 +271,10 @@ def register(reg) -> None:
     def sql(body, **extra):
         return with_duckdb_ctes(body, {"sg": SHIP_GRID_SQL, "eg4": EVENTS_GRID_SQL, **extra})
 
-    w = window_weights(61)
-    wrows = ", ".join(f"({k}, {wk!r})" for k, wk in zip(range(-30, 31), w) if wk != 0.0)
+    wrows = ", ".join(f"({k}, {w})" for k, w in triangle(61))
 
-    reg.add("climatology", lambda s, d: hourly_climatology(sg(s, d)).withColumn("value", F.round("value", 6)), sql(f"""
-with g as (select latitude, longitude, hour(time) as hour, year(time) as year, dayofyear(time) as doy, value as v
+    reg.add("climatology", lambda s, d: hourly_climatology(sg(s, d)), sql(f"""
+with g as (select latitude, longitude, hour(time) as hour, year(time) as year, dayofyear(time) as doy, cast(floor(value * 1048576 + 0.5) as bigint) as v
            from sg where value is not null and hour(time) in (0, 6, 12, 18)),
 L as (select max(doy) as L from g),
 cells as (select distinct latitude, longitude, hour from g),
@@ -282,12 +292,12 @@ contrib as (select f.latitude, f.longitude, f.hour, ((f.doy - 1 - w.k) % (select
                    w.w * f.v as wv, case when f.v is null then 0 else w.w end as ww
             from filled f cross join w)
 select cast(hour as integer) as hour, cast(dayofyear as integer) as dayofyear, latitude, longitude,
-       round(case when sum(ww) > 1e-9 then sum(wv) / sum(ww) end, 6) as value
+       case when sum(ww) > 0 then cast(sum(wv) as double) / cast(sum(ww) as double) / 1048576.0 end as value
 from contrib group by hour, dayofyear, latitude, longitude"""))
 
     reg.add("climatology_ffill",
-            lambda s, d: hourly_climatology(sg(s, d), fill="ffill").withColumn("value", F.round("value", 6)), sql(f"""
-with g as (select latitude, longitude, hour(time) as hour, year(time) as year, dayofyear(time) as doy, value as v
+            lambda s, d: hourly_climatology(sg(s, d), fill="ffill"), sql(f"""
+with g as (select latitude, longitude, hour(time) as hour, year(time) as year, dayofyear(time) as doy, cast(floor(value * 1048576 + 0.5) as bigint) as v
            from sg where value is not null),
 L as (select max(doy) as L from g),
 cells as (select distinct latitude, longitude, hour from g),
@@ -303,7 +313,7 @@ contrib as (select f.latitude, f.longitude, f.hour, ((f.doy - 1 - w.k) % (select
                    w.w * f.fv as wv, case when f.fv is null then 0 else w.w end as ww
             from filled f cross join w)
 select cast(hour as integer) as hour, cast(dayofyear as integer) as dayofyear, latitude, longitude,
-       round(case when sum(ww) > 1e-9 then sum(wv) / sum(ww) end, 6) as value
+       case when sum(ww) > 0 then cast(sum(wv) as double) / cast(sum(ww) as double) / 1048576.0 end as value
 from contrib group by hour, dayofyear, latitude, longitude"""))
 
     def eg(s, d):
@@ -323,13 +333,12 @@ with h as (select time, level, latitude, {fm('U')} as U, {fm('V')} as V, {fm('T'
              {fm('U * W')} - {fm('U')} * ({fm('W')}) as uw from eg4 group by 1, 2, 3)
 select date_trunc('day', time) as time, level, latitude, {fm('U')} as U, {fm('V')} as V, {fm('T')} as T, {fm('W')} as W,
        {fm('uv')} as uv, {fm('vt')} as vt, {fm('uw')} as uw from h group by 1, 2, 3"""))
-    reg.add("group_mean_month", lambda s, d: group_mean(sg(s, d), "month", ["latitude", "longitude"]).withColumn(
-        "value", F.round("value", 6)), sql("""
-select cast(month(time) as integer) as month, latitude, longitude, round(avg(value), 6) as value from sg group by 1, 2, 3"""))
-    reg.add("anomaly_mean", lambda s, d: anomaly_mean(sg(s, d), "dayofmonth", ["latitude", "longitude"]), sql("""
-select latitude, longitude, round(avg(a), 6) + 0.0 as anomaly_mean, round(avg(abs(a)), 6) as anomaly_size from
-  (select latitude, longitude, value - avg(value) over (partition by latitude, longitude, dayofmonth(time)) as a from sg)
-group by 1, 2"""))
+    reg.add("group_mean_month", lambda s, d: group_mean(sg(s, d), "month", ["latitude", "longitude"], fixed=True), sql(f"""
+select cast(month(time) as integer) as month, latitude, longitude, {fm('value')} as value from sg group by 1, 2, 3"""))
+    reg.add("anomaly_mean", lambda s, d: anomaly_mean(sg(s, d), "dayofmonth", ["latitude", "longitude"], fixed=True), sql(f"""
+with m as (select latitude, longitude, dayofmonth(time) as dom, {fm('value')} as mean from sg group by 1, 2, 3)
+select latitude, longitude, {fm('(value - mean)')} as anomaly_mean, {fm('abs(value - mean)')} as anomaly_size
+from sg join m using (latitude, longitude) where dom = dayofmonth(time) group by 1, 2"""))
 
     def scenes(s, d):
         li = Tables.of(s, d).raw("lineitem")
@@ -339,8 +348,7 @@ group by 1, 2"""))
             F.max(F.lit(900.0) + col("l_extendedprice") % 300).alias("B08"),
             F.min(F.lit(800.0) + col("l_quantity") * 10).alias("B11"))
 
-    reg.add("moisture_by_month", lambda s, d: moisture_by_month(scenes(s, d), "1998-06-15").withColumn(
-        "moisture", F.round("moisture", 6)), sql("""
+    reg.add("moisture_by_month", lambda s, d: moisture_by_month(scenes(s, d), "1998-06-15", fixed=True), sql(f"""
 with sc as (select l_shipdate + to_hours(cast(l_linenumber % 2 as integer)) as time, cast(l_partkey % 4 as integer) as y,
                    cast(l_suppkey % 4 as integer) as x, max(900.0 + l_extendedprice % 300) as B08,
                    min(800.0 + l_quantity * 10) as B11 from lineitem group by 1, 2, 3),
@@ -348,7 +356,7 @@ m as (select date_trunc('day', time) as day, y, x, arg_min(B08, time) as b08, ar
       from sc group by 1, 2, 3),
 h as (select day, case when day > timestamp '1998-06-15' then greatest(b08, 1000.0) - 1000 else b08 end as b8,
              case when day > timestamp '1998-06-15' then greatest(b11, 1000.0) - 1000 else b11 end as b11h from m)
-select cast(month(day) as integer) as month, round(avg(case when b8 + b11h = 0 then null else (b8 - b11h) / (b8 + b11h) end), 6) as moisture
+select cast(month(day) as integer) as month, {fm('case when b8 + b11h = 0 then null else (b8 - b11h) / (b8 + b11h) end')} as moisture
 from h group by 1"""))
 
     def zonal(s, d):
@@ -359,29 +367,29 @@ from h group by 1"""))
             F.sum(col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("value"))
         regions = t.nation.select((col("n_nationkey") % 5).alias("y"), (col("n_nationkey") / 5).cast("int").alias("x"),
                                   col("n_regionkey").alias("region"))
-        return zonal_mean(grid, regions).withColumn("value", F.round("value", 4))
+        return zonal_mean(grid, regions, fixed=True)
 
-    reg.add("zonal_mean", zonal, sql("""
+    reg.add("zonal_mean", zonal, sql(f"""
 with grid as (select date_trunc('month', o_orderdate) as time, cast(o_custkey % 5 as integer) as y,
                      cast((o_custkey // 5) % 5 as integer) as x,
                      cast(sum(cast(o_totalprice as decimal(18,2))) as double) as value from orders group by 1, 2, 3),
 r as (select n_nationkey % 5 as y, n_nationkey // 5 as x, n_regionkey as region from nation where n_regionkey <> 0)
-select time, region, round(avg(value), 4) as value from grid join r using (y, x) group by 1, 2"""))
+select time, region, {fm('value')} as value from grid join r using (y, x) group by 1, 2"""))
 
     def regridded(s, d):
         li = Tables.of(s, d).raw("lineitem")
         src = li.groupBy(F.year("l_shipdate").alias("time"), (col("l_partkey") % 12).cast("int").alias("src_i"),
-                         (col("l_suppkey") % 24).cast("int").alias("src_j")).agg(F.avg("l_quantity").alias("value"))
+                         (col("l_suppkey") % 24).cast("int").alias("src_j")).agg((F.sum("l_quantity") / F.count("l_quantity")).alias("value"))
         # land: cells without a value
         src = src.withColumn("value", F.when((col("src_i") * 5 + col("src_j") * 3 + col("time")) % 11 != 0, col("value")))
         wts = bilinear_weights(s, -82.5, 15.0, 12, 24, -75.0, 30.0, 6, 12)
-        return regrid(src, wts).withColumn("value", F.round("value", 6))
+        return regrid(src, wts, fixed=True)
 
-    reg.add("regrid", regridded, sql("""
+    reg.add("regrid", regridded, sql(f"""
 with src as (select cast(year(l_shipdate) as integer) as time, cast(l_partkey % 12 as integer) as src_i,
                     cast(l_suppkey % 24 as integer) as src_j,
                     case when (cast(l_partkey % 12 as integer) * 5 + cast(l_suppkey % 24 as integer) * 3 + cast(year(l_shipdate) as integer)) % 11 <> 0
-                      then avg(l_quantity) end as value from lineitem group by 1, 2, 3),
+                      then sum(l_quantity) / count(l_quantity) end as value from lineitem group by 1, 2, 3),
 d as (select cast(i as integer) as dst_i, cast(j as integer) as dst_j, -75.0 + i * 30.0 as lat, j * 30.0 as lon from range(6) t(i), range(12) u(j)),
 d2 as (select *, (lat - (-82.5)) / 15.0 as fi, lon / 15.0 as fj from d),
 d3 as (select *, cast(floor(fi) as integer) as i0, cast(floor(fj) as integer) as j0 from d2),
@@ -392,5 +400,5 @@ c as (select dst_i, dst_j, i0 + di as src_i, ((j0 + dj) % 24 + 24) % 24 as src_j
 inside as (select dst_i, dst_j from c where w > 0 group by 1, 2 having min(src_i) >= 0 and max(src_i) < 12),
 wts as (select c.* from c join inside using (dst_i, dst_j) where w > 0),
 need as (select dst_i, dst_j, count(*) as n from wts group by 1, 2)
-select time, dst_i, dst_j, round(case when count(value) = any_value(n) then sum(w * value) / sum(w) end, 6) as value
+select time, dst_i, dst_j, case when count(value) = any_value(n) then {fs('w * value')} / {fs('w')} end as value
 from src join wts using (src_i, src_j) join need using (dst_i, dst_j) group by 1, 2, 3"""))

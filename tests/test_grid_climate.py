@@ -112,8 +112,8 @@ def _daily(spark, start, end, hours=(0,), skip=()):
 
 def _brute_climatology(pdf, fill, window=61):
     """Dense numpy version of the reference algorithm for one cell."""
-    w = np.array(climate.window_weights(window))
     h = window // 2
+    w = np.array([dict(climate.triangle(window)).get(k, 0) for k in range(-h, h + 1)], float)
     out = {}
     pdf = pdf.assign(hour=pdf.time.dt.hour, year=pdf.time.dt.year, doy=pdf.time.dt.dayofyear)
     L = pdf.doy.max()
@@ -123,11 +123,11 @@ def _brute_climatology(pdf, fill, window=61):
         for r in g.itertuples():
             arr[years.index(r.year), r.doy - 1] = r.value
         if fill == "day365":
-            arr = np.where(np.isnan(arr), arr[:, [364]], arr)
+            arr = np.where(np.isnan(arr), arr[:, [364]], arr) if L > 364 else arr
         else:
             prev = np.concatenate([np.full((len(years), 1), np.nan), arr[:, :-1]], axis=1)
             arr = np.where(np.isnan(arr), prev, arr)
-        pad = np.concatenate([arr[:, -h:], arr, arr[:, :h]], axis=1)
+        pad = np.pad(arr, [(0, 0), (h, h)], mode="wrap")
         for t in range(L):
             win = pad[:, t:t + window]
             m = ~np.isnan(win)
@@ -148,6 +148,33 @@ def test_climatology_leap_and_gaps(spark):
             assert (v is None and got[k] is None) or abs(got[k] - v) < 1e-9, (fill, k, got[k], v)
 
 
+def test_climatology_of_a_series_shorter_than_the_window(spark):
+    g = _daily(spark, dt.date(2021, 1, 2), dt.date(2021, 1, 20), skip={dt.date(2021, 1, 9), dt.date(2021, 1, 10)})
+    pdf = g.toPandas()
+    for fill in ["day365", "ffill"]:
+        got = {(r.hour, r.dayofyear): r.value for r in climate.hourly_climatology(g, fill=fill).collect()}
+        ref = _brute_climatology(pdf, fill)
+        assert set(got) == set(ref) and all(abs(got[k] - v) < 1e-9 for k, v in ref.items())
+    # days far from any value have none
+    lone = climate.hourly_climatology(_daily(spark, dt.date(2021, 12, 31), dt.date(2021, 12, 31)), fill="ffill")
+    assert [r.dayofyear for r in lone.where("value IS NOT NULL").orderBy("dayofyear").collect()] == [*range(1, 30), *range(336, 366)]
+
+
+def test_climatology_reads_the_grid_once_and_repeats(spark):
+    import re
+
+    from sparklab.plans.registry import registry
+
+    runs = []
+    for _ in range(3):
+        df = registry().queries["climatology_ffill"](spark, "/root/testdata/sf0.001")
+        runs.append(sorted(map(tuple, df.collect()), key=repr))
+        final = df._jdf.queryExecution().executedPlan().toString().replace("\n", " ")
+        done = re.sub(r"== Initial Plan ==.*?(?=ResultQueryStage|$)", "", final)
+        assert "ReusedExchange" in done
+    assert runs[0] == runs[1] == runs[2]
+
+
 def test_bilinear_weights_sum_to_one(spark):
     w = climate.bilinear_weights(spark, -82.5, 15.0, 12, 24, -75.0, 30.0, 6, 12)
     sums = [r.s for r in w.groupBy("dst_i", "dst_j").agg(F.sum("w").alias("s")).collect()]
