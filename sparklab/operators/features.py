@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparklab.operators.relational import join_small, map_values, remove_outliers
@@ -39,7 +39,7 @@ def trip_features(trips: DataFrame, zones: DataFrame, exact_quantile: bool = Fal
     """Trip table -> model features (F1): accessibility flag, pickup
     month / day-of-week (Monday = 0) / hour, 'None' airport fee -> 0, rows
     with any NULL dropped, trip_time outliers cut (P9), both zone lookups
-    (the zone table is broadcast after a size check), super-borough pair."""
+    (joined without a hint), super-borough pair."""
     d = trips.withColumns({
         "accessible_vehicle": col("on_scene_datetime").isNull(),
         "pickup_month": F.month("pickup_datetime"),
@@ -60,19 +60,61 @@ def trip_features(trips: DataFrame, zones: DataFrame, exact_quantile: bool = Fal
     return d.drop("PUSuperborough", "DOSuperborough")
 
 
+#: a dictionary column of at most so many bytes is broadcast; larger ones are joined without a hint
+BROADCAST_BYTES = 8 << 20
+
+
+#: the dictionary has one column per kind of value
+FIELDS = {"l": "long", "d": "double", "m": "decimal(38,18)", "s": "string"}
+
+
+def _field(df: DataFrame, c: str) -> tuple[str, Column]:
+    """The dictionary's field for a column, and its value there, in the value's own order."""
+    kind, v = df.schema[c].dataType.typeName(), col(c)
+    whole = {"boolean": lambda: v.cast("int"), "date": lambda: F.unix_date(v), "timestamp": lambda: F.unix_micros(v),
+             "timestamp_ntz": lambda: F.unix_micros(v.cast("timestamp"))}
+    field = {"float": "d", "double": "d", "decimal": "m", "string": "s", **dict.fromkeys(["byte", "short", "integer", "long", *whole], "l")}.get(kind)
+    if field is None:
+        raise ValueError(f"{c} is of type {kind}, which has no dictionary")
+    return field, whole.get(kind, lambda: v)().cast(FIELDS[field])
+
+
+def dictionary(df: DataFrame, cols) -> DataFrame:
+    """Codes of the values of all ``cols``: (column, l, d, m, s, code), from one pass over ``df`` and one ranking.
+
+    The distinct (column, value) pairs are combined on the map side; the ranking is a range-partitioned sort
+    (:func:`relational.rank_within_groups`, one checkpoint), so no column's values meet in one task."""
+    from sparklab.operators.relational import rank_within_groups
+
+    def pair(i, c):
+        field, v = _field(df, c)
+        return F.struct(F.lit(i).alias("column"), *[(v if n == field else F.lit(None).cast(t)).alias(n) for n, t in FIELDS.items()])
+
+    pairs = F.explode(F.array(*[pair(i, c) for i, c in enumerate(cols)])).alias("v")
+    found = df.select(pairs).select("v.*").where(" OR ".join(f"{n} IS NOT NULL" for n in FIELDS)).distinct()
+    return rank_within_groups(found, "column", ["l", "d", "m", "s"], name="code").withColumn("code", col("code").cast("int"))
+
+
 def categorize(df: DataFrame, cols, suffix: str = "_code") -> DataFrame:
     """Global dictionary codes per column (F4): code = rank of the value
     among the column's sorted distinct values (numbers numerically, strings
-    alphabetically), 0-based. The distinct values are numbered by a
-    range-partitioned sort (:func:`relational.number_rows`) and the
-    dictionary is joined back without a hint."""
-    from sparklab.operators.relational import number_rows
-
+    by bytes), 0-based; NULL has no code. The dictionary of all columns comes
+    from one pass (:func:`dictionary`); the encoding is one pass too, as the
+    columns whose part of it is small - checked - are looked up in broadcasts."""
+    from sparklab.session import cut_lineage
+
+    cols = list(cols)
+    if not cols:
+        return df
+    codes = cut_lineage(dictionary(df, cols))
+    sizes = {r["column"]: r["bytes"] for r in codes.groupBy("column").agg(F.sum(F.coalesce(F.octet_length("s"), F.lit(0)) + 48).alias("bytes")).collect()}
     out = df
-    for c in cols:
-        dist = df.select(c).distinct().filter(col(c).isNotNull())
-        codes = number_rows(dist, c, name=c + suffix, start=0).withColumn(c + suffix, col(c + suffix).cast("int"))
-        out = join_small(out, codes, c, how="left")
+    for i, c in enumerate(cols):
+        field, v = _field(df, c)
+        part = codes.where(col("column") == i).select(col(field).alias("_k"), col("code").alias(c + suffix))
+        if sizes.get(i, 0) <= BROADCAST_BYTES:
+            part = F.broadcast(part)
+        out = out.withColumn("_v", v).join(part, col("_v") == col("_k"), "left").drop("_v", "_k")
     return out
 
 
@@ -109,29 +151,58 @@ def train_gbt(train: DataFrame, features, label: str, test: DataFrame | None = N
     return model, pred, rmse
 
 
-def search(train: DataFrame, features, label: str, n_trials: int = 4, folds: int = 3, seed: int = 2,
-           parallelism: int = 4) -> DataFrame:
-    """Hyper-parameter search (F6): ``n_trials`` seeded random settings of
-    depth / step / iterations, scored by k-fold cross-validated RMSE.
-    ``parallelism`` candidate models are fitted concurrently (each fit is a
-    distributed job). Returns ``(trial, max_depth, step_size, max_iter, rmse)``."""
-    from pyspark.ml.evaluation import RegressionEvaluator
+def trials_of(n: int, seed: int) -> list[tuple[int, float, int]]:
+    """``n`` seeded random settings of (depth, step, iterations)."""
+    rng = random.Random(seed)
+    return [(rng.randint(2, 6), round(rng.uniform(0.05, 0.3), 3), rng.randint(5, 15)) for _ in range(n)]
+
+
+def fold_scores(train: DataFrame, features, label: str, key, n_trials: int = 4, folds: int = 3, seed: int = 2, parallelism: int = 4) -> DataFrame:
+    """Hyper-parameter search with k-fold scoring (F6): one row per setting and fold.
+
+    A row's fold is a hash of ``key`` and the seed, so it is the same on every run. Each setting is fitted on all other
+    folds and scored on the fold it has not seen: ``n`` rows, ``mse`` of the model, and ``mean_mse``, the error of the
+    other folds' mean label, from one exact aggregate. ``parallelism`` fits (each a distributed job) run at a time.
+    Rows with a NULL label are left out.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.regression import GBTRegressor
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    rng = random.Random(seed)
-    trials = [(rng.randint(2, 6), round(rng.uniform(0.05, 0.3), 3), rng.randint(5, 15)) for _ in range(n_trials)]
-    gbt = GBTRegressor(seed=seed, checkpointInterval=10)
-    grid = []
-    for d, s, it in trials:
-        pm = ParamGridBuilder().baseOn({gbt.maxDepth: d, gbt.stepSize: s, gbt.maxIter: it}).build()
-        grid.extend(pm)
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(_assemble(train, features, label))
+    from sparklab.operators.grid import fixed_sum
+    from sparklab.operators.relational import hash_bucket
+
     spark = train.sparkSession
-    rows = [(i, d, s, it, float(m)) for i, ((d, s, it), m) in enumerate(zip(trials, model.avgMetrics))]
-    return spark.createDataFrame(rows, "trial int, max_depth int, step_size double, max_iter int, rmse double")
+    d = train.where(col(label).isNotNull()).withColumn("_fold", F.coalesce(hash_bucket(key, seed, folds, portable=True), F.lit(0)).cast("int"))
+    sums = {r["_fold"]: (r["n"], r["s"], r["q"]) for r in d.groupBy("_fold").agg(
+        F.count(F.lit(1)).alias("n"), fixed_sum(label).alias("s"), fixed_sum(col(label) * col(label)).alias("q")).collect()}
+
+    def mean_error(k):
+        n, s, q = sums[k]
+        mean = sum(v[1] for f, v in sorted(sums.items()) if f != k) / sum(v[0] for f, v in sums.items() if f != k)
+        return (q - 2 * mean * s + n * mean * mean) / n
+
+    def score(job):
+        (trial, (depth, step, iterations)), k = job
+        gbt = GBTRegressor(seed=seed, checkpointInterval=10, maxDepth=depth, stepSize=step, maxIter=iterations)
+        model = gbt.fit(_assemble(d.where(col("_fold") != k), features, label))
+        err = col("prediction") - col("label")
+        mse = model.transform(_assemble(d.where(col("_fold") == k), features, label)).agg(F.avg(err * err)).first()[0]
+        return trial, depth, step, iterations, k, sums[k][0], float(mse), mean_error(k)
+
+    jobs = [(t, k) for t in enumerate(trials_of(n_trials, seed)) for k in sorted(sums) if len(sums) > 1]
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(score, jobs))
+    return spark.createDataFrame(rows, "trial int, max_depth int, step_size double, max_iter int, fold int, n long, mse double, mean_mse double")
+
+
+def search(train: DataFrame, features, label: str, key=None, n_trials: int = 4, folds: int = 3, seed: int = 2,
+           parallelism: int = 4) -> DataFrame:
+    """Settings of :func:`fold_scores` with their error over all folds: ``(trial, max_depth, step_size, max_iter, rmse)``.
+    ``key`` names the columns that tell rows apart (default: features and label)."""
+    key = list(key or [*([features] if isinstance(features, str) else features), label])
+    scores = fold_scores(train, features, label, key, n_trials, folds, seed, parallelism)
+    return scores.groupBy("trial", "max_depth", "step_size", "max_iter").agg(F.sqrt(F.sum(col("mse") * col("n")) / F.sum("n")).alias("rmse"))
 
 
 # ============================================================ registration
@@ -230,9 +301,16 @@ select count(*) as n, true as beats_mean from lineitem where cast('0x' || substr
   cast(l_linenumber as varchar) || '|' || cast(l_partkey as varchar) || '-42'), 1, 8) as bigint) % 10000 >= 8000""")
 
     def scores(s, d):
-        """Quality facts of the search: every setting tried beats the mean predictor."""
-        t = model_table(s, d)
-        spread = t.agg(F.stddev_pop("net_qty")).scalar()
-        return search(t, model_cols, "net_qty").agg(F.count("rmse").alias("trials"), F.every(col("rmse") < 0.8 * spread).alias("beat_mean"))
-
-    reg.add("search_scores", scores, "select cast(4 as bigint) as trials, true as beat_mean")
+        """Per setting and fold: the fold's rows, the mean predictor's error there, and whether the model is well below it."""
+        r = fold_scores(model_table(s, d), model_cols, "net_qty", ["l_orderkey", "l_linenumber", "l_partkey"])
+        return r.select("trial", "fold", "n", "mean_mse", (col("mse") < 0.64 * col("mean_mse")).alias("below"))
+
+    from sparklab.operators.grid import fixed_sum_sql as fs
+
+    reg.add("search_scores", scores, f"""
+with t as (select l_quantity * (1 - l_discount) as y, cast('0x' || substr(md5(cast(l_orderkey as varchar) || '|' ||
+    cast(l_linenumber as varchar) || '|' || cast(l_partkey as varchar) || '-2'), 1, 8) as bigint) % 3 as fold from lineitem),
+f as (select fold, count(*) as n, {fs('y')} as s, {fs('y * y')} as q from t group by fold),
+m as (select a.fold, a.n, a.s, a.q, sum(b.s order by b.fold) / sum(b.n) as mean from f a join f b on a.fold <> b.fold group by 1, 2, 3, 4)
+select cast(trial as integer) as trial, cast(fold as integer) as fold, n, (q - 2 * mean * s + n * mean * mean) / n as mean_mse, true as below
+from m, range(4) as r(trial)""")

@@ -200,6 +200,30 @@ def lookup_single_file(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def lookup_csv(spark, sf_dir):
+    """Rides joined to a zone lookup read from CSV (S10): three of its columns, and one mapped from them."""
+    from sparklab.operators.features import REGION_MAPPING, zone_lookup
+
+    t, path = Tables.of(spark, sf_dir), _scratch(spark, "zones")
+    zones = t.nation.join(F.broadcast(t.region), col("n_regionkey") == col("r_regionkey")).select(
+        col("n_nationkey").alias("LocationID"), col("r_name").alias("Borough"), col("n_name").alias("Zone"), F.lit("-").alias("service_zone"))
+    zones.write.option("header", True).csv(path)
+    z = sources.read_csv(spark, path, "LocationID INT, Borough STRING, Zone STRING, service_zone STRING")
+    z = zone_lookup(z, REGION_MAPPING)
+    e = t.events.select((col("user_id") % 30).cast("int").alias("LocationID"), "value")
+    return e.join(z, "LocationID", "left").groupBy("Borough", "Superborough").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(col("value").cast("decimal(18,2)")).cast("double").alias("sum_value"))
+
+
+def file_sample(spark, sf_dir):
+    """All orders in key folders; a quarter of the folders, chosen by their names, is read again."""
+    path = _scratch(spark, "folders")
+    o = Tables.of(spark, sf_dir).raw("orders")
+    o.withColumn("bucket", col("o_custkey") % 64).repartition(8, "bucket").write.partitionBy("bucket").parquet(path)
+    r = sources.sample_files(spark, path, 0.25, seed=7, folders=True)
+    return r.groupBy(col("bucket").cast("long").alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
 def register(reg) -> None:
     from sparklab.plans.tpch_sql import with_duckdb_ctes
 
@@ -233,6 +257,15 @@ select count(*) as n, count(case when year(time) >= 1998 then 1 end) as n_extra,
                                                        {"sg": _ship_sql()}))
     reg.add("warehouse_roundtrip", warehouse_roundtrip, """
 select event_type, count(*) as n, avg(cast(value > 100 as integer)) as share from events group by event_type""")
+    reg.add("lookup_csv", lookup_csv, """
+with z as (select n_nationkey as k, r_name as Borough, case r_name when 'AFRICA' then 'Superborough 1' when 'AMERICA' then 'Superborough 1'
+    when 'ASIA' then 'Superborough 2' when 'EUROPE' then 'Superborough 2' when 'MIDDLE EAST' then 'Superborough 3' else r_name end as Superborough
+  from nation join region on n_regionkey = r_regionkey)
+select Borough, Superborough, count(*) as n, cast(sum(cast(value as decimal(18,2))) as double) as sum_value
+from events left join z on user_id % 30 = k group by 1, 2""")
+    reg.add("file_sample", file_sample, """
+select o_custkey % 64 as bucket, count(*) as n, cast(sum(o_orderkey) as bigint) as keys from orders
+where cast('0x' || substr(md5('bucket=' || cast(o_custkey % 64 as varchar) || '-7'), 1, 8) as bigint) % 10000 < 2500 group by 1""")
     reg.add("lookup_single_file", lookup_single_file, "select * from nation")
 
 

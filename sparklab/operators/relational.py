@@ -147,9 +147,12 @@ def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     return a.join(b, common, how)
 
 
-def mean_row_sum(df: DataFrame, x: str, y: str, name: str = "mean_xy") -> DataFrame:
-    """avg(x + y); NULL when either is NULL."""
-    return df.agg(F.avg(col(x) + col(y)).alias(name))
+def mean_row_sum(df: DataFrame, x: str, y: str, name: str = "mean_xy", fixed: bool = False) -> DataFrame:
+    """avg(x + y); NULL when either is NULL (X6). ``fixed``: a sum that doesn't depend on the order of rows."""
+    from sparklab.operators.grid import fixed_sum
+
+    v = col(x) + col(y)
+    return df.agg((fixed_sum(v) / F.count(v) if fixed else F.avg(v)).alias(name))
 
 
 def align_subtract(a: DataFrame, b: DataFrame, on, cols, scale: int | None = None) -> DataFrame:
@@ -516,17 +519,18 @@ def register(reg) -> None:
             """select count(*) as rows, 18 as cols from lineitem l join part p
                on cast(round(l.l_extendedprice * 100) as bigint) = cast(round(p.p_retailprice * 100) as bigint)""")
 
+    from sparklab.operators.grid import fixed_sum_sql
+
     def nat(s, d):
         e = ev(s, d)
         a = e.select("event_id", "user_id", col("value").alias("x"), (col("user_id") / 4.0).alias("y"))
         b = e.select("event_id", "user_id", (col("value") * 2).alias("z"))
-        before = mean_row_sum(a, "x", "y", name="mean_before")
-        return mean_row_sum(natural_join(a, b), "x", "y", name="mean_after").select(
-            F.round(before.scalar(), 6).alias("mean_before"), F.round("mean_after", 6).alias("mean_after"))
+        before = mean_row_sum(a, "x", "y", name="mean_before", fixed=True)
+        return mean_row_sum(natural_join(a, b), "x", "y", name="mean_after", fixed=True).select(before.scalar().alias("mean_before"), "mean_after")
 
     reg.add("natural_join", nat,
-            """with a as (select event_id, user_id, value as x, user_id / 4.0 as y from events)
-               select round((select avg(x + y) from a), 6) as mean_before, round(avg(x + y), 6) as mean_after from a
+            f"""with a as (select event_id, user_id, value as x, user_id / 4.0 as y from events)
+               select (select {fixed_sum_sql('x + y')} / count(x + y) from a) as mean_before, {fixed_sum_sql('x + y')} / count(x + y) as mean_after from a
                natural join (select event_id, user_id, value * 2 as z from events) b""")
 
     def align(lo_a, hi_a, lo_b, hi_b):

@@ -4,7 +4,9 @@ yields bounded batches; the driver only ever sees file names."""
 
 from __future__ import annotations
 
+import hashlib
 import random
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,11 +152,23 @@ def file_bytes(spark: SparkSession, glob: str) -> DataFrame:
             .select("path", F.length("content").cast("long").alias("length"), "modificationTime"))
 
 
-def sample_files(spark: SparkSession, path: str, fraction: float, seed: int = 0, fmt: str = "parquet") -> DataFrame:
+def sample_files(spark: SparkSession, path: str, fraction: float, seed: int = 0, fmt: str = "parquet", folders: bool = False) -> DataFrame:
     """Seeded sample of a dataset's files (S17): the file list comes from the
-    source's metadata (``inputFiles``), a seeded choice of names is made on
-    the driver (names only), and only the chosen files are read."""
+    source's metadata (``inputFiles``), the choice is made on the driver
+    (names only), and only the chosen files are opened.
+
+    By default a seeded choice of ``fraction`` of the file names. With
+    ``folders`` whole key folders (``key=value/...`` below ``path``) are
+    chosen by a hash of their name and the seed, so the same keys are chosen
+    whatever the files are called and however many there are; if no folder's
+    hash falls below ``fraction``, the one with the lowest is taken."""
     files = sorted(spark.read.format(fmt).load(path).inputFiles())
-    k = max(1, int(round(len(files) * fraction)))
-    chosen = sorted(random.Random(seed).sample(files, k))
-    return spark.read.format(fmt).load(chosen)
+    if not folders:
+        k = max(1, int(round(len(files) * fraction)))
+        return spark.read.format(fmt).load(sorted(random.Random(seed).sample(files, k)))
+    draw = {}
+    for f in files:
+        keys = [unquote(x) for x in urlsplit(f).path.split("/")[:-1] if "=" in x]
+        draw.setdefault(int(hashlib.md5(f"{'/'.join(keys)}-{seed}".encode()).hexdigest()[:8], 16) % 10000, []).append(f)
+    chosen = [f for h, own in draw.items() if h < fraction * 10000 for f in own] or draw[min(draw)]
+    return spark.read.format(fmt).option("basePath", path).load(sorted(chosen))
