@@ -2,38 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparklab.operators.relational import relax_schema
+from sparklab.operators.relational import rank_within_groups, relax_schema
 
 col = F.col
 NUMERIC = {"double", "float", "integer", "long", "short", "byte", "decimal"}
 
 
+def _digest(df: DataFrame, cols, numeric, strip: bool):
+    """Two 64-bit hashes of a row: numbers as doubles, the rest as (stripped) strings, NULLs by their places."""
+    values = []
+    for c in cols:
+        v = col(c).cast("double") if c in numeric else col(c).cast("string")
+        values.append(F.trim(v) if strip and c not in numeric else v)
+    nulls = F.concat(F.lit("_"), *[F.when(col(c).isNull(), "1").otherwise("0") for c in cols])
+    return [F.xxhash64(F.lit(i), nulls, *values).alias(f"_h{i}") for i in range(2)]
+
+
 def diff_tables(a: DataFrame, b: DataFrame, keys, atol: float = 1e-2, strip: bool = True) -> DataFrame:
-    """Cells that differ between ``a`` and ``b`` (V1): rows are matched on
-    ``keys`` plus their rank among equal keys; strings are compared stripped,
-    numbers within ``atol`` regardless of type (decimal/date relaxed first).
-    Output ``(keys..., _row, column, a_num, b_num, a_str, b_str, side)``. A row
-    present on one side only is reported once, with column ``<row>`` and the
-    side it is on, whatever its cells hold; a column of one side only is
-    reported for every row of that side. ``side`` is ``both`` for cells."""
+    """Cells that differ between ``a`` and ``b`` (V1), as multisets of rows.
+
+    Rows that are equal on both sides cancel first, by counts per digest (one
+    partial aggregate; a key or a row that a third of all rows have is one
+    row per task). Only what is left is paired: by ``keys`` and by the rank
+    among the left rows of a key, numbered by a range-partitioned sort.
+    Strings are compared stripped, numbers within ``atol`` regardless of type
+    (decimal/date relaxed first). Output ``(keys..., _row, column, a_num,
+    b_num, a_str, b_str, side)``. A row present on one side only is reported
+    once, with column ``<row>`` and the side it is on, whatever its cells
+    hold; a column of one side only is reported for every row of that side.
+    ``side`` is ``both`` for cells; ``_row`` counts the left rows of a key
+    from 1 (0: a row that was cancelled). A NULL key is a key like any other."""
+    from sparklab.session import cut_lineage
+
     keys = list(keys)
     a, b = relax_schema(a), relax_schema(b)
     shared = [c for c in a.columns if c not in keys and c in b.columns]
-    lone = [(c, "a", a) for c in a.columns if c not in b.columns] + [(c, "b", b) for c in b.columns if c not in a.columns]
+    lone = [(c, "a") for c in a.columns if c not in b.columns] + [(c, "b") for c in b.columns if c not in a.columns]
+    is_num = lambda df, c: df.schema[c].dataType.typeName() in NUMERIC
+    numeric = {c for c in keys + shared if is_num(a, c) and is_num(b, c)}
+    hashed = {s: df.select("*", *_digest(df, keys + shared, numeric, strip)) for s, df in (("a", a), ("b", b))}
+    h = ["_h0", "_h1"]
+    both = hashed["a"].select(*h, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(hashed["b"].select(*h, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
+    counts = both.groupBy(*h).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    uneven = cut_lineage(counts.where("_a <> _b"))
+
+    def left(side):
+        """Rows of a side that have no equal on the other; of a row that both have, the surplus."""
+        d = hashed[side].join(uneven, h)
+        mine, other = col(f"_{side}"), col("_b" if side == "a" else "_a")
+        surplus = rank_within_groups(d.where((other > 0) & (mine > other)), h, keys, name="_of").where(col("_of") >= other).drop("_of")
+        return d.where(other == 0).unionByName(surplus).drop("_a", "_b")
 
-    def ranked(df, side):
-        w = Window.partitionBy(*keys).orderBy(*shared)
-        return df.select(*[col(k).alias(f"_{side}k_{k}") for k in keys], F.row_number().over(w).alias(f"_{side}_row"),
-                         *[col(c).alias(f"_{side}_{c}") for c in df.columns if c not in keys])
+    def ranked(side):
+        d = rank_within_groups(left(side), keys, shared, name="_row")
+        return d.select(*[col(k).alias(f"_{side}k_{k}") for k in keys], (col("_row") + 1).cast("int").alias(f"_{side}_row"),
+                        *[col(c).alias(f"_{side}_{c}") for c in d.columns if c not in (*keys, *h, "_row")])
 
     # null-safe match, so a NULL key is a key like any other
     on = col("_a_row") == col("_b_row")
     for k in keys:
         on = on & col(f"_ak_{k}").eqNullSafe(col(f"_bk_{k}"))
-    j = ranked(a, "a").join(ranked(b, "b"), on, "full_outer")
+    j = ranked("a").join(ranked("b"), on, "full_outer")
     side = F.when(col("_b_row").isNull(), "a").when(col("_a_row").isNull(), "b").otherwise("both")
     none = {"a_num": "double", "b_num": "double", "a_str": "string", "b_str": "string"}
 
@@ -44,18 +76,28 @@ def diff_tables(a: DataFrame, b: DataFrame, keys, atol: float = 1e-2, strip: boo
     cells = [cell("<row>", col("_side") != "both")]
     for c in shared:
         x, y = col("_a_" + c), col("_b_" + c)
-        if a.schema[c].dataType.typeName() in NUMERIC and b.schema[c].dataType.typeName() in NUMERIC:
+        if c in numeric:
             same = (x.isNull() & y.isNull()) | (F.abs(x.cast("double") - y.cast("double")) <= atol)
             cells.append(cell(c, (col("_side") == "both") & ~F.coalesce(same, F.lit(False)), a_num=x, b_num=y))
         else:
             xs, ys = (F.trim(x.cast("string")), F.trim(y.cast("string"))) if strip else (x.cast("string"), y.cast("string"))
             cells.append(cell(c, (col("_side") == "both") & ~xs.eqNullSafe(ys), a_str=xs, b_str=ys))
-    for c, s, _ in lone:
+    for c, s in lone:
         cells.append(cell(c, col(f"_{s}_row").isNotNull(), **{f"{s}_str": col(f"_{s}_{c}").cast("string")}))
     out = j.withColumn("_side", side).select(
-        *[F.coalesce(f"_ak_{k}", f"_bk_{k}").alias(k) for k in keys], F.coalesce("_a_row", "_b_row").alias("_row"), "_side",
+        *[F.coalesce(f"_ak_{k}", f"_bk_{k}").alias(k) for k in keys], F.coalesce("_a_row", "_b_row").alias("_row"), col("_side").alias("side"),
         F.explode(F.array(*cells)).alias("_c"))
-    return out.filter(col("_c._differs")).select(*keys, "_row", *[f"_c.{c}" for c in ("column", *none)], col("_side").alias("side"))
+    names = [*keys, "_row", "column", *none, "side"]
+    out = out.filter(col("_c._differs")).select(*keys, "_row", *[f"_c.{c}" for c in ("column", *none)], "side").select(*names)
+    for s in {s for _, s in lone}:  # rows that were cancelled have such a column too
+        mine, other = col(f"_{s}"), col("_b" if s == "a" else "_a")
+        d = hashed[s].join(uneven, h, "left_anti")
+        part = rank_within_groups(hashed[s].join(uneven.where(other > 0), h), h, keys, name="_of").where((col("_of") < other) | (mine <= other))
+        d = d.unionByName(part.drop("_a", "_b", "_of"))
+        more = [cell(c, F.lit(True), **{f"{s}_str": col(c).cast("string")}) for c, of in lone if of == s]
+        d = d.select(*keys, F.lit(0).alias("_row"), F.explode(F.array(*more)).alias("_c"), F.lit("both").alias("side"))
+        out = out.unionByName(d.select(*keys, "_row", *[f"_c.{c}" for c in ("column", *none)], "side"))
+    return out
 
 
 def register(reg) -> None:

@@ -218,34 +218,63 @@ def ols(df: DataFrame, row: str = "i", feature: str = "j", value: str = "value",
     """Least squares by the normal equations (G5b) on a long design matrix
     ``(row, feature, value)`` and targets ``y(row, y)``.
 
-    Each row's p values are gathered once (bounded by p); X'X and X'y are
-    formed inside the row (p^2 + p products) and reduced by a partial
-    aggregate, so only p^2 partial sums per task are shuffled. The p x p
-    system is solved on the driver (bounded by p, not by rows); fitted values
-    use the p coefficients as a map literal - no join, no shuffle.
+    Each row's p values are gathered once (bounded by p). A task multiplies
+    blocks of rows - outer products of whole blocks, in numpy - and gives one
+    p x p sum; these are added up by a partial aggregate, and the p^2 + p
+    totals reach the driver in one job, which solves the p x p system (bounded
+    by p, not by rows). Fitted values use the p coefficients as a map literal -
+    no join, no shuffle. A value that isn't there counts as 0.
     Returns ``(beta_df, fitted_df)``."""
     import numpy as np
+    import pyarrow as pa
 
     yy = y.select(col(row).alias("_r"), col(y_col).cast("double").alias("_y"))
     rows = (df.groupBy(col(row).alias("_r"))
             .agg(F.map_from_entries(F.collect_list(F.struct(col(feature), col(value).cast("double")))).alias("_x"))
             .join(yy, "_r"))
-    e1 = F.explode(col("_x")).alias("_f", "_xf")
-    pairs = rows.select("_x", "_y", e1).select("_f", "_xf", "_y", F.explode(col("_x")).alias("_g", "_xg"))
-    xtx = pairs.groupBy("_f", "_g").agg(F.sum(col("_xf") * col("_xg")).alias("_s"))
-    xty = rows.select("_y", e1).groupBy("_f").agg(F.sum(col("_xf") * col("_y")).alias("_s"))
-    feats = sorted(r["_f"] for r in xty.select("_f").collect())  # p values
+    ftype = df.schema[feature].dataType.simpleString()
+
+    def products(batches):
+        names, total = np.array([]), np.zeros((1, 1))  # the last row and column are y's
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            m = batch["x"]
+            lengths = np.diff(m.offsets.to_numpy())
+            keys, values = m.keys.to_numpy(zero_copy_only=False), m.items.to_numpy(zero_copy_only=False)
+            first, last = m.offsets[0].as_py(), m.offsets[-1].as_py()
+            keys, values = keys[first:last], np.nan_to_num(values[first:last])
+            both = np.union1d(names, keys) if names.size else np.unique(keys)
+            grown, at = np.zeros((len(both) + 1, len(both) + 1)), np.append(np.searchsorted(both, names), len(both))
+            grown[np.ix_(at, at)] = total
+            names, total = both, grown
+            for lo in range(0, batch.num_rows, 1024):  # a block of rows at a time
+                n = min(1024, batch.num_rows - lo)
+                a, z = lengths[:lo].sum(), lengths[:lo + n].sum()
+                block = np.zeros((n, len(names) + 1))
+                block[np.repeat(np.arange(n), lengths[lo:lo + n]), np.searchsorted(names, keys[a:z])] = values[a:z]
+                block[:, -1] = batch["y"].slice(lo, n).to_numpy(zero_copy_only=False)
+                total += block.T @ block
+        if names.size:
+            p = len(names)
+            i, j = np.indices((p, p + 1)).reshape(2, -1)
+            g = pa.array(names[np.minimum(j, p - 1)], mask=j == p)
+            kind = batch.schema.field("x").type.key_type
+            yield pa.RecordBatch.from_arrays([pa.array(names[i]).cast(kind), g.cast(kind), pa.array(total[i, j])], ["f", "g", "s"])
+
+    sums = rows.select(col("_x").alias("x"), col("_y").alias("y")).where("y IS NOT NULL").mapInArrow(products, f"f {ftype}, g {ftype}, s double")
+    totals = sums.groupBy("f", "g").agg(F.sum("s").alias("s")).collect()  # p^2 + p values
+    feats = sorted({r["f"] for r in totals})
     pos = {f: n for n, f in enumerate(feats)}
     p = len(feats)
-    A = np.zeros((p, p))
-    for r in xtx.collect():  # p*p values
-        A[pos[r["_f"]], pos[r["_g"]]] = r["_s"]
-    bvec = np.zeros(p)
-    for r in xty.collect():
-        bvec[pos[r["_f"]]] = r["_s"]
+    A, bvec = np.zeros((p, p)), np.zeros(p)
+    for r in totals:
+        if r["g"] is None:
+            bvec[pos[r["f"]]] = r["s"]
+        else:
+            A[pos[r["f"]], pos[r["g"]]] = r["s"]
     beta = np.linalg.solve(A, bvec)
     spark = df.sparkSession
-    ftype = df.schema[feature].dataType.simpleString()
     beta_df = spark.createDataFrame([(f, float(b)) for f, b in zip(feats, beta)], f"{feature} {ftype}, beta double")
     coef = F.create_map(*[x for f, b in zip(feats, beta) for x in (F.lit(f).cast(ftype), F.lit(float(b)))])
     fitted = rows.select(col("_r").alias(row), F.aggregate(
@@ -366,6 +395,19 @@ def register(reg) -> None:
     reg.add("ols", ols_fit, sql(f"""select eg.j, {fixed_sum_sql('eg.value * e.label')} as xty, cast(0.0 as double) as gradient
                    from eg join embeddings e on eg.i = e.vec_id group by eg.j"""))
 
+    def coefficients(s, d):
+        e = Tables.of(s, d).events.select(col("event_id").alias("i"), col("value").alias("a"), (col("user_id") % 7).cast("double").alias("b"),
+                                          (col("value") * 3 + col("user_id") % 7 * 2 + col("event_id") % 5).alias("y"))
+        long = e.select("i", F.explode(F.array(*[F.struct(F.lit(n).alias("j"), col(n).alias("value")) for n in "ab"])).alias("c")).select("i", "c.j", "c.value")
+        beta, _ = ols(long, y=e.select("i", "y"))
+        return beta.select("j", F.round("beta", 6).alias("beta"))
+
+    reg.add("ols_coefficients", coefficients, """
+with e as (select value as a, cast(user_id % 7 as double) as b, value * 3 + user_id % 7 * 2 + event_id % 5 as y from events),
+s as (select sum(a * a) as aa, sum(a * b) as ab, sum(b * b) as bb, sum(a * y) as ay, sum(b * y) as yb from e)
+select 'a' as j, round((ay * bb - yb * ab) / (aa * bb - ab * ab), 6) as beta from s
+union all select 'b', round((yb * aa - ay * ab) / (aa * bb - ab * ab), 6) from s""")
+
     def relayout(s, d):
         e = g(s, d)
         outs = []

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import hashlib
 import random
-from urllib.parse import unquote, urlsplit
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,13 +162,13 @@ def sample_files(spark: SparkSession, path: str, fraction: float, seed: int = 0,
     chosen by a hash of their name and the seed, so the same keys are chosen
     whatever the files are called and however many there are; if no folder's
     hash falls below ``fraction``, the one with the lowest is taken."""
-    files = sorted(spark.read.format(fmt).load(path).inputFiles())
+    files = sorted(unquote(f) for f in spark.read.format(fmt).load(path).inputFiles())
     if not folders:
         k = max(1, int(round(len(files) * fraction)))
         return spark.read.format(fmt).load(sorted(random.Random(seed).sample(files, k)))
     draw = {}
     for f in files:
-        keys = [unquote(x) for x in urlsplit(f).path.split("/")[:-1] if "=" in x]
+        keys = [x for x in f.split("/")[:-1] if "=" in x]
         draw.setdefault(int(hashlib.md5(f"{'/'.join(keys)}-{seed}".encode()).hexdigest()[:8], 16) % 10000, []).append(f)
     chosen = [f for h, own in draw.items() if h < fraction * 10000 for f in own] or draw[min(draw)]
     return spark.read.format(fmt).option("basePath", path).load(sorted(chosen))
