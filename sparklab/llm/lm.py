@@ -27,8 +27,10 @@ CLASSES = MEMBERS = 32
 #: hashed feature rows for the class factor and for the member factor
 CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 14
 ROUNDS = 2
-RATE, FIRST_SQUARE = 0.3, 1.0
+RATE, FIRST_SQUARE, SHARE = 0.3, 1.0, 8
 BATCH = 8192
+#: rows that come so often in a batch are summed one by one, the others occurrence by occurrence
+OFTEN = 8
 #: rows of a block: what one task scores together
 BLOCK_BITS = 11
 END, BOS = np.uint64(0x6A09E667F3BCC908), np.uint64(0xBB67AE8584CAA73B)
@@ -79,27 +81,34 @@ def _log_softmax(weights, rows):
 
 
 def _step(weights, square, rows, target, rate):
-    """One Adagrad update from a batch; gradients of equal rows are summed first."""
+    """One Adagrad update from a batch, with one step size a row; gradients of equal rows are summed first."""
     g = _logits(weights, rows)
     np.exp(g, out=g)
     g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(target)), target] -= 1.0
 
-    for row in rows:
+    bias = rows[0]  # few rows that come very often: one product
+    many = np.zeros((int(bias.max()) + 1, len(bias)), np.float32)
+    many[bias, np.arange(len(bias))] = 1
+    sums = [(np.arange(len(many)), many @ g)]
+    for row in rows[1:]:
         order = np.argsort(row, kind="stable")
         r = row[order]
         new = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
         s = np.take(g, order[new], axis=0)
         size = np.diff(new, append=len(r))
-        more = np.flatnonzero(size > 1)  # most rows come once in a batch
-        if more.size:
-            inside = order[np.repeat(size > 1, size)]
-            starts = np.cumsum(size[more]) - size[more]
-            s[more] = np.add.reduceat(np.take(g, inside, axis=0), starts, axis=0)
-        at = r[new]
-        q = square[at] + s * s
+        for i in np.flatnonzero(size > OFTEN):
+            s[i] = g[order[new[i]:new[i] + size[i]]].sum(axis=0)
+        some = np.flatnonzero((size > 1) & (size <= OFTEN))
+        for k in range(1, OFTEN):  # second occurrences, third ones, ...
+            some = some[size[some] > k]
+            s[some] += np.take(g, order[new[some] + k], axis=0)
+        sums.append((r[new], s))
+    for at, s in sums:
+        q = square[at] + np.einsum("ij,ij->i", s, s)[:, None] / SHARE
         square[at] = q
-        weights[at] -= rate * s / np.sqrt(q)
+        s *= rate / np.sqrt(q)
+        weights[at] -= s
 
 
 def _learn(model, square, t, first):
@@ -136,7 +145,7 @@ def _train(start):
     """Walks over the texts of a task from the common weights; yields its weighted update row by row."""
     def run(batches):
         model = tuple(x.copy() for x in start.value)
-        square = tuple(np.full_like(x, FIRST_SQUARE) for x in model)
+        square = tuple(np.full((len(x), 1), FIRST_SQUARE, np.float32) for x in model)
         seen = 0
         for batch in batches:
             for _, _, w in pieces(batch["_text"], PLAIN, lower=True, limit=1 << 20):
