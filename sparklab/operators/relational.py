@@ -264,42 +264,64 @@ def rank_within_groups(df: DataFrame, keys, order, name: str = "_pos", partition
     return j.withColumn(name, col("_off") + col("_mid") - col("_first")).drop("_pid", "_mid", "_first", "_off")
 
 
-def exact_quantile(df: DataFrame, keys, value: str, q: float = 0.5, name: str | None = None) -> DataFrame:
-    """Exact, interpolated quantile of ``value`` per group (``percentile`` /
-    ``quantile_cont``) by rank selection on counted values.
+#: rows of a group that one task sorts (with spilling); larger groups are narrowed to a bracket first
+SORT_ROWS = 1 << 24
+#: relative rank error of the bracket's ends is one in so many
+SKETCH = 10_000
 
-    Equal values of a group become one counted row by a partial aggregate, so
-    ties and hot values cost one row per task. The counted values are range
-    partitioned on (keys, value); a value's rank is the count in earlier
-    partitions of its group plus the running count inside the partition.
-    Position (n - 1) * q; between ranks lo and hi the value is
-    (hi - pos) * v_lo + (pos - lo) * v_hi. A rank that is not found raises."""
-    from sparklab.session import cut_lineage
 
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    name = name or f"q_{value}"
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    d = df.filter(col(value).isNotNull()).select(*keys, col(value).cast("double").alias("_v"))
-    by = keys or [F.lit(0).alias("_all")]
-    v = d.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    by = keys or ["_all"]
-    v = cut_lineage(v.repartitionByRange(n, *by, "_v").withColumn("_pid", F.spark_partition_id()))
-    parts = v.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(*by, "_pid", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"),
-                         F.sum("_pc").over(Window.partitionBy(*by)).alias("_n"))
-    inside = Window.partitionBy(*by, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    r = _null_safe_join(v.withColumn("_run", F.sum("_c").over(inside)), parts, [*by, "_pid"])
+def _at_ranks(r: DataFrame, by, first, last, q: float, name: str) -> DataFrame:
+    """Interpolated quantile from rows (by, _v, _n) that stand for ranks first..last (from 0) of their group."""
     p = (col("_n") - 1).cast("double") * F.lit(float(q))
-    r = r.withColumns({"_p": p, "_end": col("_off") + col("_run")}).withColumns({"_lo": F.floor("_p"), "_hi": F.ceil("_p")})
-    at = lambda k: (col(k) < col("_end")) & (col(k) >= col("_end") - col("_c"))
-    g = r.filter(at("_lo") | at("_hi")).groupBy(*by, "_p", "_lo", "_hi").agg(
-        F.max(F.when(at("_lo"), col("_v"))).alias("_vl"), F.max(F.when(at("_hi"), col("_v"))).alias("_vh"))
+    r = r.withColumns({"_p": p, "_first": first, "_last": last}).withColumns({"_lo": F.floor("_p"), "_hi": F.ceil("_p")})
+    at = lambda k: (col(k) >= col("_first")) & (col(k) <= col("_last"))
+    g = r.groupBy(*by).agg(F.max("_p").alias("_p"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
+                           F.max(F.when(at("_lo"), col("_v"))).alias("_vl"), F.max(F.when(at("_hi"), col("_v"))).alias("_vh"))
     lost = F.raise_error(F.lit("exact_quantile: rank not found")).cast("double")
     val = (F.when(col("_vl").isNull() | col("_vh").isNull(), lost)
            .when((col("_hi") == col("_lo")) | (col("_vl") == col("_vh")), col("_vl")).otherwise(
-               (col("_hi") - col("_p")) * col("_vl") + (col("_p") - col("_lo")) * col("_vh")))
-    return g.select(*keys, val.alias(name))
+        (col("_hi") - col("_p")) * col("_vl") + (col("_p") - col("_lo")) * col("_vh")))
+    return g.select(*by, val.alias(name))
+
+
+def exact_quantile(df: DataFrame, keys, value: str, q: float = 0.5, name: str | None = None, bound: int = SORT_ROWS,
+                   accuracy: int = SKETCH) -> DataFrame:
+    """Exact, interpolated quantile of ``value`` per group (``percentile`` /
+    ``quantile_cont``); lazy, nothing is run or written while it is built.
+
+    Groups of up to ``bound`` rows are ranked by a window. A larger group is
+    never sorted: a mergeable sketch (``percentile_approx``) gives two values
+    between which the rank must lie - its rank error is at most 1/accuracy,
+    the bracket is twice as wide on each side -, rows below them are only
+    counted, equal values inside become one counted row on the map side, and
+    just those are ranked. A rank outside the bracket would raise, as would
+    any other that is not found. At most one key per ``bound`` rows is
+    broadcast to tell the two kinds of groups apart.
+
+    Position (n - 1) * q; between ranks lo and hi the value is
+    (hi - pos) * v_lo + (pos - lo) * v_hi. NULLs don't count."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    name = name or f"q_{value}"
+    by = keys or ["_all"]
+    d = df.filter(col(value).isNotNull()).select(*keys, col(value).cast("double").alias("_v"), *([] if keys else [F.lit(0).alias("_all")]))
+    large = F.broadcast(d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(col("_n") > bound))
+    # groups that a task can sort
+    w = Window.partitionBy(*by)
+    few = _null_safe_join(d, large.drop("_n"), by, "left_anti")
+    few = few.withColumns({"_r": F.row_number().over(w.orderBy("_v")) - 1, "_n": F.count(F.lit(1)).over(w)})
+    few = _at_ranks(few, by, col("_r"), col("_r"), q, name)
+    # large groups: bracket, count, rank what is inside
+    hot = _null_safe_join(d, large, by)
+    wide = 2 / accuracy + 2 / max(bound, 1)  # and both neighbours of a position between two ranks
+    ends = F.percentile_approx("_v", [max(0.0, q - wide), min(1.0, q + wide)], accuracy)
+    bracket = F.broadcast(hot.groupBy(*by).agg(ends.alias("_e")))
+    inside = _null_safe_join(hot, bracket, by).where(col("_v") <= F.get("_e", F.lit(1)))
+    below = float("-inf")  # rows below the bracket count as one value
+    inside = inside.groupBy(*by, "_n", F.when(col("_v") < F.get("_e", F.lit(0)), below).otherwise(col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    inside = inside.withColumn("_end", F.sum("_c").over(w.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    many = _at_ranks(inside, by, col("_end") - col("_c"), col("_end") - 1, q, name)
+    out = few.unionByName(many)
+    return out if keys else out.drop("_all")
 
 
 def dedup(df: DataFrame, keys, order) -> DataFrame:

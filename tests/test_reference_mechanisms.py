@@ -104,3 +104,29 @@ def test_sampled_folders_are_the_only_ones_read(spark, tmpdir_path):
     spark.range(2000).withColumn("key", F.concat(F.lit("a b"), F.col("id") % 20)).repartition(7).write.partitionBy("key").parquet(other)
     assert {r.key for r in sources.sample_files(spark, other, 0.3, seed=3, folders=True).select("key").distinct().collect()} == keys
     assert sources.sample_files(spark, path, 0.0, seed=3, folders=True).count() == 100  # at least one folder
+
+
+@pytest.mark.parametrize("bound,accuracy", [(1 << 24, 10_000), (0, 10_000), (500, 50), (40, 1000)])
+def test_quantile_of_sorted_and_of_bracketed_groups(spark, bound, accuracy):
+    """The same exact values by both ways: hot group, hot value, ties, NULL key, few rows, infinities."""
+    from sparklab.operators.relational import exact_quantile
+
+    rng = np.random.default_rng(0)
+    rows = [(None if i % 5 == 0 else i % 3, 3.0 if i % 4 == 0 else float(rng.integers(0, 50)) if i % 3 else float(rng.normal())) for i in range(4000)]
+    rows += [(9, None), (8, 1.0), (7, float("-inf")), (7, 2.0), (7, float("-inf"))]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(5)
+    groups = {}
+    for k, v in rows:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    for q in (0.0, 0.25, 0.5, 0.77, 1.0):
+        got = {r.k: r.x for r in exact_quantile(df, "k", "v", q, "x", bound, accuracy).collect()}
+        assert set(got) == set(groups)
+        for k, v in groups.items():
+            if k != 7:
+                assert abs(got[k] - np.quantile(v, q)) < 1e-9, (k, q)
+        assert got[7] == (2.0 if q == 1.0 else float("-inf"))
+        whole = [v for k, v in rows if v is not None and k != 7]
+        assert abs(exact_quantile(df.where("k IS DISTINCT FROM 7"), [], "v", q, "x", bound, accuracy).first().x - np.quantile(whole, q)) < 1e-9
+    plan = exact_quantile(df, "k", "v", 0.5, "x", bound, accuracy)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "RDD" not in plan.split("ExistingRDD")[0]
