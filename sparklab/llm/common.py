@@ -60,7 +60,10 @@ def with_rows(df: DataFrame, name: str) -> DataFrame:
     if _scan_only(df):
         try:
             meta = df.metadataColumn("_metadata")
-            files = df.select(meta["file_path"].alias("path"), meta["row_index"].alias("row")).groupBy("path").agg((F.max("row") + 1).alias("n")).collect()
+            files = df.select(meta["file_path"].alias("path"), meta["row_index"].alias("row")).groupBy("path").agg(
+                (F.max("row") + 1).alias("n"), F.count("*").alias("rows")).collect()
+            if any(f["rows"] > f["n"] for f in files):  # a file that is read twice: its rows are rows of their own
+                meta = None
         except AnalysisException:  # no Parquet files
             meta = None
     if meta is None:

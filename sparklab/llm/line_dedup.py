@@ -50,12 +50,15 @@ def line_runs(rows: DataFrame, min_lines: int = 3) -> DataFrame:
     lines = rows.select("_row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "_line"))
     lines = lines.select("_row", "doc_id", "pos", F.unhex(F.md5(F.col("_line").cast("binary"))).alias("rank"))
     suffixes = suffix_ranks(lines, min_lines)
-    # place as one number, so that the minimum is a hash aggregate: doc_id above row above line
-    low = keep(suffixes.groupBy("rank").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("_d")))
-    first = suffixes.join(low, "rank").where(F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("_d"))
+    # place as one number, so that the minimum is a hash aggregate: doc_id above row above line; ids that are no
+    # integers go by their text, null as the empty one
+    whole = rows.schema["doc_id"].dataType.typeName() in ("long", "integer", "short", "byte")
+    doc = F.coalesce("doc_id", F.lit(-(1 << 63))) if whole else F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    low = keep(suffixes.groupBy("rank").agg(F.min(doc).alias("_d")))
+    first = suffixes.join(low, "rank").where(doc == F.col("_d"))
     place = F.col("_row").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(12,0)") + F.col("pos")
     first = keep(first.groupBy("rank").agg(F.min("_d").alias("_d"), F.min(place).alias("_place")))
-    later = suffixes.join(first, "rank").where((F.coalesce("doc_id", F.lit(-(1 << 63))) != F.col("_d")) | (place != F.col("_place")))
+    later = suffixes.join(first, "rank").where((doc != F.col("_d")) | (place != F.col("_place")))
     by = Window.partitionBy("_row").orderBy("pos")
     new = F.coalesce(F.col("pos") - F.lag("pos").over(by) > min_lines, F.lit(True)).cast("int")
     run = later.select("_row", "pos", new.alias("_new")).withColumn("_run", F.sum("_new").over(by))

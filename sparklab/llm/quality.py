@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
     ids, weights = labelled(labels, "quality", None, per_class)
     known = labels.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
     others = docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").join(known, "_id", "left_anti")
-    others = others.orderBy(F.xxhash64("_id"), "_id").limit(pool).distinct().withColumn("_y", F.lit(-1))
+    others = others.distinct().orderBy(F.xxhash64("_id"), "_id").limit(pool).withColumn("_y", F.lit(-1))
     wanted = keep(ids.unionByName(others))
 
     def run(batches):
@@ -169,9 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
             yield pa.RecordBatch.from_pydict({"y": b["_y"], "id": b["_doc_id"], "t": pa.array(list(xt), pa.list_(pa.float64())),
                                               "m": pa.array(list(xm), pa.list_(pa.float64()))})
 
-    # at most 2 * per_class + pool ids
+    # at most 2 * per_class + pool ids, and of rows that share one the smallest features
     d = _columns(docs).join(F.broadcast(wanted), F.col("_doc_id") == F.col("_id")).drop("_id")
-    got = d.mapInArrow(run, "y int, id long, t array<double>, m array<double>").toPandas().sort_values("id", kind="stable")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    d = d.mapInArrow(run, f"y int, id {kind}, t array<double>, m array<double>")
+    got = d.groupBy("id").agg(F.min(F.struct("y", "t", "m")).alias("_m")).select("id", "_m.*").toPandas().sort_values("id", kind="stable")
     if not len(got):
         return CoTrained(None, None, 0.0)
     xt = np.array(got["t"].tolist()).reshape(-1, TEXT_FEATURES)
