@@ -92,13 +92,16 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         parents = edges.groupBy("a").agg(F.count("*").alias("n"))
         if parents.where("n > 1").isEmpty() and edges.join(parents.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        edges = keep(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                     .unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        # edges go from the larger end a to the smaller end b. Minima are written before they are joined: the root
+        # of a large component is one key, which is split only in a shuffle of its own
+        low = keep(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), "m"))
+        large = keep(edges.join(low, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct())
+        up = keep(large.groupBy("a").agg(F.min("b").alias("m")))
+        small = large.join(up, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        rewritten = keep(small.unionByName(up.select("a", F.col("m").alias("b"))).distinct())
+        for done in (low, large, up, edges):
+            release(done)
+        edges = rewritten
     else:
         raise RuntimeError(f"components not found in {rounds} rounds")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(

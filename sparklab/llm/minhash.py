@@ -1,26 +1,26 @@
 """Near-dedup by a chosen-path set similarity join.
 
 Equal shingle sets are one class. In each of ``TREES`` independent trees the
-classes branch by their minwise token of the level; a node of at most ``LEAF``
-classes is compared exhaustively, a larger one branches again. Two sets of
+classes branch by their minwise token of the level; a node with at most
+``LEAF`` classes outside its largest component so far is compared
+exhaustively, any other branches again. Two sets of
 similarity s share a node at depth d of a tree with probability s**d; the
 deeper a level, the more trees its classes are in (``DEEP``), so that at 0.8 a
 level misses a pair with probability of 4e-5 at most, (1 - 0.8**3)**16 < 2e-5
-at the usual depth of 2 to 3. Nodes still large at the last level hold nearly equal sets: they are compared with one member each, and
-members that do not fall into its component with all others of the node.
+at the usual depth of 2 to 3. Nodes still open at the last level are compared
+exhaustively too. Pairs inside a component are never listed, so a group of
+copies costs rows in proportion to its size.
 Links are confirmed on the full sets.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklab.llm.common import components, free_name, keep, with_rows
+from sparklab.llm.common import components, free_name, keep, release, with_rows
 from sparklab.llm.words import PLAIN, grams, pieces, signed
 
 TREES, LEVELS, LEAF = 16, 8, 16
@@ -85,6 +85,7 @@ def _describe(k: int):
 
 
 def _confirm(k: int, percent: int):
+    """Links among the pairs (a, b, _ta, _tb) of texts, as (a, b)."""
     def run(batches):
         for b in batches:
             keep_ = []
@@ -97,97 +98,129 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _close(a: str, b: str, percent: int):
-    """Sizes and sketches allow the pair to be a link."""
-    c = lambda side, name: F.col(f"{side}.{name}")
-    bits = F.bit_count(c(a, "s1").bitwiseXOR(c(b, "s1"))) + F.bit_count(c(a, "s2").bitwiseXOR(c(b, "s2")))
-    return ((F.least(c(a, "n"), c(b, "n")) * 100 >= F.greatest(c(a, "n"), c(b, "n")) * percent) & (bits <= MOST_BITS)), bits
-
+def _bits():
+    return F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1"))) + F.bit_count(F.col("x.s2").bitwiseXOR(F.col("y.s2")))
+
+
+def _close(percent: int):
+    """Sizes and sketches of x and y allow a link, and no link joins them yet."""
+    sizes = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    return (F.col("x._c") != F.col("y._c")) & sizes & (_bits() <= MOST_BITS)
+
+
+def _pair():
+    return F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"), _bits().alias("bits")
+
+
+class Links:
+    """Components of the classes so far, in ``who`` (_id, n, s1, s2, _c), and the pairs compared for them."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, k: int, percent: int):
+        self.texts, self.k, self.percent, self.tested = docs, k, percent, []
+        self.who = keep(classes.select("_id", "n", "s1", "s2", F.col("_id").alias("_c")))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, bits, ca, cb) of the pairs between different components."""
+        c = self.who.select("_id", "_c")
+        p = pairs.join(c.toDF("a", "ca"), "a").join(c.toDF("b", "cb"), "b")
+        return p.where("ca <> cb").select("a", "b", "bits", "ca", "cb")
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Confirm the kept pairs (a, b, bits, ca, cb) on the whole texts and join the components that links connect."""
+        self.tested.append(pairs)
+        if pairs.isEmpty():
+            return
+        ids = keep(pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row"))).distinct())
+        t = keep(self.texts.join(ids, "_row", "left_semi").select("_row", "_text"))
+        p = pairs.join(t.toDF("b", "_tb"), "b").join(t.toDF("a", "_ta"), "a").select(F.col("ca").alias("a"), F.col("cb").alias("b"), "_ta", "_tb")
+        links = keep(p.mapInArrow(_confirm(self.k, self.percent), "a long, b long"))
+        release(t)
+        if links.isEmpty():
+            return
+        change = keep(components(links).toDF("_c", "_to"))
+        old, names = self.who, ["_id", "n", "s1", "s2"]
+        self.who = keep(old.join(change, "_c", "left").select(*names, F.coalesce("_to", "_c").alias("_c")))
+        for done in (old, change, links, ids):
+            release(done)
+
+    def closest(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs, the closest one of each larger end, compared."""
+        first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
+        best = keep(pairs.withColumn("_first", first).where("_first").drop("_first"))
+        self.compare(best)
+        return best
+
+    def stars(self, rows: DataFrame) -> None:
+        """Each class with the closest of the smallest classes of its nodes (rows _id, _pivot)."""
+        star = rows.where("_id <> _pivot").select("_id", "_pivot").distinct()
+        x, y = self.who.alias("x"), self.who.alias("y")
+        p = star.join(x, F.col("_pivot") == F.col("x._id")).join(y, (star["_id"] == F.col("y._id")) & _close(self.percent))
+        self.closest(p.select(*_pair(), F.least("x._c", "y._c").alias("ca"), F.greatest("x._c", "y._c").alias("cb")))
+
+    def exhaustively(self, nodes: DataFrame) -> None:
+        """All pairs of nodes that are in different components (rows node, _id, n, s1, s2, _c, _odd).
+
+        A pair has an end outside its node's largest component; pairs inside a component are not listed.
+        """
+        on = (F.col("x.node") == F.col("y.node")) & (~F.col("y._odd") | (F.col("x._id") < F.col("y._id")))
+        p = nodes.where("_odd").alias("x").join(nodes.alias("y"), on & _close(self.percent)).select(*_pair()).distinct()
+        for t in self.tested:
+            p = p.join(t.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = keep(p)
+        best = self.closest(self.apart(pairs))
+        rest = pairs.join(best.select("a", "b"), ["a", "b"], "left_anti")
+        self.compare(keep(self.apart(rest)))
+        release(pairs)
 
-def _pairs(nodes: DataFrame, other: DataFrame, percent: int, ordered: bool, across: bool = False) -> DataFrame:
-    """Pairs of different classes that share a node: (a, b, bits); with ``across`` only those of different ``_c``."""
-    close, bits = _close("x", "y", percent)
-    if across:
-        close = close & (F.col("x._c") != F.col("y._c"))
-    on = (F.col("x.node") == F.col("y.node")) & (F.col("x._id") < F.col("y._id") if ordered else F.col("x._id") != F.col("y._id"))
-    p = nodes.alias("x").join(other.alias("y"), on & close)
-    return p.select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"), bits.alias("bits"))
 
+def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, component) of the classes (_id, n, s1, s2, tokens), by links that span every component.
 
-def chosen_paths(classes: DataFrame, percent: int):
-    """Candidate pairs (a, b, bits), the leaves and the nodes that stay large (both node, _id, n, s1, s2)."""
-    narrow = classes.select("_id", "n", "s1", "s2")
-    ids = classes.select("_id", "tokens")
+    Level by level: in every node the classes are first compared with one
+    member. A node that then has at most ``LEAF`` classes outside its largest
+    component is settled by comparing those with all others; a node in one
+    component needs nothing, any other branches again.
+    """
+    links, ids = Links(docs, classes, k, percent), classes.select("_id", "tokens")
     active = ids.select("_id", "tokens", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    found, leaves, large = [], [], None
+    open_ = None
     for level in range(FIRST_LEVEL, LEVELS + 1):
         path = F.slice("tokens", F.col("tree") * LEVELS + 1, level)
         if level in DEEP:
             path = F.transform(F.slice(F.lit(PLACES.ravel().tolist()), F.col("tree") * LEVELS + 1, level), lambda p: F.element_at("tokens", p + 1))
         rows = active.select("_id", "tree", F.xxhash64("tree", path).alias("node"))
-        size = rows.groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1")
+        # written before the join, so that a node that a third of all classes share is split
+        size = keep(rows.groupBy("node").agg(F.count("*").alias("_n"), F.min("_id").alias("_pivot")).where("_n > 1").drop("_n"))
         rows = keep(rows.join(size, "node"))
-        full = rows.where(F.col("_n") <= LEAF).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
-        leaves.append(full)
-        found.append(_pairs(full, full, percent, True))
-        large = rows.where(F.col("_n") > LEAF)
-        if large.isEmpty():  # nothing left to branch
+        links.stars(rows)
+        named = keep(rows.drop("_pivot").join(links.who, "_id"))
+        parts = named.groupBy("node", "_c").agg(F.count("*").alias("_k"))
+        parts = parts.groupBy("node").agg(F.sum("_k").alias("_n"), F.max("_k").alias("_most"), F.max_by("_c", "_k").alias("_top"))
+        parts = keep(parts.where("_n > _most").select("node", "_top", (F.lit(level == LEVELS) | (F.col("_n") - F.col("_most") <= LEAF)).alias("_settled")))
+        mixed = keep(named.join(parts, "node").withColumn("_odd", F.col("_c") != F.col("_top")).drop("_top"))
+        for done in (size, rows, named, parts):
+            release(done)
+        links.exhaustively(mixed.where("_settled").drop("_settled", "tree"))
+        if open_ is not None:
+            release(open_)
+        open_ = keep(mixed.where("NOT _settled").select("_id", "tree"))
+        release(mixed)
+        if open_.isEmpty():  # nothing left to branch
             break
-        if level < LEVELS:
-            # a pair may share large nodes in trees that part further down: its classes enter more trees
-            more = F.explode(F.sequence(F.lit(DEEP.get(level, TREES)), F.lit(DEEP[level + 1] - 1))).alias("tree") if level + 1 in DEEP else None
-            active = large.select("_id", "tree")
-            if more is not None:
-                active = active.unionByName(large.select("_id").distinct().select("_id", more))
-            active = active.join(ids, "_id")
-    large = keep(large.join(narrow, "_id").select("node", "_id", "n", "s1", "s2"))
-    pivot = large.groupBy("node").agg(F.min("_id").alias("_id")).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
-    found.append(_pairs(pivot, large, percent, False))
-    pairs = found[0]
-    for f in found[1:]:
-        pairs = pairs.unionByName(f)
-    return keep(pairs.groupBy("a", "b").agg(F.min("bits").alias("bits"))), reduce(DataFrame.unionByName, leaves), large
-
-
-def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(id, component) of the classes that have a link, by confirmed links that span every component.
-
-    The closest smaller partner of each class is confirmed first; of the other
-    candidates only those between different components need it then.
-    """
-    pairs, leaves, large = chosen_paths(classes, percent)
-    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select("b").toDF("_id")).unionByName(large.select("_id")).distinct()
-    texts = keep(docs.join(ids.withColumnRenamed("_id", "_row").hint("shuffle_hash"), "_row", "left_semi").select("_row", "_text"))
-
-    def confirm(p):
-        p = p.join(texts.select(F.col("_row").alias("a"), F.col("_text").alias("_ta")), "a").join(
-            texts.select(F.col("_row").alias("b"), F.col("_text").alias("_tb")), "b")
-        return keep(p.select("a", "b", "_ta", "_tb").mapInArrow(_confirm(k, percent), "a long, b long"))
-
-    def named(nodes, comp):
-        """Members of nodes with their component so far."""
-        return nodes.join(comp.withColumnRenamed("id", "_id"), "_id", "left").withColumn("_c", F.coalesce("component", "_id")).drop("component")
-
-    def joined(comp, more):
-        """Components after more links between them."""
-        return components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)) if not more.isEmpty() else comp
-
-    first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
-    best = keep(pairs.withColumn("_first", first).where("_first").select("a", "b"))
-    comp = components(confirm(best))
-    # what the leaves hold between different components; pairs inside one are not listed again
-    apart = keep(named(leaves, comp))
-    rest = _pairs(apart, apart, percent, True, across=True).select("a", "b").distinct()
-    comp = joined(comp, confirm(rest.join(best, ["a", "b"], "left_anti")))
-    # the rest of the large nodes: whoever is not in the component of the node's smallest, against all others
-    apart = keep(named(large, comp))
-    pivot = large.groupBy("node").agg(F.min("_id").alias("_id"))
-    pivot = pivot.join(apart.select("node", "_id", F.col("_c").alias("_pc")), ["node", "_id"]).select("node", "_pc")
-    odd = keep(apart.join(pivot, "node").where("_c <> _pc").drop("_pc"))
-    if odd.isEmpty():
-        return comp
-    more = _pairs(odd, apart, percent, False, across=True).select("a", "b").distinct()
-    return joined(comp, confirm(more.join(best, ["a", "b"], "left_anti")))
+        if level == FIRST_LEVEL:  # all that is compared from here on
+            some = keep(open_.select(F.col("_id").alias("_row")).distinct())
+            links.texts = keep(docs.join(some, "_row", "left_semi"))
+        # a pair may share large nodes in trees that part further down: its classes enter more trees
+        active = open_
+        if level + 1 in DEEP:
+            more = F.explode(F.sequence(F.lit(DEEP.get(level, TREES)), F.lit(DEEP[level + 1] - 1))).alias("tree")
+            active = active.unionByName(open_.select("_id").distinct().select("_id", more))
+        active = active.join(ids, "_id")
+    if links.texts is not docs:
+        release(links.texts)
+    for t in links.tested:
+        release(t)
+    return links.who.select(F.col("_id").alias("id"), F.col("_c").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
