@@ -88,18 +88,19 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = keep(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     for _ in range(rounds):
+        # Edges go from the larger end a to the smaller end b. The parents are written before they are joined: the
+        # root of a large component is one key, which is split only in a shuffle of its own.
+        parents = keep(edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        low = parents.select(F.col("a").alias("b"), "m")
         # done when every node has one parent and no parent has one
-        parents = edges.groupBy("a").agg(F.count("*").alias("n"))
-        if parents.where("n > 1").isEmpty() and edges.join(parents.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+        if parents.where("n > 1").select("a").unionByName(edges.join(low, "b", "left_semi").select("a")).isEmpty():
+            release(parents)
             break
-        # edges go from the larger end a to the smaller end b. Minima are written before they are joined: the root
-        # of a large component is one key, which is split only in a shuffle of its own
-        low = keep(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), "m"))
-        large = keep(edges.join(low, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct())
-        up = keep(large.groupBy("a").agg(F.min("b").alias("m")))
+        large = edges.join(low, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
+        up = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(up, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         rewritten = keep(small.unionByName(up.select("a", F.col("m").alias("b"))).distinct())
-        for done in (low, large, up, edges):
+        for done in (parents, edges):
             release(done)
         edges = rewritten
     else:

@@ -15,6 +15,8 @@ Links are confirmed on the full sets.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -109,7 +111,9 @@ def _close(percent: int):
 
 
 def _pair():
-    return F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"), _bits().alias("bits")
+    """Columns of a pair: its classes, the bits in which they differ, their components."""
+    return (F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"), _bits().alias("bits"),
+            F.least("x._c", "y._c").alias("ca"), F.greatest("x._c", "y._c").alias("cb"))
 
 
 class Links:
@@ -119,12 +123,6 @@ class Links:
         self.texts, self.k, self.percent, self.tested = docs, k, percent, []
         self.who = keep(classes.select("_id", "n", "s1", "s2", F.col("_id").alias("_c")))
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, bits, ca, cb) of the pairs between different components."""
-        c = self.who.select("_id", "_c")
-        p = pairs.join(c.toDF("a", "ca"), "a").join(c.toDF("b", "cb"), "b")
-        return p.where("ca <> cb").select("a", "b", "bits", "ca", "cb")
-
     def compare(self, pairs: DataFrame) -> None:
         """Confirm the kept pairs (a, b, bits, ca, cb) on the whole texts and join the components that links connect."""
         self.tested.append(pairs)
@@ -143,34 +141,22 @@ class Links:
         for done in (old, change, links, ids):
             release(done)
 
-    def closest(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs, the closest one of each larger end, compared."""
-        first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
-        best = keep(pairs.withColumn("_first", first).where("_first").drop("_first"))
-        self.compare(best)
-        return best
-
     def stars(self, rows: DataFrame) -> None:
         """Each class with the closest of the smallest classes of its nodes (rows _id, _pivot)."""
         star = rows.where("_id <> _pivot").select("_id", "_pivot").distinct()
         x, y = self.who.alias("x"), self.who.alias("y")
-        p = star.join(x, F.col("_pivot") == F.col("x._id")).join(y, (star["_id"] == F.col("y._id")) & _close(self.percent))
-        self.closest(p.select(*_pair(), F.least("x._c", "y._c").alias("ca"), F.greatest("x._c", "y._c").alias("cb")))
+        p = star.join(x, F.col("_pivot") == F.col("x._id")).join(y, (star["_id"] == F.col("y._id")) & _close(self.percent)).select(*_pair())
+        first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
+        self.compare(keep(p.withColumn("_first", first).where("_first").drop("_first")))
 
     def exhaustively(self, nodes: DataFrame) -> None:
-        """All pairs of nodes that are in different components (rows node, _id, n, s1, s2, _c, _odd).
+        """All pairs of nodes that are in different components (rows node, _id, n, s1, s2, _c, _odd), each once.
 
         A pair has an end outside its node's largest component; pairs inside a component are not listed.
         """
         on = (F.col("x.node") == F.col("y.node")) & (~F.col("y._odd") | (F.col("x._id") < F.col("y._id")))
         p = nodes.where("_odd").alias("x").join(nodes.alias("y"), on & _close(self.percent)).select(*_pair()).distinct()
-        for t in self.tested:
-            p = p.join(t.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = keep(p)
-        best = self.closest(self.apart(pairs))
-        rest = pairs.join(best.select("a", "b"), ["a", "b"], "left_anti")
-        self.compare(keep(self.apart(rest)))
-        release(pairs)
+        self.compare(keep(p.join(reduce(DataFrame.unionByName, self.tested).select("a", "b"), ["a", "b"], "left_anti")))
 
 
 def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
