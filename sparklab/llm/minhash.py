@@ -1,12 +1,16 @@
 """Near-dedup by a chosen-path set similarity join.
 
-Equal shingle sets are one class. In each of ``TREES`` independent trees the
-classes branch by their minwise token of the level; a node of at most ``LEAF``
-classes is compared exhaustively, a larger one branches again. Two sets of
-similarity s share a node at depth d of a tree with probability s**d; the
-deeper a level, the more trees its classes are in (``DEEP``), so that at 0.8 a
-level misses a pair with probability of 4e-5 at most, (1 - 0.8**3)**16 < 2e-5
-at the usual depth of 2 to 3. Nodes still large at the last level hold nearly equal sets: they are compared with one member each, and
+Equal shingle sets are one class. Each class is first compared with the
+smallest members of its first nodes; the closest of these, confirmed, gives
+components that hold most of a large group. Then, in each of ``TREES``
+independent trees, the classes branch by their minwise token of the level; a
+node within one component ends there, one of at most ``LEAF`` classes is
+compared exhaustively between its components, a larger one branches again.
+Two sets of similarity s share a node at depth d of a tree with probability
+s**d; the deeper a level, the more trees its classes are in (``DEEP``), so that
+at 0.8 a level misses a pair with probability of 4e-5 at most,
+(1 - 0.8**3)**16 < 2e-5 at the usual depth of 2 to 3. Nodes still large at the
+last level hold nearly equal sets: they are compared with one member each, and
 members that do not fall into its component with all others of the node.
 Links are confirmed on the full sets.
 """
@@ -17,10 +21,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklab.llm.common import components, free_name, keep, with_rows
+from sparklab.llm.common import components, free_name, keep, release, with_rows
 from sparklab.llm.words import PLAIN, grams, pieces, signed
 
 TREES, LEVELS, LEAF = 16, 8, 16
@@ -104,90 +108,110 @@ def _close(a: str, b: str, percent: int):
     return ((F.least(c(a, "n"), c(b, "n")) * 100 >= F.greatest(c(a, "n"), c(b, "n")) * percent) & (bits <= MOST_BITS)), bits
 
 
-def _pairs(nodes: DataFrame, other: DataFrame, percent: int, ordered: bool, across: bool = False) -> DataFrame:
-    """Pairs of different classes that share a node: (a, b, bits); with ``across`` only those of different ``_c``."""
+def _pairs(nodes: DataFrame, other: DataFrame, percent: int, ordered: bool) -> DataFrame:
+    """Pairs of classes in different components so far (``_c``) that share a node: (a, b, bits)."""
     close, bits = _close("x", "y", percent)
-    if across:
-        close = close & (F.col("x._c") != F.col("y._c"))
-    on = (F.col("x.node") == F.col("y.node")) & (F.col("x._id") < F.col("y._id") if ordered else F.col("x._id") != F.col("y._id"))
-    p = nodes.alias("x").join(other.alias("y"), on & close)
+    on = (F.col("x.node") == F.col("y.node")) & (F.col("x._c") != F.col("y._c"))
+    p = nodes.alias("x").join(other.alias("y"), (on & (F.col("x._id") < F.col("y._id")) if ordered else on) & close)
     return p.select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"), bits.alias("bits"))
 
 
+def _branch(classes: DataFrame, tree: Column | None, level: int) -> DataFrame:
+    """The node of ``level`` that each class is in, in the tree of its row or in each of the first ``TREES``."""
+    classes = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))) if tree is None else tree)
+    path = F.slice("tokens", F.col("tree") * LEVELS + 1, level)
+    if level in DEEP:
+        path = F.transform(F.slice(F.lit(PLACES.ravel().tolist()), F.col("tree") * LEVELS + 1, level), lambda p: F.element_at("tokens", p + 1))
+    return classes.withColumn("node", F.xxhash64("tree", path)).drop("tokens")
+
+
+def stars(classes: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) that settle most of a group: of the smallest members of a class's first nodes, the closest.
+
+    One row a class at most, however large its nodes are.
+    """
+    narrow = classes.select("_id", "n", "s1", "s2")
+    rows = _branch(classes.select("_id", "tokens"), None, FIRST_LEVEL)
+    low = rows.groupBy("node").agg(F.min("_id").alias("_p"), F.count("*").alias("_n")).where("_n > 1").select("node", "_p")
+    p = rows.join(low, "node").where("_id <> _p").select("_p", "_id").distinct()
+    close, bits = _close("x", "y", percent)
+    p = p.join(narrow.alias("y"), "_id").select("_p", "y.*").alias("y").join(narrow.alias("x"), F.col("x._id") == F.col("y._p")).where(close)
+    p = p.select(F.col("y._p").alias("a"), F.col("y._id").alias("b"), bits.alias("bits"))
+    first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
+    return p.withColumn("_first", first).where("_first").select("a", "b")
+
+
 def chosen_paths(classes: DataFrame, percent: int):
-    """Candidate pairs (a, b, bits), the leaves and the nodes that stay large (both node, _id, n, s1, s2)."""
+    """Candidate pairs (a, b) between the components so far (``_c`` of the classes), and the nodes of
+    several components that stay large (node, _id, _c, n, s1, s2; None if there are none).
+
+    A node whose classes are all in one component holds no news and isn't branched.
+    """
     narrow = classes.select("_id", "n", "s1", "s2")
-    ids = classes.select("_id", "tokens")
-    active = ids.select("_id", "tokens", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    found, leaves, large = [], [], None
+    ids = classes.select("_id", "_c", "tokens")
+    rows, found, large = _branch(ids, None, FIRST_LEVEL), [], None
     for level in range(FIRST_LEVEL, LEVELS + 1):
-        path = F.slice("tokens", F.col("tree") * LEVELS + 1, level)
-        if level in DEEP:
-            path = F.transform(F.slice(F.lit(PLACES.ravel().tolist()), F.col("tree") * LEVELS + 1, level), lambda p: F.element_at("tokens", p + 1))
-        rows = active.select("_id", "tree", F.xxhash64("tree", path).alias("node"))
-        size = rows.groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1")
-        rows = keep(rows.join(size, "node"))
-        full = rows.where(F.col("_n") <= LEAF).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
-        leaves.append(full)
-        found.append(_pairs(full, full, percent, True))
+        size = rows.groupBy("node").agg(F.count("*").alias("_n"), F.min("_c").alias("_low"), F.max("_c").alias("_high"))
+        rows = keep(rows.join(size.where("_low < _high").select("node", "_n"), "node"))
+        full = rows.where(F.col("_n") <= LEAF).join(narrow, "_id").select("node", "_id", "_c", "n", "s1", "s2")
+        found.append(keep(_pairs(full, full, percent, True).groupBy("a", "b").agg(F.min("bits").alias("bits"))))
         large = rows.where(F.col("_n") > LEAF)
         if large.isEmpty():  # nothing left to branch
+            large = None
             break
         if level < LEVELS:
             # a pair may share large nodes in trees that part further down: its classes enter more trees
-            more = F.explode(F.sequence(F.lit(DEEP.get(level, TREES)), F.lit(DEEP[level + 1] - 1))).alias("tree") if level + 1 in DEEP else None
             active = large.select("_id", "tree")
-            if more is not None:
-                active = active.unionByName(large.select("_id").distinct().select("_id", more))
-            active = active.join(ids, "_id")
-    large = keep(large.join(narrow, "_id").select("node", "_id", "n", "s1", "s2"))
-    pivot = large.groupBy("node").agg(F.min("_id").alias("_id")).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
-    found.append(_pairs(pivot, large, percent, False))
-    pairs = found[0]
-    for f in found[1:]:
-        pairs = pairs.unionByName(f)
-    return keep(pairs.groupBy("a", "b").agg(F.min("bits").alias("bits"))), reduce(DataFrame.unionByName, leaves), large
+            if level + 1 in DEEP:
+                more = F.explode(F.sequence(F.lit(DEEP.get(level, TREES)), F.lit(DEEP[level + 1] - 1)))
+                active = active.unionByName(large.select("_id").distinct().select("_id", more.alias("tree")))
+            rows = _branch(ids.join(active, "_id"), F.col("tree"), level + 1)
+    if large is not None:
+        large = keep(large.select("node", "_id", "_c").join(narrow, "_id").select("node", "_id", "_c", "n", "s1", "s2"))
+        pivot = large.groupBy("node").agg(F.min("_id").alias("_id")).join(large, ["node", "_id"])
+        found.append(_pairs(pivot, large, percent, False))
+    pairs = reduce(DataFrame.unionByName, found)
+    return pairs.select("a", "b").distinct(), large
 
 
 def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(id, component) of the classes that have a link, by confirmed links that span every component.
 
-    The closest smaller partner of each class is confirmed first; of the other
-    candidates only those between different components need it then.
+    First each class is confirmed with the closest of its nodes' smallest
+    members; the trees then look for links between the components that gives.
     """
-    pairs, leaves, large = chosen_paths(classes, percent)
-    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select("b").toDF("_id")).unionByName(large.select("_id")).distinct()
-    texts = keep(docs.join(ids.withColumnRenamed("_id", "_row").hint("shuffle_hash"), "_row", "left_semi").select("_row", "_text"))
-
-    def confirm(p):
+    def confirm(p, hint=None):
+        ids = p.select(F.col("a").alias("_row")).unionByName(p.select("b").toDF("_row")).distinct()
+        texts = keep(docs.join(ids.hint(hint) if hint else ids, "_row", "left_semi").select("_row", "_text"))
         p = p.join(texts.select(F.col("_row").alias("a"), F.col("_text").alias("_ta")), "a").join(
             texts.select(F.col("_row").alias("b"), F.col("_text").alias("_tb")), "b")
-        return keep(p.select("a", "b", "_ta", "_tb").mapInArrow(_confirm(k, percent), "a long, b long"))
+        links = keep(p.select("a", "b", "_ta", "_tb").mapInArrow(_confirm(k, percent), "a long, b long"))
+        release(texts)
+        return links
 
-    def named(nodes, comp):
-        """Members of nodes with their component so far."""
-        return nodes.join(comp.withColumnRenamed("id", "_id"), "_id", "left").withColumn("_c", F.coalesce("component", "_id")).drop("component")
+    def named(rows, comp):
+        """Rows of classes with their component so far."""
+        return rows.join(comp.withColumnRenamed("id", "_id"), "_id", "left").withColumn("_c", F.coalesce("component", "_id")).drop("component")
 
     def joined(comp, more):
         """Components after more links between them."""
         return components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)) if not more.isEmpty() else comp
 
-    first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
-    best = keep(pairs.withColumn("_first", first).where("_first").select("a", "b"))
-    comp = components(confirm(best))
-    # what the leaves hold between different components; pairs inside one are not listed again
-    apart = keep(named(leaves, comp))
-    rest = _pairs(apart, apart, percent, True, across=True).select("a", "b").distinct()
-    comp = joined(comp, confirm(rest.join(best, ["a", "b"], "left_anti")))
+    best = keep(stars(classes, percent))
+    comp = components(confirm(best, "shuffle_hash"))
+    pairs, large = chosen_paths(keep(named(classes, comp)), percent)
+    comp = joined(comp, confirm(keep(pairs.join(best, ["a", "b"], "left_anti"))))
+    if large is None:
+        return comp
     # the rest of the large nodes: whoever is not in the component of the node's smallest, against all others
-    apart = keep(named(large, comp))
+    apart = keep(named(large.drop("_c"), comp))
     pivot = large.groupBy("node").agg(F.min("_id").alias("_id"))
     pivot = pivot.join(apart.select("node", "_id", F.col("_c").alias("_pc")), ["node", "_id"]).select("node", "_pc")
     odd = keep(apart.join(pivot, "node").where("_c <> _pc").drop("_pc"))
     if odd.isEmpty():
         return comp
-    more = _pairs(odd, apart, percent, False, across=True).select("a", "b").distinct()
-    return joined(comp, confirm(more.join(best, ["a", "b"], "left_anti")))
+    more = _pairs(odd, apart, percent, False).select("a", "b").distinct()
+    return joined(comp, confirm(keep(more.join(best, ["a", "b"], "left_anti"))))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
