@@ -31,7 +31,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: later copies of repeated runs of three or more lines go."""
+    """Operator 1: later copies of repeated runs of three lines, or of 50 words in one or two, go."""
     old = free_name(docs, "_old_text")
     return _edited(docs, line_dedup.dedup_lines(docs.withColumn(old, F.col("text"))), old)
 

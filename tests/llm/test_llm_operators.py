@@ -131,6 +131,16 @@ def test_line_dedup_equals_sql(docs):
     assert got.agg(F.sum("n_removed")).first()[0] >= 6
 
 
+def test_line_dedup_counts_long_lines_by_their_words(spark):
+    word = lambda n, w: " ".join([w] * n)
+    a, b, c, d = word(50, "a"), word(49, "b"), word(25, "c"), word(24, "d")
+    texts = [a, f"x\n{a}\ny", b, b, f"{c}\n{c}", f"p\n{c}\n{c}\nq", f"{c}\n{d}", f"{c}\n{d}"]
+    left = [a, "x\ny", b, b, f"{c}\n{c}", "p\nq", f"{c}\n{d}", f"{c}\n{d}"]
+    t = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.text for r in line_dedup.dedup_lines(t).orderBy("doc_id").collect()] == left
+    assert [r.text for r in line_dedup.dedup_lines(t, min_words=None).orderBy("doc_id").collect()] == texts
+
+
 def test_line_dedup_depths_and_columns(spark, docs):
     lines = [(1, "a\nb\nc\nd\ne\nf"), (2, "x\nb\nc\nd\ne\ny"), (3, "b\nc\nz"), (None, "q\nq\nq\nq\nq"), (4, None)]
     d = spark.createDataFrame([(i, t, 5, "k") for i, t in lines], "doc_id long, text string, N_Lines int, _runs string")
