@@ -4,7 +4,7 @@ retention/merging and rule-based fixes, on a ``test_run``-shaped table.
 
 Nothing is gathered per test into driver memory or into one array: per-test
 statistics are conditional aggregates over ranked rows, and bootstrap draws
-are a seeded, portable hash joined back to the numbered runs.
+are a seeded, portable hash, made and summed in the task that has the runs.
 """
 
 from __future__ import annotations
@@ -138,6 +138,106 @@ def detect_regressions(runs: DataFrame, now: str, n_last: int = 3, n_std: float
 
 
 # ------------------------------------------------------------------ R2
+#: replicates that a task draws for a test, and draws that it holds at a time
+SHARE, HELD = 1000, 1 << 15
+
+
+def md5_heads(sources: list[bytes], reps: range):
+    """First 32 bits of md5(source || replicate): (sources, reps). Sources of one length, replicates of as many digits.
+
+    Texts of one block (55 bytes) go through the steps of RFC 1321 all at once, longer ones through hashlib; the last
+    three steps don't touch the word that is read."""
+    import hashlib
+    import math
+
+    import numpy as np
+
+    numbers = [b"%d" % r for r in reps]
+    at, end = len(sources[0]), len(sources[0]) + len(numbers[0])
+    if end > 55:
+        return np.array([[int.from_bytes(hashlib.md5(s + n).digest()[:4], "big") for n in numbers] for s in sources], np.uint32)
+    own, rep = np.zeros((len(sources), 64), np.uint8), np.zeros((len(numbers), 64), np.uint8)
+    own[:, :at] = np.frombuffer(b"".join(sources), np.uint8).reshape(len(sources), at)
+    rep[:, at:end] = np.frombuffer(b"".join(numbers), np.uint8).reshape(len(numbers), end - at)
+    rep[:, end], rep[:, 56], rep[:, 57] = 0x80, end * 8 % 256, end * 8 // 256
+    own, rep = own.view("<u4"), rep.view("<u4")
+    words = [own[:, g:g + 1] if not rep[:, g].any() else rep[None, :, g] if not own[:, g].any() else own[:, g:g + 1] | rep[None, :, g] for g in range(16)]
+    begin = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+    shifts = [x for four in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for x in four * 4]
+    a, b, c, d = (np.full((len(sources), len(numbers)), x, np.uint32) for x in begin)
+    f, t = np.empty_like(a), np.empty_like(a)
+    for i in range(61):
+        if i < 16:
+            np.bitwise_xor(c, d, out=f)
+            f &= b
+            f ^= d
+        elif i < 32:
+            np.bitwise_xor(b, c, out=f)
+            f &= d
+            f ^= c
+        elif i < 48:
+            np.bitwise_xor(b, c, out=f)
+            f ^= d
+        else:
+            np.invert(d, out=f)
+            f |= b
+            f ^= c
+        f += a
+        f += words[(i, 5 * i + 1, 3 * i + 5, 7 * i)[i // 16] % 16] + np.uint32(int(abs(math.sin(i + 1)) * WORD))
+        np.left_shift(f, np.uint32(shifts[i]), out=t)
+        f >>= np.uint32(32 - shifts[i])
+        f |= t
+        f += b
+        a, b, c, d, f = d, f, b, c, a
+    b += np.uint32(begin[0])
+    return b.byteswap()
+
+
+def xxhash_int(x, h):
+    """Spark's ``xxhash64`` of 32-bit integers after columns whose hash is ``h`` (uint64)."""
+    import numpy as np
+
+    p1, p2, p3, _, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    h = (h + p5 + np.uint64(4)) ^ (np.asarray(x, np.int64).astype(np.uint64) & np.uint64(WORD - 1)) * p1
+    h = (h << np.uint64(23) | h >> np.uint64(41)) * p2 + p3
+    h = (h ^ h >> np.uint64(33)) * p2
+    h = (h ^ h >> np.uint64(29)) * p3
+    return h ^ h >> np.uint64(32)
+
+
+def _drawn_sums(values, sources, reps: range, seed: int, portable: bool):
+    """Sum of the values that each replicate draws from a group: one per source, see :func:`ab_confidence`."""
+    import numpy as np
+
+    sums, n = np.zeros(len(reps), values.dtype), len(values)
+    if portable:  # replicates with as many digits lie together
+        parts = [range(max(reps.start, 10 ** k if k else 0), min(reps.stop, 10 ** (k + 1))) for k in range(len(str(reps.stop)))]
+    else:
+        parts = [reps]
+    for i in range(0, len(sources), 1 << 12):
+        some = sources.slice(i, 1 << 12)
+        if portable:
+            lengths: dict[int, list] = {}
+            for s in some.to_pylist():
+                if s is None:  # no hash: position 0
+                    sums += values[0]
+                else:
+                    lengths.setdefault(len(s.encode()), []).append(s.encode())
+            lots = list(lengths.values())
+        else:
+            lots = [some.to_numpy(zero_copy_only=False).view(np.uint64)]
+        for part in filter(len, parts):
+            step = max(1, HELD // len(part))
+            for lot in lots:
+                for j in range(0, len(lot), step):
+                    if portable:
+                        at = md5_heads(lot[j:j + step], part) % np.uint32(n)
+                    else:
+                        at = xxhash_int(seed, xxhash_int(part, lot[j:j + step, None])).view(np.int64) % n
+                    sums[part.start - reps.start:part.stop - reps.start] += values[at].sum(axis=0)
+    return sums
+
+
 def ab_confidence(runs: DataFrame, metric: str, a: str, b: str, reps: int = 10000, seed: int = 0,
                   by=("fullname",), runtime_col: str = "runtime", scale: int | None = 2,
                   portable: bool = False) -> DataFrame:
@@ -147,63 +247,72 @@ def ab_confidence(runs: DataFrame, metric: str, a: str, b: str, reps: int = 1000
     Replicate r of a group with n runs draws, for each of its runs j, the run
     at position hash(id_j, r, seed) mod n: ``xxhash64`` by default, or with
     ``portable=True`` the first 8 hex digits of md5(id_j || '-' || r) (which
-    other engines can reproduce; the seed is then not used). The draws are joined to the
-    numbered runs on (group, position) - a distributed equi-join that AQE
-    splits when a group is hot - and averaged per (group, runtime, replicate).
+    other engines can reproduce; the seed is then not used).
+
+    A run is sent once per ``SHARE`` replicates; the draws are made and summed
+    in the task that has the runs of a test, in order, for these replicates,
+    so none is written or shuffled. A task holds some bytes for every run of
+    one test, and ``HELD`` draws.
     """
+    from pyspark.sql import types as T
+
+    from sparklab.operators.userfn import _arrow, _Out, _runs
+
+    if not -(1 << 31) <= seed < 1 << 31:
+        raise ValueError("the seed has 32 bits")
     by = list(by)
-    g = by + [runtime_col]
     d = runs.filter(col(runtime_col).isin(a, b) & col(metric).isNotNull())
-    # groups are keyed by a 128-bit hash in the fan-out stages (cheap to shuffle
-    # and hash-aggregate); names are joined back once per group at the end.
-    # Runs are numbered per group by a range-partitioned sort, so a test with
-    # a third of all runs is not numbered by one task.
-    from sparklab.operators.relational import rank_within_groups
-
-    numbered = rank_within_groups(d.select(*g, "id", "start", col(metric).alias("_v")), g, ["start", "id"])
-    # two hashes of the keys: 128 bits tell tests apart
-    numbered = numbered.withColumn("_gid", F.struct(F.xxhash64(*g).alias("x"), F.xxhash64(F.lit(1), *g).alias("y")))
-    sizes = numbered.groupBy("_gid").agg(F.count(F.lit(1)).alias("_n"))
-    names = numbered.select("_gid", *g).distinct()
-    spark = numbered.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    # each run fans out to ``reps`` draws; spread the runs first so the
-    # fan-out (and its hashing) runs in all tasks, not in the few input splits
-    draws = (
-        numbered.select("_gid", col("id").alias("_src")).join(sizes, "_gid")
-        .repartition(parts)
-        .select("_gid", "_src", "_n", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_rep"))
-        # coalesce(..., 0): the hash is never NULL, and a non-nullable key lets
-        # the optimizer drop the join's inferred isnotnull filter, which would
-        # otherwise evaluate the hash a second time per draw
-        .select("_gid", "_rep", F.coalesce(F.pmod(
-            F.conv(F.substring(F.md5(F.concat(col("_src").cast("string"), F.lit("-"), col("_rep").cast("string"))),
-                               1, 8), 16, 10).cast("bigint") if portable
-            else F.xxhash64(col("_src"), col("_rep"), F.lit(seed)),
-            col("_n")), F.lit(0).cast("bigint")).alias("_pos"))
-    )
-    if scale is None:
-        mean = F.avg("_v")
-    else:  # exact: integer units of 10^-scale summed as bigint
-        units = F.round(col("_v") * (10 ** scale)).cast("bigint")
-        mean = (F.sum(units).cast("double") / float(10 ** scale)) / F.count("_v")
-    means = (
-        draws.join(numbered.select("_gid", "_pos", "_v"), ["_gid", "_pos"])
-        .groupBy("_gid", "_rep").agg(mean.alias("_mean"))
-        .join(names, "_gid")
-    )
-    pivot = means.groupBy(*by, "_rep").agg(
-        F.max(F.when(col(runtime_col) == a, col("_mean"))).alias("_a"),
-        F.max(F.when(col(runtime_col) == b, col("_mean"))).alias("_b"),
-    ).filter(col("_a").isNotNull() & col("_b").isNotNull())
-    pivot = pivot.withColumn("_diff", F.try_divide(col("_b"), col("_a")) - 1)
+    # exact: integer units of 10^-scale summed as bigint
+    value = col(metric).cast("double") if scale is None else F.round(col(metric) * (10 ** scale)).cast("bigint")
+    keys = [*by, "_first"]
+    d = d.select(*by, (col(runtime_col) == b).cast("int").alias("_side"), "start", "id", value.alias("_v"),
+                 F.explode(F.sequence(F.lit(0), F.lit(reps - 1), F.lit(SHARE))).alias("_first"))
+    source = F.concat(col("id").cast("string"), F.lit("-")) if portable else F.xxhash64("id")
+    spark = runs.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    # a number of partitions: AQE would put this little data into few tasks
+    d = d.repartition(parts, *keys).sortWithinPartitions(*keys, "_side", "start", "id", "_v").select(*keys, "_side", "_v", source.alias("_src"))
+    full = T.StructType([*[d.schema[k] for k in keys], T.StructField("_n", T.LongType()), T.StructField("_valid", T.LongType()),
+                         T.StructField("_hits", T.ArrayType(T.LongType()))])
+    arrow = _arrow(full)
     ks = list(range(-16, 1)) + list(range(0, 17))
-    aggs = []
-    for i, k in enumerate(ks):
-        x = k / 20.0
-        cond = (col("_diff") < x) if i < 17 else (col("_diff") > x)
-        aggs.append((F.sum(cond.cast("int")).cast("double") / F.count(F.lit(1))).alias(f"_p{i}"))
-    per = pivot.groupBy(*by).agg(*aggs)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        out, held, key = _Out(keys, arrow), [], None
+
+        def end():
+            t = pa.concat_tables(held)
+            first = key["_first"][0].as_py()
+            drawn = range(first, min(first + SHARE, reps))
+            side, v, src = t["_side"].to_numpy(), t["_v"].to_numpy(), t["_src"].combine_chunks()
+            cut = int(np.searchsorted(side, 1))
+            sides = (slice(None), slice(None)) if a == b else (slice(0, cut), slice(cut, None))
+            if not all(len(side[s]) for s in sides):  # runs of one runtime only
+                return
+            ma, mb = (_drawn_sums(v[s], src[s], drawn, seed, portable).astype(np.float64) / (1.0 if scale is None else float(10 ** scale)) / len(v[s])
+                      for s in sides)
+            valid = ma != 0
+            diff = mb[valid] / ma[valid] - 1
+            hits = [int((diff < k / 20.0).sum() if i < 17 else ((diff > k / 20.0) | np.isnan(diff)).sum()) for i, k in enumerate(ks)]
+            out.put(key, {"_n": [len(drawn)], "_valid": [int(valid.sum())], "_hits": pa.array([hits], pa.list_(pa.int64()))})
+
+        for goes_on, t in _runs(batches, keys):
+            if not goes_on:
+                if key is not None:
+                    end()
+                    yield from out.ready()
+                held, key = [], t.select(keys).slice(0, 1)
+            held.append(t.select(["_side", "_v", "_src"]))
+        if key is not None:
+            end()
+        yield from out.ready(0)
+
+    # a replicate whose A is 0 has no ratio: it counts, but for no side; no ratio at all gives NULL
+    per = d.mapInArrow(run, full).groupBy(*by).agg(*[
+        F.when(F.sum("_valid") > 0, F.sum(col("_hits")[i]).cast("double") / F.sum("_n")).alias(f"_p{i}") for i in range(len(ks))])
     rows = F.explode(F.array(*[
         F.struct(F.lit(k / 20.0).alias("x"),
                  F.lit(("<" if i < 17 else ">") + f"{k * 5}%").alias("xlabel"),

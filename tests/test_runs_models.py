@@ -52,6 +52,41 @@ def test_bootstrap_has_exactly_reps_replicates(spark):
     assert all(abs(v * 1000 - round(v * 1000)) < 1e-9 for v in p.values())
 
 
+def test_bootstrap_draws_each_run_without_shuffling_draws(spark):
+    """The shares are those of the stated hashes; ids of several lengths, null ids, a test with runs of one runtime, one whose A is 0."""
+    import hashlib
+
+    import numpy as np
+
+    reps = 1300  # more than a task draws
+    rng = np.random.default_rng(1)
+    ids = [7, 12, 345, 10 ** 6, 10 ** 6 + 1, 99, None, 2 ** 40, 5, -3]
+    rows = [(i, "t" if k % 2 else None, f"py{k // 2 % 2}", k % 3, round(float(rng.gamma(4)), 2)) for k, i in enumerate(ids * 4)]
+    rows += [(1, "one side", "py0", 0, 1.0), (1, "zero", "py0", 0, 0.0), (2, "zero", "py1", 0, 1.0)]
+    df = spark.createDataFrame(rows, "id long, fullname string, runtime string, start int, duration double")
+    hashed = {(r.id, r.rep): r.h for r in df.select("id").distinct().select(
+        "id", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep")).select("id", "rep", F.xxhash64("id", "rep", F.lit(-5)).alias("h")).collect()}
+    for portable in (True, False):
+        def mean(name, runtime, r, portable=portable):
+            own = sorted((x for x in rows if x[1:3] == (name, runtime)), key=lambda x: (x[3], x[0] is not None, x[0], x[4]))
+            at = [(int(hashlib.md5(f"{x[0]}-{r}".encode()).hexdigest()[:8], 16) if x[0] is not None else 0) if portable else hashed[x[0], r] for x in own]
+            return sum(round(own[h % len(own)][4] * 100) for h in at) / 100.0 / len(own)
+
+        out = runs.ab_confidence(df, "duration", "py0", "py1", reps=reps, seed=-5, portable=portable)
+        assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {(r.fullname, r.xlabel): r.p for r in out.collect()}
+        assert len(got) == 3 * 34 and got["zero", "<0%"] is None
+        for name in ("t", None):
+            ratio = [mean(name, "py1", r) / mean(name, "py0", r) - 1 for r in range(reps)]
+            for k in range(-16, 17):
+                if k <= 0:
+                    assert got[name, f"<{k * 5}%"] == sum(x < k / 20.0 for x in ratio) / reps
+                if k >= 0:
+                    assert got[name, f">{k * 5}%"] == sum(x > k / 20.0 for x in ratio) / reps
+    long = runs.md5_heads([b"x" * 60], range(10, 12))[0].tolist()
+    assert long == [int(hashlib.md5(b"x" * 60 + b"%d" % r).hexdigest()[:8], 16) for r in (10, 11)]
+
+
 def test_merge_runs_fresh_consecutive_ids(spark):
     a = _history(spark, [1.0, 2.0])
     b = _history(spark, [3.0, 4.0, 5.0])
