@@ -34,6 +34,8 @@ BLOCK_CELLS = 1 << 16
 GROUP_ROWS = 100_000
 #: output rows gathered before they are handed on
 OUT_ROWS = 4096
+#: results are built for groups of so many rows together
+OF_ROWS = 20_000
 
 
 def _schema(fields) -> T.StructType:
@@ -269,38 +271,74 @@ def _runs(batches, keys: list[str]):
         last = t.select(keys).slice(t.num_rows - 1)
 
 
+def _joined(parts: list, kind: pa.DataType) -> pa.ChunkedArray | pa.Array:
+    """One column from its parts: lists in one conversion, if they are of one sort; anything else part by part."""
+    if all(type(p) is list for p in parts):
+        try:
+            return pa.array(list(itertools.chain.from_iterable(parts)), from_pandas=True).cast(kind)
+        except (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError):
+            pass
+    arrays = [p if isinstance(p, (pa.Array, pa.ChunkedArray)) else pa.array(p, from_pandas=True) for p in parts]
+    if len({a.type for a in arrays}) > 1:
+        arrays = [a.cast(kind) for a in arrays]
+    return pa.chunked_array([c for a in arrays for c in (a.chunks if isinstance(a, pa.ChunkedArray) else [a])], arrays[0].type).cast(kind)
+
+
 class _Out:
-    """Result tables in the declared schema, with the keys before them, handed on in batches of some size."""
+    """Result rows in the declared schema, with the keys before them, handed on in batches of some size.
+
+    What groups make is only noted by ``put``; columns are built for many groups together: those of ``OF_ROWS`` rows,
+    as a noted key or column may keep the whole batch it is a slice of."""
 
     def __init__(self, keys: list[str], schema: pa.Schema):
         self.keys, self.schema, self.held, self.rows = keys, schema, [], 0
+        self.want = {n for n in schema.names if n not in keys and n not in ("_part", "_state")}
+        self.noted: list[tuple] = []  # key, rows, columns, more
+        self.of = 0
 
-    def put(self, key: pa.Table, made, **more) -> None:
+    def put(self, key: pa.Table, made, of: int | None = None, **more) -> None:
+        """``of``: the group's rows; the result of a group of unknown size is built at once."""
         if hasattr(made, "columns") and not isinstance(made, pa.Table):  # pandas
             made = pa.Table.from_pandas(made, preserve_index=False)
-        made = {c: made[c] for c in made.column_names} if isinstance(made, pa.Table) else dict(made)
-        want = [n for n in self.schema.names if n not in self.keys and n not in ("_part", "_state")]
-        if set(want) != set(made):
-            raise ValueError(f"the function made the columns {sorted(made)}, {sorted(want)} are declared")
-        n = len(next(iter(made.values()))) if made else 0
-        columns = []
-        for f in self.schema:
-            if f.name in made:
-                c = made[f.name]
-                c = c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, from_pandas=True)
-            elif f.name in self.keys:
-                c = pa.repeat(key[f.name][0], n)
-            else:
-                c = pa.repeat(pa.scalar(more.get(f.name), f.type), n)
-            columns.append(c.cast(f.type))
-        self.add(pa.table(columns, self.schema))
+        made = {c: made[c] for c in made.column_names} if isinstance(made, pa.Table) else made
+        if self.want != made.keys():
+            raise ValueError(f"the function made the columns {sorted(made)}, {sorted(self.want)} are declared")
+        sizes = {len(c) for c in made.values()}
+        if len(sizes) > 1:
+            raise ValueError(f"the function made columns of {sorted(sizes)} rows")
+        n = sizes.pop() if sizes else 0
+        if n:
+            self.noted.append((key, n, made, more))
+            self.rows += n
+        self.of += OF_ROWS if of is None else of
+        if self.of >= OF_ROWS:
+            self._build()
+
+    def _build(self) -> None:
+        self.of = 0
+        if self.noted:
+            keys, sizes, made, more = zip(*self.noted, strict=True)
+            at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            own = pa.concat_tables(keys).combine_chunks()
+            columns = []
+            for f in self.schema:
+                if f.name in self.want:
+                    columns.append(_joined([m[f.name] for m in made], f.type))
+                elif f.name in self.keys:
+                    columns.append(own[f.name].take(at).cast(f.type))
+                else:
+                    columns.append(pa.array([m.get(f.name) for m in more], f.type).take(at))
+            self.held.append(pa.table(columns, self.schema))
+            self.noted = []
 
     def add(self, table: pa.Table) -> None:
+        self._build()
         self.held.append(table)
         self.rows += table.num_rows
 
     def ready(self, least: int = OUT_ROWS):
-        if self.held and self.rows >= least:
+        if self.rows and self.rows >= least:
+            self._build()
             table, self.held, self.rows = pa.concat_tables(self.held), [], 0
             yield from table.combine_chunks().to_batches()
 
@@ -335,7 +373,7 @@ def apply_groups(df: DataFrame, keys, fn: Callable[[pa.Table], object], schema,
         out, held, n, key, state = _Out(keys, arrow), [], 0, None, None
 
         def end():
-            out.put(key, fn(pa.concat_tables(held)) if held else fold.finish(state))
+            out.put(key, fn(pa.concat_tables(held)) if held else fold.finish(state), of=n)
 
         for goes_on, t in _runs(batches, keys):
             if not goes_on:
@@ -359,7 +397,10 @@ def apply_groups(df: DataFrame, keys, fn: Callable[[pa.Table], object], schema,
             end()
         yield from out.ready(0)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, full)
+    # a number of partitions: the work is by group, and AQE would put many groups of few bytes into one task
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, *order).mapInArrow(run, full)
 
 
 def fold_groups(df: DataFrame, keys, fold: Fold, schema, order=None, partitions: int | None = None) -> DataFrame:

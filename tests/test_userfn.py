@@ -229,6 +229,27 @@ def test_results_of_any_shape(spark):
         apply_groups(df, "k", lambda t: {"k": [1]}, "k string")
 
 
+def test_results_of_many_groups_are_built_together(spark):
+    """What groups make is converted for many at a time, whatever sorts of columns they make; the groups are spread over all cores."""
+    keys = pa.schema([("k", pa.string())])
+    made = [[1, None], [2.5], np.array([3.0, np.nan]), pa.array([4, 5], pa.int8()), pa.chunked_array([[6], [7]]), [], [float("nan")]]
+    out = userfn._Out(["k"], pa.schema([*keys, ("x", pa.float64())]))
+    for i, x in enumerate(made):
+        out.put(pa.table({"k": [None if i == 1 else f"g{i}"]}, keys), {"x": x}, of=10)
+    assert len(out.noted) == 6 and not out.held  # nothing is converted yet; the empty result has no rows
+    got = pa.Table.from_batches(out.ready(0))
+    assert got.to_pydict() == {"k": ["g0", "g0", None, "g2", "g2", "g3", "g3", "g4", "g4", "g6"], "x": [1.0, None, 2.5, 3.0, None, 4.0, 5.0, 6.0, 7.0, None]}
+    assert list(out.ready(0)) == []
+    out.put(pa.table({"k": ["big"]}, keys), {"x": [1.0]}, of=userfn.OF_ROWS)  # no batches are kept for a large group's key
+    assert not out.noted and out.held
+    with pytest.raises(ValueError, match="rows"):
+        userfn._Out(["k"], pa.schema([*keys, ("x", pa.int64()), ("y", pa.int64())])).put(None, {"x": [1], "y": [1, 2]})
+    df = spark.range(4000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("x"))
+    top = apply_groups(df, "k", userfn.largest(2, "x"), "x long, of long")
+    assert top.withColumn("p", F.spark_partition_id()).agg(F.count_distinct("p")).first()[0] >= spark.sparkContext.defaultParallelism
+    assert top.count() == 2000 and top.agg(F.min("x")).first()[0] == 2000
+
+
 def test_drawdown_merges_to_the_same(spark):
     rng = np.random.default_rng(3)
     v = rng.integers(0, 1000, 500)
