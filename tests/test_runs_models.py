@@ -118,6 +118,42 @@ def test_gbt_beats_mean_predictor(spark):
     assert pred.count() == te.count() and rmse < 0.5 * base
 
 
+def test_models_of_weighted_cells_are_those_of_all_rows(spark):
+    """Trees from one weighted row per combination of bins predict what trees from all binned rows predict, and score alike; NULLs and a constant."""
+    import pytest
+    from pyspark.ml.regression import GBTRegressor
+
+    df = spark.range(6000).select("id", (F.rand(1) * 100).alias("x"), (F.col("id") % 7).cast("int").alias("n"), F.lit(3).alias("c"))
+    df = df.withColumn("y", F.col("x") * F.col("n") + F.rand(2)).withColumn("x", F.when(F.col("id") % 100 != 0, F.col("x")))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    names = ["x", "n", "c"]
+    model, pred, rmse = features.train_gbt(df, names, "y", max_iter=5)
+    cells = features.bin_cells(df, features.bin_stages(df, names), "y")
+    assert cells.count() <= 32 * 7 and cells.agg(F.sum("weight")).first()[0] == 5940  # rows without x are left out, as before
+    binned = model.stages[1].transform(model.stages[0].transform(df.withColumn("label", F.col("y"))))
+    plain = GBTRegressor(maxIter=5, maxDepth=4, stepSize=0.1, seed=42).fit(binned)
+    want = {round(r.label, 9): r.prediction for r in plain.transform(binned).collect()}
+    got = {round(r.label, 9): r.prediction for r in pred.collect()}
+    assert got.keys() == want.keys() and len(got) == 5940 and max(abs(got[k] - want[k]) for k in got) < 1e-6
+    assert abs(rmse - (sum((k - v) ** 2 for k, v in got.items()) / len(got)) ** 0.5) < 1e-6
+    # a fold's error from its cells is that of its rows
+    r = next(r for r in features.fold_scores(df, names, "y", ["id"], n_trials=1, folds=2).collect() if r.fold == 0)
+    stages = features.bin_stages(df, names)
+    d = df.withColumn("_fold", F.coalesce(features_bucket(), F.lit(0)).cast("int"))
+    whole = stages[1].transform(stages[0].transform(d.withColumn("label", F.col("y"))))
+    fit = GBTRegressor(maxIter=r.max_iter, maxDepth=r.max_depth, stepSize=r.step_size, seed=2).fit(whole.where("_fold <> 0"))
+    mse = fit.transform(whole.where("_fold = 0")).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
+    assert abs(r.mse - mse) < 1e-6 * mse
+    with pytest.raises(Exception, match="Labels MUST NOT"):
+        features.train_gbt(df.withColumn("y", F.when(F.col("id") != 5, F.col("y"))), names, "y", max_iter=1)
+
+
+def features_bucket():
+    from sparklab.operators.relational import hash_bucket
+
+    return hash_bucket(["id"], 2, 2, portable=True)
+
+
 def test_search_scores_shape(spark):
     df = spark.range(300).select(F.col("id").cast("double").alias("x"), (F.col("id") * 2.0 + 1).alias("y"))
     out = features.search(df, ["x"], "y", n_trials=2, folds=2)
