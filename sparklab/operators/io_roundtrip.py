@@ -31,40 +31,45 @@ def pack_archives(df: DataFrame, kind: str, name_col: str, body_col: str, target
 
     A task starts a new archive when the members passed ``target_bytes``, so
     the number of archives follows the data and none nears the row limit."""
-    def pack(it):
+    def pack(batches):
         import io
         import tarfile
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
         from pyspark import TaskContext
 
         pid, number, size, buffer, archive = TaskContext.get().partitionId(), 0, 0, None, None
 
         def done():
             archive.close()
-            return pd.DataFrame({"path": [f"part-{pid:05d}-{number:04d}.{kind}"], "content": [buffer.getvalue()]})
-
-        for pdf in it:  # members are streamed into the archive batch by batch
-            for name, body in zip(pdf[name_col], pdf[body_col], strict=True):
-                data = body.encode("utf-8") if isinstance(body, str) else body
-                if archive is None:
-                    buffer = io.BytesIO()
-                    archive = zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) if kind == "zip" else tarfile.open(fileobj=buffer, mode="w")
-                if kind == "zip":
-                    archive.writestr(name, data)
-                else:
-                    info = tarfile.TarInfo(name)
-                    info.size = len(data)
-                    archive.addfile(info, io.BytesIO(data))
-                size += len(data)
-                if size >= target_bytes:
-                    yield done()
-                    number, size, archive = number + 1, 0, None
+            data = pa.py_buffer(buffer.getbuffer())  # the archive itself, not a copy
+            content = pa.Array.from_buffers(pa.binary(), 1, [None, pa.array([0, data.size], pa.int32()).buffers()[1], data])
+            return pa.RecordBatch.from_arrays([pa.array([f"part-{pid:05d}-{number:04d}.{kind}"], pa.string()), content], ["path", "content"])
+
+        for batch in batches:  # members are streamed into the archive, some at a time
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                for name, body in zip(part[name_col].to_pylist(), part[body_col].to_pylist(), strict=True):
+                    data = body.encode("utf-8") if isinstance(body, str) else body
+                    if archive is None:
+                        buffer = io.BytesIO()
+                        archive = zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) if kind == "zip" else tarfile.open(fileobj=buffer, mode="w")
+                    if kind == "zip":
+                        archive.writestr(name, data)
+                    else:
+                        info = tarfile.TarInfo(name)
+                        info.size = len(data)
+                        archive.addfile(info, io.BytesIO(data))
+                        archive.members = []  # headers are written: no list of them
+                    size += len(data)
+                    if size >= target_bytes:
+                        yield done()
+                        number, size, buffer, archive = number + 1, 0, None, None
         if archive is not None:
             yield done()
 
-    return df.select(name_col, body_col).mapInPandas(pack, "path string, content binary")
+    return df.select(name_col, body_col).mapInArrow(pack, "path string, content binary")
 
 
 def _scratch(spark, tag):

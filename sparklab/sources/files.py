@@ -123,26 +123,28 @@ def scan_archives(spark: SparkSession, glob, member_suffix: str = ".pdf", needle
                       StructField("contains", BooleanType()), StructField("error", StringType())])
 
     def scan(batches):
-        import io
         import tarfile
 
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                found = []
+        schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("contains", pa.bool_()), ("error", pa.string())])
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                path, found = path.as_py(), []
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(content)) as tf:
+                    # read where Arrow has it: an archive is not copied
+                    with tarfile.open(fileobj=pa.BufferReader(content.as_buffer())) as tf:
                         for m in tf:  # one member in memory at a time
+                            tf.members = []
                             if m.isfile() and m.name.endswith(member_suffix):
                                 data = tf.extractfile(m).read()
                                 found.append((path, m.name, needle in (data.lower() if lower else data), None))
                 except (tarfile.TarError, OSError, EOFError) as e:
                     found.append((path, None, None, f"{type(e).__name__}: {e}"))
-                if found:  # one small frame per archive
-                    yield pd.DataFrame(found, columns=["archive", "member", "contains", "error"])
+                if found:  # one small batch per archive
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), schema, strict=True)], schema=schema)
 
-    return _archives(spark, glob).mapInPandas(scan, out)
+    return _archives(spark, glob).mapInArrow(scan, out)
 
 
 def file_bytes(spark: SparkSession, glob: str) -> DataFrame:

@@ -49,6 +49,42 @@ def test_scan_archives_reports_broken(spark, tmpdir_path):
     assert sources.file_bytes(spark, tmpdir_path + "/*.tar").count() == 3
 
 
+def test_archives_are_packed_and_read_without_copies(spark, monkeypatch):
+    """Several archives of a task come back whole; reading one takes little memory beside it."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    from sparklab.operators.io_roundtrip import pack_archives
+    from sparklab.sources import files
+
+    df = spark.range(900).selectExpr("concat('9107/', id, '.pdf') AS name", "concat(repeat('x', 2000), if(id % 3 = 0, ' License', '')) AS body")
+    for target in (100_000, 64 << 20):
+        archives = pack_archives(df.repartition(2), "tar", "name", "body", target)
+        assert archives.count() == (18 if target < 1 << 20 else 2)
+        found = sources.scan_archives(spark, archives, ".pdf", b"license").collect()
+        assert {r.member for r in found} == {f"9107/{i}.pdf" for i in range(900)} and sum(r.contains for r in found) == 300
+
+    class Rows:  # the functions that run in tasks
+        select = lambda self, *_: self
+        mapInArrow = lambda self, fn, _: fn
+
+    class Task:
+        partitionId = lambda self: 0
+
+    monkeypatch.setattr(TaskContext, "get", Task)
+    monkeypatch.setattr(files, "_archives", lambda *_: Rows())
+    batch = pa.RecordBatch.from_pydict({"name": [f"9107/{i}.pdf" for i in range(4000)], "body": ["x" * 2000] * 4000})
+    packed = list(pack_archives(Rows(), "tar", "name", "body")(iter([batch])))
+    size = packed[0]["content"].nbytes
+    tracemalloc.start()
+    assert sum(b.num_rows for b in files.scan_archives(None, None)(iter(packed))) == 4000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size > 8_000_000 and peak < size / 4  # a copy, and a list of members, came to more than the archive
+
+
 def test_dirty_tsv(spark, tmpdir_path):
     lines = ["1\tu1\t2.5\thttp://a", "2\tu2\t3.5#\thttp://b", "3\tu3\t1.0\thttp://c\textra", "x\tu4\t#\thttp://d"]
     with open(os.path.join(tmpdir_path, "e.tsv"), "w") as fh:
