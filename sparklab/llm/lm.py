@@ -192,20 +192,22 @@ def train(docs: DataFrame, slot_n: np.ndarray, rounds: int = ROUNDS):
 
 
 def _words(batches):
-    """Distinct tokens of each block with their count in training texts."""
+    """Distinct tokens of each block with their count in training texts; a batch's tokens are counted piece by piece."""
     for batch in batches:
         block, train_ = batch["_block"].to_numpy(), batch["_train"].to_numpy(zero_copy_only=False)
-        found = []
-        for i, j, w in pieces(batch["_text"], PLAIN, lower=True, limit=4 << 20):
+        found: dict[int, list] = {}
+        for i, j, w in pieces(batch["_text"], PLAIN, lower=True, limit=1 << 20):
             t, first = tokens(w)
-            doc = np.repeat(np.arange(i, j), np.diff(first))
-            found.append((block[doc], t, train_[doc]))
-        b, t, n = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-        for k in np.unique(b):
-            own = b == k
-            h, back = np.unique(t[own], return_inverse=True)
+            cuts = np.flatnonzero(np.diff(block[i:j], prepend=-1, append=-1))
+            for d, e in zip(cuts[:-1], cuts[1:], strict=True):  # texts of one block
+                h, back = np.unique(t[first[d]:first[e]], return_inverse=True)
+                n = np.repeat(train_[i + d:i + e], np.diff(first[d:e + 1]))
+                found.setdefault(int(block[i + d]), []).append((h, np.bincount(back, n, len(h)).astype(np.int64)))
+        for k in sorted(found):
+            t, n = (np.concatenate(x) for x in zip(*found.pop(k), strict=True))
+            h, back = np.unique(t, return_inverse=True)
             yield pa.RecordBatch.from_pydict({"_block": np.full(len(h), k), "h": signed(h),
-                                              "c": np.bincount(back, n[own], len(h)).astype(np.int64)})
+                                              "c": np.bincount(back, n, len(h)).astype(np.int64)})
 
 
 def _score(model, stats):

@@ -335,6 +335,43 @@ def test_quality_awkward_rows(spark, docs):
 
 
 # -------------------------------------------------------------------- 8: lm
+def test_lm_tokens_of_a_batch_are_counted_piece_by_piece():
+    """Counts per block are right where blocks and pieces cut each other, in memory of a few times the texts."""
+    import tracemalloc
+    from collections import Counter
+
+    import numpy as np
+    import pyarrow as pa
+
+    from sparklab.llm import lm
+    from sparklab.llm.words import PLAIN, pieces
+
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i}" for i in range(300)])
+    texts = [" ".join(words[rng.integers(0, 300, 800)]) if i % 50 else None for i in range(2500)]
+    block = [i // 700 for i in range(2500)]
+    batch = pa.RecordBatch.from_pydict({"_block": pa.array(block, pa.int64()), "_text": texts, "_train": pa.array([i % 3 % 2 for i in range(2500)], pa.int64())})
+    tracemalloc.start()
+    got = [b.to_pydict() for b in lm._words([batch])]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * batch.nbytes  # 14 times before
+    hashed = {}
+    for _, _, w in pieces(pa.array(list(words)), PLAIN, lower=True):
+        hashed = dict(zip(w.hashes().view(np.int64).tolist(), words.tolist(), strict=True))
+    for b in got:
+        k = b["_block"][0]
+        want, seen = Counter(), set()
+        for i, t in enumerate(texts):
+            if block[i] == k:
+                for x in [*(t or "").split(), None]:
+                    want[x] += i % 3 % 2
+                    seen.add(x)
+        assert len(set(b["h"])) == len(b["h"]) and {hashed.get(h) for h in b["h"]} == seen
+        assert {hashed.get(h): c for h, c in zip(b["h"], b["c"], strict=True)} == {x: want[x] for x in seen}
+    assert sorted(b["_block"][0] for b in got) == [0, 1, 2, 3]
+
+
 def test_lm_counts_equal_brute_force(docs, rows):
     tokens = {i: [*WORDS.findall(lower(t)), None] for i, t in rows.items()}
     count = collections.Counter(w for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
