@@ -1,14 +1,15 @@
 """Near-dedup by a chosen-path set similarity join.
 
 Equal shingle sets are one class. In each of ``TREES`` independent trees the
-classes branch by their minwise token of the level; a node of at most ``LEAF``
-classes is compared exhaustively, a larger one branches again. Two sets of
-similarity s share a node at depth d of a tree with probability s**d; the
-deeper a level, the more trees its classes are in (``DEEP``), so that at 0.8 a
-level misses a pair with probability of 4e-5 at most, (1 - 0.8**3)**16 < 2e-5
-at the usual depth of 2 to 3. Nodes still large at the last level hold nearly equal sets: they are compared with one member each, and
-members that do not fall into its component with all others of the node.
-Links are confirmed on the full sets.
+classes branch by their minwise token of the level, while a node holds more
+than ``LEAF`` and the level is not the last. Two sets of similarity s share a node at depth d of a tree with
+probability s**d; the deeper a level, the more trees its classes are in
+(``DEEP``), so that at 0.8 a level misses a pair with probability of 2e-5 at
+most. Within a node, sizes and sketches say which classes may be linked. No
+such pairs are listed: each class names its closest partner, partners make
+homes, and the full sets of a home are compared inside one task, block by
+block if there are many. Nodes then name the pairs of blocks in which classes
+of different components may still be linked.
 """
 
 from __future__ import annotations
@@ -17,16 +18,20 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparklab.llm.common import components, free_name, keep, with_rows
 from sparklab.llm.words import PLAIN, grams, pieces, signed
 
-TREES, LEVELS, LEAF = 16, 8, 16
-FIRST_LEVEL = 2
+TREES, LEVELS, LEAF = 16, 8, 64
+FIRST_LEVEL, LAST_LEVEL = 2, 4
+#: classes of a node of the last level that are still compared there
+LAST_LEAF = 512
+#: classes that are compared at once; members of a large home that each of its blocks is compared with
+BLOCK, COMMON = 256, 16
 #: trees at the deeper levels; those beyond TREES take their tokens from all places at random
-DEEP = {4: 24, 5: 40, 6: 64, 7: 80, 8: 144}
+DEEP = {4: 24}
 #: sketches of 128 bits differ in (1 - s) / 2 of them; at 0.8 that is 12.8 (sd 3.4), a candidate may differ in up to 30
 MOST_BITS = 30
 
@@ -35,7 +40,7 @@ _A = _RNG.integers(1, 1 << 63, TREES * LEVELS, dtype=np.uint64) * np.uint64(2) +
 _B = _RNG.integers(0, 1 << 63, TREES * LEVELS, dtype=np.uint64)
 #: places of the tokens of each tree, level by level
 PLACES = np.concatenate([np.arange(TREES * LEVELS).reshape(TREES, LEVELS),
-                         [np.random.default_rng(21 + t).permutation(TREES * LEVELS)[:LEVELS] for t in range(DEEP[LEVELS] - TREES)]])
+                         [np.random.default_rng(21 + t).permutation(TREES * LEVELS)[:LEVELS] for t in range(DEEP[LAST_LEVEL] - TREES)]])
 
 
 def shingle_sets(column, k: int):
@@ -84,110 +89,200 @@ def _describe(k: int):
     return run
 
 
-def _confirm(k: int, percent: int):
+def _whole(batches, key: str):
+    """The rows of batches sorted by ``key``, regrouped so that no key's rows are parted: (table, first row of each key and the end)."""
+    rest = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = t if rest is None else pa.concat_tables([rest, t])
+        at = t[key].to_numpy()
+        cut = int(np.searchsorted(at, at[-1])) if len(at) else 0
+        rest = t.slice(cut)
+        if cut:
+            yield t.slice(0, cut).combine_chunks(), _starts(at[:cut])
+    if rest is not None and len(rest):
+        yield rest.combine_chunks(), _starts(rest[key].to_numpy())
+
+
+def _starts(at: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]])
+
+
+def _close(t, starts: np.ndarray, percent: int):
+    """Pairs of rows of one node whose sizes and sketches allow a link, by distance of the rows: (earlier, later, bits)."""
+    n, s1, s2 = t["n"].to_numpy(), *(t[c].to_numpy().view(np.uint64) for c in ("s1", "s2"))
+    end = np.repeat(starts[1:], np.diff(starts))
+    at = np.arange(len(n))
+    for d in range(1, int(np.diff(starts).max())):
+        at = at[at + d < end[at]]
+        x, y = at, at + d
+        bits = np.bitwise_count(s1[x] ^ s1[y]).astype(np.int64) + np.bitwise_count(s2[x] ^ s2[y])
+        ok = (bits <= MOST_BITS) & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent)
+        yield x[ok], y[ok], bits[ok]
+
+
+def _nearest(percent: int):
+    """Per row its closest partner in the node of a smaller id, or of a larger one if there is none: (_id, larger, bits, other)."""
     def run(batches):
-        for b in batches:
-            keep_ = []
-            for i, (x, y) in enumerate(zip(shingle_sets(b["_ta"], k), shingle_sets(b["_tb"], k), strict=True)):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    keep_.append(i)
-            at = pa.array(keep_, pa.int64())
-            yield pa.RecordBatch.from_arrays([b["a"].take(at), b["b"].take(at)], names=["a", "b"])
+        for t, starts in _whole(batches, "node"):
+            ids = t["_id"].to_numpy()
+            none = np.iinfo(np.int64).max
+            rank, other = np.full((2, len(ids)), none), np.zeros((2, len(ids)), np.int64)
+            for x, y, bits in _close(t, starts, percent):
+                for side, at, to in ((0, y, x), (1, x, y)):
+                    better = bits < rank[side, at]
+                    rank[side, at[better]], other[side, at[better]] = bits[better], ids[to[better]]
+            larger = (rank[0] == none).astype(np.int64)
+            pick = np.arange(len(ids))
+            bits, other = rank[larger, pick], other[larger, pick]
+            has = bits < none
+            yield pa.RecordBatch.from_arrays([pa.array(v[has]) for v in (ids, larger, bits, other)], names=["_id", "larger", "bits", "other"])
     return run
 
 
-def _close(a: str, b: str, percent: int):
-    """Sizes and sketches allow the pair to be a link."""
-    c = lambda side, name: F.col(f"{side}.{name}")
-    bits = F.bit_count(c(a, "s1").bitwiseXOR(c(b, "s1"))) + F.bit_count(c(a, "s2").bitwiseXOR(c(b, "s2")))
-    return ((F.least(c(a, "n"), c(b, "n")) * 100 >= F.greatest(c(a, "n"), c(b, "n")) * percent) & (bits <= MOST_BITS)), bits
+def _crossing(percent: int):
+    """Pairs of blocks (x, y) that hold classes of one node, close, and of different components."""
+    def run(batches):
+        for t, starts in _whole(batches, "node"):
+            comp, block, wide = (t[c].to_numpy() for c in ("_c", "block", "wide"))
+            found = [np.empty((0, 2), np.int64)]
+            for x, y, _ in _close(t, starts, percent):
+                ok = (comp[x] != comp[y]) & ((block[x] != block[y]) | (wide[x] > 0))
+                p = np.sort(np.stack([block[x[ok]], block[y[ok]]], axis=1), axis=1)
+                found.append(np.unique(p, axis=0) if len(p) else p)
+            p = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(p[:, 0].copy()), pa.array(p[:, 1].copy())], names=["x", "y"])
+    return run
 
 
-def _pairs(nodes: DataFrame, other: DataFrame, percent: int, ordered: bool, across: bool = False) -> DataFrame:
-    """Pairs of different classes that share a node: (a, b, bits); with ``across`` only those of different ``_c``."""
-    close, bits = _close("x", "y", percent)
-    if across:
-        close = close & (F.col("x._c") != F.col("y._c"))
-    on = (F.col("x.node") == F.col("y.node")) & (F.col("x._id") < F.col("y._id") if ordered else F.col("x._id") != F.col("y._id"))
-    p = nodes.alias("x").join(other.alias("y"), on & close)
-    return p.select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"), bits.alias("bits"))
+def links_between(sets: list[np.ndarray], label: np.ndarray, percent: int):
+    """Confirmed links (i, j) of a few sets that join what ``label`` holds apart, until all links between labels are used."""
+    label = label.copy()
+    sizes = np.array([len(s) for s in sets])
+    tokens = np.concatenate(sets)
+    order = np.argsort(tokens, kind="stable")
+    tokens, own = tokens[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    left = np.ones(len(sets), dtype=bool)
+    while True:
+        # whatever is left in the most frequent label needs no look at each other
+        values, at, n = np.unique(label[left], return_inverse=True, return_counts=True)
+        if len(values) < 2:
+            return
+        odd = np.flatnonzero(left)[at != n.argmax()]
+        i = odd[0]
+        left[i] = False
+        lo, hi = np.searchsorted(tokens, sets[i], "left"), np.searchsorted(tokens, sets[i], "right")
+        n = hi - lo
+        both = np.bincount(own[np.repeat(hi - n.cumsum(), n) + np.arange(n.sum())], minlength=len(sets))
+        linked = np.flatnonzero((100 * both >= percent * (sizes[i] + sizes - both)) & (label != label[i]))
+        for j in linked[np.unique(label[linked], return_index=True)[1]]:
+            yield int(i), int(j)
+            label[label == label[j]] = label[i]
+
+
+def _confirm(k: int, percent: int):
+    """Links (a, b) on the full sets between the rows of a group that have different ``_c``."""
+    def run(batches):
+        for t, starts in _whole(batches, "group"):
+            ids, comp = t["_id"].to_numpy(), t["_c"].to_numpy()
+            a, b, sets = [], [], shingle_sets(t["_text"], k)
+            for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                for x, y in links_between([next(sets) for _ in range(i, j)], comp[i:j], percent):
+                    a.append(ids[i + x])
+                    b.append(ids[i + y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return run
+
+
+def _grouped(rows: DataFrame, key: str, run, schema: str) -> DataFrame:
+    """``run`` over the rows, those of a key after one another, ascending by id."""
+    return rows.repartition(key).sortWithinPartitions(key, "_id").mapInArrow(run, schema)
 
 
 def chosen_paths(classes: DataFrame, percent: int):
-    """Candidate pairs (a, b, bits), the leaves and the nodes that stay large (both node, _id, n, s1, s2)."""
-    narrow = classes.select("_id", "n", "s1", "s2")
-    ids = classes.select("_id", "tokens")
-    active = ids.select("_id", "tokens", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    found, leaves, large = [], [], None
-    for level in range(FIRST_LEVEL, LEVELS + 1):
+    """The closest partner of each class (_id, other), the leaves and the nodes that stay large (both node, _id, n, s1, s2)."""
+    narrow = ["_id", "n", "s1", "s2"]
+    ids = classes.select(*narrow, "tokens")
+    active = ids.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
+    leaves = []
+    for level in range(FIRST_LEVEL, LAST_LEVEL + 1):
         path = F.slice("tokens", F.col("tree") * LEVELS + 1, level)
         if level in DEEP:
             path = F.transform(F.slice(F.lit(PLACES.ravel().tolist()), F.col("tree") * LEVELS + 1, level), lambda p: F.element_at("tokens", p + 1))
-        rows = active.select("_id", "tree", F.xxhash64("tree", path).alias("node"))
+        rows = active.select(*narrow, "tree", F.xxhash64("tree", path).alias("node"))
         size = rows.groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1")
         rows = keep(rows.join(size, "node"))
-        full = rows.where(F.col("_n") <= LEAF).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
-        leaves.append(full)
-        found.append(_pairs(full, full, percent, True))
-        large = rows.where(F.col("_n") > LEAF)
-        if large.isEmpty():  # nothing left to branch
+        most = LAST_LEAF if level == LAST_LEVEL else LEAF
+        leaves.append(rows.where(F.col("_n") <= most).select("node", *narrow))
+        large = rows.where(F.col("_n") > most)
+        if level == LAST_LEVEL or large.isEmpty():
             break
-        if level < LEVELS:
-            # a pair may share large nodes in trees that part further down: its classes enter more trees
-            more = F.explode(F.sequence(F.lit(DEEP.get(level, TREES)), F.lit(DEEP[level + 1] - 1))).alias("tree") if level + 1 in DEEP else None
-            active = large.select("_id", "tree")
-            if more is not None:
-                active = active.unionByName(large.select("_id").distinct().select("_id", more))
-            active = active.join(ids, "_id")
-    large = keep(large.join(narrow, "_id").select("node", "_id", "n", "s1", "s2"))
-    pivot = large.groupBy("node").agg(F.min("_id").alias("_id")).join(narrow, "_id").select("node", "_id", "n", "s1", "s2")
-    found.append(_pairs(pivot, large, percent, False))
-    pairs = found[0]
-    for f in found[1:]:
-        pairs = pairs.unionByName(f)
-    return keep(pairs.groupBy("a", "b").agg(F.min("bits").alias("bits"))), reduce(DataFrame.unionByName, leaves), large
+        # a pair may share large nodes in trees that part further down: its classes enter more trees
+        trees = large.groupBy("_id").agg(F.collect_list("tree").alias("trees"))
+        if level + 1 in DEEP:
+            trees = trees.withColumn("trees", F.concat("trees", F.sequence(F.lit(DEEP.get(level, TREES)), F.lit(DEEP[level + 1] - 1))))
+        nxt = keep(ids.join(trees, "_id"))
+        ids = nxt.drop("trees")
+        active = nxt.withColumn("tree", F.explode("trees")).drop("trees")
+    leaves = reduce(DataFrame.unionByName, leaves)
+    # large nodes are dealt out to look for a partner of each class; what the parts hold between them is left to the blocks
+    part = F.xxhash64("node", F.pmod(F.xxhash64("_id"), F.ceil(F.col("_n") * 2 / LEAF)))
+    near = _grouped(leaves.unionByName(large.select(part.alias("node"), *narrow)), "node", _nearest(percent), "_id long, larger long, bits long, other long")
+    near = near.groupBy("_id").agg(F.min(F.struct("larger", "bits", "other")).alias("_best")).select("_id", F.col("_best.other").alias("other"))
+    return keep(near), leaves, large.select("node", *narrow)
+
+
+def _dealt(n, *key):
+    """Block of a class: its group, dealt out to parts of at most about ``BLOCK`` classes."""
+    return F.xxhash64(*key, F.pmod(F.xxhash64("_id"), F.ceil(n / BLOCK)))
 
 
 def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(id, component) of the classes that have a link, by confirmed links that span every component.
 
-    The closest smaller partner of each class is confirmed first; of the other
-    candidates only those between different components need it then.
+    Classes that are joined by closest partners are a home. Homes are compared
+    exhaustively on the full sets, large ones in blocks, each with a few
+    members of the whole home. What nodes hold between different components of
+    different blocks is then compared block by block.
     """
-    pairs, leaves, large = chosen_paths(classes, percent)
-    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select("b").toDF("_id")).unionByName(large.select("_id")).distinct()
-    texts = keep(docs.join(ids.withColumnRenamed("_id", "_row").hint("shuffle_hash"), "_row", "left_semi").select("_row", "_text"))
-
-    def confirm(p):
-        p = p.join(texts.select(F.col("_row").alias("a"), F.col("_text").alias("_ta")), "a").join(
-            texts.select(F.col("_row").alias("b"), F.col("_text").alias("_tb")), "b")
-        return keep(p.select("a", "b", "_ta", "_tb").mapInArrow(_confirm(k, percent), "a long, b long"))
-
-    def named(nodes, comp):
-        """Members of nodes with their component so far."""
-        return nodes.join(comp.withColumnRenamed("id", "_id"), "_id", "left").withColumn("_c", F.coalesce("component", "_id")).drop("component")
-
-    def joined(comp, more):
-        """Components after more links between them."""
-        return components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)) if not more.isEmpty() else comp
-
-    first = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")) == 1
-    best = keep(pairs.withColumn("_first", first).where("_first").select("a", "b"))
-    comp = components(confirm(best))
-    # what the leaves hold between different components; pairs inside one are not listed again
-    apart = keep(named(leaves, comp))
-    rest = _pairs(apart, apart, percent, True, across=True).select("a", "b").distinct()
-    comp = joined(comp, confirm(rest.join(best, ["a", "b"], "left_anti")))
-    # the rest of the large nodes: whoever is not in the component of the node's smallest, against all others
-    apart = keep(named(large, comp))
-    pivot = large.groupBy("node").agg(F.min("_id").alias("_id"))
-    pivot = pivot.join(apart.select("node", "_id", F.col("_c").alias("_pc")), ["node", "_id"]).select("node", "_pc")
-    odd = keep(apart.join(pivot, "node").where("_c <> _pc").drop("_pc"))
-    if odd.isEmpty():
+    near, leaves, large = chosen_paths(classes, percent)
+    home = keep(components(near.select(F.col("_id").alias("a"), F.col("other").alias("b"))).select(F.col("id").alias("_id"), F.col("component").alias("home")))
+    size = home.groupBy("home").agg(F.count("*").alias("_n"))
+    home = keep(home.join(size, "home").withColumn("block", _dealt(F.col("_n"), "home")))
+    texts = keep(docs.withColumnRenamed("_row", "_id").join(home.hint("shuffle_hash"), "_id").select("_id", "home", "_n", "block", "_text"))
+
+    def confirm(rows):
+        return keep(_grouped(rows.select("group", "_id", "_c", "_text"), "group", _confirm(k, percent), "a long, b long"))
+
+    own = texts.select(F.col("block").alias("group"), "_id", F.col("_id").alias("_c"), "_text")
+    common = texts.where((F.col("_n") > BLOCK) & (F.pmod(F.xxhash64("_id", F.lit(1)), F.col("_n")) < COMMON))
+    common = common.withColumn("_part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / BLOCK).cast("int") - 1)))
+    common = common.withColumn("group", F.xxhash64("home", F.col("_part").cast("long"))).where("`group` <> block")
+    links = confirm(own.unionByName(common.select("group", "_id", F.col("_id").alias("_c"), "_text")))
+    comp = components(links)
+
+    # blocks anew: those of a wide home's largest component hold nothing else
+    now = keep(home.join(comp.withColumnRenamed("id", "_id"), "_id", "left").select("_id", "home", "_n", "block", F.coalesce("component", "_id").alias("_c")))
+    most = now.where(F.col("_n") > BLOCK).groupBy("home", "_c").agg(F.count("*").alias("_k")).groupBy("home").agg(F.max(F.struct("_k", "_c")).alias("_main"))
+    main = F.col("_c") == F.col("_main._c")
+    again = _dealt(F.when(main, F.col("_main._k")).otherwise(F.col("_n") - F.col("_main._k")), "home", main)
+    now = keep(now.join(most, "home", "left").select("_id", "_c", F.col("_main").isNotNull().cast("long").alias("wide"),
+                                                     F.when(F.col("_main").isNull(), F.col("block")).otherwise(again).alias("block")))
+    pairs = _grouped(leaves.join(now, "_id"), "node", _crossing(percent), "x long, y long")
+    held = keep(large.join(now, "_id").groupBy("node", "block").agg(F.min("_c").alias("lo"), F.max("_c").alias("hi"), F.max("wide").alias("wide")))
+    x, y = held.alias("x"), held.alias("y")
+    apart = F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi")
+    both = x.join(y, (F.col("x.node") == F.col("y.node")) & apart & ((F.col("x.block") < F.col("y.block")) | (F.col("x.block") == F.col("y.block")) & (F.col("x.wide") > 0)))
+    pairs = keep(pairs.unionByName(both.select(F.col("x.block").alias("x"), F.col("y.block").alias("y"))).distinct())
+    if pairs.isEmpty():
+        return comp
+    group = F.xxhash64("x", "y").alias("group")
+    sides = pairs.select(group, F.col("x").alias("block")).unionByName(pairs.where("x <> y").select(group, F.col("y").alias("block")))
+    rows = sides.join(now, "block").select("group", "_id", "_c").join(texts.select("_id", "_text"), "_id")
+    more = confirm(rows)
+    if more.isEmpty():
         return comp
-    more = _pairs(odd, apart, percent, False, across=True).select("a", "b").distinct()
-    return joined(comp, confirm(more.join(best, ["a", "b"], "left_anti")))
+    return components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:

@@ -266,6 +266,55 @@ def test_only_link_into_a_large_group_is_found(spark):
     assert {r.doc_id: r.component_id for r in got} == union(sorted(sets), links)
 
 
+def _near_misses(m, words=60, changed=5, seed=3):
+    """Texts that mostly lie just under 0.8 of each other, links among them."""
+    rng = random.Random(seed)
+    base, rows = [f"w{n}" for n in range(words)], []
+    for i in range(m):
+        own = base.copy()
+        for p in rng.sample(range(words), rng.randrange(changed + 1)):
+            own[p] = f"x{rng.randrange(3)}_{p}"
+        rows.append((i, " ".join(own)))
+    sets = {i: shingles(t, 2) for i, t in rows}
+    return rows, sets, [(a, b) for a in range(m) for b in range(a + 1, m) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+
+
+def test_near_misses_are_not_listed_pair_by_pair(spark, monkeypatch):
+    rows, sets, links = _near_misses(300, changed=9)
+    kept, keep = [], minhash.keep
+
+    def counted(df):
+        out = keep(df)
+        if {"a", "b"} <= set(out.columns):
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "keep", counted)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == union(sorted(sets), links)
+    assert kept and max(kept) <= 2 * len(rows)
+
+
+def test_wide_homes_are_compared_block_by_block(spark, monkeypatch):
+    for name, value in (("LEAF", 4), ("LAST_LEAF", 8), ("BLOCK", 10), ("COMMON", 2)):
+        monkeypatch.setattr(minhash, name, value)
+    rows, sets, links = _near_misses(120, changed=8)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 2).collect()
+    want = union(sorted(sets), links)
+    assert len(set(want.values())) > 3
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_links_between_labels():
+    rows, sets, links = _near_misses(80, changed=8)
+    hashed = [np.sort(np.array([zlib.crc32(repr(x).encode()) for x in sets[i]], dtype=np.uint64)) for i in range(80)]
+    got = list(minhash.links_between(hashed, np.arange(80), 80))
+    assert set(map(tuple, map(sorted, got))) <= set(links) and len(got) < 80
+    assert union(list(range(80)), got) == union(list(range(80)), links)
+    label = np.arange(80) % 2
+    assert len(list(minhash.links_between(hashed, label, 80))) == 1
+
+
 def test_near_duplicates_keep_one_row_of_repeated_ids(spark):
     d = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (2, ""), (2, ""), (None, None)], "doc_id long, text string").coalesce(1)
     kept = minhash.drop_near_duplicates(d, 2).collect()
