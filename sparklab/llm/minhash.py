@@ -181,16 +181,20 @@ def links_between(sets: list[np.ndarray], label: np.ndarray, percent: int):
 
 
 def _confirm(k: int, percent: int):
-    """Links (a, b) on the full sets between the rows of a group that have different ``_c``."""
+    """What links on the full sets join between the rows of a group that have different ``_c``: each with the smallest of its part (a, b, shared)."""
     def run(batches):
         for t, starts in _whole(batches, "group"):
-            ids, comp = t["_id"].to_numpy(), t["_c"].to_numpy()
-            a, b, sets = [], [], shingle_sets(t["_text"], k)
+            comp, shared = t["_c"].to_numpy(), t["shared"].to_numpy(zero_copy_only=False)
+            out, sets = [], shingle_sets(t["_text"], k)
             for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                for x, y in links_between([next(sets) for _ in range(i, j)], comp[i:j], percent):
-                    a.append(ids[i + x])
-                    b.append(ids[i + y])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                own = comp[i:j]
+                least = own.copy()
+                for x, y in links_between([next(sets) for _ in range(i, j)], own, percent):
+                    least[(least == least[x]) | (least == least[y])] = min(least[x], least[y])
+                at = np.unique(own, return_index=True)[1]
+                at = at[least[at] != own[at]]
+                out.append((own[at], least[at], shared[i:j][at]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*out, strict=True)], names=["a", "b", "shared"])
     return run
 
 
@@ -232,13 +236,31 @@ def chosen_paths(classes: DataFrame, percent: int):
     return keep(near), leaves, large.select("node", *narrow)
 
 
+def _homes(near: DataFrame, rounds: int = 60) -> DataFrame:
+    """(_id, home): every class follows closest partners of smaller ids to the last one, each round doubling the way.
+
+    A class that has none of a smaller id goes on from the partner of its own
+    partner, if that is smaller. One join a round, whatever the length of the
+    ways that are left.
+    """
+    to = near.select(F.col("_id").alias("_at"), F.col("other").alias("_then"))
+    onward = F.when(F.col("other") < F.col("_id"), F.least("other", "_then")).otherwise(F.least("_id", "_then"))
+    tree = keep(near.join(to, F.col("other") == F.col("_at"), "left").select("_id", onward.alias("home")))
+    for _ in range(rounds):
+        to = tree.select(F.col("_id").alias("_at"), F.col("home").alias("_then"))
+        tree = keep(tree.join(to, F.col("home") == F.col("_at")).select("_id", F.col("_then").alias("home"), (F.col("_then") < F.col("home")).alias("_on")))
+        if tree.where("_on").isEmpty():
+            return tree.drop("_on")
+    raise RuntimeError(f"homes not found in {rounds} rounds")
+
+
 def _dealt(n, *key):
     """Block of a class: its group, dealt out to parts of at most about ``BLOCK`` classes."""
     return F.xxhash64(*key, F.pmod(F.xxhash64("_id"), F.ceil(n / BLOCK)))
 
 
 def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(id, component) of the classes that have a link, by confirmed links that span every component.
+    """(id, component) of classes, of all that have a link, by confirmed links that span every component.
 
     Classes that are joined by closest partners are a home. Homes are compared
     exhaustively on the full sets, large ones in blocks, each with a few
@@ -246,23 +268,27 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
     different blocks is then compared block by block.
     """
     near, leaves, large = chosen_paths(classes, percent)
-    home = keep(components(near.select(F.col("_id").alias("a"), F.col("other").alias("b"))).select(F.col("id").alias("_id"), F.col("component").alias("home")))
+    home = _homes(near)
     size = home.groupBy("home").agg(F.count("*").alias("_n"))
     home = keep(home.join(size, "home").withColumn("block", _dealt(F.col("_n"), "home")))
     texts = keep(docs.withColumnRenamed("_row", "_id").join(home.hint("shuffle_hash"), "_id").select("_id", "home", "_n", "block", "_text"))
 
     def confirm(rows):
-        return keep(_grouped(rows.select("group", "_id", "_c", "_text"), "group", _confirm(k, percent), "a long, b long"))
+        return keep(_grouped(rows.select("group", "_id", "_c", "shared", "_text"), "group", _confirm(k, percent), "a long, b long, shared boolean"))
 
-    own = texts.select(F.col("block").alias("group"), "_id", F.col("_id").alias("_c"), "_text")
-    common = texts.where((F.col("_n") > BLOCK) & (F.pmod(F.xxhash64("_id", F.lit(1)), F.col("_n")) < COMMON))
+    shared = ((F.col("_n") > BLOCK) & (F.pmod(F.xxhash64("_id", F.lit(1)), F.col("_n")) < COMMON)).alias("shared")
+    own = texts.select(F.col("block").alias("group"), "_id", F.col("_id").alias("_c"), shared, "_text")
+    common = texts.where(shared)
     common = common.withColumn("_part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / BLOCK).cast("int") - 1)))
     common = common.withColumn("group", F.xxhash64("home", F.col("_part").cast("long"))).where("`group` <> block")
-    links = confirm(own.unionByName(common.select("group", "_id", F.col("_id").alias("_c"), "_text")))
-    comp = components(links)
+    links = confirm(own.unionByName(common.select("group", "_id", F.col("_id").alias("_c"), F.lit(True).alias("shared"), "_text")))
+    # a class that is in one block has its smallest there; only the members that blocks share lead on from one to another
+    over = components(links.where("shared").select("a", "b")).select(F.col("id").alias("_at"), "component")
+    inside = links.where("NOT shared").select(F.col("a").alias("_id"), F.col("b").alias("_first"))
+    now = home.join(inside, "_id", "left").withColumn("_first", F.coalesce("_first", "_id")).join(over, F.col("_first") == F.col("_at"), "left")
 
     # blocks anew: those of a wide home's largest component hold nothing else
-    now = keep(home.join(comp.withColumnRenamed("id", "_id"), "_id", "left").select("_id", "home", "_n", "block", F.coalesce("component", "_id").alias("_c")))
+    now = keep(now.select("_id", "home", "_n", "block", F.coalesce("component", "_first").alias("_c")))
     most = now.where(F.col("_n") > BLOCK).groupBy("home", "_c").agg(F.count("*").alias("_k")).groupBy("home").agg(F.max(F.struct("_k", "_c")).alias("_main"))
     main = F.col("_c") == F.col("_main._c")
     again = _dealt(F.when(main, F.col("_main._k")).otherwise(F.col("_n") - F.col("_main._k")), "home", main)
@@ -274,15 +300,18 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
     apart = F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi")
     both = x.join(y, (F.col("x.node") == F.col("y.node")) & apart & ((F.col("x.block") < F.col("y.block")) | (F.col("x.block") == F.col("y.block")) & (F.col("x.wide") > 0)))
     pairs = keep(pairs.unionByName(both.select(F.col("x.block").alias("x"), F.col("y.block").alias("y"))).distinct())
+    comp = now.select(F.col("_id").alias("id"), F.col("_c").alias("component"))
     if pairs.isEmpty():
         return comp
     group = F.xxhash64("x", "y").alias("group")
     sides = pairs.select(group, F.col("x").alias("block")).unionByName(pairs.where("x <> y").select(group, F.col("y").alias("block")))
     rows = sides.join(now, "block").select("group", "_id", "_c").join(texts.select("_id", "_text"), "_id")
-    more = confirm(rows)
+    more = confirm(rows.withColumn("shared", F.lit(True)))
     if more.isEmpty():
         return comp
-    return components(links.unionByName(more))
+    # what is joined anew are components, so only those are followed
+    joined = components(more.select("a", "b")).select(F.col("id").alias("component"), F.col("component").alias("_joined"))
+    return comp.join(joined, "component", "left").select("id", F.coalesce("_joined", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:

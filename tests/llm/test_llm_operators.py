@@ -295,6 +295,32 @@ def test_near_misses_are_not_listed_pair_by_pair(spark, monkeypatch):
     assert kept and max(kept) <= 2 * len(rows)
 
 
+def test_only_what_blocks_share_is_followed_round_by_round(spark, monkeypatch):
+    for name, value in (("LEAF", 4), ("LAST_LEAF", 8), ("BLOCK", 30), ("COMMON", 2)):
+        monkeypatch.setattr(minhash, name, value)
+    rows, sets, links = _near_misses(300)
+    followed, components = [], minhash.components
+
+    def counted(edges):
+        followed.append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(minhash, "components", counted)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == union(sorted(sets), links)
+    assert followed and followed[0] < len(rows) / 4
+
+
+def test_homes_of_long_ways_take_few_rounds(spark, monkeypatch):
+    """Ways of 500 partners, and classes whose only partners are larger."""
+    near = [(i, i - 1) for i in range(1, 500)] + [(0, 1), (1000, 1002), (1002, 1001), (1001, 1002), (2000, 2001), (2001, 2000)]
+    rounds, keep = [], minhash.keep
+    monkeypatch.setattr(minhash, "keep", lambda df: rounds.append(1) or keep(df))
+    got = {r["_id"]: r.home for r in minhash._homes(spark.createDataFrame(near, "_id long, other long")).collect()}
+    assert got == {i: 0 for i in range(500)} | {1000: 1000, 1001: 1001, 1002: 1001, 2000: 2000, 2001: 2000}
+    assert len(rounds) <= 11
+
+
 def test_wide_homes_are_compared_block_by_block(spark, monkeypatch):
     for name, value in (("LEAF", 4), ("LAST_LEAF", 8), ("BLOCK", 10), ("COMMON", 2)):
         monkeypatch.setattr(minhash, name, value)
