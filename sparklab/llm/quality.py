@@ -26,6 +26,8 @@ ROUNDS = 4
 #: a view labels a pool row for the other one when its probability is at least this far out
 SURE = 0.97
 META_BUCKETS = 32
+#: whole texts of about so many bytes are looked at together; a task's working memory goes by it
+PIECE_BYTES = 1 << 18
 
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -42,9 +44,8 @@ TEXT_FEATURES = 11
 def text_features(column) -> np.ndarray:
     """Shape of whole texts, one row each; an empty text gives zeros."""
     out = np.zeros((len(column), TEXT_FEATURES))
-    for i, j, w in pieces(column, PLAIN):
+    for i, j, w in pieces(column, PLAIN, limit=PIECE_BYTES):
         b, h, low = w.bytes[:-8], w.hashes(), w.text_start
-        totals = [np.concatenate([[0], np.cumsum(t[b])]) for t in (_UPPER, _LETTER, _DIGIT, _SYMBOL)]
         mixed = np.concatenate([[0], np.cumsum(_SYMBOL[b[w.end - 1]])]) if w.n else np.zeros(1)
         same = np.zeros(w.n, bool)
         same[1:] = h[1:] == h[:-1]
@@ -57,10 +58,11 @@ def text_features(column) -> np.ndarray:
             if not n:
                 continue
             size = int(low[k + 1] - low[k])
-            upper, letter, digit, symbol = (float(t[low[k + 1]] - t[low[k]]) for t in totals)
+            own = b[low[k]:low[k + 1]]
+            upper, letter, digit, symbol = (float(np.count_nonzero(t[own])) for t in (_UPPER, _LETTER, _DIGIT, _SYMBOL))
             _, counts = np.unique(h[a:z], return_counts=True)
             pair = np.unique(h[a:z - 1] * np.uint64(3) ^ h[a + 1:z]) if n > 1 else h[:1]
-            out[i + k] = (np.log1p(n), length[z] / n - length[a] / n, upper / max(1.0, letter), digit / size, symbol / size,
+            out[i + k] = (np.log1p(n), (length[z] - length[a]) / n, upper / max(1.0, letter), digit / size, symbol / size,
                           (mixed[z] - mixed[a]) / n, (same[z] - same[a]) / n, len(counts) / n, counts.max() / n,
                           len(pair) / n, letter / size)
     return out
@@ -150,8 +152,8 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("_doc_id"), col("text", "string"), col("lang", "string"), col("source", "string"), col("n_chars", "double"))
 
 
-def _both(b):
-    return text_features(b["_text"]), meta_features(b["_lang"].to_pylist(), b["_source"].to_pylist(), b["_n_chars"].to_pylist())
+def _features(text, lang, source, n_chars):
+    return text_features(text), meta_features(lang.to_pylist(), source.to_pylist(), n_chars.to_pylist())
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL) -> CoTrained:
@@ -165,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
 
     def run(batches):
         for b in batches:
-            xt, xm = _both(b)
+            xt, xm = _features(b["_text"], b["_lang"], b["_source"], b["_n_chars"])
             yield pa.RecordBatch.from_pydict({"y": b["_y"], "id": b["_doc_id"], "t": pa.array(list(xt), pa.list_(pa.float64())),
                                               "m": pa.array(list(xm), pa.list_(pa.float64()))})
 
@@ -192,19 +194,22 @@ SCORES = ("_text_score", "_meta_score", "_score")
 
 
 def _scored(docs: DataFrame, model: CoTrained) -> DataFrame:
-    """``docs`` with its columns renamed to _c0, _c1, ... and the scores."""
+    """``docs`` with its columns renamed to _c0, _c1, ... and the scores.
+
+    The Python workers get the four columns that the scores need, once, and hand back nothing but the scores.
+    """
     names = [f"_c{i}" for i in range(len(docs.columns))]
     back = {c.lower(): n for c, n in zip(docs.columns, names, strict=True)}
-    add = [(F.col(back[c]).cast(k) if c in back else F.lit(None).cast(k)).alias(f"_{c}")
-           for c, k in (("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "double"))]
-    d = docs.toDF(*names).select(*names, *add, *[F.lit(0.0).alias(c) for c in SCORES])
+    used = [(F.col(back[c]) if c in back else F.lit(None)).cast(k)
+            for c, k in (("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "double"))]
 
-    def run(batches):
-        for b in batches:
-            found = dict(zip(SCORES, model.score(*_both(b)), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(found[c]) if c in found else b[c] for c in b.schema.names], names=b.schema.names)
+    def run(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
+        found = model.score(*_features(text, lang, source, n_chars))
+        return pa.StructArray.from_arrays([pa.array(x, pa.float64()) for x in found], names=SCORES)
 
-    return d.mapInArrow(run, d.schema).select(*names, *SCORES)
+    # not deterministic to Spark, so that a filter on a score never has it computed twice
+    scores = F.arrow_udf(run, ", ".join(f"{c} double" for c in SCORES)).asNondeterministic()
+    return docs.toDF(*names).select(*names, scores(*used).alias("_s")).select(*names, "_s.*")
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:

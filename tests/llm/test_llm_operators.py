@@ -401,6 +401,32 @@ def test_co_training_teaches_the_other_view():
     assert right(both) >= right(alone) - 0.01 and right(both) > 0.95
 
 
+def test_quality_features_need_little_memory_besides_the_texts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = ["", None, *[f"Word{i} {{x}} 12 word{i} \u00e9t\u00e9 " * 40 for i in range(3000)], "a b " * 500_000]
+    column = pa.array(text)
+    tracemalloc.start()
+    got = quality.text_features(column.slice(0, 3002))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6  # 3 MB of texts
+    # a text's features are its own, whatever stands before it
+    for k in (0, 1, 2, 1777, 3001):
+        assert np.array_equal(got[k], quality.text_features(column.slice(k, 1))[0])
+    assert np.array_equal(quality.text_features(column)[-1], quality.text_features(column.slice(3002))[0])
+
+
+def test_quality_hands_texts_over_once_and_only_scores_back(spark):
+    docs = spark.createDataFrame([(i, f"some words {i}" * 20, None, "s", i) for i in range(30)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = quality.score(docs, quality.CoTrained(None, None, 1.0)).where("_score > 0.1 AND _text_score > 0.1")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+    assert [r[:5] for r in sorted(kept.collect())] == sorted(tuple(r) for r in docs.collect())
+
+
 def test_quality_awkward_rows(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.keep_good(docs, none).count() == docs.count()
